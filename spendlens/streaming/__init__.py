@@ -1,0 +1,7 @@
+"""Streaming.
+
+The source reports are batch statements: they define no stream, watermark, event-time
+window or stateful operator, so this package intentionally provides none. A report is
+rebuilt in full from its source tables on every run (``plans.run_report``); running that
+on a schedule is the job scheduler's business, not the engine's.
+"""
