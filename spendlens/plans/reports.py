@@ -78,8 +78,9 @@ def platform_api(spec: ReportSpec, load: Loader, fact_name: str = PLATFORM_FACT)
             continue
         long = load(fact_name + suffix, ["ad_id", "publisher_platform", "date",
                                          "action_type", "value"])
-        wide = pivot_metrics(long, ["ad_id", "publisher_platform", "date"], "action_type",
-                             spec.conversions, {alias: F.col("value")}, prune_unlisted=True)
+        # grouped in the roll-up's key order so the join reuses its hash partitioning
+        wide = pivot_metrics(long, keys, "action_type", spec.conversions,
+                             {alias: F.col("value")}, prune_unlisted=True)
         names = [pivot_name(alias, c.output_name) for c in spec.conversions]
         report = left_join(report, wide, [(k, k) for k in keys], {n: n for n in names},
                            normalise=True)
@@ -205,10 +206,9 @@ def _star_api(spec: ReportSpec, load: Loader, keyword: bool, fact_name: str) ->
                                  "revenue": F.sum("revenue")})
     pivot_cols: list[str] = []
     if spec.pivots:
-        pkeys = ["date", "account_id", "ad_group_id", "campaign_id"] + (
-            ["keyword_id"] if keyword else [])
-        goals = load(GOALS, pkeys + list(GOAL_MEASURES) + ["goal"])
-        wide = pivot_metrics(goals, pkeys, "goal", spec.conversions,
+        # grouped in the roll-up's key order so the join reuses its hash partitioning
+        goals = load(GOALS, keys + list(GOAL_MEASURES) + ["goal"])
+        wide = pivot_metrics(goals, keys, "goal", spec.conversions,
                              {m: F.col(m).try_cast("double") for m in GOAL_MEASURES},
                              prune_unlisted=True)
         for c in spec.conversions:
@@ -221,11 +221,13 @@ def _star_api(spec: ReportSpec, load: Loader, keyword: bool, fact_name: str) ->
     accounts = current_only(load("account_history", ["id", "name", "_gn_active"]), "_gn_active")
     if trim:
         accounts = account_allow_list(accounts, "id", spec.account_ids)
-    wide = left_join(report, campaigns, [("campaign_id", "id")], {"campaign_name": "name"})
-    wide = left_join(wide, ad_groups, [("ad_group_id", "id")], {"ad_group_name": "name"})
-    wide = left_join(wide, accounts, [("account_id", "id")],
+    # the account join goes first: under an allow-list it is an inner join that drops rows
+    # before the other joins (and its IN filter is inferred onto the fact's account key)
+    wide = left_join(report, accounts, [("account_id", "id")],
                      {"__account_id": "id", "account_name": "name"},
                      how="inner" if trim else "left")
+    wide = left_join(wide, campaigns, [("campaign_id", "id")], {"campaign_name": "name"})
+    wide = left_join(wide, ad_groups, [("ad_group_id", "id")], {"ad_group_name": "name"})
     kw_cols: list = []
     if keyword:
         keywords = current_only(load("keyword_history", ["id", "text", "match_type",
