@@ -62,7 +62,7 @@ def local_datetime(col: Column | str, tz: str, input_type: T.DataType | None = N
     c = F.col(col) if isinstance(col, str) else col
     if isinstance(input_type, T.TimestampNTZType):
         return F.convert_timezone(F.lit("UTC"), F.lit(tz), c)
-    return F.convert_timezone(F.lit(tz), c.cast("timestamp_ntz"))
+    return F.convert_timezone(None, F.lit(tz), c.cast("timestamp_ntz"))
 
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)

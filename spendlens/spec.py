@@ -258,7 +258,10 @@ class ReportSpec:
         for r in self.regex_filters:
             if not r.dimension or r.expression is None:
                 raise SpecError(f"incomplete regex filter {r!r}")
-            re.compile(r.expression)  # python syntax check only; Spark applies Java regex
+            try:  # a syntax check only; Spark applies Java regex semantics
+                re.compile(r.expression)
+            except re.error as e:
+                raise SpecError(f"invalid regex {r.expression!r}: {e}") from e
         for v in self.account_ids:
             if isinstance(v, bool) or not isinstance(v, (int, str)):
                 raise SpecError(f"account id must be int or str, got {v!r}")

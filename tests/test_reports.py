@@ -1,0 +1,223 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from fixtures import D1, D2, campaign_tables, platform_tables, star_tables
+from spendlens.plans import (ad_group_report, build, campaign_report, keyword_report,
+                             multi_fact_api, multi_fact_report, platform_api, platform_report)
+from spendlens.plans.reports import (ATTRIBUTION, ENGAGEMENT, IN_APP_EVENT, PAGE_EVENT,
+                                     VIDEO_PLAY)
+from spendlens.sources import loader
+from spendlens.spec import (SELECT_DEFAULT_THEN_ACTIVE, ConversionSpec, FieldSpec, RegexFilter,
+                            ReportSpec)
+
+
+def _load(spark, tables):
+    return loader(spark, "", tables)
+
+
+PLATFORM = ReportSpec(
+    target="db.platform",
+    dimensions=(FieldSpec("date", "DATE", "date"), FieldSpec("platform", "STRING", "platform"),
+                FieldSpec("account_name", "STRING", "account_name")),
+    metrics=(FieldSpec("cost", "FLOAT64", "sum(cost)"), FieldSpec("clicks", "INT64", "sum(clicks)"),
+             FieldSpec("purchases", "FLOAT64", "sum(actions_purchases)"),
+             FieldSpec("pv", "FLOAT64", "sum(action_values_purchases)")),
+    conversions=(ConversionSpec("purchase", "purchases"),), actions=True, action_values=True,
+    run_ts=dt.datetime(2024, 2, 1, 12, 0))
+
+PLATFORM_ALL = [
+    (D1, "Facebook", "Acct X", 15.0, 3, 5.0, 20.0),
+    (D1, "Instagram", "Acct X", 3.0, 1, None, None),
+    (D1, "Audience Network", None, 4.0, 1, None, None),
+    (D2, "Unknown", None, 1.0, 1, None, None),
+    (D2, "Threads_Feed", None, 2.0, 1, None, None),
+    (D2, None, "Acct X", 1.0, 1, None, None),
+    (D2, "Facebook", None, 7.0, 1, None, None),
+]
+
+
+def _sorted(xs):
+    return sorted(xs, key=lambda t: tuple((v is None, str(v)) for v in t))
+
+
+def test_platform_report_misses_pivots_and_labels(spark):
+    out = platform_report(PLATFORM, _load(spark, platform_tables(spark)))
+    assert rows(out) == _sorted(PLATFORM_ALL)
+    api = platform_api(PLATFORM, _load(spark, platform_tables(spark)))
+    assert api.columns.count("publisher_platform") == 1
+    assert api.columns.count("ad_id") == 1
+
+
+def test_platform_allow_list_and_regex(spark):
+    spec = ReportSpec(**{**PLATFORM.__dict__, "account_ids": (1000,)})
+    out = platform_report(spec, _load(spark, platform_tables(spark)))
+    assert rows(out) == _sorted([r for r in PLATFORM_ALL if r[2] == "Acct X"])
+    # the inner-join rewrite must not change the result
+    plain = ReportSpec(**{**spec.__dict__, "inner_join_trim": False})
+    assert rows(platform_report(plain, _load(spark, platform_tables(spark)))) == rows(out)
+    spec2 = ReportSpec(**{**spec.__dict__,
+                          "regex_filters": (RegexFilter("platform", "^Insta", False),)})
+    out2 = platform_report(spec2, _load(spark, platform_tables(spark)))
+    assert rows(out2) == [PLATFORM_ALL[0]]
+
+
+def test_platform_sync_is_run_time_and_omitted_when_unused(spark):
+    spec = ReportSpec(**{**PLATFORM.__dict__, "metrics": (
+        FieldSpec("synced", "DATETIME", "max(last_synced_at)"),
+        FieldSpec("last_day", "DATE", "max(last_data_date)"))})
+    out = platform_report(spec, _load(spark, platform_tables(spark)))
+    got = {r.synced for r in out.collect()}
+    assert got == {dt.datetime(2024, 2, 1, 12, 0)}
+    assert {r.last_day for r in out.collect()} == {D2}
+    # an empty fact table still produces the freshness row (NULLs) and no report rows
+    t = platform_tables(spark)
+    t["platform_report"] = t["platform_report"].limit(0)
+    assert platform_report(spec, _load(spark, t)).count() == 0
+
+
+CAMPAIGN = ReportSpec(
+    target="db.campaign", selection=SELECT_DEFAULT_THEN_ACTIVE,
+    dimensions=(FieldSpec("date", "DATE", "date", default=True),
+                FieldSpec("campaign_name", "STRING", "campaign_name", default=True),
+                FieldSpec("campaign_group_name", "STRING", "campaign_group_name", default=True,
+                          active=True),
+                FieldSpec("account_name", "STRING", "account_name", active=True),
+                FieldSpec("unused", "STRING", "campaign_name")),
+    metrics=(FieldSpec("cost", "FLOAT64", "sum(cost)", default=True),
+             FieldSpec("clicks", "INT64", "sum(clicks)", default=True),
+             FieldSpec("conversions", "INT64", "sum(conversions)", active=True),
+             FieldSpec("synced", "DATETIME", "max(last_synced_at)", active=True),
+             FieldSpec("data_date", "DATE", "max(last_data_date)", active=True),
+             FieldSpec("empty_ts", "TIMESTAMP", "max(run_schedule_start)", active=True)),
+    timezone="America/New_York", history_tiebreak=("version_id",))
+
+
+def test_campaign_report_latest_versions_and_local_sync(spark):
+    out = campaign_report(CAMPAIGN, _load(spark, campaign_tables(spark)))
+    assert out.columns == ["date", "campaign_name", "campaign_group_name", "account_name",
+                           "cost", "clicks", "conversions", "synced", "data_date", "empty_ts"]
+    s = dt.datetime(2024, 1, 1, 22, 0)  # 03:00 UTC on Jan 2 is 22:00 on Jan 1 in New York
+    assert rows(out) == _sorted([
+        (D1, "C1 new", "G10", "A100", 15.0, 3, 1, s, D2, None),
+        (D2, "C2 a", "G11", None, 7.0, 1, 0, s, D2, None),
+        (D2, None, None, None, 1.0, 1, 0, s, D2, None)])
+    only = ReportSpec(**{**CAMPAIGN.__dict__, "account_ids": (100,)})
+    assert [r.campaign_name for r in campaign_report(only, _load(spark, campaign_tables(spark))).collect()] == ["C1 new"]
+
+
+STAR = ReportSpec(
+    target="db.ad_group",
+    dimensions=(FieldSpec("account_name", "STRING", "account_name"),
+                FieldSpec("campaign_name", "STRING", "campaign_name")),
+    metrics=(FieldSpec("cost", "FLOAT64", "sum(cost)"), FieldSpec("clicks", "INT64", "sum(clicks)"),
+             FieldSpec("conv", "FLOAT64", "sum(conversions)"),
+             FieldSpec("purchases", "FLOAT64", "sum(all_conversions_purchase)"),
+             FieldSpec("prev", "FLOAT64", "sum(all_revenue_purchase)"),
+             FieldSpec("vt", "INT64", "sum(view_through_conversions_purchase)")),
+    conversions=(ConversionSpec("Purchase", "purchase"),), pivots=True,
+    run_ts=dt.datetime(2024, 2, 1))
+
+
+def test_ad_group_report_pivot_safe_cast_and_active_flags(spark):
+    out = ad_group_report(STAR, _load(spark, star_tables(spark)))
+    expect = [("Acct 100", "Camp 1", 10.0, 2, 1.0, 2.0, 11.5, 1),
+              ("Acct 100", "Camp 3", 1.0, 1, 0.0, None, None, None),
+              (None, None, 3.0, 2, 1.0, None, None, None)]
+    assert rows(out) == _sorted(expect)
+    only = ReportSpec(**{**STAR.__dict__, "account_ids": (100,)})
+    assert rows(ad_group_report(only, _load(spark, star_tables(spark)))) == _sorted(expect[:2])
+
+
+def test_keyword_report(spark):
+    spec = ReportSpec(
+        target="db.kw",
+        dimensions=(FieldSpec("keyword_text", "STRING", "keyword_text"),
+                    FieldSpec("keyword_match_type", "STRING", "keyword_match_type")),
+        metrics=(FieldSpec("cost", "FLOAT64", "sum(cost)"), FieldSpec("clicks", "INT64", "sum(clicks)"),
+                 FieldSpec("purchases", "FLOAT64", "sum(all_conversions_purchase)")),
+        conversions=(ConversionSpec("Purchase", "purchase"),), pivots=True)
+    out = keyword_report(spec, _load(spark, star_tables(spark, keyword=True)))
+    assert rows(out) == _sorted([("shoes", "exact", 10.0, 2, 2.0), ("boots", "broad", 3.0, 2, None),
+                                 (None, None, 1.0, 1, None)])
+
+
+def _multi_tables(spark):
+    keys = "stat_time_day timestamp_ntz, ad_id bigint, _gn_id string"
+    t1 = dt.datetime(2024, 1, 1, 10)
+    t1b = dt.datetime(2024, 1, 1, 11)
+    t2 = dt.datetime(2024, 1, 2, 9)
+
+    def fact(cols, keyrows):
+        schema = keys + "".join(f", {c} bigint" for c in cols)
+        return spark.createDataFrame([k + tuple(1 for _ in cols) for k in keyrows], schema)
+
+    t = {}
+    t["ads_basic_data_metrics_by_day_report"] = spark.createDataFrame(
+        [(t1, 1, "g1", 1.0, 1, 0, 1, 0, 0, 0, t1), (t1b, 1, "g1", 1.0, 1, 0, 1, 0, 0, 0, t1),
+         (t2, 2, "g2", 1.0, 1, 0, 1, 0, 0, 0, t2)],
+        keys + ", spend double, clicks bigint, real_time_conversion bigint, impressions bigint, "
+               "conversion bigint, result bigint, real_time_result bigint, "
+               "_fivetran_synced timestamp_ntz")
+    t[ATTRIBUTION[0]] = fact(ATTRIBUTION[1], [(t1, 1, "g1")])
+    t[ENGAGEMENT[0]] = fact(ENGAGEMENT[1], [(t1, 1, "g1"), (t2, 2, "g2")])
+    t[IN_APP_EVENT[0]] = fact(IN_APP_EVENT[1], [(t1, 1, "g1")])
+    t[VIDEO_PLAY[0]] = fact(VIDEO_PLAY[1], [(t1, 1, "g1")])
+    t[PAGE_EVENT[0]] = spark.createDataFrame(
+        [(t1, 1, "g1", 2, 3.0) + (1,) * len(PAGE_EVENT[1]),
+         (t1b, 1, "g1", None, 5.0) + (1,) * len(PAGE_EVENT[1])],
+        keys + ", complete_payment bigint, value_per_complete_payment double"
+        + "".join(f", {c} bigint" for c in PAGE_EVENT[1]))
+    t["ad_history"] = spark.createDataFrame(
+        [(1, "Ad 1", 5, "G", "7", 50), (2, "Ad 2", 5, "G", "8", 51)],
+        "ad_id bigint, ad_name string, adgroup_id bigint, adgroup_name string, "
+        "advertiser_id string, campaign_id bigint")
+    t["campaign_history"] = spark.createDataFrame(
+        [(50, "Camp 50", "TRAFFIC", "7")],
+        "campaign_id bigint, campaign_name string, objective_type string, advertiser_id string")
+    t["ad_accounts_history"] = spark.createDataFrame(
+        [("7", "Adv 7", "USD")], "advertiser_id string, name string, currency string")
+    return t
+
+
+MULTI = ReportSpec(
+    target="db.multi",
+    dimensions=(FieldSpec("date", "DATE", "date"), FieldSpec("ad_id", "INT64", "ad_id"),
+                FieldSpec("advertiser_name", "STRING", "advertiser_name")),
+    metrics=(FieldSpec("cost", "FLOAT64", "sum(cost)"), FieldSpec("likes", "INT64", "sum(likes)"),
+             FieldSpec("revenue", "FLOAT64", "sum(revenue)"),
+             FieldSpec("cta", "INT64", "sum(cta_purchase)")))
+
+
+def test_multi_fact_report_modes_and_allow_list(spark):
+    load = _load(spark, _multi_tables(spark))
+    aw = multi_fact_report(MULTI, load)
+    assert rows(aw) == [(D1, 1, "Adv 7", 2.0, 1, 6.0, 1), (D2, 2, None, 1.0, None, None, None)]
+    gs = multi_fact_report(ReportSpec(**{**MULTI.__dict__, "stitch": "grain_safe"}), load)
+    assert rows(gs) == [(D1, 1, "Adv 7", 2.0, 1, 6.0, 1), (D2, 2, None, 1.0, 1, None, None)]
+    only = multi_fact_report(ReportSpec(**{**MULTI.__dict__, "account_ids": (7,)}), load)
+    assert rows(only) == [(D1, 1, "Adv 7", 2.0, 1, 6.0, 1)]
+    api = multi_fact_api(MULTI, load)
+    assert api.columns.count("ad_id") == 1
+    assert {r.dpa_target_audience_type for r in api.collect()} == {""}
+
+
+def test_inactive_report_is_empty_with_schema_and_reads_nothing(spark):
+    spec = ReportSpec(**{**PLATFORM.__dict__, "active": False})
+
+    def no_read(name, required=()):
+        raise AssertionError("an inactive report must not read sources")
+
+    out = build(spark, "platform", spec, load=no_read)
+    assert out.count() == 0
+    assert [f.name for f in out.schema.fields] == [f.name for f in PLATFORM.schema().fields]
+    assert out.schema["cost"].metadata["comment"] == "[db_field_name = cost]"
+
+
+def test_missing_source_column_is_reported_by_name(spark):
+    t = platform_tables(spark)
+    t["platform_report"] = t["platform_report"].drop("impressions")
+    with pytest.raises(ValueError, match="impressions"):
+        platform_report(PLATFORM, _load(spark, t))
