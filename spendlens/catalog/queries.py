@@ -28,13 +28,13 @@ from ..sources.tables import loader
 from ..spec import (SELECT_DEFAULT_THEN_ACTIVE, ConversionSpec, ExternalTarget, FieldSpec,
                     RegexFilter, ReportSpec)
 from .specs import REPORT_SPECS, RUN_TS, TZ
-from .standins import spark_sources
+from .standins import base_table, spark_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return base_table(spark, sf_dir, name)
 
 
 def _money(c: str) -> F.Column:
@@ -266,7 +266,7 @@ def sync_info_cross(spark, sf_dir):
     ts_type = ev.schema["ts"].dataType
     sync = sync_info(ev, local_datetime("ts", TZ, ts_type), F.to_date("ts"))
     runs = ev.agg(F.max(run_time_literal(RUN_TS)).alias("run_at"))
-    return attach_sync(spine, sync).crossJoin(F.broadcast(runs))
+    return attach_sync(spine, sync).withColumn("run_at", runs.scalar())
 
 
 # ---- filters and scalars (F7-F9, X10-X12) --------------------------------------------

@@ -223,16 +223,23 @@ def _used_tables(text: str) -> list[str]:
     return [t for t in BASE_TABLES if "{" + t + "}" in text]
 
 
-def base_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in BASE_TABLES}
+_READS: dict[tuple, DataFrame] = {}
+
+
+def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """``spark.read.parquet`` of one test table; the (lazy) reader is reused per session
+    so its file listing and footer read happen once, not once per query."""
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _READS[key]
 
 
 def spark_sources(spark: SparkSession, sf_dir: str, kind: str) -> dict[str, DataFrame]:
     """Stand-in source tables of one report kind as lazy Spark DataFrames."""
-    base = base_tables(spark, sf_dir)
     out = {}
     for name, text in SOURCES[kind].items():
-        tables = {t: base[t] for t in _used_tables(text)}
+        tables = {t: base_table(spark, sf_dir, t) for t in _used_tables(text)}
         out[name] = spark.sql(text.replace("{ts_ntz}", "TIMESTAMP_NTZ"), **tables)
     return out
 

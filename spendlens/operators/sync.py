@@ -32,12 +32,14 @@ def sync_info(df: DataFrame, synced_at: Column, data_date: Column) -> DataFrame:
 def attach_sync(api: DataFrame, sync: DataFrame) -> DataFrame:
     """``api LEFT JOIN sync ON true`` with the two freshness columns renamed.
 
-    ``sync`` holds exactly one row (see :func:`sync_info`), so a left join on true is a
-    cross join with a broadcast one-row side: no shuffle of ``api``.
+    ``sync`` holds exactly one row (see :func:`sync_info`), so joining it on true equals
+    reading its two values as scalar subqueries. Spark runs the (merged) subquery once
+    as its own small job and inlines the values: no join, no shuffle of ``api``, and
+    ``api`` keeps its partitioning for the regroup that follows.
     """
-    one_row = sync.select(F.col("max_synced_at").alias("last_synced_at"),
-                          F.col("max_data_date").alias("last_data_date"))
-    return api.crossJoin(F.broadcast(one_row))
+    return api.select("*",
+                      sync.select("max_synced_at").scalar().alias("last_synced_at"),
+                      sync.select("max_data_date").scalar().alias("last_data_date"))
 
 
 def no_sync(api: DataFrame, synced_type: str = "timestamp_ntz") -> DataFrame:

@@ -90,10 +90,13 @@ def test_unused_freshness_is_not_computed(spark):
     spec = ReportSpec(target="db.p", dimensions=(FieldSpec("date", "DATE", "date"),),
                       metrics=(FieldSpec("cost", "FLOAT64", "sum(cost)"),))
     plan = _plan(platform_report(spec, loader(spark, "", t)))
-    assert "BroadcastNestedLoopJoin" not in plan
+    assert "Subquery" not in plan and "NestedLoopJoin" not in plan
     used = ReportSpec(**{**spec.__dict__, "metrics": (
-        FieldSpec("d", "DATE", "max(last_data_date)"),)})
-    assert "BroadcastNestedLoopJoin" in _plan(platform_report(used, loader(spark, "", t)))
+        FieldSpec("d", "DATE", "max(last_data_date)"), FieldSpec("s", "DATETIME",
+                                                                   "max(last_synced_at)"))})
+    plan = _plan(platform_report(used, loader(spark, "", t)))
+    # attached as a scalar subquery (one small job), never as a join
+    assert "Subquery" in plan and "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
 def test_scans_read_only_used_columns(spark, tmp_path):
