@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.shape import empty_report
 from ..sinks.tables import replace_table, republish
 from ..sources.tables import Loader, loader
-from ..spec import ReportSpec
+from ..spec import ReportSpec, SpecError
 from .reports import BUILDERS
 
 
@@ -20,6 +20,8 @@ def build(spark: SparkSession, kind: str, spec: ReportSpec, load: Loader | None
         raise KeyError(f"unknown report kind {kind!r}; known: {sorted(BUILDERS)}")
     if not spec.is_active:
         return empty_report(spark, spec)
+    if load is None and tables is None and not spec.source:
+        raise SpecError("spec.source (database or directory of the source tables) is required")
     load = load or loader(spark, spec.source, tables)
     return BUILDERS[kind](spec, load)
 

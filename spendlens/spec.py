@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 from typing import Iterable, Sequence
 
 from pyspark.sql import types as T
@@ -227,7 +227,10 @@ class ReportSpec:
         return any(pattern.search(t) for t in texts)
 
     def run_time(self) -> datetime:
-        return self.run_ts if self.run_ts is not None else datetime.now().replace(microsecond=0)
+        """The injected run time, else now as UTC wall clock (the warehouse default zone)."""
+        if self.run_ts is not None:
+            return self.run_ts
+        return datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
 
     # ---- validation ---------------------------------------------------------------
     def validate(self) -> None:
