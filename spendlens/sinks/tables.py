@@ -38,11 +38,37 @@ def replace_table(df: DataFrame, name: str, spec: ReportSpec | None = None,
     spark = out.sparkSession
     if via_staging:
         staging = name + "__staging"
-        out.write.mode("overwrite").format(fmt).saveAsTable(staging)
-        spark.table(staging).write.mode("overwrite").format(fmt).saveAsTable(name)
+        _overwrite(out, staging, fmt)
+        _overwrite(spark.table(staging), name, fmt)
         spark.sql(f"DROP TABLE IF EXISTS {quote_ident(staging)}")
         return
-    out.write.mode("overwrite").format(fmt).saveAsTable(name)
+    _overwrite(out, name, fmt)
+
+
+def _overwrite(df: DataFrame, name: str, fmt: str) -> None:
+    """``saveAsTable`` in overwrite mode, replacing files a catalog no longer knows.
+
+    A catalog that forgets tables between sessions (Spark's in-memory one) leaves the
+    files of an earlier run at the table's managed location, and Spark then refuses to
+    create the table there. Replacing means replacing those files too: the table is
+    written to that same location and registered on it.
+    """
+    try:
+        df.write.mode("overwrite").format(fmt).saveAsTable(name)
+    except Exception as e:  # noqa: BLE001 - only one error condition is handled
+        cond = getattr(e, "getCondition", getattr(e, "getErrorClass", lambda: None))()
+        if cond != "LOCATION_ALREADY_EXISTS":
+            raise
+        df.write.mode("overwrite").format(fmt).option("path", _managed_location(df, name)) \
+          .saveAsTable(name)
+
+
+def _managed_location(df: DataFrame, name: str) -> str:
+    spark = df.sparkSession
+    parts = name.split(".")
+    db = ".".join(parts[:-1]) or spark.catalog.currentDatabase()
+    info = {r[0]: r[1] for r in spark.sql(f"DESCRIBE DATABASE {quote_ident(db)}").collect()}
+    return info["Location"].rstrip("/") + "/" + parts[-1].lower()
 
 
 def ensure_schema(spark: SparkSession, database: str, description: str = "",

@@ -54,3 +54,15 @@ def test_run_report_then_republish_copies_the_stored_table(spark):
     assert spark.table(f"{ext}.platform").count() == 0
     assert spark.table(f"{home}.platform").count() == 0
     assert republish(spark, ReportSpec(**{**spec.__dict__, "external": ExternalTarget()})) is None
+
+
+def test_replace_table_over_files_left_by_an_earlier_session(spark):
+    db = _db()
+    ensure_schema(spark, db)
+    loc = [r[1] for r in spark.sql(f"DESCRIBE DATABASE {db}").collect() if r[0] == "Location"][0]
+    # files at the managed location that the (in-memory) catalog does not know about
+    spark.createDataFrame([(9,)], "x bigint").write.parquet(loc.rstrip("/") + "/t")
+    replace_table(spark.createDataFrame([(1,), (2,)], "x bigint"), f"{db}.t")
+    assert rows(spark.table(f"{db}.t")) == [(1,), (2,)]
+    replace_table(spark.createDataFrame([(3,)], "x bigint"), f"{db}.t")
+    assert rows(spark.table(f"{db}.t")) == [(3,)]
