@@ -12,10 +12,11 @@ def run_time_literal(run_ts: datetime | date, kind: str = "datetime") -> Column:
     """``current_datetime()`` / ``current_date()`` pinned to an injected run time."""
     if kind == "date":
         d = run_ts.date() if isinstance(run_ts, datetime) else run_ts
-        return F.lit(d).cast("date")
+        return F.lit(d.isoformat()).cast("date")
     if not isinstance(run_ts, datetime):
         run_ts = datetime(run_ts.year, run_ts.month, run_ts.day)
-    return F.lit(run_ts.replace(tzinfo=None)).cast("timestamp_ntz")
+    # from text: a wall-clock literal must not pass through any session or process zone
+    return F.lit(run_ts.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def sync_info(df: DataFrame, synced_at: Column, data_date: Column) -> DataFrame:

@@ -55,7 +55,10 @@ def main():
         p = f"{sf_dir}/{t}.parquet"
         if os.path.exists(p):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
-    spark = local_session(8, warehouse=os.environ.get("SPENDLENS_WAREHOUSE"))
+    extra = {}
+    if os.environ.get("SPENDLENS_SESSION_TZ"):  # check independence of the session zone
+        extra["spark.sql.session.timeZone"] = os.environ["SPENDLENS_SESSION_TZ"]
+    spark = local_session(8, warehouse=os.environ.get("SPENDLENS_WAREHOUSE"), extra=extra)
     ok = True
     for name, fn in qs.items():
         if only and name not in only:
