@@ -118,14 +118,16 @@ def stitch_facts(spine: DataFrame, page: tuple[DataFrame, Sequence[str]] | None,
     if page:
         df, measures = page
         out = left_join(out, df, [(ad, ad), (date, date)], {m: m for m in measures})
-    prev_ad, prev_gn = ad, gn
-    helpers: list[str] = []
-    for i, (df, measures) in enumerate(chain_facts):
-        n = next(_ids)
-        k_ad, k_gn = f"__s{n}_{i}_ad", f"__s{n}_{i}_gn"
-        take = {m: m for m in measures}
-        take.update({k_ad: ad, k_gn: gn})
-        out = left_join(out, df, [(prev_ad, ad), (prev_gn, gn)], take)
-        helpers += [k_ad, k_gn]
-        prev_ad, prev_gn = k_ad, k_gn
-    return out.drop(*helpers)
+    if not chain_facts:
+        return out
+    # ((S ⟕ A) ⟕ E) ⟕ V with each condition reading the previous fact's keys equals
+    # S ⟕ (A ⟕ (E ⟕ V)) (left joins associate over null-rejecting conditions), with the
+    # same multiplicities. The nested chain joins the narrow facts on their own
+    # (ad, gn) columns, so they stay co-partitioned, and the wide spine is shuffled once.
+    df, measures = chain_facts[-1]
+    nested, nested_cols = df.select(ad, gn, *measures), list(measures)
+    for df, measures in reversed(chain_facts[:-1]):
+        nested = left_join(df.select(ad, gn, *measures), nested, [(ad, ad), (gn, gn)],
+                           {m: m for m in nested_cols})
+        nested_cols = list(measures) + nested_cols
+    return left_join(out, nested, [(ad, ad), (gn, gn)], {m: m for m in nested_cols})
