@@ -84,3 +84,41 @@ def test_as_written_equals_grain_safe_when_gn_is_one_to_one(spark, keys):
     gs = stitch_facts(spine, page, facts, mode="grain_safe")
     assert rows(aw) == rows(gs)
     assert aw.count() == len(spine_rows)
+
+
+fact_rows = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 2), st.sampled_from("ab"),
+                               st.integers(1, 9)), max_size=8)
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 2), st.sampled_from("ab"),
+                          st.integers(1, 9)), min_size=1, max_size=6),
+       fact_rows, fact_rows, fact_rows, fact_rows, fact_rows)
+def test_as_written_matches_a_literal_join_chain(spark, spine, page, a, e, ev, v):
+    """Nested chain == left-to-right chain keyed on the previous fact, fan-out included."""
+    def df(data, m):
+        return spark.createDataFrame(
+            [(D0 + dt.timedelta(days=d), ad, g, x) for d, ad, g, x in data],
+            f"date date, ad_id bigint, _gn_id string, {m} bigint")
+
+    out = stitch_facts(df(spine, "s"), (df(page, "p"), ["p"]),
+                       [(df(a, "a"), ["a"]), (df(e, "e"), ["e"]), (df(ev, "ev"), ["ev"]),
+                        (df(v, "v"), ["v"])], mode="as_written")
+    expect = []
+    for d, ad, g, s in spine:
+        for p in [r for r in page if r[1] == ad and r[0] == d] or [None]:
+            prev = (ad, g)
+            chains = [[]]
+            for fact in (a, e, ev, v):
+                grown = []
+                for c in chains:
+                    key = prev if not c else (None if c[-1] is None else (c[-1][1], c[-1][2]))
+                    hits = [r for r in fact if key is not None and (r[1], r[2]) == key]
+                    grown += [c + [h] for h in hits] or [c + [None]]
+                chains = grown
+            for c in chains:
+                expect.append((D0 + dt.timedelta(days=d), ad, g, s, p and p[3],
+                               *[(r[3] if r else None) for r in c]))
+    got = rows(out, "date", "ad_id", "_gn_id", "s", "p", "a", "e", "ev", "v")
+    key = lambda t: tuple((x is None, str(x)) for x in t)
+    assert got == sorted(expect, key=key)
