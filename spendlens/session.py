@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 
@@ -52,3 +53,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="spendlens-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def apply_defaults(spark: SparkSession) -> SparkSession:
+    """Set ``DEFAULTS`` on a running session where the cluster has not set them."""
+    for k, v in DEFAULTS.items():
+        if spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)
+    return spark
+
+
+def cluster_settings(largest_shuffle_bytes: int, partition_bytes: int = 256 << 20,
+                     broadcast_bytes: int = 64 << 20) -> dict[str, str]:
+    """SQL settings sized for a large run from the biggest expected shuffle.
+
+    The biggest shuffle of a report is a roll-up's output after map-side combine, not
+    the raw input. Shuffles start with enough partitions to keep each near 64 MB and AQE
+    coalesces them to ``partition_bytes``; a partition several times the advisory size
+    is split as skewed. Scans read ``partition_bytes`` splits. Dimensions are broadcast
+    only below ``broadcast_bytes`` by their statistics or measured stage size.
+    """
+    initial = min(100_000, max(200, math.ceil(largest_shuffle_bytes / (64 << 20))))
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+    }

@@ -78,3 +78,34 @@ def test_source_is_required_to_read_storage(spark):
     s = spec_from_vars(VARS, "ads_service", "daily_platform", "platform", source="")
     with pytest.raises(SpecError):
         build(spark, "platform", s)
+
+
+def test_cli_runs_a_report_from_a_vars_file(spark, tmp_path):
+    import json
+
+    from spendlens.__main__ import main
+    from spendlens.sinks import ensure_schema
+    src = tmp_path / "raw"
+    for name, df in platform_tables(spark).items():
+        df.write.parquet(str(src / name))
+    v = json.loads(json.dumps(VARS))
+    v["output_dataset_id"] = "cli_reports"
+    v["ads_service"]["source_dataset_id"] = str(src)
+    v["external_project"]["active"] = False
+    path = tmp_path / "vars.json"
+    path.write_text(json.dumps(v))
+    ensure_schema(spark, "cli_reports")
+    args = ["--vars", str(path), "--service", "ads_service", "--model", "daily_platform",
+            "--kind", "platform", "--run-ts", "2024-02-01T12:00:00"]
+    assert main(["schema"] + args) == 0
+    assert main(["run"] + args) == 0
+    out = spark.table("cli_reports.daily_platform_v2")
+    assert {r.platform for r in out.collect()} == {"Facebook"}
+
+
+def test_cluster_settings_scale_with_the_shuffle():
+    from spendlens.session import cluster_settings
+    small, big = cluster_settings(1 << 30), cluster_settings(10 << 40)
+    assert int(small["spark.sql.shuffle.partitions"]) == 200
+    assert int(big["spark.sql.shuffle.partitions"]) > 100 * 200 // 2
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
