@@ -39,10 +39,10 @@ def key_pair(left: DataFrame, lname: str, right: DataFrame, rname: str,
     be reused instead of reshuffling on a computed key. Fractional keys are refused
     (``1.0`` and ``1`` differ as strings).
     """
-    lt, rt = _type_of(left, lname), _type_of(right, rname)
     lc, rc = left[lname], right[rname]
     if not normalise:
         return lc, rc
+    lt, rt = _type_of(left, lname), _type_of(right, rname)
     if isinstance(lt, _FRACTIONAL) or isinstance(rt, _FRACTIONAL):
         raise TypeError(f"fractional join key {lname}/{rname}: string form is ambiguous")
     if lt == rt:
@@ -51,8 +51,7 @@ def key_pair(left: DataFrame, lname: str, right: DataFrame, rname: str,
 
 
 def left_join(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]],
-              take: Mapping[str, str], how: str = "left", normalise: bool = False,
-              keep_keys: Mapping[str, int] | None = None) -> DataFrame:
+              take: Mapping[str, str], how: str = "left", normalise: bool = False) -> DataFrame:
     """``df LEFT JOIN dim ON df.l = dim.r AND ...``, bringing ``take`` columns along.
 
     ``take`` maps output name -> dimension column (a join key may be taken too: it is

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
-from datetime import date, datetime, timezone
+from datetime import datetime, timezone
 from typing import Iterable, Sequence
 
 from pyspark.sql import types as T
@@ -276,6 +276,3 @@ def fields(*rows: Sequence) -> tuple[FieldSpec, ...]:
     """Shorthand: ``fields(("name", "STRING", "expr"), ...)``."""
     return tuple(FieldSpec(*r) for r in rows)
 
-
-def as_date(value) -> date:
-    return value if isinstance(value, date) and not isinstance(value, datetime) else value.date()
