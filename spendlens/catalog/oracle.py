@@ -273,8 +273,9 @@ LEFT JOIN sync_info ON true)"""
 def _stitch_sql(mode: str) -> str:
     return _multi_fact_api(mode) + """
 SELECT date, ad_id, _gn_id, CAST(cost AS DECIMAL(38,2)) AS cost,
-       CAST(revenue AS DECIMAL(38,2)) AS revenue, cta_purchase, likes, purchase,
-       video_views_p100
+       CAST(revenue AS DECIMAL(38,2)) AS revenue, CAST(cta_purchase AS BIGINT) AS cta_purchase,
+       CAST(likes AS BIGINT) AS likes, CAST(purchase AS BIGINT) AS purchase,
+       CAST(video_views_p100 AS BIGINT) AS video_views_p100
 FROM api"""
 
 

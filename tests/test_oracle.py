@@ -12,7 +12,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
-from oracle_check import TABLES, digest  # noqa: E402
+from oracle_check import TABLES, digest, types_of  # noqa: E402
 
 SF = os.environ.get("SPENDLENS_ORACLE_SF", "/root/testdata/sf0.001")
 
@@ -39,6 +39,8 @@ def test_query_matches_oracle(spark, duck, name):
     ocols = [d[0] for d in res.description]
     want = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    spark_types, duck_types = types_of(df.schema, res.description)
+    assert spark_types == duck_types
     assert len(got) == len(want)
     assert digest(df.columns, got)[0] == digest(ocols, want)[0]
 

@@ -38,6 +38,23 @@ def norm(v):
     return str(v)
 
 
+def spark_type(t) -> str:
+    """Canonical type name of a Spark field, in DuckDB spelling."""
+    s = t.simpleString()
+    if s.startswith("decimal"):
+        return s.upper()
+    return {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT",
+            "string": "VARCHAR", "double": "DOUBLE", "float": "FLOAT", "date": "DATE",
+            "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+            "boolean": "BOOLEAN", "binary": "BLOB"}.get(s, s.upper())
+
+
+def types_of(spark_schema, duck_description):
+    a = {f.name: spark_type(f.dataType) for f in spark_schema.fields}
+    b = {d[0]: str(d[1]).upper() for d in duck_description}
+    return a, b
+
+
 def digest(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     lines = sorted("|".join(norm(r[i]) for i in order) for r in rows)
@@ -76,10 +93,17 @@ def main():
         orows = res.fetchall()
         h1, l1 = digest(cols, rows)
         h2, l2 = digest(ocols, orows)
-        same = (len(rows) == len(orows) and sorted(cols) == sorted(ocols) and h1 == h2)
+        ta, tb = types_of(df.schema, res.description)
+        types_ok = ta == tb
+        same = (len(rows) == len(orows) and sorted(cols) == sorted(ocols) and h1 == h2
+                and types_ok)
         ok &= same
         print(f"{name:28s} rows={len(rows):7d}/{len(orows):7d} cols={'ok' if sorted(cols)==sorted(ocols) else 'DIFF'} "
-              f"hash={'ok' if h1 == h2 else 'DIFF'} {t1-t0:.1f}s", flush=True)
+              f"types={'ok' if types_ok else 'DIFF'} hash={'ok' if h1 == h2 else 'DIFF'} {t1-t0:.1f}s",
+              flush=True)
+        if not types_ok:
+            print("   types:", {k: (ta.get(k), tb.get(k)) for k in set(ta) | set(tb)
+                              if ta.get(k) != tb.get(k)})
         if not same:
             print("   spark cols:", sorted(cols))
             print("   duck  cols:", sorted(ocols))
