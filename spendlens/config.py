@@ -25,6 +25,9 @@ from .spec import (SELECT_ALL, SELECT_DEFAULT_THEN_ACTIVE, ConversionSpec, Exter
 
 # report kinds whose fields are picked as default-then-active; the others take all fields
 DEFAULT_THEN_ACTIVE_KINDS = ("campaign", "multi_fact")
+# report kinds that copy their result to the external project (the global external-project
+# settings do not make the other kinds copy theirs)
+REPUBLISH_KINDS = ("campaign", "multi_fact")
 
 
 def truthy(value: Any) -> bool:
@@ -67,7 +70,7 @@ def spec_from_vars(vars_: Mapping, service: str, model: str, kind: str,
     settings = ext.get("schema_settings") or {}
     project = ext.get("project_id") or ""
     external = ExternalTarget(
-        active=truthy(ext.get("active")),
+        active=truthy(ext.get("active")) and kind in REPUBLISH_KINDS,
         database=f"{project}.{dataset}" if project else dataset,
         location=settings.get("location") or "",
         description=settings.get("description") or "",

@@ -43,7 +43,8 @@ def test_spec_from_vars_reads_every_setting():
     assert s.regex_filters[0].result is False
     assert s.actions and not s.action_values and not s.pivots
     assert s.timezone == "Europe/Berlin"
-    assert s.external.active and s.external.database == "reports"
+    # only the campaign and multi-fact reports copy themselves to the external project
+    assert not s.external.active and s.external.database == "reports"
     assert s.is_active
     # the campaign-style reports pick default fields, then active ones
     # (here no dimension is marked default or active, so that spec has no dimension)
@@ -51,6 +52,7 @@ def test_spec_from_vars_reads_every_setting():
         spec_from_vars(VARS, "ads_service", "daily_platform", "campaign")
     c = spec_from_vars(VARS, "ads_service", "daily_platform", "campaign", selection="all")
     assert [f.name for f in c.selected_metrics] == ["cost", "purchases"]
+    assert c.external.active
 
 
 def test_missing_flags_mean_inactive_and_build_an_empty_table(spark):
