@@ -28,6 +28,11 @@ DEFAULT_THEN_ACTIVE_KINDS = ("campaign", "multi_fact")
 # report kinds that copy their result to the external project (the global external-project
 # settings do not make the other kinds copy theirs)
 REPUBLISH_KINDS = ("campaign", "multi_fact")
+# settings that only some report kinds read
+REGEX_KINDS = ("platform",)
+ACTION_KINDS = ("platform",)
+PIVOT_KINDS = ("ad_group", "keyword")
+CONVERSION_KINDS = ACTION_KINDS + PIVOT_KINDS
 
 
 def truthy(value: Any) -> bool:
@@ -63,7 +68,7 @@ def spec_from_vars(vars_: Mapping, service: str, model: str, kind: str,
     table_id = mdl.get("table_id") or model
     regex = svc.get("regexp_filters")
     filters = ()
-    if truthy(regex) and regex != "" and regex != []:
+    if kind in REGEX_KINDS and truthy(regex) and regex != "" and regex != []:
         filters = tuple(RegexFilter(f["dimension"], f["expression"],
                                     _bool_text(f.get("result", True))) for f in regex)
     ext = vars_.get("external_project") or {}
@@ -86,11 +91,12 @@ def spec_from_vars(vars_: Mapping, service: str, model: str, kind: str,
         table_active=truthy(mdl.get("active")),
         account_ids=tuple(svc.get("account_ids") or ()),
         conversions=tuple(ConversionSpec(c["event_name"], c["output_name"])
-                          for c in svc.get("conversions") or ()),
+                          for c in (svc.get("conversions") or ()
+                                    if kind in CONVERSION_KINDS else ())),
         regex_filters=filters,
-        actions=truthy(svc.get("actions")),
-        action_values=truthy(svc.get("action_values")),
-        pivots=truthy(svc.get("pivots")),
+        actions=truthy(svc.get("actions")) and kind in ACTION_KINDS,
+        action_values=truthy(svc.get("action_values")) and kind in ACTION_KINDS,
+        pivots=truthy(svc.get("pivots")) and kind in PIVOT_KINDS,
         timezone=vars_.get("timezone") or "UTC",
         run_ts=run_ts,
         external=external,

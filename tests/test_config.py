@@ -53,6 +53,8 @@ def test_spec_from_vars_reads_every_setting():
     c = spec_from_vars(VARS, "ads_service", "daily_platform", "campaign", selection="all")
     assert [f.name for f in c.selected_metrics] == ["cost", "purchases"]
     assert c.external.active
+    # regex filters, actions and conversions are platform-report settings only
+    assert c.regex_filters == () and not c.actions and c.conversions == ()
 
 
 def test_missing_flags_mean_inactive_and_build_an_empty_table(spark):
