@@ -65,6 +65,19 @@ def local_datetime(col: Column | str, tz: str, input_type: T.DataType | None = N
     return F.convert_timezone(None, F.lit(tz), c.cast("timestamp_ntz"))
 
 
+def utc_date(col: Column | str, input_type: T.DataType | None = None) -> Column:
+    """``DATE(x)`` of the source dialect: the UTC calendar date of an instant.
+
+    Spark's ``to_date`` of a ``timestamp`` uses the session time zone, so an instant is
+    first turned into UTC wall clock; ``timestamp_ntz``, ``date`` and strings are taken
+    as they are. The result does not depend on ``spark.sql.session.timeZone``.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    if isinstance(input_type, T.TimestampType):
+        return F.to_date(F.convert_timezone(None, F.lit("UTC"), c.cast("timestamp_ntz")))
+    return F.to_date(c)
+
+
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import local_datetime, platform_label
+from ..functions.scalars import local_datetime, platform_label, utc_date
 from ..operators.enrich import chain, left_join, stitch_facts
 from ..operators.facts import constant_sum, product_sum, rollup, sum_of
 from ..operators.filters import account_allow_list, allow_list_predicate, regex_filters
@@ -143,7 +143,8 @@ def campaign_api(spec: ReportSpec, load: Loader, fact_name: str = CAMPAIGN_FACT)
                 "conversions": F.sum("external_website_conversions"),
                 "revenue": constant_sum(0)}
     measures.update(sum_of("comments", "follows", "shares", "landing_page_clicks"))
-    report = rollup(fact, {"date": F.to_date("day"), "campaign_id": "campaign_id"}, measures)
+    day = utc_date("day", fact.schema["day"].dataType)
+    report = rollup(fact, {"date": day, "campaign_id": "campaign_id"}, measures)
 
     trim = _trim(spec)
     how = "inner" if trim else "left"
@@ -179,7 +180,7 @@ def campaign_api(spec: ReportSpec, load: Loader, fact_name: str = CAMPAIGN_FACT)
     synced_type = fact.schema["_fivetran_synced"].dataType
     return _with_sync(api, spec, fact,
                       local_datetime("_fivetran_synced", spec.timezone, synced_type),
-                      F.to_date("day"), "timestamp_ntz")
+                      day, "timestamp_ntz")
 
 
 def campaign_report(spec: ReportSpec, load: Loader) -> DataFrame:
@@ -295,8 +296,8 @@ FACT_KEYS = ("stat_time_day", "ad_id", "_gn_id")
 
 
 def _fact_rollup(df: DataFrame, measures: dict) -> DataFrame:
-    return rollup(df, {"date": F.to_date("stat_time_day"), "ad_id": "ad_id",
-                       "_gn_id": "_gn_id"}, measures)
+    day = utc_date("stat_time_day", df.schema["stat_time_day"].dataType)
+    return rollup(df, {"date": day, "ad_id": "ad_id", "_gn_id": "_gn_id"}, measures)
 
 
 def multi_fact_api(spec: ReportSpec, load: Loader, fact_name: str = MULTI_FACT) -> DataFrame:
@@ -345,7 +346,8 @@ def multi_fact_api(spec: ReportSpec, load: Loader, fact_name: str = MULTI_FACT)
     synced_type = basic.schema["_fivetran_synced"].dataType
     return _with_sync(api, spec, basic,
                       local_datetime("_fivetran_synced", spec.timezone, synced_type),
-                      F.to_date("stat_time_day"), "timestamp_ntz")
+                      utc_date("stat_time_day", basic.schema["stat_time_day"].dataType),
+                      "timestamp_ntz")
 
 
 def multi_fact_report(spec: ReportSpec, load: Loader) -> DataFrame:

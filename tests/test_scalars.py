@@ -51,3 +51,19 @@ def test_local_datetime_from_instant_and_from_utc_wall_clock(spark):
     r = spark.sql("SELECT TIMESTAMP_NTZ '2024-07-01 03:00:00' AS ntz").select(
         local_datetime("ntz", "America/New_York", T.TimestampNTZType()).alias("a")).first()
     assert str(r.a) == "2024-06-30 23:00:00"
+
+
+def test_utc_date_ignores_the_session_zone(spark):
+    from spendlens.functions import utc_date
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        df = spark.sql("SELECT CAST('2024-01-01 23:30:00' AS TIMESTAMP) AS ts, "
+                       "TIMESTAMP_NTZ '2024-01-01 23:30:00' AS ntz")  # instant made under UTC
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")   # 08:30 next day there
+        r = df.select(utc_date("ts", T.TimestampType()).alias("a"),
+                      utc_date("ntz", T.TimestampNTZType()).alias("b"),
+                      F.to_date("ts").alias("naive")).first()
+        assert str(r.a) == "2024-01-01" and str(r.b) == "2024-01-01"
+        assert str(r.naive) == "2024-01-02"   # what plain to_date would have given
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
