@@ -180,16 +180,17 @@ class ReportSpec:
     run_ts: datetime | None = None
     external: ExternalTarget = field(default_factory=ExternalTarget)
     stitch: str = STITCH_AS_WRITTEN
-    history_tiebreak: tuple[str, ...] = ()
+    history_tiebreak: tuple[str, ...] | None = None
     inner_join_trim: bool = True
 
     def __post_init__(self) -> None:
-        for attr in ("dimensions", "metrics", "account_ids", "conversions", "regex_filters",
-                     "history_tiebreak"):
+        for attr in ("dimensions", "metrics", "account_ids", "conversions", "regex_filters"):
             value = getattr(self, attr)
             if value is None:
                 value = ()
             object.__setattr__(self, attr, tuple(value))
+        if self.history_tiebreak is not None:  # None: break ties on every other column
+            object.__setattr__(self, "history_tiebreak", tuple(self.history_tiebreak))
         if self.stitch not in (STITCH_AS_WRITTEN, STITCH_GRAIN_SAFE):
             raise SpecError(f"unknown stitch mode {self.stitch!r}")
         if not self.is_active:

@@ -155,3 +155,13 @@ def test_stitch_as_written_fans_out_and_blanks_after_a_missing_link(spark):
     assert rows(gs, "date", "ad_id", "p", "x", "y") == [
         (D1, 1, 5, 1, 10), (D1, 2, None, None, 20), (D2, 1, None, 2, None)]
     assert aw.columns == gs.columns
+
+
+def test_latest_by_default_tiebreak_is_total(spark):
+    df = spark.createDataFrame(
+        [(1, "b", dt.datetime(2024, 1, 3), 9), (1, "a", dt.datetime(2024, 1, 3), 9),
+         (1, "c", dt.datetime(2024, 1, 1), 1)],
+        "id bigint, name string, t timestamp_ntz, v bigint")
+    # tied on t: every other column breaks the tie (name ascending first)
+    picks = {latest_by(df.repartition(3), ["id"], "t").first().name for _ in range(3)}
+    assert picks == {"a"}
