@@ -34,6 +34,9 @@ from ..spec import ReportSpec
 
 SYNC_COLUMNS = ("last_synced_at", "last_data_date")
 
+# --- fixed values: source column holding the load time stamp of each row ---
+LOAD_STAMP = "_fivetran_synced"
+
 
 def _trim(spec: ReportSpec) -> bool:
     return bool(spec.account_ids) and spec.inner_join_trim
@@ -136,7 +139,7 @@ CAMPAIGN_MEASURES = ("clicks", "impressions", "comments", "follows", "shares",
 
 def campaign_api(spec: ReportSpec, load: Loader, fact_name: str = CAMPAIGN_FACT) -> DataFrame:
     fact = load(fact_name, ["day", "campaign_id", "cost_in_usd",
-                            "external_website_conversions", "_fivetran_synced",
+                            "external_website_conversions", LOAD_STAMP,
                             *CAMPAIGN_MEASURES])
     measures = {"cost": F.sum("cost_in_usd"), "clicks": F.sum("clicks"),
                 "impressions": F.sum("impressions"),
@@ -177,9 +180,9 @@ def campaign_api(spec: ReportSpec, load: Loader, fact_name: str = CAMPAIGN_FACT)
         "revenue", "comments", "follows", "shares", "landing_page_clicks",
         F.lit(None).cast("timestamp").alias("run_schedule_start"),
         F.lit(None).cast("timestamp").alias("campaign_group_run_schedule_start"))
-    synced_type = fact.schema["_fivetran_synced"].dataType
+    synced_type = fact.schema[LOAD_STAMP].dataType
     return _with_sync(api, spec, fact,
-                      local_datetime("_fivetran_synced", spec.timezone, synced_type),
+                      local_datetime(LOAD_STAMP, spec.timezone, synced_type),
                       day, "timestamp_ntz")
 
 
@@ -301,7 +304,7 @@ def _fact_rollup(df: DataFrame, measures: dict) -> DataFrame:
 
 
 def multi_fact_api(spec: ReportSpec, load: Loader, fact_name: str = MULTI_FACT) -> DataFrame:
-    basic = load(fact_name, [*FACT_KEYS, *BASIC_MEASURES.values(), "_fivetran_synced"])
+    basic = load(fact_name, [*FACT_KEYS, *BASIC_MEASURES.values(), LOAD_STAMP])
     metrics = _fact_rollup(basic, {out: F.sum(src) for out, src in BASIC_MEASURES.items()})
 
     def fact(spec_pair):
@@ -343,9 +346,9 @@ def multi_fact_api(spec: ReportSpec, load: Loader, fact_name: str = MULTI_FACT)
                       *dim_cols, *fact_cols,
                       F.lit("").alias("dpa_target_audience_type"),
                       F.lit("").alias("promotion_type"))
-    synced_type = basic.schema["_fivetran_synced"].dataType
+    synced_type = basic.schema[LOAD_STAMP].dataType
     return _with_sync(api, spec, basic,
-                      local_datetime("_fivetran_synced", spec.timezone, synced_type),
+                      local_datetime(LOAD_STAMP, spec.timezone, synced_type),
                       utc_date("stat_time_day", basic.schema["stat_time_day"].dataType),
                       "timestamp_ntz")
 
