@@ -22,9 +22,8 @@ def run_time_literal(run_ts: datetime | date, kind: str = "datetime") -> Column:
 def sync_info(df: DataFrame, synced_at: Column, data_date: Column) -> DataFrame:
     """``select max(synced_at) as max_synced_at, max(data_date) as max_data_date from df``.
 
-    A global aggregate always yields exactly one row (NULLs over an empty table), so the
-    result has a proven size of one row and may be broadcast. Partial maxima are
-    computed per task; only one row per task reaches the final aggregate.
+    A global aggregate always yields exactly one row (NULLs over an empty table). Partial
+    maxima are computed per task; only one row per task reaches the final aggregate.
     """
     return df.agg(F.max(synced_at).alias("max_synced_at"),
                   F.max(data_date).alias("max_data_date"))

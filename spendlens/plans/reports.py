@@ -13,7 +13,8 @@ Plan shape shared by all reports, chosen for large inputs:
 * dimension chains are joined among themselves and then to the fact once;
 * with an account allow-list, joins the filtered column depends on become inner joins
   and the list is applied to the dimension before it meets the fact;
-* the freshness row is computed only if a field reads it, and joined as one broadcast row.
+* the freshness row is computed only if a field reads it, and read as one merged scalar
+  subquery (no join).
 """
 
 from __future__ import annotations
