@@ -221,3 +221,14 @@ def test_missing_source_column_is_reported_by_name(spark):
     t["platform_report"] = t["platform_report"].drop("impressions")
     with pytest.raises(ValueError, match="impressions"):
         platform_report(PLATFORM, _load(spark, t))
+
+
+def test_multi_fact_allow_list_cast_is_strict(spark):
+    t = _multi_tables(spark)
+    spec = ReportSpec(**{**MULTI.__dict__, "account_ids": (7,)})
+    # the allow-list casts advertiser ids strictly: a malformed id raises instead of
+    # silently dropping rows (Catalyst evaluates the cast on the ad history itself)
+    t["ad_history"] = t["ad_history"].withColumn(
+        "advertiser_id", F.when(F.col("ad_id") == 2, F.lit("x8")).otherwise(F.col("advertiser_id")))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        multi_fact_report(spec, _load(spark, t)).collect()
