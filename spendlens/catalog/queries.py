@@ -14,15 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import local_datetime, platform_label
-from ..operators.enrich import chain, left_join, stitch_facts
+from ..operators.enrich import chain, left_join
 from ..operators.facts import constant_sum, product_sum, rollup
 from ..operators.filters import account_allow_list, allow_list_predicate, regex_filters
 from ..operators.history import current_only, latest_by
 from ..operators.pivot import pivot_metrics
 from ..operators.shape import build_report
 from ..operators.sync import attach_sync, run_time_literal, sync_info
-from ..plans.reports import (ATTRIBUTION, ENGAGEMENT, IN_APP_EVENT, PAGE_EVENT, VIDEO_PLAY,
-                             BUILDERS, multi_fact_api)
+from ..plans.reports import BUILDERS, multi_fact_api
 from ..sinks.tables import ensure_schema, replace_table, republish
 from ..sources.tables import loader
 from ..spec import (SELECT_DEFAULT_THEN_ACTIVE, ConversionSpec, ExternalTarget, FieldSpec,
