@@ -87,4 +87,7 @@ def cluster_settings(largest_shuffle_bytes: int, partition_bytes: int = 256 << 2
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        # a filtered dimension that is not broadcast still prunes the fact before its
+        # shuffle through a runtime bloom filter (injected for fact scans over 10 GB)
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     }

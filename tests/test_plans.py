@@ -110,3 +110,27 @@ def test_scans_read_only_used_columns(spark, tmp_path):
     scans = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     fact_scans = [s for s in scans if "spend" in s]
     assert fact_scans and all("unused_wide" not in s and "clicks" not in s for s in fact_scans)
+
+
+def test_allow_list_prunes_the_fact_with_a_runtime_bloom_filter(spark, tmp_path):
+    """With a big fact (threshold lowered here) and no broadcast, the filtered account
+    dimension feeds a bloom filter that prunes the fact side before its shuffle."""
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1b"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        for name, df in star_tables(spark).items():
+            df.write.parquet(str(tmp_path / name))
+        spec = ReportSpec(**{**STAR.__dict__, "account_ids": (100,)})
+        df = ad_group_report(spec, loader(spark, str(tmp_path)))
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "might_contain" in plan and "bloom_filter_agg" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
