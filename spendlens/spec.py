@@ -240,7 +240,7 @@ class ReportSpec:
         dims, mets = self.selected_dimensions, self.selected_metrics
         if not dims:
             raise SpecError("a report needs at least one dimension")
-        names = [f.name for f in dims + mets]
+        names = [f.name.lower() for f in dims + mets]  # catalogs compare names case-blind
         dup = sorted({n for n in names if names.count(n) > 1})
         if dup:
             raise SpecError(f"dimension and metric share names: {dup}")

@@ -54,6 +54,8 @@ def test_validation_rules():
         _spec(conversions=(ConversionSpec("a", "x"), ConversionSpec("b", "x")))
     with pytest.raises(SpecError):
         _spec(metrics=(FieldSpec("d", "INT64", "sum(x)"),))  # clashes with dimension
+    with pytest.raises(SpecError):
+        _spec(metrics=(FieldSpec("D", "INT64", "sum(x)"),))  # names are case-insensitive
     with pytest.raises(SpecError):
         _spec(account_ids=(1.5,))
     with pytest.raises(SpecError):
