@@ -113,3 +113,26 @@ def test_cluster_settings_scale_with_the_shuffle():
     assert int(small["spark.sql.shuffle.partitions"]) == 200
     assert int(big["spark.sql.shuffle.partitions"]) > 100 * 200 // 2
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+EXAMPLE = [("social_ads", "platform_report", "platform"),
+           ("business_ads", "campaign_report", "campaign"),
+           ("search_ads", "ad_group_report", "ad_group"),
+           ("search_ads", "keyword_report", "keyword"),
+           ("video_ads", "ad_report", "multi_fact")]
+
+
+@pytest.mark.parametrize("service,model,kind", EXAMPLE)
+def test_example_vars_build_every_report_kind(spark, service, model, kind):
+    import json
+    import os
+
+    from spendlens.catalog.standins import spark_sources
+    path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+                        "examples", "vars.json")
+    spec = spec_from_vars(json.load(open(path)), service, model, kind,
+                          run_ts=__import__("datetime").datetime(2024, 2, 1))
+    assert spec.external.active == (kind in ("campaign", "multi_fact"))
+    df = build(spark, kind, spec, tables=spark_sources(spark, "/root/testdata/sf0.001", kind))
+    assert df.columns == [f.name for f in spec.fields]
+    assert df.count() > 0
