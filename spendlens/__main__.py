@@ -1,6 +1,6 @@
 """Command line: build, explain or run a report from a nested vars file.
 
-    spark-submit -m spendlens run     --vars vars.yaml --service S --model M --kind platform
+    spark-submit --py-files spendlens.zip report_cli.py run --vars vars.yaml --service S --model M --kind platform
     python -m spendlens explain --vars vars.json --service S --model M --kind campaign
 
 The vars file is JSON, or YAML when PyYAML is installed. ``--run-ts`` pins the run time
