@@ -242,6 +242,12 @@ LEFT JOIN attribution ON metrics.ad_id = attribution.ad_id AND metrics._gn_id =
 LEFT JOIN engagement ON attribution.ad_id = engagement.ad_id AND attribution._gn_id = engagement._gn_id
 LEFT JOIN event ON engagement.ad_id = event.ad_id AND engagement._gn_id = event._gn_id
 LEFT JOIN video ON event.ad_id = video.ad_id AND event._gn_id = video._gn_id"""
+    elif mode == "chained":
+        links = [("metrics", "page"), ("metrics", "attribution"), ("attribution", "engagement"),
+                 ("engagement", "event"), ("event", "video")]
+        joins = "".join(
+            f"\nLEFT JOIN {t} ON {p}.date = {t}.date AND {p}.ad_id = {t}.ad_id "
+            f"AND {p}._gn_id = {t}._gn_id" for p, t in links)
     else:
         joins = "".join(
             f"\nLEFT JOIN {t} ON metrics.date = {t}.date AND metrics.ad_id = {t}.ad_id "
@@ -502,6 +508,7 @@ ORACLE_SQL: dict[str, str] = {
     "field_selection": FIELD_SELECTION,
     "multi_fact_stitch": _stitch_sql("as_written"),
     "multi_fact_grain_safe": _stitch_sql("grain_safe"),
+    "multi_fact_chained": _stitch_sql("chained"),
     "history_fan_out": HISTORY_FAN_OUT,
     "publish_round_trip": STAR_JOIN,
     "report_platform": REPORT_PLATFORM,

@@ -334,6 +334,10 @@ def multi_fact_grain_safe(spark, sf_dir):
     return _stitch(spark, sf_dir, "grain_safe")
 
 
+def multi_fact_chained(spark, sf_dir):
+    return _stitch(spark, sf_dir, "chained")
+
+
 def history_fan_out(spark, sf_dir):
     ev = _events_by_user_day(spark, sf_dir)
     spine = rollup(ev, ["date", "user_id"], {"n_events": F.count(F.lit(1))})
@@ -413,6 +417,7 @@ QUERIES: dict[str, Query] = {
     "field_selection": field_selection,
     "multi_fact_stitch": multi_fact_stitch,
     "multi_fact_grain_safe": multi_fact_grain_safe,
+    "multi_fact_chained": multi_fact_chained,
     "history_fan_out": history_fan_out,
     "publish_round_trip": publish_round_trip,
     "report_platform": _report("platform"),

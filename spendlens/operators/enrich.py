@@ -90,22 +90,47 @@ def chain(base: DataFrame, links: Sequence[tuple[DataFrame, Sequence[tuple[str,
     return out
 
 
+def _nest(chain_facts, keys):
+    """``A ⟕ (E ⟕ (Ev ⟕ V))`` on ``keys``: each fact joined to the next one's own keys."""
+    df, measures = chain_facts[-1]
+    nested, cols = df.select(*keys, *measures), list(measures)
+    for df, measures in reversed(chain_facts[:-1]):
+        nested = left_join(df.select(*keys, *measures), nested, [(k, k) for k in keys],
+                           {m: m for m in cols})
+        cols = list(measures) + cols
+    return nested, cols
+
+
 def stitch_facts(spine: DataFrame, page: tuple[DataFrame, Sequence[str]] | None,
                  chain_facts: Sequence[tuple[DataFrame, Sequence[str]]],
                  date: str = "date", ad: str = "ad_id", gn: str = "_gn_id",
-                 mode: str = "as_written") -> DataFrame:
+                 mode: str = "chained") -> DataFrame:
     """Stitch several fact roll-ups that share the grain ``(date, ad, gn)``.
 
-    ``as_written`` reproduces the source report exactly: ``page`` joins on (ad, date)
-    only; the first chain fact joins the spine on (ad, gn) without the date, and every
-    later chain fact joins the *previous chain fact* on (ad, gn). So a missing link
-    blanks everything after it, and a ``gn`` id seen on several days multiplies rows.
+    ``chained`` (default) keeps the source's chain: the first chain fact joins the spine,
+    every later one joins the *previous chain fact*, so a missing link blanks everything
+    after it. Every join is on the whole grain, so no row is ever multiplied, and all
+    roll-ups being hash-partitioned on that grain, the joins add no shuffle. It equals
+    ``as_written`` whenever a ``gn`` id stands for one ad-day.
 
-    ``grain_safe`` joins every fact straight from the spine on all three keys. All
-    roll-ups are hash-partitioned on the same keys, so these joins need no new shuffle,
-    and no row is ever multiplied.
+    ``as_written`` is the source's join conditions to the letter: ``page`` joins on
+    (ad, date) only and the chain on (ad, gn) without the date, so a ``gn`` id seen on
+    *k* days pairs every row of its group with every other (up to k⁴ rows per spine
+    row). Opt-in, for exact parity on such data.
+
+    ``grain_safe`` joins every fact straight from the spine on all three keys (no chain:
+    a missing attribution row does not blank the others).
     """
     out = spine
+    grain = (date, ad, gn)
+    if mode == "chained":
+        if page:
+            df, measures = page
+            out = left_join(out, df, [(k, k) for k in grain], {m: m for m in measures})
+        if not chain_facts:
+            return out
+        nested, cols = _nest(chain_facts, grain)
+        return left_join(out, nested, [(k, k) for k in grain], {m: m for m in cols})
     if mode == "grain_safe":
         facts = ([page] if page else []) + list(chain_facts)
         for df, measures in facts:
@@ -123,10 +148,5 @@ def stitch_facts(spine: DataFrame, page: tuple[DataFrame, Sequence[str]] | None,
     # S ⟕ (A ⟕ (E ⟕ V)) (left joins associate over null-rejecting conditions), with the
     # same multiplicities. The nested chain joins the narrow facts on their own
     # (ad, gn) columns, so they stay co-partitioned, and the wide spine is shuffled once.
-    df, measures = chain_facts[-1]
-    nested, nested_cols = df.select(ad, gn, *measures), list(measures)
-    for df, measures in reversed(chain_facts[:-1]):
-        nested = left_join(df.select(ad, gn, *measures), nested, [(ad, ad), (gn, gn)],
-                           {m: m for m in nested_cols})
-        nested_cols = list(measures) + nested_cols
-    return left_join(out, nested, [(ad, ad), (gn, gn)], {m: m for m in nested_cols})
+    nested, cols = _nest(chain_facts, (ad, gn))
+    return left_join(out, nested, [(ad, ad), (gn, gn)], {m: m for m in cols})

@@ -127,8 +127,10 @@ class ExternalTarget:
 
 SELECT_ALL = "all"
 SELECT_DEFAULT_THEN_ACTIVE = "default_then_active"
+STITCH_CHAINED = "chained"
 STITCH_AS_WRITTEN = "as_written"
 STITCH_GRAIN_SAFE = "grain_safe"
+STITCH_MODES = (STITCH_CHAINED, STITCH_AS_WRITTEN, STITCH_GRAIN_SAFE)
 
 _NAME_RE = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
@@ -179,7 +181,7 @@ class ReportSpec:
     timezone: str = "UTC"
     run_ts: datetime | None = None
     external: ExternalTarget = field(default_factory=ExternalTarget)
-    stitch: str = STITCH_AS_WRITTEN
+    stitch: str = STITCH_CHAINED
     history_tiebreak: tuple[str, ...] | None = None
     inner_join_trim: bool = True
 
@@ -191,7 +193,7 @@ class ReportSpec:
             object.__setattr__(self, attr, tuple(value))
         if self.history_tiebreak is not None:  # None: break ties on every other column
             object.__setattr__(self, "history_tiebreak", tuple(self.history_tiebreak))
-        if self.stitch not in (STITCH_AS_WRITTEN, STITCH_GRAIN_SAFE):
+        if self.stitch not in STITCH_MODES:
             raise SpecError(f"unknown stitch mode {self.stitch!r}")
         if not self.is_active:
             return

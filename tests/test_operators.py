@@ -155,6 +155,12 @@ def test_stitch_as_written_fans_out_and_blanks_after_a_missing_link(spark):
     assert rows(gs, "date", "ad_id", "p", "x", "y") == [
         (D1, 1, 5, 1, 10), (D1, 2, None, None, 20), (D2, 1, None, 2, None)]
     assert aw.columns == gs.columns
+    ch = stitch_facts(spine, (page, ["p"]), [(attr, ["x"]), (eng, ["y"])], mode="chained")
+    # chained: the source's chain (no attribution -> engagement blank) on the whole grain,
+    # so nothing is multiplied
+    assert rows(ch, "date", "ad_id", "p", "x", "y") == [
+        (D1, 1, 5, 1, 10), (D1, 2, None, None, None), (D2, 1, None, 2, None)]
+    assert ch.count() == spine.count()
 
 
 def test_latest_by_default_tiebreak_is_total(spark):

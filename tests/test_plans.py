@@ -63,9 +63,10 @@ def test_grain_safe_stitch_reuses_one_partitioning(no_broadcast):
                                        "id % 11 AS ad_id", "CAST(id % 5 AS STRING) AS g", "id AS v")
     facts = [rollup(base, {"date": "d", "ad_id": "ad_id", "_gn_id": "g"}, {f"m{i}": F.sum("v")})
              for i in range(4)]
-    out = stitch_facts(facts[0], None, [(f, [f"m{i}"]) for i, f in enumerate(facts[1:], 1)],
-                       mode="grain_safe")
-    assert _shuffles(_plan(out)) == 4  # one per roll-up, none for the three joins
+    for mode in ("grain_safe", "chained"):
+        out = stitch_facts(facts[0], None,
+                           [(f, [f"m{i}"]) for i, f in enumerate(facts[1:], 1)], mode=mode)
+        assert _shuffles(_plan(out)) == 4  # one per roll-up, none for the three joins
 
 
 def test_pivot_join_back_adds_no_shuffle(no_broadcast):
