@@ -72,7 +72,8 @@ def cluster_settings(largest_shuffle_bytes: int, partition_bytes: int = 256 << 2
     the raw input. Shuffles start with enough partitions to keep each near 64 MB and AQE
     coalesces them to ``partition_bytes``; a partition several times the advisory size
     is split as skewed. Scans read ``partition_bytes`` splits. Dimensions are broadcast
-    only below ``broadcast_bytes`` by their statistics or measured stage size.
+    only below ``broadcast_bytes`` of measured shuffle size (AQE), or a quarter of it by
+    file statistics before the run.
     """
     initial = min(100_000, max(200, math.ceil(largest_shuffle_bytes / (64 << 20))))
     return {
@@ -85,7 +86,9 @@ def cluster_settings(largest_shuffle_bytes: int, partition_bytes: int = 256 << 2
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
-        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        # the static decision sees compressed file sizes (in memory a table can be several
+        # times larger); the adaptive one sees measured shuffle sizes, so it may go higher
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes // 4),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
         # a filtered dimension that is not broadcast still prunes the fact before its
         # shuffle through a runtime bloom filter (injected for fact scans over 10 GB)
