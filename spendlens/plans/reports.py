@@ -321,13 +321,22 @@ def multi_fact_api(spec: ReportSpec, load: Loader, fact_name: str = MULTI_FACT)
     stitched = stitch_facts(metrics, page, chain_facts, mode=spec.stitch)
 
     trim = _trim(spec)
+    order = [spec.history_order] if spec.history_order else []
     ad = load("ad_history", ["ad_id", "ad_name", "adgroup_id", "adgroup_name", "advertiser_id",
-                             "campaign_id"])
+                             "campaign_id", *order])
+    campaign = load("campaign_history", ["campaign_id", "campaign_name", "objective_type",
+                                         "advertiser_id", *order])
+    account = load("ad_accounts_history", ["advertiser_id", "name", "currency", *order])
+    if spec.history_order:
+        # opt-in: the newest version per id instead of every version (the source keeps all,
+        # which repeats each report row once per version)
+        ad = latest_by(ad, ["ad_id"], spec.history_order, spec.history_tiebreak)
+        campaign = latest_by(campaign, ["campaign_id"], spec.history_order,
+                             spec.history_tiebreak)
+        account = latest_by(account, ["advertiser_id"], spec.history_order,
+                            spec.history_tiebreak)
     if trim:
         ad = ad.where(allow_list_predicate(ad, "advertiser_id", spec.account_ids, "INT64"))
-    campaign = load("campaign_history", ["campaign_id", "campaign_name", "objective_type",
-                                         "advertiser_id"])
-    account = load("ad_accounts_history", ["advertiser_id", "name", "currency"])
     base = ad.select(F.col("ad_id").alias("__ad_key"), "ad_name", "adgroup_id",
                      "adgroup_name", "advertiser_id", F.col("campaign_id").alias("__camp_link"))
     dims = chain(base, [

@@ -183,6 +183,7 @@ class ReportSpec:
     external: ExternalTarget = field(default_factory=ExternalTarget)
     stitch: str = STITCH_CHAINED
     history_tiebreak: tuple[str, ...] | None = None
+    history_order: str | None = None
     inner_join_trim: bool = True
 
     def __post_init__(self) -> None:

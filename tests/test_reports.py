@@ -232,3 +232,20 @@ def test_multi_fact_allow_list_cast_is_strict(spark):
         "advertiser_id", F.when(F.col("ad_id") == 2, F.lit("x8")).otherwise(F.col("advertiser_id")))
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         multi_fact_report(spec, _load(spark, t)).collect()
+
+
+def test_multi_fact_history_versions_repeat_rows_unless_latest_is_asked(spark):
+    t = _multi_tables(spark)
+    hist = t["ad_history"].withColumn("updated_at", F.lit(1))
+    newer = hist.where("ad_id = 1").withColumn("ad_name", F.lit("Ad 1 v2")) \
+                .withColumn("updated_at", F.lit(2))
+    t["ad_history"] = hist.unionByName(newer)      # ad 1 has two versions
+    for name in ("campaign_history", "ad_accounts_history"):
+        t[name] = t[name].withColumn("updated_at", F.lit(1))
+    spec = ReportSpec(**{**MULTI.__dict__, "dimensions": MULTI.dimensions[:2]})
+    # as in the source: every version joins, so ad 1's row is counted twice
+    assert rows(multi_fact_report(spec, _load(spark, t)), "cost") == [(1.0,), (4.0,)]
+    latest = ReportSpec(**{**spec.__dict__, "history_order": "updated_at"})
+    assert rows(multi_fact_report(latest, _load(spark, t)), "cost") == [(1.0,), (2.0,)]
+    api = multi_fact_api(latest, _load(spark, t))
+    assert {r.ad_name for r in api.collect()} == {"Ad 1 v2", "Ad 2"}
