@@ -249,3 +249,23 @@ def test_multi_fact_history_versions_repeat_rows_unless_latest_is_asked(spark):
     assert rows(multi_fact_report(latest, _load(spark, t)), "cost") == [(1.0,), (2.0,)]
     api = multi_fact_api(latest, _load(spark, t))
     assert {r.ad_name for r in api.collect()} == {"Ad 1 v2", "Ad 2"}
+
+
+@pytest.mark.parametrize("kind", ["campaign", "ad_group", "keyword", "multi_fact"])
+def test_inner_join_trim_equals_the_untrimmed_plan(spark, kind):
+    from spendlens.plans.reports import BUILDERS
+    tables = {"campaign": lambda: campaign_tables(spark),
+              "ad_group": lambda: star_tables(spark),
+              "keyword": lambda: star_tables(spark, keyword=True),
+              "multi_fact": lambda: _multi_tables(spark)}[kind]()
+    base = {"campaign": CAMPAIGN, "ad_group": STAR, "multi_fact": MULTI,
+            "keyword": ReportSpec(**{**STAR.__dict__, "dimensions": (
+                FieldSpec("keyword_text", "STRING", "keyword_text"),
+                FieldSpec("account_name", "STRING", "account_name"))})}[kind]
+    ids = {"campaign": (100, 101), "ad_group": (100,), "keyword": (100, 200),
+           "multi_fact": (7, 8)}[kind]
+    trimmed = ReportSpec(**{**base.__dict__, "account_ids": ids})
+    plain = ReportSpec(**{**trimmed.__dict__, "inner_join_trim": False})
+    a = rows(BUILDERS[kind](trimmed, _load(spark, tables)))
+    b = rows(BUILDERS[kind](plain, _load(spark, tables)))
+    assert a == b and len(a) > 0
