@@ -70,7 +70,9 @@ def main():
     con = duckdb.connect()
     for t in TABLES:
         p = f"{sf_dir}/{t}.parquet"
-        if os.path.exists(p):
+        if os.path.isdir(p):  # a table written by Spark: a directory of part files
+            p = p + "/*.parquet"
+        if os.path.exists(p) or "*" in p:
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
     extra = {}
     if os.environ.get("SPENDLENS_SESSION_TZ"):  # check independence of the session zone
