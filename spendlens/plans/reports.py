@@ -61,6 +61,7 @@ def finish(api: DataFrame, spec: ReportSpec, account_col: str,
 # ----------------------------------------------------------------------------------
 # R1: platform report (daily ad x publisher platform; snowflake of current versions)
 # ----------------------------------------------------------------------------------
+# --- fixed values: source fact table of the platform report ---
 PLATFORM_FACT = "platform_report"
 
 
@@ -133,6 +134,7 @@ def platform_report(spec: ReportSpec, load: Loader) -> DataFrame:
 # ----------------------------------------------------------------------------------
 # R2: campaign report (daily campaign; newest version of each dimension)
 # ----------------------------------------------------------------------------------
+# --- fixed values: source fact table and summed columns of the campaign report ---
 CAMPAIGN_FACT = "ad_analytics_by_campaign"
 CAMPAIGN_MEASURES = ("clicks", "impressions", "comments", "follows", "shares",
                      "landing_page_clicks")
@@ -194,6 +196,7 @@ def campaign_report(spec: ReportSpec, load: Loader) -> DataFrame:
 # ----------------------------------------------------------------------------------
 # R3 / R4: ad-group and keyword reports (star of active dimensions + 3-metric pivot)
 # ----------------------------------------------------------------------------------
+# --- fixed values: source tables and goal measures of the ad-group and keyword reports ---
 AD_GROUP_FACT = "ad_performance_report"
 KEYWORD_FACT = "keyword_performance_report"
 GOALS = "goals_and_funnels_report"
