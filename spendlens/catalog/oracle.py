@@ -44,7 +44,7 @@ M = "CAST(l_extendedprice AS DECIMAL(18,2))"
 
 DAILY_ROLLUP = f"""
 SELECT CAST(l_shipdate AS DATE) AS date, l_orderkey, l_linestatus,
-       CAST(sum({M}) AS DECIMAL(38,2)) AS cost,
+       CAST(sum({M}) AS DOUBLE) AS cost,
        CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS clicks,
        CAST(sum(l_linenumber) AS BIGINT) AS impressions,
        CAST(sum(0) AS BIGINT) AS frequency
@@ -60,16 +60,16 @@ SELECT CAST(ts AS DATE) AS date, user_id,
        {", ".join(f"CAST(sum({_ind(e)}) AS BIGINT) AS {e}s"
                   for e in ("signup", "purchase", "error", "view", "click"))},
        CAST(sum(CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(18,2)) END)
-            AS DECIMAL(38,2)) AS purchase_value,
-       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_value,
+            AS DOUBLE) AS purchase_value,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value,
        CAST(count(*) AS BIGINT) AS events
 FROM events GROUP BY 1, 2"""
 
 PRODUCT_SUM = f"""
 SELECT CAST(l_shipdate AS DATE) AS date,
-       CAST(sum({M} * CAST(l_discount AS DECIMAL(18,2))) AS DECIMAL(38,4)) AS revenue,
+       CAST(sum({M} * CAST(l_discount AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
        CAST(sum({M} * CASE WHEN l_returnflag <> 'N' THEN CAST(l_discount AS DECIMAL(18,2)) END)
-            AS DECIMAL(38,4)) AS revenue_skip_null
+            AS DOUBLE) AS revenue_skip_null
 FROM lineitem GROUP BY 1"""
 
 CONSTANT_MEASURES = """
@@ -101,7 +101,7 @@ c AS (SELECT CAST(c_custkey AS VARCHAR) AS id, c_name, CAST(c_nationkey AS VARCH
 n AS (SELECT CAST(n_nationkey AS VARCHAR) AS id, n_name, CAST(n_regionkey AS VARCHAR) AS region_id
       FROM nation),
 r AS (SELECT CAST(r_regionkey AS VARCHAR) AS id, r_name FROM region)
-SELECT fact.l_orderkey, CAST(fact.cost AS DECIMAL(38,2)) AS cost, CAST(fact.qty AS BIGINT) AS qty,
+SELECT fact.l_orderkey, CAST(fact.cost AS DOUBLE) AS cost, CAST(fact.qty AS BIGINT) AS qty,
        o.o_orderpriority, c.c_name, n.n_name, r.id AS region_id, r.r_name
 FROM fact
 LEFT JOIN o ON CAST(fact.l_orderkey AS VARCHAR) = o.id
@@ -118,7 +118,7 @@ newest AS (SELECT * FROM (
            row_number() OVER (PARTITION BY o_orderpriority, o_orderdate ORDER BY o_orderkey) AS r2
     FROM orders) WHERE r1 = 1 AND r2 = 1),
 c AS (SELECT * FROM customer WHERE c_acctbal > 5000)
-SELECT fact.l_orderkey, CAST(fact.cost AS DECIMAL(38,2)) AS cost, c.c_name,
+SELECT fact.l_orderkey, CAST(fact.cost AS DOUBLE) AS cost, c.c_name,
        newest.o_orderkey AS newest_in_priority
 FROM fact
 LEFT JOIN orders o ON fact.l_orderkey = o.o_orderkey
@@ -131,7 +131,7 @@ WITH fact AS (SELECT l_orderkey, l_partkey, l_suppkey, sum({M}) AS cost
 o AS (SELECT * FROM orders WHERE o_orderstatus <> 'P'),
 p AS (SELECT * FROM part WHERE p_size > 10),
 s AS (SELECT * FROM supplier WHERE s_acctbal > 0)
-SELECT fact.l_orderkey, fact.l_partkey, fact.l_suppkey, CAST(fact.cost AS DECIMAL(38,2)) AS cost,
+SELECT fact.l_orderkey, fact.l_partkey, fact.l_suppkey, CAST(fact.cost AS DOUBLE) AS cost,
        o.o_orderpriority, p.p_name, s.s_name
 FROM fact
 LEFT JOIN o ON fact.l_orderkey = o.o_orderkey
@@ -141,9 +141,9 @@ LEFT JOIN s ON fact.l_suppkey = s.s_suppkey"""
 PIVOT_SINGLE = """
 SELECT user_id, CAST(ts AS DATE) AS date,
        CAST(sum(CASE WHEN event_type = 'view' THEN CAST(value AS DECIMAL(18,2)) END)
-            AS DECIMAL(38,2)) AS actions_views,
+            AS DOUBLE) AS actions_views,
        CAST(sum(CASE WHEN event_type = 'click' THEN CAST(value AS DECIMAL(18,2)) END)
-            AS DECIMAL(38,2)) AS actions_clicks
+            AS DOUBLE) AS actions_clicks
 FROM events GROUP BY 1, 2"""
 
 _PM_SRC = """SELECT user_id, CAST(ts AS DATE) AS date, event_type,
@@ -157,8 +157,8 @@ def _pm_cells() -> str:
     cells = []
     for m, t in (("amount", "DECIMAL(38,2)"), ("props", "DOUBLE"), ("qty", "DOUBLE")):
         for v in ("purchase", "signup"):
-            cells.append(f"CAST(sum(CASE WHEN event_type = '{v}' THEN TRY_CAST({m}_txt AS DOUBLE) "
-                         f"END) AS {t}) AS {m}_{v}")
+            cells.append(f"CAST(CAST(sum(CASE WHEN event_type = '{v}' THEN TRY_CAST({m}_txt "
+                         f"AS DOUBLE) END) AS {t}) AS DOUBLE) AS {m}_{v}")
     return ",\n       ".join(cells)
 
 
@@ -176,7 +176,7 @@ WITH spine AS (SELECT user_id, CAST(ts AS DATE) AS date, count(*) AS n_events,
                       sum(CAST(value AS DECIMAL(18,2))) AS value FROM events GROUP BY 1, 2),
 piv AS ({PIVOT_MULTI})
 SELECT spine.user_id, spine.date, CAST(spine.n_events AS BIGINT) AS n_events,
-       CAST(spine.value AS DECIMAL(38,2)) AS value,
+       CAST(spine.value AS DOUBLE) AS value,
        {", ".join("piv." + n for n in _pm_names())}
 FROM spine LEFT JOIN piv ON spine.user_id = piv.user_id AND spine.date = piv.date"""
 
@@ -208,7 +208,7 @@ FIELD_SELECTION = """
 SELECT CAST(o_orderstatus AS VARCHAR) AS status, CAST(o_orderpriority AS VARCHAR) AS priority,
        CAST(round(o_totalprice / 100000) AS BIGINT) AS price_band,
        CAST(count(*) AS BIGINT) AS orders,
-       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,9)) AS total,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total,
        CAST(round(max(o_totalprice)) AS BIGINT) AS max_price
 FROM orders GROUP BY 1, 2, 3"""
 
@@ -278,8 +278,8 @@ LEFT JOIN sync_info ON true)"""
 
 def _stitch_sql(mode: str) -> str:
     return _multi_fact_api(mode) + """
-SELECT date, ad_id, _gn_id, CAST(cost AS DECIMAL(38,2)) AS cost,
-       CAST(revenue AS DECIMAL(38,2)) AS revenue, CAST(cta_purchase AS BIGINT) AS cta_purchase,
+SELECT date, ad_id, _gn_id, CAST(cost AS DOUBLE) AS cost,
+       CAST(revenue AS DOUBLE) AS revenue, CAST(cta_purchase AS BIGINT) AS cta_purchase,
        CAST(likes AS BIGINT) AS likes, CAST(purchase AS BIGINT) AS purchase,
        CAST(video_views_p100 AS BIGINT) AS video_views_p100
 FROM api"""
@@ -288,11 +288,11 @@ FROM api"""
 REPORT_MULTI_FACT = _multi_fact_api("as_written") + """
 SELECT CAST(date AS DATE) AS date, CAST(campaign_name AS VARCHAR) AS campaign_name,
        CAST(advertiser_name AS VARCHAR) AS advertiser_name,
-       CAST(sum(cost) AS DECIMAL(38,9)) AS cost, CAST(sum(impressions) AS BIGINT) AS impressions,
+       CAST(sum(cost) AS DOUBLE) AS cost, CAST(sum(impressions) AS BIGINT) AS impressions,
        CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(conversions) AS BIGINT) AS conversions,
-       CAST(sum(revenue) AS DECIMAL(38,9)) AS revenue,
+       CAST(sum(revenue) AS DOUBLE) AS revenue,
        CAST(sum(cta_purchase) AS BIGINT) AS cta_purchase, CAST(sum(likes) AS BIGINT) AS likes,
-       CAST(sum(purchase) AS BIGINT) AS purchases, CAST(sum(checkout) AS DECIMAL(38,9)) AS checkout,
+       CAST(sum(purchase) AS BIGINT) AS purchases, CAST(sum(checkout) AS DOUBLE) AS checkout,
        CAST(sum(video_views_p100) AS BIGINT) AS video_views,
        CAST(max(last_synced_at) AS TIMESTAMP) AS last_synced_at,
        CAST(max(last_data_date) AS DATE) AS last_data_date
@@ -360,12 +360,12 @@ api AS (
   LEFT JOIN sync_info ON true)
 SELECT CAST(date AS DATE) AS date, CAST(platform AS VARCHAR) AS platform,
        CAST(campaign_name AS VARCHAR) AS campaign_name, CAST(account_name AS VARCHAR) AS account_name,
-       CAST(sum(cost) AS DECIMAL(38,9)) AS cost, CAST(sum(clicks) AS BIGINT) AS clicks,
+       CAST(sum(cost) AS DOUBLE) AS cost, CAST(sum(clicks) AS BIGINT) AS clicks,
        CAST(sum(impressions) AS BIGINT) AS impressions, CAST(sum(reach) AS BIGINT) AS reach,
        CAST(sum(conversions) AS BIGINT) AS conversions,
-       CAST(sum(actions_purchases) AS DECIMAL(38,9)) AS purchases,
-       CAST(sum(actions_carts) AS DECIMAL(38,9)) AS carts,
-       CAST(sum(action_values_purchases) AS DECIMAL(38,9)) AS purchase_value,
+       CAST(sum(actions_purchases) AS DOUBLE) AS purchases,
+       CAST(sum(actions_carts) AS DOUBLE) AS carts,
+       CAST(sum(action_values_purchases) AS DOUBLE) AS purchase_value,
        CAST(max(last_synced_at) AS TIMESTAMP) AS last_synced_at,
        CAST(max(last_data_date) AS DATE) AS last_data_date
 FROM api
@@ -411,7 +411,7 @@ api AS (
 SELECT CAST(date AS DATE) AS date, CAST(campaign_name AS VARCHAR) AS campaign_name,
        CAST(campaign_group_name AS VARCHAR) AS campaign_group_name,
        CAST(account_name AS VARCHAR) AS account_name,
-       CAST(sum(cost) AS DECIMAL(38,9)) AS cost, CAST(sum(clicks) AS BIGINT) AS clicks,
+       CAST(sum(cost) AS DOUBLE) AS cost, CAST(sum(clicks) AS BIGINT) AS clicks,
        CAST(sum(revenue) AS BIGINT) AS revenue, CAST(sum(conversions) AS BIGINT) AS conversions,
        CAST(sum(comments) AS BIGINT) AS comments,
        CAST(max(last_synced_at) AS TIMESTAMP) AS last_synced_at
@@ -466,18 +466,18 @@ api AS (
         return api + """
 SELECT CAST(keyword_match_type AS VARCHAR) AS keyword_match_type,
        CAST(account_name AS VARCHAR) AS account_name,
-       CAST(sum(cost) AS DECIMAL(38,9)) AS cost, CAST(sum(clicks) AS BIGINT) AS clicks,
+       CAST(sum(cost) AS DOUBLE) AS cost, CAST(sum(clicks) AS BIGINT) AS clicks,
        CAST(sum(all_conversions_purchase) AS DOUBLE) AS purchases,
        CAST(count(DISTINCT keyword_text) AS BIGINT) AS keywords,
        CAST(max(last_synced_at) AS TIMESTAMP) AS last_synced_at
 FROM api GROUP BY 1, 2"""
     return api + """
 SELECT CAST(account_name AS VARCHAR) AS account_name, CAST(campaign_name AS VARCHAR) AS campaign_name,
-       CAST(sum(cost) AS DECIMAL(38,9)) AS cost, CAST(sum(clicks) AS BIGINT) AS clicks,
+       CAST(sum(cost) AS DOUBLE) AS cost, CAST(sum(clicks) AS BIGINT) AS clicks,
        CAST(sum(conversions) AS BIGINT) AS conversions,
-       CAST(sum(revenue) AS DECIMAL(38,9)) AS revenue,
+       CAST(sum(revenue) AS DOUBLE) AS revenue,
        CAST(sum(all_conversions_purchase) AS DOUBLE) AS purchases,
-       CAST(sum(all_revenue_purchase) AS DECIMAL(38,9)) AS purchase_revenue,
+       CAST(sum(all_revenue_purchase) AS DOUBLE) AS purchase_revenue,
        CAST(round(sum(view_through_conversions_lead)) AS BIGINT) AS lead_views,
        CAST(count(DISTINCT ad_group_name) AS BIGINT) AS ad_groups,
        CAST(max(last_synced_at) AS DATE) AS last_synced_at,

@@ -2,8 +2,9 @@
 
 Every callable takes ``(spark, sf_dir)``, reads whole test tables (or stand-ins Spark
 derives from them) and returns a lazy DataFrame. Money is cast to ``decimal(18,2)``
-before it is summed and every output column is cast to a fixed type, so results do not
-depend on addition order or engine-specific sum types.
+before it is summed (exact, independent of addition order) and leaves as ``double`` (the
+exact sum's nearest double, the same in every engine); every output column has a fixed
+type.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ def daily_rollup(spark, sf_dir):
                   "clicks": F.sum(F.col("l_quantity").cast("bigint")),
                   "impressions": F.sum("l_linenumber"),
                   "frequency": constant_sum(0)})
-    return out.withColumn("cost", F.col("cost").cast("decimal(38,2)"))
+    return out.withColumn("cost", F.col("cost").cast("double"))
 
 
 def wide_rollup(spark, sf_dir):
@@ -64,8 +65,8 @@ def wide_rollup(spark, sf_dir):
     measures["total_value"] = F.sum(_money("value"))
     measures["events"] = F.sum(F.lit(1).cast("bigint"))
     out = rollup(ev, {"date": F.to_date("ts"), "user_id": "user_id"}, measures)
-    return (out.withColumn("purchase_value", F.col("purchase_value").cast("decimal(38,2)"))
-               .withColumn("total_value", F.col("total_value").cast("decimal(38,2)")))
+    return (out.withColumn("purchase_value", F.col("purchase_value").cast("double"))
+               .withColumn("total_value", F.col("total_value").cast("double")))
 
 
 def product_sum_query(spark, sf_dir):
@@ -74,8 +75,8 @@ def product_sum_query(spark, sf_dir):
     out = rollup(li, {"date": F.to_date("l_shipdate")},
                  {"revenue": product_sum(_money("l_extendedprice"), _money("l_discount")),
                   "revenue_skip_null": product_sum(_money("l_extendedprice"), disc_or_null)})
-    return (out.withColumn("revenue", F.col("revenue").cast("decimal(38,4)"))
-               .withColumn("revenue_skip_null", F.col("revenue_skip_null").cast("decimal(38,4)")))
+    return (out.withColumn("revenue", F.col("revenue").cast("double"))
+               .withColumn("revenue_skip_null", F.col("revenue_skip_null").cast("double")))
 
 
 def constant_measures(spark, sf_dir):
@@ -146,7 +147,7 @@ def _snowflake(spark, sf_dir, ids=(), cast=None):
     cols = ["o_orderpriority", "c_name", "n_name", "region_id", "r_name"]
     out = left_join(fact, dims, [("l_orderkey", "__order_key")], {c: c for c in cols},
                     how=how, normalise=True)
-    out = out.select("l_orderkey", F.col("cost").cast("decimal(38,2)").alias("cost"), "qty",
+    out = out.select("l_orderkey", F.col("cost").cast("double").alias("cost"), "qty",
                      *cols)
     return account_allow_list(out, "region_id", ids, cast)
 
@@ -178,7 +179,7 @@ def snowflake_branch(spark, sf_dir):
     ])
     out = left_join(fact, dims, [("l_orderkey", "__order_key")],
                     {"c_name": "c_name", "newest_in_priority": "newest_in_priority"})
-    return out.select("l_orderkey", F.col("cost").cast("decimal(38,2)").alias("cost"),
+    return out.select("l_orderkey", F.col("cost").cast("double").alias("cost"),
                       "c_name", "newest_in_priority")
 
 
@@ -194,7 +195,7 @@ def star_join(spark, sf_dir):
     out = left_join(out, part, [("l_partkey", "p_partkey")], {"p_name": "p_name"})
     out = left_join(out, supplier, [("l_suppkey", "s_suppkey")], {"s_name": "s_name"})
     return out.select("l_orderkey", "l_partkey", "l_suppkey",
-                      F.col("cost").cast("decimal(38,2)").alias("cost"),
+                      F.col("cost").cast("double").alias("cost"),
                       "o_orderpriority", "p_name", "s_name")
 
 
@@ -209,7 +210,7 @@ def pivot_single(spark, sf_dir):
                         [ConversionSpec("view", "views"), ConversionSpec("click", "clicks")],
                         {"actions": _money("value")})
     return out.select("user_id", "date",
-                      *[F.col(c).cast("decimal(38,2)").alias(c)
+                      *[F.col(c).cast("double").alias(c)
                         for c in ("actions_views", "actions_clicks")])
 
 
@@ -233,16 +234,21 @@ def _pivot_multi(spark, sf_dir, prune=False):
 
 def _pivot_multi_cols():
     cols = []
-    for m, t in (("amount", "decimal(38,2)"), ("props", "double"), ("qty", "double")):
+    for m, t in (("amount", "cents"), ("props", "double"), ("qty", "double")):
         for v in PIVOT_MULTI_VALUES:
             cols.append((f"{m}_{v.output_name}", t))
     return cols
 
 
+def _typed(c: str, t: str) -> F.Column:
+    """Output cast; ``cents``: a sum of two-decimal doubles rounded to exact cents first."""
+    col = F.col(c).cast("decimal(38,2)") if t == "cents" else F.col(c)
+    return col.cast("double").alias(c)
+
+
 def pivot_multi(spark, sf_dir):
     out = _pivot_multi(spark, sf_dir)
-    return out.select("user_id", "date",
-                      *[F.col(c).cast(t).alias(c) for c, t in _pivot_multi_cols()])
+    return out.select("user_id", "date", *[_typed(c, t) for c, t in _pivot_multi_cols()])
 
 
 def pivot_join_back(spark, sf_dir):
@@ -253,8 +259,8 @@ def pivot_join_back(spark, sf_dir):
     cols = [c for c, _ in _pivot_multi_cols()]
     out = left_join(spine, wide, [("user_id", "user_id"), ("date", "date")], {c: c for c in cols})
     return out.select("user_id", "date", "n_events",
-                      F.col("value").cast("decimal(38,2)").alias("value"),
-                      *[F.col(c).cast(t).alias(c) for c, t in _pivot_multi_cols()])
+                      F.col("value").cast("double").alias("value"),
+                      *[_typed(c, t) for c, t in _pivot_multi_cols()])
 
 
 # ---- freshness (A13, J27, X2-X5) ------------------------------------------------------
@@ -302,7 +308,7 @@ FIELD_SELECTION_SPEC = ReportSpec(
                 FieldSpec("price_band", "INT64", "o_totalprice / 100000", active=True),
                 FieldSpec("custkey", "INT64", "o_custkey")),
     metrics=(FieldSpec("orders", "INT64", "count(*)", default=True),
-             FieldSpec("total", "NUMERIC", "sum(CAST(o_totalprice AS DECIMAL(18,2)))",
+             FieldSpec("total", "FLOAT64", "sum(CAST(o_totalprice AS DECIMAL(18,2)))",
                        default=True),
              FieldSpec("max_price", "INT64", "max(o_totalprice)", active=True),
              FieldSpec("min_price", "FLOAT64", "min(o_totalprice)")),
@@ -322,8 +328,8 @@ def _stitch(spark, sf_dir, mode):
     spec = ReportSpec(target="spendlens_home.stitch", dimensions=(
         FieldSpec("date", "DATE", "date"),), stitch=mode)
     api = multi_fact_api(spec, loader(spark, "", spark_sources(spark, sf_dir, "multi_fact")))
-    return api.select(*STITCH_COLS).withColumn("cost", F.col("cost").cast("decimal(38,2)")) \
-              .withColumn("revenue", F.col("revenue").cast("decimal(38,2)"))
+    return api.select(*STITCH_COLS).withColumn("cost", F.col("cost").cast("double")) \
+              .withColumn("revenue", F.col("revenue").cast("double"))
 
 
 def multi_fact_stitch(spark, sf_dir):
@@ -372,7 +378,7 @@ PUBLISH_SPEC = ReportSpec(
                 FieldSpec("o_orderpriority", "STRING", "o_orderpriority"),
                 FieldSpec("p_name", "STRING", "p_name"),
                 FieldSpec("s_name", "STRING", "s_name")),
-    metrics=(FieldSpec("cost", "decimal(38,2)", "sum(cost)"),),
+    metrics=(FieldSpec("cost", "FLOAT64", "sum(cost)"),),
     external=ExternalTarget(active=True, database="spendlens_external", location="EU",
                             description="republished reports", friendly_name="Reports"),
 )

@@ -16,14 +16,14 @@ PLATFORM_SPEC = ReportSpec(
                 FieldSpec("platform", "STRING", "platform"),
                 FieldSpec("campaign_name", "STRING", "campaign_name"),
                 FieldSpec("account_name", "STRING", "account_name")),
-    metrics=(FieldSpec("cost", "NUMERIC", "sum(cost)"),
+    metrics=(FieldSpec("cost", "FLOAT64", "sum(cost)"),
              FieldSpec("clicks", "INT64", "sum(clicks)"),
              FieldSpec("impressions", "INT64", "sum(impressions)"),
              FieldSpec("reach", "INT64", "sum(reach)"),
              FieldSpec("conversions", "INT64", "sum(conversions)"),
-             FieldSpec("purchases", "NUMERIC", "sum(actions_purchases)"),
-             FieldSpec("carts", "NUMERIC", "sum(actions_carts)"),
-             FieldSpec("purchase_value", "NUMERIC", "sum(action_values_purchases)"),
+             FieldSpec("purchases", "FLOAT64", "sum(actions_purchases)"),
+             FieldSpec("carts", "FLOAT64", "sum(actions_carts)"),
+             FieldSpec("purchase_value", "FLOAT64", "sum(action_values_purchases)"),
              FieldSpec("last_synced_at", "DATETIME", "max(last_synced_at)"),
              FieldSpec("last_data_date", "DATE", "max(last_data_date)")),
     account_ids=(1, 2, 3),
@@ -42,7 +42,7 @@ CAMPAIGN_SPEC = ReportSpec(
                           default=True, active=True),
                 FieldSpec("account_name", "STRING", "account_name", active=True),
                 FieldSpec("campaign_id", "INT64", "campaign_id")),
-    metrics=(FieldSpec("cost", "NUMERIC", "sum(cost)", default=True),
+    metrics=(FieldSpec("cost", "FLOAT64", "sum(cost)", default=True),
              FieldSpec("clicks", "INT64", "sum(clicks)", default=True),
              FieldSpec("conversions", "INT64", "sum(conversions)", active=True),
              FieldSpec("comments", "INT64", "sum(comments)", active=True),
@@ -59,12 +59,12 @@ AD_GROUP_SPEC = ReportSpec(
     target="spendlens_home.ad_group_report",
     dimensions=(FieldSpec("account_name", "STRING", "account_name"),
                 FieldSpec("campaign_name", "STRING", "campaign_name")),
-    metrics=(FieldSpec("cost", "NUMERIC", "sum(cost)"),
+    metrics=(FieldSpec("cost", "FLOAT64", "sum(cost)"),
              FieldSpec("clicks", "INT64", "sum(clicks)"),
              FieldSpec("conversions", "INT64", "sum(conversions)"),
-             FieldSpec("revenue", "NUMERIC", "sum(revenue)"),
+             FieldSpec("revenue", "FLOAT64", "sum(revenue)"),
              FieldSpec("purchases", "FLOAT64", "sum(all_conversions_purchase)"),
-             FieldSpec("purchase_revenue", "NUMERIC", "sum(all_revenue_purchase)"),
+             FieldSpec("purchase_revenue", "FLOAT64", "sum(all_revenue_purchase)"),
              FieldSpec("lead_views", "INT64", "sum(view_through_conversions_lead)"),
              FieldSpec("ad_groups", "INT64", "count(DISTINCT ad_group_name)"),
              FieldSpec("last_synced_at", "DATE", "max(last_synced_at)"),
@@ -78,7 +78,7 @@ KEYWORD_SPEC = ReportSpec(
     target="spendlens_home.keyword_report",
     dimensions=(FieldSpec("keyword_match_type", "STRING", "keyword_match_type"),
                 FieldSpec("account_name", "STRING", "account_name")),
-    metrics=(FieldSpec("cost", "NUMERIC", "sum(cost)"),
+    metrics=(FieldSpec("cost", "FLOAT64", "sum(cost)"),
              FieldSpec("clicks", "INT64", "sum(clicks)"),
              FieldSpec("purchases", "FLOAT64", "sum(all_conversions_purchase)"),
              FieldSpec("keywords", "INT64", "count(DISTINCT keyword_text)"),
@@ -93,15 +93,15 @@ MULTI_FACT_SPEC = ReportSpec(
     dimensions=(FieldSpec("date", "DATE", "date", default=True),
                 FieldSpec("campaign_name", "STRING", "campaign_name", default=True),
                 FieldSpec("advertiser_name", "STRING", "advertiser_name", active=True)),
-    metrics=(FieldSpec("cost", "NUMERIC", "sum(cost)", default=True),
+    metrics=(FieldSpec("cost", "FLOAT64", "sum(cost)", default=True),
              FieldSpec("impressions", "INT64", "sum(impressions)", default=True),
              FieldSpec("clicks", "INT64", "sum(clicks)", default=True),
              FieldSpec("conversions", "INT64", "sum(conversions)", default=True),
-             FieldSpec("revenue", "NUMERIC", "sum(revenue)", active=True),
+             FieldSpec("revenue", "FLOAT64", "sum(revenue)", active=True),
              FieldSpec("cta_purchase", "INT64", "sum(cta_purchase)", active=True),
              FieldSpec("likes", "INT64", "sum(likes)", active=True),
              FieldSpec("purchases", "INT64", "sum(purchase)", active=True),
-             FieldSpec("checkout", "NUMERIC", "sum(checkout)", active=True),
+             FieldSpec("checkout", "FLOAT64", "sum(checkout)", active=True),
              FieldSpec("video_views", "INT64", "sum(video_views_p100)", active=True),
              FieldSpec("last_synced_at", "DATETIME", "max(last_synced_at)", active=True),
              FieldSpec("last_data_date", "DATE", "max(last_data_date)", active=True)),
