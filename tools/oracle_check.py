@@ -1,7 +1,9 @@
 """Run registered queries on Spark and their oracle SQL on DuckDB; compare results.
 
 usage: python tools/oracle_check.py [sf_dir] [query ...]
-Prints one line per query: rows, column match and an order-insensitive value hash match.
+Prints one line per query: rows, column names, canonical column types and an
+order-insensitive value hash. SPENDLENS_EXACT=1 compares floats bit for bit (default:
+rounded to 6 places); SPENDLENS_SESSION_TZ runs Spark under another session time zone.
 """
 
 from __future__ import annotations
@@ -24,13 +26,16 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "pages benchmark labels conversations").split()
 
 
+EXACT = os.environ.get("SPENDLENS_EXACT") == "1"  # compare floats bit for bit
+
+
 def norm(v):
     if v is None:
         return "NULL"
     if isinstance(v, float):
         if math.isnan(v):
             return "NULL"
-        return f"{round(v, 6):.6f}"
+        return repr(v) if EXACT else f"{round(v, 6):.6f}"
     if isinstance(v, decimal.Decimal):
         return f"{v:f}"
     if isinstance(v, (dt.datetime, dt.date)):
