@@ -55,16 +55,24 @@ def left_join(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]],
     """``df LEFT JOIN dim ON df.l = dim.r AND ...``, bringing ``take`` columns along.
 
     ``take`` maps output name -> dimension column (a join key may be taken too: it is
-    NULL where nothing matched). ``how="inner"`` is used by the allow-list trim.
+    NULL where nothing matched). ``how="inner"`` is used by the allow-list trim. Plain
+    equi-joins are joined USING the key names, which puts the join keys first in the
+    output; select by name downstream.
     """
-    n = next(_ids)
-    rkeys = [f"__k{n}_{i}" for i in range(len(on))]
+    left_cols = set(df.columns)
     for out in take:
-        if out in df.columns:
+        if out in left_cols:
             raise ValueError(f"column {out!r} already exists on the left side")
-    sel = [F.col(r).alias(k) for (_, r), k in zip(on, rkeys)]
-    sel += [F.col(src).alias(out) for out, src in take.items()]
-    right = dim.select(*sel)
+    values = [F.col(src).alias(out) for out, src in take.items()]
+    if not normalise or all(_type_of(df, l) == _type_of(dim, r) and
+                            not isinstance(_type_of(df, l), _FRACTIONAL) for l, r in on):
+        # plain equi-join: name the right keys like the left ones and join USING them,
+        # which keeps the left keys and drops the right ones in the same step
+        right = dim.select(*[F.col(r).alias(l) for l, r in on], *values)
+        return df.join(right, [l for l, _ in on], how)
+    n = next(_ids)
+    rkeys = [f"__k{n}_{i}" for i in range(len(on))]
+    right = dim.select(*[F.col(r).alias(k) for (_, r), k in zip(on, rkeys)], *values)
     cond = None
     for (lname, _), rk in zip(on, rkeys):
         lc, rc = key_pair(df, lname, right, rk, normalise)
@@ -121,6 +129,12 @@ def stitch_facts(spine: DataFrame, page: tuple[DataFrame, Sequence[str]] | None,
     ``grain_safe`` joins every fact straight from the spine on all three keys (no chain:
     a missing attribution row does not blank the others).
     """
+    order = spine.columns + [m for _, ms in ([page] if page else []) + list(chain_facts)
+                             for m in ms]
+    return _stitch(spine, page, chain_facts, date, ad, gn, mode).select(*order)
+
+
+def _stitch(spine, page, chain_facts, date, ad, gn, mode):
     out = spine
     grain = (date, ad, gn)
     if mode == "chained":
