@@ -30,7 +30,7 @@ def _strip_ids(text: str) -> str:
 
 def summarise(plan: str) -> dict:
     shuffles = [_strip_ids(m.group(1)) for m in re.finditer(
-        r"Exchange (hashpartitioning\([^)]*\)|SinglePartition|RoundRobinPartitioning\([^)]*\))",
+        r"Exchange (hashpartitioning\(.*?, \d+\)|SinglePartition|RoundRobinPartitioning\(\d+\))",
         plan)]
     joins = [_strip_ids(m.group(0)) for m in re.finditer(
         r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|"
