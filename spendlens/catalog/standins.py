@@ -235,13 +235,20 @@ def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _READS[key]
 
 
+_SOURCES: dict[tuple, dict[str, DataFrame]] = {}
+
+
 def spark_sources(spark: SparkSession, sf_dir: str, kind: str) -> dict[str, DataFrame]:
-    """Stand-in source tables of one report kind as lazy Spark DataFrames."""
-    out = {}
-    for name, text in SOURCES[kind].items():
-        tables = {t: base_table(spark, sf_dir, t) for t in _used_tables(text)}
-        out[name] = spark.sql(text.replace("{ts_ntz}", "TIMESTAMP_NTZ"), **tables)
-    return out
+    """Stand-in source tables of one report kind as lazy Spark DataFrames (defined once
+    per session, like the source tables they stand in for)."""
+    key = (id(spark), sf_dir.rstrip("/"), kind)
+    if key not in _SOURCES:
+        out = {}
+        for name, text in SOURCES[kind].items():
+            tables = {t: base_table(spark, sf_dir, t) for t in _used_tables(text)}
+            out[name] = spark.sql(text.replace("{ts_ntz}", "TIMESTAMP_NTZ"), **tables)
+        _SOURCES[key] = out
+    return dict(_SOURCES[key])
 
 
 def duckdb_ctes(kind: str, prefix: str = "") -> str:
