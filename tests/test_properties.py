@@ -178,3 +178,42 @@ def test_chained_equals_as_written_when_gn_is_one_ad_day(spark, keys, present):
     aw = stitch_facts(spine, page, facts, mode="as_written")
     ch = stitch_facts(spine, page, facts, mode="chained")
     assert rows(aw) == rows(ch)
+
+
+DELIMS = set(' \t\n[](){}/|\\<>!?@"^#$&~_,.:;*%+-')
+
+
+def _initcap_reference(s):
+    out, start = [], True
+    for ch in s.lower():
+        if ch in DELIMS or ch.isspace():
+            out.append(ch)
+            start = True
+        else:
+            out.append(ch.upper() if start else ch)
+            start = False
+    return "".join(out)
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.text(alphabet="abcXYZ019 _-.#/()\t", max_size=20), min_size=1, max_size=20))
+def test_initcap_delims_matches_a_character_rule(spark, texts):
+    from spendlens.functions import initcap_delims
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = [r.o for r in df.select(initcap_delims("s").alias("o")).collect()]
+    assert got == [_initcap_reference(t) for t in texts]
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.one_of(st.integers(-40, 40).map(lambda k: k / 2),
+                          st.floats(-1e6, 1e6, allow_nan=False)), min_size=1, max_size=30))
+def test_float_to_int64_rounds_half_away_from_zero(spark, xs):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from pyspark.sql import types as T
+
+    from spendlens.functions import typed_cast
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = [r.o for r in df.select(typed_cast(F.col("x"), T.LongType(), T.DoubleType()).alias("o"))
+           .collect()]
+    assert got == [int(Decimal(repr(x)).quantize(Decimal(1), rounding=ROUND_HALF_UP)) for x in xs]
