@@ -269,3 +269,28 @@ def test_inner_join_trim_equals_the_untrimmed_plan(spark, kind):
     a = rows(BUILDERS[kind](trimmed, _load(spark, tables)))
     b = rows(BUILDERS[kind](plain, _load(spark, tables)))
     assert a == b and len(a) > 0
+
+
+@pytest.mark.parametrize("kind", ["platform", "campaign", "ad_group", "keyword", "multi_fact"])
+def test_every_report_over_empty_facts_is_empty_with_its_schema(spark, kind):
+    from spendlens.plans.reports import (AD_GROUP_FACT, BUILDERS, CAMPAIGN_FACT, GOALS,
+                                         KEYWORD_FACT, MULTI_FACT, PLATFORM_FACT)
+    tables, spec = {
+        "platform": (lambda: platform_tables(spark), PLATFORM),
+        "campaign": (lambda: campaign_tables(spark), CAMPAIGN),
+        "ad_group": (lambda: star_tables(spark), STAR),
+        "keyword": (lambda: star_tables(spark, keyword=True), ReportSpec(**{**STAR.__dict__,
+                    "dimensions": (FieldSpec("keyword_text", "STRING", "keyword_text"),)})),
+        "multi_fact": (lambda: _multi_tables(spark), MULTI),
+    }[kind]
+    t = tables()
+    facts = {"platform": [PLATFORM_FACT, PLATFORM_FACT + "_actions",
+                          PLATFORM_FACT + "_action_values"],
+             "campaign": [CAMPAIGN_FACT], "ad_group": [AD_GROUP_FACT, GOALS],
+             "keyword": [KEYWORD_FACT, GOALS], "multi_fact": [MULTI_FACT]}[kind]
+    for name in facts:
+        t[name] = t[name].limit(0)
+    out = BUILDERS[kind](spec, _load(spark, t))
+    assert out.count() == 0
+    assert [(f.name, f.dataType) for f in out.schema.fields] == \
+        [(f.name, f.dataType) for f in spec.schema().fields]
