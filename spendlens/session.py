@@ -82,6 +82,10 @@ def cluster_settings(largest_shuffle_bytes: int, partition_bytes: int = 256 << 2
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        # coalesce toward the advisory size rather than keeping one partition per core: on a
+        # big shared cluster that avoids floods of tiny tasks (on one small machine it would
+        # serialise tiny stages, so local sessions keep Spark's default)
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
