@@ -1,6 +1,7 @@
 """Properties from SURVEY section 5.3, checked against plain-Python brute force."""
 
 import datetime as dt
+import os
 from collections import defaultdict
 
 from hypothesis import HealthCheck, given, settings
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from spendlens.operators import latest_by, left_join, pivot_metrics, rollup, stitch_facts
 
-SETTINGS = dict(max_examples=8, deadline=None,
+SETTINGS = dict(max_examples=int(os.environ.get("SPENDLENS_EXAMPLES", "8")), deadline=None,
                 suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 small = st.integers(min_value=0, max_value=4)
