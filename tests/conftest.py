@@ -1,3 +1,5 @@
+import contextlib
+import io
 import os
 import sys
 import tempfile
@@ -22,3 +24,11 @@ def rows(df, *cols):
     cols = cols or tuple(df.columns)
     out = [tuple(r[c] for c in cols) for r in df.select(*cols).collect()]
     return sorted(out, key=lambda t: tuple((v is None, str(v)) for v in t))
+
+
+def plan_text(df, mode="simple"):
+    """What ``df.explain(mode)`` prints (the public way to read a plan)."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode=mode)
+    return buf.getvalue()

@@ -8,6 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan_text
 from fixtures import platform_tables, star_tables
 from spendlens.operators import latest_by, pivot_metrics, rollup, stitch_facts
 from spendlens.plans import ad_group_report, platform_report
@@ -33,7 +34,7 @@ def no_broadcast(spark):
 
 
 def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    return plan_text(df)
 
 
 def _shuffles(plan):
@@ -136,7 +137,7 @@ def test_allow_list_prunes_the_fact_with_a_runtime_bloom_filter(spark, tmp_path)
             df.write.parquet(str(tmp_path / name))
         spec = ReportSpec(**{**STAR.__dict__, "account_ids": (100,)})
         df = ad_group_report(spec, loader(spark, str(tmp_path)))
-        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        plan = plan_text(df, "extended")
         assert "might_contain" in plan and "bloom_filter_agg" in plan
     finally:
         for k, v in old.items():

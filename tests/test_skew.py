@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan_text
 from fixtures import platform_tables
 from spendlens.operators import latest_by, pivot_metrics
 from spendlens.plans import platform_report
@@ -61,7 +62,7 @@ def test_report_with_a_hot_key_is_whole_and_unchanged_by_skew_splits(spark, forc
     forced_skew()
     df = platform_report(SPEC, loader(spark, "", t))
     assert sorted(df.collect()) == base
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(df)                                  # the final adaptive plan
     assert "SortMergeJoin(skew=true)" in plan             # AQE did split the hot partition
 
 

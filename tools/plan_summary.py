@@ -10,6 +10,8 @@ query it lists the shuffles (with their keys), joins (strategy and type), Parque
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import re
 import sys
@@ -24,6 +26,14 @@ SETTINGS = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.enabled": "false"}
 
 
+def plan_text(df) -> str:
+    """The physical plan as ``df.explain()`` prints it."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
 def _strip_ids(text: str) -> str:
     return re.sub(r"#\d+L?", "", text)
 
@@ -62,7 +72,7 @@ def main() -> None:
         if name == "publish_round_trip":
             continue  # its result is a table scan of what it wrote
         df = fn(spark, sf_dir)
-        s = summarise(df._jdf.queryExecution().executedPlan().toString())
+        s = summarise(plan_text(df))
         lines += [f"## {name}", "",
                   f"shuffles: {len(s['shuffles'])}, joins: {len(s['joins'])}, scans: "
                   f"{len(s['scans'])}, window limits: {s['window_limits']}, scalar subqueries: "
