@@ -120,6 +120,8 @@ def main():
             for x in sorted(b - a)[:3]:
                 print("   only duck :", x)
     spark.stop()
+    print(f"{'all match' if ok else 'MISMATCHES'}: {len(qs) if not only else len(only)} "
+          f"queries at {sf_dir}{' (exact floats)' if EXACT else ''}")
     sys.exit(0 if ok else 1)
 
 
