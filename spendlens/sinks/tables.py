@@ -27,12 +27,15 @@ def conform(df: DataFrame, spec: ReportSpec) -> DataFrame:
 
 
 def replace_table(df: DataFrame, name: str, spec: ReportSpec | None = None,
-                  fmt: str = "parquet", via_staging: bool = False) -> None:
+                  fmt: str | None = None, via_staging: bool = False) -> None:
     """``CREATE OR REPLACE TABLE name (...declared columns...) AS <df>``.
 
-    The write is the Spark action that runs the whole report plan. ``via_staging``
-    writes a differently named table first and swaps from it; use it when ``df`` reads
-    the table it replaces (Spark refuses to overwrite a table it is reading).
+    The write is the Spark action that runs the whole report plan. On a catalog with
+    v2 tables (e.g. Delta or Iceberg) it is an atomic ``createOrReplace``, as the source's
+    statement is; Spark's session catalog does not support that for its file tables, so
+    there the table is overwritten. ``fmt`` picks the table provider (default: the
+    catalog's). ``via_staging`` writes a differently named table first and swaps from
+    it; use it when ``df`` reads the table it replaces.
     """
     out = conform(df, spec) if spec is not None else df
     spark = out.sparkSession
@@ -45,22 +48,37 @@ def replace_table(df: DataFrame, name: str, spec: ReportSpec | None = None,
     _overwrite(out, name, fmt)
 
 
-def _overwrite(df: DataFrame, name: str, fmt: str) -> None:
-    """``saveAsTable`` in overwrite mode, replacing files a catalog no longer knows.
+def _condition(e: Exception) -> str | None:
+    return getattr(e, "getCondition", getattr(e, "getErrorClass", lambda: None))()
 
-    A catalog that forgets tables between sessions (Spark's in-memory one) leaves the
-    files of an earlier run at the table's managed location, and Spark then refuses to
-    create the table there. Replacing means replacing those files too: the table is
-    written to that same location and registered on it.
+
+def _overwrite(df: DataFrame, name: str, fmt: str | None) -> None:
+    """Atomic ``createOrReplace`` where the catalog supports it, else an overwrite.
+
+    The session catalog rejects the replace while analysing it (nothing is written), and
+    then ``saveAsTable`` overwrites. A catalog that forgets tables between sessions
+    (Spark's in-memory one) leaves the files of an earlier run at the table's managed
+    location, and Spark refuses to create the table there; replacing means replacing
+    those files too, so the table is written to that location and registered on it.
     """
+    writer = df.writeTo(name)
+    if fmt:
+        writer = writer.using(fmt)
+    try:
+        writer.createOrReplace()
+        return
+    except Exception as e:  # noqa: BLE001 - only "not supported here" falls through
+        if _condition(e) != "UNSUPPORTED_FEATURE.TABLE_OPERATION":
+            raise
+    out = df.write.mode("overwrite")
+    if fmt:
+        out = out.format(fmt)
     try:
-        df.write.mode("overwrite").format(fmt).saveAsTable(name)
+        out.saveAsTable(name)
     except Exception as e:  # noqa: BLE001 - only one error condition is handled
-        cond = getattr(e, "getCondition", getattr(e, "getErrorClass", lambda: None))()
-        if cond != "LOCATION_ALREADY_EXISTS":
+        if _condition(e) != "LOCATION_ALREADY_EXISTS":
             raise
-        df.write.mode("overwrite").format(fmt).option("path", _managed_location(df, name)) \
-          .saveAsTable(name)
+        out.option("path", _managed_location(df, name)).saveAsTable(name)
 
 
 def _managed_location(df: DataFrame, name: str) -> str:
