@@ -34,18 +34,23 @@ def replace_table(df: DataFrame, name: str, spec: ReportSpec | None = None,
     v2 tables (e.g. Delta or Iceberg) it is an atomic ``createOrReplace``, as the source's
     statement is; Spark's session catalog does not support that for its file tables, so
     there the table is overwritten. ``fmt`` picks the table provider (default: the
-    catalog's). ``via_staging`` writes a differently named table first and swaps from
-    it; use it when ``df`` reads the table it replaces.
+    catalog's). When ``df`` reads the table it replaces (which Spark refuses to
+    overwrite), the result goes through a differently named staging table first;
+    ``via_staging`` forces that route.
     """
     out = conform(df, spec) if spec is not None else df
+    if not via_staging:
+        try:
+            _overwrite(out, name, fmt)
+            return
+        except Exception as e:  # noqa: BLE001 - only "reads its own target" falls through
+            if _condition(e) != "UNSUPPORTED_OVERWRITE.TABLE":
+                raise
     spark = out.sparkSession
-    if via_staging:
-        staging = name + "__staging"
-        _overwrite(out, staging, fmt)
-        _overwrite(spark.table(staging), name, fmt)
-        spark.sql(f"DROP TABLE IF EXISTS {quote_ident(staging)}")
-        return
-    _overwrite(out, name, fmt)
+    staging = name + "__staging"
+    _overwrite(out, staging, fmt)
+    _overwrite(spark.table(staging), name, fmt)
+    spark.sql(f"DROP TABLE IF EXISTS {quote_ident(staging)}")
 
 
 def _condition(e: Exception) -> str | None:

@@ -37,6 +37,10 @@ def test_overwrite_a_table_read_by_its_own_query_via_staging(spark):
     src = spark.table(f"{db}.src")
     replace_table(src.selectExpr("x + 1 AS x"), f"{db}.src", via_staging=True)
     assert rows(spark.table(f"{db}.src")) == [(2,)]
+    # without the flag the refused overwrite is detected and routed through staging too
+    replace_table(spark.table(f"{db}.src").selectExpr("x * 10 AS x"), f"{db}.src")
+    assert rows(spark.table(f"{db}.src")) == [(20,)]
+    assert not spark.catalog.tableExists(f"{db}.src__staging")
 
 
 def test_run_report_then_republish_copies_the_stored_table(spark):
