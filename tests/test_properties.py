@@ -258,3 +258,41 @@ def test_dimension_chain_first_equals_joining_through_every_level(spark, fact, d
     level = left_join(left_join(f, a, [("k", "id")], {"a_link": "link"}),
                       b, [("a_link", "id")], {"b_name": "name"})
     assert rows(first, "k", "v", "a_link", "b_name") == rows(level, "k", "v", "a_link", "b_name")
+
+
+# (name, declared type, Spark SQL expression, DuckDB expression with the declared cast)
+DIM_POOL = [
+    ("status", "STRING", "o_orderstatus", "CAST(o_orderstatus AS VARCHAR)"),
+    ("prio", "STRING", "o_orderpriority", "CAST(o_orderpriority AS VARCHAR)"),
+    ("band", "INT64", "o_totalprice / 50000", "CAST(round(o_totalprice / 50000) AS BIGINT)"),
+    ("day", "DATE", "CAST(o_orderdate AS DATE)", "CAST(o_orderdate AS DATE)"),
+    ("yr", "INT64", "year(o_orderdate)", "CAST(year(o_orderdate) AS BIGINT)"),
+]
+MET_POOL = [
+    ("n", "INT64", "count(*)", "CAST(count(*) AS BIGINT)"),
+    ("total", "FLOAT64", "sum(CAST(o_totalprice AS DECIMAL(18,2)))",
+     "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)"),
+    ("top", "INT64", "max(o_totalprice)", "CAST(round(max(o_totalprice)) AS BIGINT)"),
+    ("custs", "INT64", "count(DISTINCT o_custkey)", "CAST(count(DISTINCT o_custkey) AS BIGINT)"),
+]
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.sampled_from(range(len(DIM_POOL))), min_size=1, max_size=3, unique=True),
+       st.lists(st.sampled_from(range(len(MET_POOL))), max_size=4, unique=True))
+def test_random_report_specs_match_duckdb(spark, dims, mets):
+    import duckdb
+
+    from spendlens.operators import build_report
+    from spendlens.spec import FieldSpec, ReportSpec
+    path = "/root/testdata/sf0.001/orders.parquet"
+    d = [DIM_POOL[i] for i in dims]
+    m = [MET_POOL[i] for i in mets]
+    spec = ReportSpec(target="db.t", dimensions=tuple(FieldSpec(n, t, e) for n, t, e, _ in d),
+                      metrics=tuple(FieldSpec(n, t, e) for n, t, e, _ in m))
+    got = rows(build_report(spark.read.parquet(path), spec))
+    select = ", ".join(f"{sql} AS {n}" for n, _, _, sql in d + m)
+    groups = ", ".join(str(i + 1) for i in range(len(d)))
+    want = duckdb.sql(f"SELECT {select} FROM read_parquet('{path}') GROUP BY {groups}").fetchall()
+    key = lambda t: tuple((x is None, str(x)) for x in t)
+    assert got == sorted([tuple(r) for r in want], key=key)
