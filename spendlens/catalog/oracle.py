@@ -316,7 +316,12 @@ LEFT JOIN campaign ON ad.campaign_id = campaign.campaign_id
 LEFT JOIN account ON campaign.advertiser_id = account.advertiser_id"""
 
 # ---- platform report ------------------------------------------------------------------
-REPORT_PLATFORM = f"""
+def report_platform_sql(where: str) -> str:
+    """The platform report over its stand-ins, with the final filter given as ``where``."""
+    return _REPORT_PLATFORM_BODY.replace("{where}", where)
+
+
+_REPORT_PLATFORM_BODY = f"""
 WITH {duckdb_ctes("platform")},
 sync_info AS (SELECT max({RUN_TS_SQL}) AS max_synced_at, max(date) AS max_data_date
               FROM platform_report),
@@ -369,11 +374,14 @@ SELECT CAST(date AS DATE) AS date, CAST(platform AS VARCHAR) AS platform,
        CAST(max(last_synced_at) AS TIMESTAMP) AS last_synced_at,
        CAST(max(last_data_date) AS DATE) AS last_data_date
 FROM api
-WHERE account_id IN ('1', '2', '3')
-  AND regexp_matches(campaign_name, '_1') = true
-  AND regexp_matches(platform, '^Unknown$') = false
+{{where}}
 GROUP BY 1, 2, 3, 4"""
 
+REPORT_PLATFORM = report_platform_sql(
+    """WHERE account_id IN ('1', '2', '3')
+  AND regexp_matches(campaign_name, '_1') = true
+  AND regexp_matches(platform, '^Unknown$') = false""")
+
 
 def _latest(table: str) -> str:
     return (f"(SELECT * FROM (SELECT *, rank() OVER (PARTITION BY id ORDER BY last_modified_time "

@@ -296,3 +296,44 @@ def test_random_report_specs_match_duckdb(spark, dims, mets):
     want = duckdb.sql(f"SELECT {select} FROM read_parquet('{path}') GROUP BY {groups}").fetchall()
     key = lambda t: tuple((x is None, str(x)) for x in t)
     assert got == sorted([tuple(r) for r in want], key=key)
+
+
+REGEX_POOL = [("campaign_name", "_1", True), ("platform", "^Unknown$", False),
+              ("account_name", "A", True), ("platform", "book", True),
+              ("campaign_name", "NATION_2", False)]
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.integers(0, 5), max_size=4, unique=True),
+       st.lists(st.sampled_from(range(len(REGEX_POOL))), max_size=3, unique=True),
+       st.booleans())
+def test_platform_report_with_random_filters_matches_source_sql(spark, ids, regex, trim):
+    """Allow-lists (with and without the inner-join trim) and regex filters vs the
+    source-shaped left-join SQL with the same WHERE clause."""
+    import duckdb
+
+    from spendlens.catalog.oracle import report_platform_sql
+    from spendlens.catalog.specs import PLATFORM_SPEC
+    from spendlens.catalog.standins import spark_sources
+    from spendlens.plans import platform_report
+    from spendlens.sources import loader
+    from spendlens.spec import RegexFilter, ReportSpec
+    sf = "/root/testdata/sf0.001"
+    filters = tuple(RegexFilter(*REGEX_POOL[i]) for i in regex)
+    spec = ReportSpec(**{**PLATFORM_SPEC.__dict__, "account_ids": tuple(ids),
+                         "regex_filters": filters, "inner_join_trim": trim})
+    got = rows(platform_report(spec, loader(spark, "", spark_sources(spark, sf, "platform"))))
+    conds = []
+    if ids:
+        conds.append("account_id IN (" + ", ".join(f"'{i}'" for i in ids) + ")")
+    conds += [f"regexp_matches({d}, '{e}') = {str(r).lower()}" for d, e, r in
+              (REGEX_POOL[i] for i in regex)]
+    con = duckdb.connect()
+    for t in ("region", "nation", "customer", "orders", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    res = con.execute(report_platform_sql(("WHERE " + " AND ".join(conds)) if conds else ""))
+    cols = [c[0] for c in res.description]
+    want = [tuple(dict(zip(cols, r))[c] for c in PLATFORM_SPEC.schema().fieldNames())
+            for r in res.fetchall()]
+    key = lambda t: tuple((x is None, str(x)) for x in t)
+    assert got == sorted(want, key=key)
