@@ -285,7 +285,12 @@ SELECT date, ad_id, _gn_id, CAST(cost AS DOUBLE) AS cost,
 FROM api"""
 
 
-REPORT_MULTI_FACT = _multi_fact_api("as_written") + """
+def report_multi_fact_sql(mode: str, where: str) -> str:
+    """The multi-fact report over its stand-ins for one stitching mode and final filter."""
+    return _multi_fact_api(mode) + _REPORT_MULTI_FACT_TAIL.replace("{where}", where)
+
+
+_REPORT_MULTI_FACT_TAIL = """
 SELECT CAST(date AS DATE) AS date, CAST(campaign_name AS VARCHAR) AS campaign_name,
        CAST(advertiser_name AS VARCHAR) AS advertiser_name,
        CAST(sum(cost) AS DOUBLE) AS cost, CAST(sum(impressions) AS BIGINT) AS impressions,
@@ -297,9 +302,12 @@ SELECT CAST(date AS DATE) AS date, CAST(campaign_name AS VARCHAR) AS campaign_na
        CAST(max(last_synced_at) AS TIMESTAMP) AS last_synced_at,
        CAST(max(last_data_date) AS DATE) AS last_data_date
 FROM api
-WHERE CAST(advertiser_id AS BIGINT) IN (0, 1, 2)
+{where}
 GROUP BY 1, 2, 3"""
 
+REPORT_MULTI_FACT = report_multi_fact_sql("as_written",
+                                          "WHERE CAST(advertiser_id AS BIGINT) IN (0, 1, 2)")
+
 HISTORY_FAN_OUT = """
 WITH spine AS (SELECT CAST(ts AS DATE) AS date, user_id, count(*) AS n_events
                FROM events GROUP BY 1, 2),

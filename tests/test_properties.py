@@ -337,3 +337,30 @@ def test_platform_report_with_random_filters_matches_source_sql(spark, ids, rege
             for r in res.fetchall()]
     key = lambda t: tuple((x is None, str(x)) for x in t)
     assert got == sorted(want, key=key)
+
+
+@settings(**SETTINGS)
+@given(st.sampled_from(["chained", "as_written", "grain_safe"]),
+       st.lists(st.integers(0, 3), max_size=3, unique=True))
+def test_multi_fact_report_modes_and_allow_lists_match_source_sql(spark, mode, ids):
+    import duckdb
+
+    from spendlens.catalog.oracle import report_multi_fact_sql
+    from spendlens.catalog.specs import MULTI_FACT_SPEC
+    from spendlens.catalog.standins import spark_sources
+    from spendlens.plans import multi_fact_report
+    from spendlens.sources import loader
+    from spendlens.spec import ReportSpec
+    sf = "/root/testdata/sf0.001"
+    spec = ReportSpec(**{**MULTI_FACT_SPEC.__dict__, "stitch": mode, "account_ids": tuple(ids)})
+    got = rows(multi_fact_report(spec, loader(spark, "", spark_sources(spark, sf, "multi_fact"))))
+    where = ("WHERE CAST(advertiser_id AS BIGINT) IN (" + ", ".join(map(str, ids)) + ")"
+             if ids else "")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{sf}/events.parquet')")
+    res = con.execute(report_multi_fact_sql(mode, where))
+    cols = [c[0] for c in res.description]
+    want = [tuple(dict(zip(cols, r))[c] for c in MULTI_FACT_SPEC.schema().fieldNames())
+            for r in res.fetchall()]
+    key = lambda t: tuple((x is None, str(x)) for x in t)
+    assert got == sorted(want, key=key)
