@@ -397,7 +397,12 @@ def _latest(table: str) -> str:
             f"ORDER BY version_id) AS r2 FROM {table}) WHERE r1 = 1 AND r2 = 1)")
 
 
-REPORT_CAMPAIGN = f"""
+def report_campaign_sql(where: str) -> str:
+    """The campaign report over its stand-ins with the final filter given as ``where``."""
+    return _REPORT_CAMPAIGN_BODY.replace("{where}", where)
+
+
+_REPORT_CAMPAIGN_BODY = f"""
 WITH {duckdb_ctes("campaign")},
 sync_info AS (SELECT max({local_sql('_fivetran_synced')}) AS max_synced_at,
                      max(CAST(day AS DATE)) AS max_data_date FROM ad_analytics_by_campaign),
@@ -431,11 +436,18 @@ SELECT CAST(date AS DATE) AS date, CAST(campaign_name AS VARCHAR) AS campaign_na
        CAST(sum(revenue) AS BIGINT) AS revenue, CAST(sum(conversions) AS BIGINT) AS conversions,
        CAST(sum(comments) AS BIGINT) AS comments,
        CAST(max(last_synced_at) AS TIMESTAMP) AS last_synced_at
-FROM api WHERE account_id IN (1)
+FROM api {{where}}
 GROUP BY 1, 2, 3, 4"""
 
+REPORT_CAMPAIGN = report_campaign_sql("WHERE account_id IN (1)")
+
+
+def star_report_sql(keyword: bool, where: str | None = None) -> str:
+    """Ad-group or keyword report over their stand-ins; ``where`` replaces the filter."""
+    return _star_report(keyword, where)
+
 
-def _star_report(keyword: bool) -> str:
+def _star_report(keyword: bool, where: str | None = None) -> str:
     kw_key = ", keyword_id" if keyword else ""
     gkeys = "1, 2, 3, 4, 5" if keyword else "1, 2, 3, 4"
     kw_join = ("\n        AND report.keyword_id = pivots.keyword_id" if keyword else "")
@@ -486,7 +498,7 @@ SELECT CAST(keyword_match_type AS VARCHAR) AS keyword_match_type,
        CAST(sum(all_conversions_purchase) AS DOUBLE) AS purchases,
        CAST(count(DISTINCT keyword_text) AS BIGINT) AS keywords,
        CAST(max(last_synced_at) AS TIMESTAMP) AS last_synced_at
-FROM api GROUP BY 1, 2"""
+FROM api """ + (where or "") + """ GROUP BY 1, 2"""
     return api + """
 SELECT CAST(account_name AS VARCHAR) AS account_name, CAST(campaign_name AS VARCHAR) AS campaign_name,
        CAST(sum(cost) AS DOUBLE) AS cost, CAST(sum(clicks) AS BIGINT) AS clicks,
@@ -498,7 +510,7 @@ SELECT CAST(account_name AS VARCHAR) AS account_name, CAST(campaign_name AS VARC
        CAST(count(DISTINCT ad_group_name) AS BIGINT) AS ad_groups,
        CAST(max(last_synced_at) AS DATE) AS last_synced_at,
        CAST(max(last_data_date) AS DATE) AS last_data_date
-FROM api WHERE account_id IN (1, 2, 3, 4)
+FROM api """ + (where if where is not None else "WHERE account_id IN (1, 2, 3, 4)") + """
 GROUP BY 1, 2"""
 
 

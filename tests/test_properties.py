@@ -364,3 +364,33 @@ def test_multi_fact_report_modes_and_allow_lists_match_source_sql(spark, mode, i
             for r in res.fetchall()]
     key = lambda t: tuple((x is None, str(x)) for x in t)
     assert got == sorted(want, key=key)
+
+
+@settings(**SETTINGS)
+@given(st.sampled_from(["campaign", "ad_group", "keyword"]),
+       st.lists(st.integers(0, 8), max_size=4, unique=True), st.booleans())
+def test_reports_with_random_allow_lists_match_source_sql(spark, kind, ids, trim):
+    import duckdb
+
+    from spendlens.catalog.oracle import report_campaign_sql, star_report_sql
+    from spendlens.catalog.specs import REPORT_SPECS
+    from spendlens.catalog.standins import spark_sources
+    from spendlens.plans.reports import BUILDERS
+    from spendlens.sources import loader
+    from spendlens.spec import ReportSpec
+    sf = "/root/testdata/sf0.001"
+    base = REPORT_SPECS[kind]
+    spec = ReportSpec(**{**base.__dict__, "account_ids": tuple(ids), "inner_join_trim": trim})
+    got = rows(BUILDERS[kind](spec, loader(spark, "", spark_sources(spark, sf, kind))))
+    where = ("WHERE account_id IN (" + ", ".join(map(str, ids)) + ")") if ids else ""
+    sql = report_campaign_sql(where) if kind == "campaign" else \
+        star_report_sql(kind == "keyword", where)
+    con = duckdb.connect()
+    for t in ("region", "nation", "supplier", "part", "orders", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    res = con.execute(sql)
+    cols = [c[0] for c in res.description]
+    want = [tuple(dict(zip(cols, r))[c] for c in base.schema().fieldNames())
+            for r in res.fetchall()]
+    key = lambda t: tuple((x is None, str(x)) for x in t)
+    assert got == sorted(want, key=key)
