@@ -394,3 +394,23 @@ def test_reports_with_random_allow_lists_match_source_sql(spark, kind, ids, trim
             for r in res.fetchall()]
     key = lambda t: tuple((x is None, str(x)) for x in t)
     assert got == sorted(want, key=key)
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.integers(0, 366 * 24 * 3600), min_size=1, max_size=30),
+       st.sampled_from(["America/New_York", "Europe/Berlin", "Australia/Sydney", "Asia/Kolkata"]))
+def test_local_datetime_matches_zoneinfo(spark, offsets, tz):
+    """Wall clock of UTC load stamps in a zone, DST transitions of 2024 included."""
+    from datetime import datetime, timedelta, timezone
+    from zoneinfo import ZoneInfo
+
+    from pyspark.sql import types as T
+
+    from spendlens.functions import local_datetime
+    stamps = [datetime(2024, 1, 1) + timedelta(seconds=s) for s in offsets]  # UTC wall clock
+    df = spark.createDataFrame([(s,) for s in stamps], "ts timestamp_ntz")
+    got = [r.o for r in df.select(local_datetime("ts", tz, T.TimestampNTZType()).alias("o"))
+           .collect()]
+    want = [s.replace(tzinfo=timezone.utc).astimezone(ZoneInfo(tz)).replace(tzinfo=None)
+            for s in stamps]
+    assert got == want
