@@ -414,3 +414,25 @@ def test_local_datetime_matches_zoneinfo(spark, offsets, tz):
     want = [s.replace(tzinfo=timezone.utc).astimezone(ZoneInfo(tz)).replace(tzinfo=None)
             for s in stamps]
     assert got == want
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.integers(0, 366 * 24 * 3600), min_size=1, max_size=30),
+       st.sampled_from(["UTC", "America/Los_Angeles", "Asia/Tokyo", "Pacific/Kiritimati"]))
+def test_utc_date_of_instants_ignores_the_session_zone(spark, offsets, session_tz):
+    from datetime import datetime, timedelta
+
+    from pyspark.sql import types as T
+
+    from spendlens.functions import utc_date
+    texts = [(datetime(2024, 1, 1) + timedelta(seconds=s)).isoformat(sep=" ") for s in offsets]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")  # texts are UTC instants
+        df = spark.createDataFrame([(t,) for t in texts], "s string") \
+                  .selectExpr("CAST(s AS TIMESTAMP) AS ts")
+        spark.conf.set("spark.sql.session.timeZone", session_tz)
+        got = [str(r.d) for r in df.select(utc_date("ts", T.TimestampType()).alias("d")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [t[:10] for t in texts]
