@@ -3,7 +3,8 @@
 usage: python tools/oracle_check.py [sf_dir] [query ...]
 Prints one line per query: rows, column names, canonical column types and an
 order-insensitive value hash. SPENDLENS_EXACT=1 compares floats bit for bit (default:
-rounded to 6 places); SPENDLENS_SESSION_TZ runs Spark under another session time zone.
+rounded to 6 places); SPENDLENS_SESSION_TZ runs Spark under another session time zone;
+SPENDLENS_CONF="key=value,..." sets further session settings.
 """
 
 from __future__ import annotations
@@ -82,6 +83,9 @@ def main():
     extra = {}
     if os.environ.get("SPENDLENS_SESSION_TZ"):  # check independence of the session zone
         extra["spark.sql.session.timeZone"] = os.environ["SPENDLENS_SESSION_TZ"]
+    for item in filter(None, os.environ.get("SPENDLENS_CONF", "").split(",")):
+        key, _, value = item.partition("=")  # e.g. spark.sql.ansi.enabled=false
+        extra[key.strip()] = value.strip()
     spark = local_session(8, warehouse=os.environ.get("SPENDLENS_WAREHOUSE"), extra=extra)
     ok = True
     for name, fn in qs.items():
