@@ -323,6 +323,25 @@ LEFT JOIN ad ON spine.user_id = ad.ad_id
 LEFT JOIN campaign ON ad.campaign_id = campaign.campaign_id
 LEFT JOIN account ON campaign.advertiser_id = account.advertiser_id"""
 
+HISTORY_LATEST = """
+WITH spine AS (SELECT CAST(ts AS DATE) AS date, user_id, count(*) AS n_events
+               FROM events GROUP BY 1, 2),
+ad AS (SELECT ad_id, ad_name, campaign_id FROM (
+        SELECT o_custkey AS ad_id, concat('ad ', CAST(o_orderkey AS VARCHAR)) AS ad_name,
+               CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS campaign_id,
+               rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST) AS r1,
+               row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey) AS r2
+        FROM orders) WHERE r1 = 1 AND r2 = 1),
+campaign AS (SELECT CAST(n_nationkey AS BIGINT) AS campaign_id, n_name AS campaign_name,
+                    CAST(n_regionkey AS BIGINT) AS advertiser_id FROM nation),
+account AS (SELECT CAST(r_regionkey AS BIGINT) AS advertiser_id, r_name AS name FROM region)
+SELECT spine.date, spine.user_id, CAST(spine.n_events AS BIGINT) AS n_events, ad.ad_name,
+       campaign.campaign_name, account.name AS advertiser_name
+FROM spine
+LEFT JOIN ad ON spine.user_id = ad.ad_id
+LEFT JOIN campaign ON ad.campaign_id = campaign.campaign_id
+LEFT JOIN account ON campaign.advertiser_id = account.advertiser_id"""
+
 # ---- platform report ------------------------------------------------------------------
 def report_platform_sql(where: str) -> str:
     """The platform report over its stand-ins, with the final filter given as ``where``."""
@@ -538,6 +557,7 @@ ORACLE_SQL: dict[str, str] = {
     "multi_fact_grain_safe": _stitch_sql("grain_safe"),
     "multi_fact_chained": _stitch_sql("chained"),
     "history_fan_out": HISTORY_FAN_OUT,
+    "history_latest": HISTORY_LATEST,
     "publish_round_trip": STAR_JOIN,
     "report_platform": REPORT_PLATFORM,
     "report_campaign": REPORT_CAMPAIGN,

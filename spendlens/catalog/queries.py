@@ -344,13 +344,16 @@ def multi_fact_chained(spark, sf_dir):
     return _stitch(spark, sf_dir, "chained")
 
 
-def history_fan_out(spark, sf_dir):
+def history_fan_out(spark, sf_dir, latest: bool = False):
     ev = _events_by_user_day(spark, sf_dir)
     spine = rollup(ev, ["date", "user_id"], {"n_events": F.count(F.lit(1))})
     ads = _t(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("ad_id"),
         F.concat(F.lit("ad "), F.col("o_orderkey").cast("string")).alias("ad_name"),
-        F.substring("o_orderpriority", 1, 1).cast("bigint").alias("campaign_id"))
+        F.substring("o_orderpriority", 1, 1).cast("bigint").alias("campaign_id"),
+        "o_orderdate", "o_orderkey")
+    if latest:  # the opt-in: newest version per ad instead of every version
+        ads = latest_by(ads, ["ad_id"], "o_orderdate", ["o_orderkey"])
     campaigns = _t(spark, sf_dir, "nation").select(
         F.col("n_nationkey").cast("bigint").alias("campaign_id"),
         F.col("n_name").alias("campaign_name"),
@@ -369,6 +372,10 @@ def history_fan_out(spark, sf_dir):
     return out.select("date", "user_id", "n_events", *cols)
 
 
+def history_latest(spark, sf_dir):
+    return history_fan_out(spark, sf_dir, latest=True)
+
+
 # ---- sinks (K1-K6, S28) ---------------------------------------------------------------
 PUBLISH_SPEC = ReportSpec(
     target="spendlens_home.star_join",
@@ -425,6 +432,7 @@ QUERIES: dict[str, Query] = {
     "multi_fact_grain_safe": multi_fact_grain_safe,
     "multi_fact_chained": multi_fact_chained,
     "history_fan_out": history_fan_out,
+    "history_latest": history_latest,
     "publish_round_trip": publish_round_trip,
     "report_platform": _report("platform"),
     "report_campaign": _report("campaign"),
