@@ -34,13 +34,17 @@ def load_vars(path: str) -> dict:
 
 
 def main(argv: list[str] | None = None) -> int:
-    ap = argparse.ArgumentParser(prog="spendlens")
-    ap.add_argument("command", choices=["run", "explain", "schema"])
-    ap.add_argument("--vars", required=True)
-    ap.add_argument("--service", required=True)
-    ap.add_argument("--model", required=True)
-    ap.add_argument("--kind", required=True, choices=sorted(BUILDERS))
-    ap.add_argument("--run-ts", default=None)
+    ap = argparse.ArgumentParser(prog="spendlens",
+                                 description="Build, explain or run a report from a vars file.")
+    ap.add_argument("command", choices=["run", "explain", "schema"],
+                    help="run: write (and republish) the report; explain: print the physical "
+                         "plan; schema: print the declared output schema")
+    ap.add_argument("--vars", required=True, help="nested vars file (JSON, or YAML)")
+    ap.add_argument("--service", required=True, help="top-level key of the service")
+    ap.add_argument("--model", required=True, help="key under <service>.models")
+    ap.add_argument("--kind", required=True, choices=sorted(BUILDERS), help="report builder")
+    ap.add_argument("--run-ts", default=None,
+                    help="run time for current_datetime()-style freshness (ISO format)")
     args = ap.parse_args(argv)
     run_ts = datetime.fromisoformat(args.run_ts) if args.run_ts else None
     spec = spec_from_vars(load_vars(args.vars), args.service, args.model, args.kind, run_ts)
