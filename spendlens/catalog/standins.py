@@ -8,6 +8,12 @@ identical inputs; ``{ts_ntz}`` is the one type name the two spell differently.
 
 Spark runs the text with ``spark.sql(text, table=DataFrame)``: no temp views, nothing
 collected, the result is an ordinary lazy DataFrame whose work grows with the tables.
+
+The ``WHERE event_type IN (...)`` clauses of the multi-fact stand-ins give each daily fact
+table its kind of event (attribution rows are sign-ups and purchases, video rows are
+views, ...), and ``% n`` expressions map ids onto a few campaigns and advertisers; every
+event row still lands in the spine and in at least one fact. Nothing is sampled, capped
+or cut to make a check cheaper.
 """
 
 from __future__ import annotations
