@@ -170,3 +170,17 @@ def test_cli_runs_and_republishes_a_campaign_report(spark, tmp_path):
     # CREATE SCHEMA IF NOT EXISTS leaves an existing schema as it is, as in the source
     props = {r[0]: r[1] for r in spark.sql("DESCRIBE DATABASE EXTENDED cli_home").collect()}
     assert "Copies" not in str(props.get("Properties"))
+
+
+def test_vars_load_from_yaml_like_json(tmp_path):
+    import json
+    import os
+
+    yaml = pytest.importorskip("yaml")
+    from spendlens.__main__ import load_vars
+    src = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+                       "examples", "vars.json")
+    data = json.load(open(src))
+    path = tmp_path / "vars.yaml"
+    path.write_text(yaml.safe_dump(data))
+    assert load_vars(str(path)) == data == load_vars(src)
