@@ -49,3 +49,28 @@ def test_entry_runs_the_flagship(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns[:4] == ["date", "platform", "campaign_name", "account_name"]
+
+
+def test_every_query_matches_on_the_sort_merge_path(spark, duck):
+    """With broadcasts off (dimensions too big to broadcast, as on a large cluster) every
+    query still equals its oracle."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    bad = []
+    try:
+        for name, fn in sorted(entry.queries().items()):
+            df = fn(spark, SF)
+            res = duck.execute(entry.oracle_sql()[name])
+            ocols = [d[0] for d in res.description]
+            if digest(df.columns, [tuple(r) for r in df.collect()])[0] != \
+                    digest(ocols, res.fetchall())[0]:
+                bad.append(name)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert bad == []
