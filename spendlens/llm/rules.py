@@ -236,18 +236,20 @@ def learn_from(x: dict[str, np.ndarray], bad: np.ndarray, order: np.ndarray, mos
     return out
 
 
-def learn(stats: DataFrame, labels: DataFrame, most_rows: int = 20_000, **options) -> DecisionList:
+def learn(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000, **options) -> DecisionList:
     """Learn from a bounded sample: the ``most_rows`` labelled rows of smallest hash.
 
-    ``stats`` holds the counts of (at least) the labelled documents. Rows that fail the base
-    rules are left out, as the list never judges them.
+    Rows that fail the base rules are left out, as the list never judges them. The sample's
+    ids (at most ``most_rows``) go to the documents, so no text is shuffled.
     """
     lab = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
            .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"),
                    labelled_bucket(F.col("doc_id"), "rules").alias("h"))
            .orderBy("h", "doc_id", "quality").limit(most_rows))
-    rows = (stats.join(lab, "doc_id").where(~base_failed())
-            .select("doc_id", "h", "quality", *(feature(f).alias(f) for f in FEATURES))
+    texts = docs.select("doc_id", "text").join(F.broadcast(lab.select("doc_id").distinct()), "doc_id", "left_semi")
+    rows = (statistics(texts).where(~base_failed())
+            .select("doc_id", *(feature(f).alias(f) for f in FEATURES))
+            .join(F.broadcast(lab), "doc_id")
             .orderBy("h", "doc_id", *FEATURES).limit(most_rows).toPandas())
     if rows.empty or rows.quality.nunique() < 2:
         return DecisionList()
@@ -263,5 +265,4 @@ def judge(stats: DataFrame, rules: DecisionList) -> DataFrame:
 
 def op10_rules(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000) -> DataFrame:
     """Statistics, base rules and learned verdict of every document."""
-    wanted = docs.join(labels.select(F.col("doc_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    return judge(statistics(docs), learn(statistics(wanted), labels, most_rows))
+    return judge(statistics(docs), learn(docs, labels, most_rows))
