@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .packing import op7_pack as _pack
 from .rules import op10_rules as _rules
 from .shared import table
 
@@ -15,7 +17,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_packing": op7_packing,
     "op10_quality_rules": op10_quality_rules,
 }
 
