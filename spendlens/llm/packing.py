@@ -127,9 +127,9 @@ def solve(histogram: dict[int, int], classes: int = CLASSES, gap: float = 5e-4,
         return Plan([], [])
     demand = np.array([histogram[int(c)] for c in sizes], float)
     columns = _greedy_basis(sizes, demand, classes)  # one pattern a column
-    inverse = np.linalg.inv(columns)
+    inverse = _inverse(columns)
     moved = demand * (1 + 1e-4 * np.random.default_rng(len(sizes)).random(len(sizes)))
-    x = np.maximum(inverse @ moved, 0)
+    x = np.maximum(_times(inverse, moved), 0)
     least = (sizes * demand).sum() / classes
     for step in range(most_steps):
         if x.sum() <= (1 + gap) * least:
@@ -141,20 +141,20 @@ def solve(histogram: dict[int, int], classes: int = CLASSES, gap: float = 5e-4,
         if worth <= 1 + 1e-9 or x.sum() * (1 - 1 / worth) <= gap * x.sum():
             break
         entering = pattern[sizes].astype(float)
-        direction = inverse @ entering
+        direction = _times(inverse, entering)
         with np.errstate(divide="ignore", invalid="ignore"):
             ratio = np.where(direction > 1e-9, x / direction, np.inf)
         leave = int(np.argmin(ratio))
         columns[:, leave] = entering
         if step % 200 == 199:
-            inverse = np.linalg.inv(columns)
+            inverse = _inverse(columns)
         else:
             row = inverse[leave] / direction[leave]
             inverse -= np.outer(direction, row)
             inverse[leave] = row
-        x = np.maximum(inverse @ moved, 0)
+        x = np.maximum(_times(inverse, moved), 0)
 
-    x = np.maximum(inverse @ demand, 0)
+    x = np.maximum(_times(inverse, demand), 0)
     uses, patterns, left = [], [], demand.astype(np.int64).copy()
     for k in np.argsort(-x):
         pattern = columns[:, k].round().astype(np.int64)
@@ -168,6 +168,26 @@ def solve(histogram: dict[int, int], classes: int = CLASSES, gap: float = 5e-4,
     return Plan(uses, patterns)
 
 
+def _times(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """A product that starts no threads: the driver's are Spark's."""
+    return (matrix * vector).sum(axis=1)
+
+
+def _inverse(matrix: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan elimination with row pivoting (at most ``CLASSES`` rows)."""
+    n = len(matrix)
+    both = np.hstack([matrix, np.eye(n)])
+    for i in range(n):
+        k = i + int(np.argmax(np.abs(both[i:, i])))
+        if k != i:
+            both[[i, k]] = both[[k, i]]
+        both[i] /= both[i, i]
+        rows = np.flatnonzero(both[:, i])
+        rows = rows[rows != i]
+        both[rows] -= np.outer(both[rows, i], both[i])
+    return both[:, n:].copy()
+
+
 def _greedy_basis(sizes, demand, classes) -> np.ndarray:
     """Patterns filled with the largest classes left, each used until a class runs out."""
     left, columns = demand.copy(), np.zeros((len(sizes), len(sizes)))
