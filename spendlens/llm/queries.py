@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import op1_encode_decode
 from .langid import language_of
 from .packing import op7_pack as _pack
 from .rules import op10_rules as _rules
@@ -18,6 +19,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_of(table(spark, sf_dir, "documents"))
 
@@ -27,6 +32,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
     "op5_language_id": op5_language_id,
     "op7_packing": op7_packing,
     "op10_quality_rules": op10_quality_rules,
