@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op1_encode_decode
 from .langid import language_of
+from .neardup import op4_near_duplicates
 from .packing import op7_pack as _pack
 from .rules import op10_rules as _rules
 from .shared import table
@@ -23,6 +24,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_of(table(spark, sf_dir, "documents"))
 
@@ -33,6 +38,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op4_minhash": op4_minhash,
     "op5_language_id": op5_language_id,
     "op7_packing": op7_packing,
     "op10_quality_rules": op10_quality_rules,
