@@ -135,15 +135,19 @@ def _bags(batches):
 
 def train(docs: DataFrame, per_language: int = 1_000, most_rows: int = 20_000, dimension: int = 16,
           epochs: int = 6, rate: float = 0.3, error: float = 0.01, seed: int = 7) -> Model | None:
-    """Fit on the ``per_language`` rows of smallest hash per label (``most_rows`` in all).
+    """Fit on about ``per_language`` rows of each label (``most_rows`` in all).
+
+    A label's rows are dealt into 16 parts by hash and each part gives its smallest ones, so
+    a label that most rows carry is not ranked in one task.
 
     ``docs`` holds text and lang of the rows that may be learned from.
     """
     h = labelled_bucket(F.col("doc_id"), "lang")
-    ranks = Window.partitionBy("lang").orderBy("h", "doc_id")
+    ranks = Window.partitionBy("lang", "part").orderBy("h", "doc_id")
     chosen = (docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
               .select(h.alias("h"), "doc_id", F.col("lang").cast("string").alias("lang"))
-              .withColumn("r", F.row_number().over(ranks)).where(F.col("r") <= per_language)
+              .withColumn("part", F.pmod(F.xxhash64("h"), F.lit(16)))
+              .withColumn("r", F.row_number().over(ranks)).where(F.col("r") <= -(-per_language // 16))
               .orderBy("r", "lang").limit(most_rows).select("doc_id").distinct())
     sample = (docs.join(F.broadcast(chosen), "doc_id", "left_semi").where("lang IS NOT NULL AND text IS NOT NULL")
               .select(h.alias("h"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")))

@@ -13,6 +13,7 @@ from .neardup import op4_near_duplicates
 from .packing import op7_pack as _pack
 from .rules import op10_rules as _rules
 from .shared import table
+from .topk import op2_top_k
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +25,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -38,10 +43,27 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_topk": op2_topk,
     "op4_minhash": op4_minhash,
     "op5_language_id": op5_language_id,
     "op7_packing": op7_packing,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_topk": """
+WITH rows AS (
+  SELECT vec_id AS id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.id AS query_id, c.id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM rows q JOIN rows c ON q.id % 50 = 0 AND c.id <> q.id),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score
+  FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+}
