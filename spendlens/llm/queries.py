@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .bpe import op1_encode_decode
 from .chat import op3_chat as _chat
 from .langid import language_of
+from .linedup import op6_line_dedup as _lines
 from .neardup import op4_near_duplicates
 from .packing import op7_pack as _pack
 from .rules import op10_rules as _rules
@@ -49,6 +50,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_of(table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat": op3_chat,
     "op4_minhash": op4_minhash,
     "op5_language_id": op5_language_id,
+    "op6_line_dedup": op6_line_dedup,
     "op7_packing": op7_packing,
     "op10_quality_rules": op10_quality_rules,
 }
