@@ -39,7 +39,7 @@ from .word_tokens import _byte_letters
 #: Chunks in the table that every worker gets, and a chunk's bytes there at most.
 MOST_SHARED, LONGEST = 16_384, 2_048
 #: Chunks that a worker remembers besides; it starts anew beyond it (results do not change).
-MOST_KNOWN = 60_000
+MOST_KNOWN = 20_000
 #: How Latin text is cut before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -223,8 +223,11 @@ def decode(rows: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches):
         table = _token_bytes(tokenizer)
         for batch in batches:
-            texts = [b"".join(map(table.__getitem__, ids)).decode("utf-8", "replace") if ids else ""
-                     for ids in (x.as_py() for x in batch.column(1))]
+            column = batch.column(1)
+            flat = column.flatten().to_numpy()
+            ends = np.cumsum([0, *column.value_lengths().fill_null(0).to_pylist()]).tolist()
+            texts = [b"".join(map(table.__getitem__, flat[a:b].tolist())).decode("utf-8", "replace")
+                     for a, b in zip(ends[:-1], ends[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
     return map_arrow(rows.select("doc_id", "ids"), run, "doc_id long, ids array<int>, text string")
