@@ -14,11 +14,16 @@ from .langid import language_of
 from .linedup import op6_line_dedup as _lines
 from .neardup import op4_near_duplicates
 from .packing import op7_pack as _pack
+from .quality_lm import op9_quality
 from .rules import op10_rules as _rules
 from .shared import table
 from .topk import op2_top_k
 
 
+def op9_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
     "op6_line_dedup": op6_line_dedup,
     "op7_packing": op7_packing,
+    "op9_quality_lm": op9_quality_lm,
     "op10_quality_rules": op10_quality_rules,
 }
 
