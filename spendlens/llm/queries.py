@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .bpe import op1_encode_decode
 from .chat import op3_chat as _chat
+from .counts import op8_counts
 from .langid import language_of
 from .linedup import op6_line_dedup as _lines
 from .neardup import op4_near_duplicates
@@ -20,6 +21,10 @@ from .shared import table
 from .topk import op2_top_k
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
     "op6_line_dedup": op6_line_dedup,
     "op7_packing": op7_packing,
+    "op8_token_counts": op8_token_counts,
     "op9_quality_lm": op9_quality_lm,
     "op10_quality_rules": op10_quality_rules,
 }
