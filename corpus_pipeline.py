@@ -1,9 +1,61 @@
-"""Corpus pipeline: quality classifier, language ID, line dedup, near-dedup, packing."""
+"""Corpus pipeline: from raw documents to packed training sequences.
 
-STAGES = []
+Each stage reads what its predecessor kept, written as Parquet. The first four return rows
+with the columns of ``documents``; the last one returns the pieces of the packed sequences.
+
+* quality: documents whose perplexity the Kneser-Ney classifier rejects go;
+* language: documents whose language is unknown or rejected go;
+* lines: lines of templates that recur across documents go (``n_chars`` follows the text);
+* near_duplicates: the document of smallest id stays of each group of near copies;
+* packing: token ids of all documents in sequences of 4096.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from spendlens.llm.langid import known_language, train
+from spendlens.llm.linedup import op6_line_dedup
+from spendlens.llm.neardup import op4_near_duplicates
+from spendlens.llm.packing import op7_pack
+from spendlens.llm.quality_lm import op9_quality
+from spendlens.llm.shared import rows_of, stage, table
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return rows_of(docs, op9_quality(docs, table(spark, sf_dir, "labels")).where("kept"))
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return known_language(docs, train(docs.select("doc_id", "text", "lang")))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    clean = op6_line_dedup(docs)
+    length = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return clean.withColumn("n_chars", F.when(F.col("n_dropped") > 0, length).otherwise(F.col("n_chars"))).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return rows_of(docs, op4_near_duplicates(docs).where("kept"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return op7_pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("quality", quality), ("language", language), ("lines", lines),
+          ("near_duplicates", near_duplicates), ("packing", packing)]
+
+#: SQL cannot express these stages; tests compare them with brute-force versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other over the whole table ``documents``."""
+    out = table(spark, sf_dir, "documents")
+    for k, (name, function) in enumerate(STAGES):
+        out = function(spark, out if k == 0 else stage(out, name), sf_dir)
+    return out

@@ -244,6 +244,22 @@ def op5_language(docs: DataFrame, model: Model | None) -> DataFrame:
     return map_arrow(rows, judge, "doc_id long, lang_pred string, score double, rejected boolean")
 
 
+def known_language(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of ``docs``, whole, whose language is not rejected; no shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches):
+        model = shared.value
+        for batch in batches:
+            for i, j, data, offsets in text_parts(batch, "text"):
+                known = has_letter(data, offsets)
+                if model:
+                    known &= model.predict(data, offsets)[1] >= model.least
+                yield batch.slice(i, j - i).filter(pa.array(known))
+
+    return map_arrow(docs, keep, docs.schema)
+
+
 def language_of(docs: DataFrame, **options) -> DataFrame:
     """Train on the rows that are not held out and judge every row."""
     may = docs.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())

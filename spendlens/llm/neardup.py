@@ -80,11 +80,11 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-_SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("signature", pa.binary())])
+_SIGNED = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("signature", pa.binary())])
 
 
 def sign(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles``, a 128-bit set hash ``h1, h2`` and the signature of every row."""
+    """``doc_id, text_hash, n_shingles``, a 128-bit set hash ``h1, h2`` and the signature of every row."""
     def run(batches):
         for batch in batches:
             for i, j, data, offsets in text_parts(batch, "text"):
@@ -92,12 +92,13 @@ def sign(docs: DataFrame) -> DataFrame:
                 full = [s for s in sets if len(s)]
                 sig = iter(signatures(full)) if full else iter(())
                 yield arrow_rows(
-                    _SIGNED, doc_id=batch.column(0).slice(i, j - i), n_shingles=[len(s) for s in sets],
+                    _SIGNED, doc_id=batch.column(0).slice(i, j - i), text_hash=batch.column(1).slice(i, j - i), n_shingles=[len(s) for s in sets],
                     h1=np.array([ta.mix(s).sum(dtype=_U) for s in sets], _U).view(np.int64),
                     h2=np.array([ta.mix(s ^ _U(0x5851F42D4C957F2D)).sum(dtype=_U) for s in sets], _U).view(np.int64),
                     signature=[next(sig).astype("<u2").tobytes() if len(s) else None for s in sets])
 
-    return map_arrow(_texts(docs), run, "doc_id long, n_shingles long, h1 long, h2 long, signature binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("string").alias("text"))
+    return map_arrow(rows, run, "doc_id long, text_hash long, n_shingles long, h1 long, h2 long, signature binary")
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -251,7 +252,7 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, blobs: DataFrame) -> Da
 
 
 def op4_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every document."""
+    """``doc_id, n_shingles, component_id, kept, text_hash`` of every document."""
     signed = stage(sign(docs), "signed")
     classes = stage(signed.where("n_shingles > 0").groupBy("n_shingles", "h1", "h2")
                     .agg(F.min("doc_id").alias("class_id"), F.first("signature").alias("signature"))
@@ -261,5 +262,6 @@ def op4_near_duplicates(docs: DataFrame) -> DataFrame:
     # rows of one doc_id with different texts are one document
     own = (signed.join(classes.drop("signature"), ["n_shingles", "h1", "h2"], "left")
            .join(links.select(F.col("node").alias("class_id"), "component"), "class_id", "left")
-           .select("doc_id", "n_shingles", F.coalesce("component", "class_id", "doc_id").alias("component_id")))
-    return own.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+           .select("doc_id", "n_shingles", F.coalesce("component", "class_id", "doc_id").alias("component_id"), "text_hash"))
+    return own.select("doc_id", "n_shingles", "component_id",
+                      F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"), "text_hash")

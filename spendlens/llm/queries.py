@@ -26,7 +26,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op9_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return op9_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_hash")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +53,7 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op4_near_duplicates(table(spark, sf_dir, "documents"))
+    return op4_near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

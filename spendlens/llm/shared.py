@@ -100,3 +100,9 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
 def arrow_rows(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
+
+
+def rows_of(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id and text (by hash) stand in ``verdicts``; nulls match."""
+    v = verdicts.select(F.col("doc_id").alias("_v_id"), F.col("text_hash").alias("_v_hash"))
+    return docs.join(v, F.col("doc_id").cast("long").eqNullSafe(F.col("_v_id")) & (F.xxhash64("text") == F.col("_v_hash")), "left_semi")
