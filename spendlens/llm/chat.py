@@ -1,7 +1,7 @@
 """Chat formatting of reply trees, with DataFrame operations only.
 
 A message answers its parent. Self-joins that double their reach each time (a message's
-jump goes 1, 2, 4 ... messages up) give every message its depth and the score of its path;
+jump goes 1, 2, 4 ... messages up; only messages below that depth still take part) give every message its depth and the score of its path;
 the leaves of a tree are ranked by that score, and the same jumps, largest first, list the
 messages of each chosen root-to-leaf path exactly once. Each path becomes one text:
 
@@ -64,26 +64,26 @@ def paths(messages: DataFrame, best: int = 1) -> DataFrame:
     parents = one.select("tree", F.col("id").alias("parent"), F.lit(True).alias("known"))
     up = stage(one.join(parents, ["tree", "parent"], "left").select(
         "tree", "id", F.when(F.col("known"), F.col("parent")).alias("jump"), "score", F.lit(1).cast("long").alias("depth")), "jumps")
-    jumps, open_before = [up], None
+    # open: messages that have not reached their root yet; whole: those that have
+    whole, opened, jumps, open_before = up.where("jump IS NULL"), up.where("jump IS NOT NULL"), [], None
     while True:
-        still = jumps[-1].where("jump IS NOT NULL").count()
+        still = opened.count()
         if still == 0 or still == open_before:  # what is left goes round in cycles
             break
         open_before = still
-        here = jumps[-1]
-        further = here.select("tree", F.col("id").alias("jump"), F.col("jump").alias("jump2"), F.col("score").alias("score2"), F.col("depth").alias("depth2"))
-        jumps.append(stage(here.join(further, ["tree", "jump"], "left").select(
-            "tree", "id", F.col("jump2").alias("jump"), (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"),
-            (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth")), "jumps"))
-    whole = jumps[-1].where("jump IS NULL")
+        jumps.append(opened.select("tree", "id", "jump"))
+        further = opened.union(whole).select(
+            "tree", F.col("id").alias("jump"), F.col("jump").alias("jump2"), F.col("score").alias("score2"), F.col("depth").alias("depth2"))
+        now = stage(opened.join(further, ["tree", "jump"]).select(
+            "tree", "id", F.col("jump2").alias("jump"), (F.col("score") + F.col("score2")).alias("score"),
+            (F.col("depth") + F.col("depth2")).alias("depth")), "jumps")
+        whole, opened = whole.union(now.where("jump IS NULL")), now.where("jump IS NOT NULL")
     answered = up.where("jump IS NOT NULL").select("tree", F.col("jump").alias("id")).distinct()
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("score"), "id"))
     chosen = (whole.join(answered, ["tree", "id"], "left_anti").withColumn("path", rank)
               .where(F.col("path") <= best).select("tree", "path", "id"))
-    for level in reversed(jumps[:-1]):
-        chosen = chosen.union(chosen.join(level.where("jump IS NOT NULL").select("tree", "id", "jump"), ["tree", "id"])
-                              .select("tree", "path", F.col("jump").alias("id")))
-        chosen = stage(chosen, "paths")
+    for level in reversed(jumps):
+        chosen = stage(chosen.union(chosen.join(level, ["tree", "id"]).select("tree", "path", F.col("jump").alias("id"))), "paths")
     return chosen.join(whole.select("tree", "id", "depth"), ["tree", "id"])
 
 
