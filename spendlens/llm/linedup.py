@@ -153,7 +153,8 @@ def op6_line_dedup(docs: DataFrame, most_share: float = MOST_SHARE) -> DataFrame
     columns = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
     parts = F.split("text", "\n", -1)
     keep = F.filter(parts, lambda x, i: ~F.array_contains("_llm_lines", i))
-    out = docs.withColumn("_llm_hash", F.xxhash64("text")).join(drop, "_llm_hash", "left")
+    # the lists grow with the corpus: a merge join at every size, never a broadcast
+    out = docs.withColumn("_llm_hash", F.xxhash64("text")).join(drop.hint("merge"), "_llm_hash", "left")
     return out.select(
         *columns, F.when(F.col("_llm_lines").isNull(), F.col("text")).otherwise(F.array_join(keep, "\n")).alias("text"),
         F.when(F.col("text").isNotNull(), F.size(parts)).otherwise(0).cast("long").alias("n_lines"),
