@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,60 +32,69 @@ def replace_table(df: DataFrame, name: str, spec: ReportSpec | None = None,
                   fmt: str | None = None, via_staging: bool = False) -> None:
     """``CREATE OR REPLACE TABLE name (...declared columns...) AS <df>``.
 
-    The write is the Spark action that runs the whole report plan. On a catalog with
+    The write is the Spark action that runs the whole report plan, once. On a catalog with
     v2 tables (e.g. Delta or Iceberg) it is an atomic ``createOrReplace``, as the source's
-    statement is; Spark's session catalog does not support that for its file tables, so
-    there the table is overwritten. ``fmt`` picks the table provider (default: the
-    catalog's). When ``df`` reads the table it replaces (which Spark refuses to
-    overwrite), the result goes through a differently named staging table first;
-    ``via_staging`` forces that route.
+    statement is. Spark's session catalog does not support that for its file tables; there
+    the result is written to a new table of a unique name, which then takes the target's
+    place by renaming, and the old table is dropped last. A report that fails leaves the
+    old table as it was, and ``df`` may read the table it replaces. ``fmt`` picks the table
+    provider (default: the catalog's); ``via_staging`` forces the renaming route.
     """
     out = conform(df, spec) if spec is not None else df
     if not via_staging:
+        writer = out.writeTo(name)
+        if fmt:
+            writer = writer.using(fmt)
         try:
-            _overwrite(out, name, fmt)
+            writer.createOrReplace()
             return
-        except Exception as e:  # noqa: BLE001 - only "reads its own target" falls through
-            if _condition(e) != "UNSUPPORTED_OVERWRITE.TABLE":
+        except Exception as e:  # noqa: BLE001 - only "not supported here" falls through
+            if _condition(e) not in ("UNSUPPORTED_FEATURE.TABLE_OPERATION", "UNSUPPORTED_OVERWRITE.TABLE"):
                 raise
-    spark = out.sparkSession
-    staging = name + "__staging"
-    _overwrite(out, staging, fmt)
-    _overwrite(spark.table(staging), name, fmt)
-    spark.sql(f"DROP TABLE IF EXISTS {quote_ident(staging)}")
+    _write_and_swap(out, name, fmt)
 
 
 def _condition(e: Exception) -> str | None:
     return getattr(e, "getCondition", getattr(e, "getErrorClass", lambda: None))()
 
 
-def _overwrite(df: DataFrame, name: str, fmt: str | None) -> None:
-    """Atomic ``createOrReplace`` where the catalog supports it, else an overwrite.
-
-    The session catalog rejects the replace while analysing it (nothing is written), and
-    then ``saveAsTable`` overwrites. A catalog that forgets tables between sessions
-    (Spark's in-memory one) leaves the files of an earlier run at the table's managed
-    location, and Spark refuses to create the table there; replacing means replacing
-    those files too, so the table is written to that location and registered on it.
-    """
-    writer = df.writeTo(name)
+def _write_and_swap(df: DataFrame, name: str, fmt: str | None) -> None:
+    spark = df.sparkSession
+    run = uuid.uuid4().hex[:12]
+    fresh, old = f"{name}__new_{run}", f"{name}__old_{run}"
+    writer = df.write.mode("errorifexists")
     if fmt:
-        writer = writer.using(fmt)
+        writer = writer.format(fmt)
     try:
-        writer.createOrReplace()
-        return
-    except Exception as e:  # noqa: BLE001 - only "not supported here" falls through
-        if _condition(e) != "UNSUPPORTED_FEATURE.TABLE_OPERATION":
-            raise
-    out = df.write.mode("overwrite")
-    if fmt:
-        out = out.format(fmt)
+        writer.saveAsTable(fresh)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {quote_ident(fresh)}")
+        raise
+    replaced = spark.catalog.tableExists(name)
+    if replaced:
+        _rename(spark, name, old)
     try:
-        out.saveAsTable(name)
+        _rename(spark, fresh, name)
     except Exception as e:  # noqa: BLE001 - only one error condition is handled
-        if _condition(e) != "LOCATION_ALREADY_EXISTS":
-            raise
-        out.option("path", _managed_location(df, name)).saveAsTable(name)
+        if replaced:
+            _rename(spark, old, name)
+        if _condition(e) == "LOCATION_ALREADY_EXISTS":
+            # files at the managed location that renaming does not move: those of an earlier
+            # session that this (in-memory) catalog does not know about, or of a table that
+            # was registered on them. Replacing means replacing those files too; the result
+            # stays in the new table until its copy is complete
+            rest = spark.table(fresh).write.mode("overwrite").option("path", _managed_location(df, name))
+            (rest.format(fmt) if fmt else rest).saveAsTable(name)
+            spark.sql(f"DROP TABLE IF EXISTS {quote_ident(fresh)}")
+            return
+        spark.sql(f"DROP TABLE IF EXISTS {quote_ident(fresh)}")
+        raise
+    if replaced:
+        spark.sql(f"DROP TABLE IF EXISTS {quote_ident(old)}")
+
+
+def _rename(spark: SparkSession, name: str, to: str) -> None:
+    spark.sql(f"ALTER TABLE {quote_ident(name)} RENAME TO {quote_ident(to)}")
 
 
 def _managed_location(df: DataFrame, name: str) -> str:

@@ -1,5 +1,8 @@
 import uuid
 
+import pytest
+from pyspark.sql import functions as F
+
 from conftest import rows
 from fixtures import platform_tables
 from spendlens.plans import run_report
@@ -70,3 +73,17 @@ def test_replace_table_over_files_left_by_an_earlier_session(spark):
     assert rows(spark.table(f"{db}.t")) == [(1,), (2,)]
     replace_table(spark.createDataFrame([(3,)], "x bigint"), f"{db}.t")
     assert rows(spark.table(f"{db}.t")) == [(3,)]
+
+
+def test_a_failing_report_leaves_the_old_table(spark):
+    db = _db()
+    ensure_schema(spark, db)
+    replace_table(spark.createDataFrame([(1,)], "x bigint"), f"{db}.t")
+    bad = spark.range(3).select(F.raise_error(F.lit("report failed")).cast("bigint").alias("x"))
+    with pytest.raises(Exception, match="report failed"):
+        replace_table(bad, f"{db}.t")
+    assert rows(spark.table(f"{db}.t")) == [(1,)]
+    # no table of a failed or finished run is left over
+    replace_table(spark.table(f"{db}.t").selectExpr("x + 1 AS x"), f"{db}.t")
+    assert rows(spark.table(f"{db}.t")) == [(2,)]
+    assert [t.name for t in spark.catalog.listTables(db)] == ["t"]
