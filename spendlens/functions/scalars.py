@@ -53,16 +53,23 @@ def platform_label(col: Column | str) -> Column:
     return label_map(col, PLATFORM_LABELS, initcap_delims)
 
 
+def _utc_clock(instant: Column) -> Column:
+    """The UTC wall clock of an instant, from its microseconds: no session zone is passed
+    through, so the repeated hour of a clock change stays what it is."""
+    seconds = (F.unix_micros(instant).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)"))
+    return (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+            + F.make_dt_interval(secs=seconds.cast("decimal(18,6)")))
+
+
 def local_datetime(col: Column | str, tz: str, input_type: T.DataType | None = None) -> Column:
     """Wall-clock time in ``tz`` of an instant, as ``timestamp_ntz``.
 
-    A ``timestamp`` (instant) input is converted from the session zone; a
+    A ``timestamp`` (instant) input does not depend on the session zone; a
     ``timestamp_ntz`` input is read as UTC wall clock (how load stamps are stored).
     """
     c = F.col(col) if isinstance(col, str) else col
-    if isinstance(input_type, T.TimestampNTZType):
-        return F.convert_timezone(F.lit("UTC"), F.lit(tz), c)
-    return F.convert_timezone(None, F.lit(tz), c.cast("timestamp_ntz"))
+    utc = c if isinstance(input_type, T.TimestampNTZType) else _utc_clock(c.cast("timestamp"))
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
 
 
 def utc_date(col: Column | str, input_type: T.DataType | None = None) -> Column:
@@ -74,7 +81,7 @@ def utc_date(col: Column | str, input_type: T.DataType | None = None) -> Column:
     """
     c = F.col(col) if isinstance(col, str) else col
     if isinstance(input_type, T.TimestampType):
-        return F.to_date(F.convert_timezone(None, F.lit("UTC"), c.cast("timestamp_ntz")))
+        return F.to_date(_utc_clock(c))
     return F.to_date(c)
 
 

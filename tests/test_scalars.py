@@ -67,3 +67,21 @@ def test_utc_date_ignores_the_session_zone(spark):
         assert str(r.naive) == "2024-01-02"   # what plain to_date would have given
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_repeated_hour_of_a_clock_change_is_kept(spark):
+    """2024-11-03 05:30Z and 06:30Z are both 01:30 in New York."""
+    from spendlens.functions.scalars import utc_date
+    old = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.range(1).select(F.timestamp_micros(F.lit(1730611800 * 1_000_000)).alias("a"),
+                               F.timestamp_micros(F.lit(1730615400 * 1_000_000)).alias("b"))
+    try:
+        for zone in ("America/New_York", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            r = df.select(*[local_datetime(c, z, T.TimestampType()).cast("string")
+                            for c in "ab" for z in ("UTC", "America/New_York")],
+                          utc_date("b", T.TimestampType()).cast("string")).first()
+            assert list(r) == ["2024-11-03 05:30:00", "2024-11-03 01:30:00",
+                               "2024-11-03 06:30:00", "2024-11-03 01:30:00", "2024-11-03"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
