@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -38,24 +37,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only if unset (tests)."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    existing = spark.sparkContext.getCheckpointDir()
-    if existing:
-        return existing
-    path = tempfile.mkdtemp(prefix="spendlens-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
 def apply_defaults(spark: SparkSession) -> SparkSession:
     """Set ``DEFAULTS`` on a running session where the cluster has not set them."""
     for k, v in DEFAULTS.items():
@@ -75,7 +59,7 @@ def cluster_settings(largest_shuffle_bytes: int, partition_bytes: int = 256 << 2
     only below ``broadcast_bytes`` of measured shuffle size (AQE), or a quarter of it by
     file statistics before the run.
     """
-    initial = min(100_000, max(200, math.ceil(largest_shuffle_bytes / (64 << 20))))
+    initial = max(200, math.ceil(largest_shuffle_bytes / (64 << 20)))
     return {
         "spark.sql.shuffle.partitions": str(initial),
         "spark.sql.adaptive.enabled": "true",
