@@ -94,10 +94,12 @@ def _snowflake(where: str = "") -> str:
     return f"""
 WITH fact AS (SELECT l_orderkey, sum({M}) AS cost, sum(CAST(l_quantity AS BIGINT)) AS qty
               FROM lineitem GROUP BY 1),
-o AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS customer_id,
+o AS (SELECT CAST(o_orderkey AS VARCHAR) AS id,
+             CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS customer_id,
              o_orderpriority FROM orders),
-c AS (SELECT CAST(c_custkey AS VARCHAR) AS id, c_name, CAST(c_nationkey AS VARCHAR) AS nation_id
-      FROM customer WHERE c_acctbal > 5000),
+c AS (SELECT CAST(c_custkey AS VARCHAR) AS id, c_name,
+             CASE WHEN c_acctbal > 0 THEN CAST(c_nationkey AS VARCHAR) END AS nation_id
+      FROM customer),
 n AS (SELECT CAST(n_nationkey AS VARCHAR) AS id, n_name, CAST(n_regionkey AS VARCHAR) AS region_id
       FROM nation),
 r AS (SELECT CAST(r_regionkey AS VARCHAR) AS id, r_name FROM region)
@@ -116,27 +118,23 @@ WITH fact AS (SELECT l_orderkey, sum({M}) AS cost FROM lineitem GROUP BY 1),
 newest AS (SELECT * FROM (
     SELECT *, rank() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate DESC NULLS LAST) AS r1,
            row_number() OVER (PARTITION BY o_orderpriority, o_orderdate ORDER BY o_orderkey) AS r2
-    FROM orders) WHERE r1 = 1 AND r2 = 1),
-c AS (SELECT * FROM customer WHERE c_acctbal > 5000)
+    FROM orders) WHERE r1 = 1 AND r2 = 1)
 SELECT fact.l_orderkey, CAST(fact.cost AS DOUBLE) AS cost, c.c_name,
        newest.o_orderkey AS newest_in_priority
 FROM fact
 LEFT JOIN orders o ON fact.l_orderkey = o.o_orderkey
-LEFT JOIN c ON o.o_custkey = c.c_custkey
+LEFT JOIN customer c ON o.o_custkey = c.c_custkey AND o.o_orderkey % 5 <> 0
 LEFT JOIN newest ON o.o_orderpriority = newest.o_orderpriority"""
 
 STAR_JOIN = f"""
 WITH fact AS (SELECT l_orderkey, l_partkey, l_suppkey, sum({M}) AS cost
-              FROM lineitem GROUP BY 1, 2, 3),
-o AS (SELECT * FROM orders WHERE o_orderstatus <> 'P'),
-p AS (SELECT * FROM part WHERE p_size > 10),
-s AS (SELECT * FROM supplier WHERE s_acctbal > 0)
+              FROM lineitem GROUP BY 1, 2, 3)
 SELECT fact.l_orderkey, fact.l_partkey, fact.l_suppkey, CAST(fact.cost AS DOUBLE) AS cost,
        o.o_orderpriority, p.p_name, s.s_name
 FROM fact
-LEFT JOIN o ON fact.l_orderkey = o.o_orderkey
-LEFT JOIN p ON fact.l_partkey = p.p_partkey
-LEFT JOIN s ON fact.l_suppkey = s.s_suppkey"""
+LEFT JOIN orders o ON fact.l_orderkey = o.o_orderkey AND fact.l_orderkey % 5 <> 0
+LEFT JOIN part p ON fact.l_partkey = p.p_partkey AND fact.l_partkey % 7 <> 0
+LEFT JOIN supplier s ON fact.l_suppkey = s.s_suppkey AND fact.l_suppkey % 3 <> 0"""
 
 PIVOT_SINGLE = """
 SELECT user_id, CAST(ts AS DATE) AS date,
@@ -243,9 +241,10 @@ LEFT JOIN engagement ON attribution.ad_id = engagement.ad_id AND attribution._gn
 LEFT JOIN event ON engagement.ad_id = event.ad_id AND engagement._gn_id = event._gn_id
 LEFT JOIN video ON event.ad_id = video.ad_id AND event._gn_id = video._gn_id"""
     elif mode == "chained":
-        links = [("metrics", "page"), ("metrics", "attribution"), ("attribution", "engagement"),
+        links = [("metrics", "attribution"), ("attribution", "engagement"),
                  ("engagement", "event"), ("event", "video")]
-        joins = "".join(
+        joins = "\nLEFT JOIN page ON metrics.ad_id = page.ad_id AND metrics.date = page.date"
+        joins += "".join(
             f"\nLEFT JOIN {t} ON {p}.date = {t}.date AND {p}.ad_id = {t}.ad_id "
             f"AND {p}._gn_id = {t}._gn_id" for p, t in links)
     else:
@@ -285,6 +284,24 @@ SELECT date, ad_id, _gn_id, CAST(cost AS DOUBLE) AS cost,
 FROM api"""
 
 
+def _week_sql(by_day: bool) -> str:
+    """Two facts whose ``_gn_id`` is a user's week; the source joins them without the day."""
+    day = " AND spine.date = sales.date" if by_day else ""
+    return f"""
+WITH ev AS (SELECT CAST(ts AS DATE) AS date, user_id AS ad_id, event_type,
+                   CAST(value AS DECIMAL(18,2)) AS amount,
+                   concat(CAST(user_id AS VARCHAR), '-',
+                          CAST(CAST(date_trunc('week', ts) AS DATE) AS VARCHAR)) AS _gn_id
+            FROM events),
+spine AS (SELECT date, ad_id, _gn_id, sum(amount) AS cost, count(*) AS events FROM ev GROUP BY 1, 2, 3),
+sales AS (SELECT date, ad_id, _gn_id, sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS purchases,
+                 sum(amount) AS sale_value
+          FROM ev WHERE event_type IN ('purchase', 'signup') GROUP BY 1, 2, 3)
+SELECT spine.date, spine.ad_id, spine._gn_id, CAST(cost AS DOUBLE) AS cost, CAST(events AS BIGINT) AS events,
+       CAST(purchases AS BIGINT) AS purchases, CAST(sale_value AS DOUBLE) AS sale_value
+FROM spine LEFT JOIN sales ON spine.ad_id = sales.ad_id AND spine._gn_id = sales._gn_id{day}"""
+
+
 def report_multi_fact_sql(mode: str, where: str) -> str:
     """The multi-fact report over its stand-ins for one stitching mode and final filter."""
     return _multi_fact_api(mode) + _REPORT_MULTI_FACT_TAIL.replace("{where}", where)
@@ -556,6 +573,8 @@ ORACLE_SQL: dict[str, str] = {
     "multi_fact_stitch": _stitch_sql("as_written"),
     "multi_fact_grain_safe": _stitch_sql("grain_safe"),
     "multi_fact_chained": _stitch_sql("chained"),
+    "multi_fact_week": _week_sql(by_day=False),
+    "multi_fact_week_chained": _week_sql(by_day=True),
     "history_fan_out": HISTORY_FAN_OUT,
     "history_latest": HISTORY_LATEST,
     "publish_round_trip": STAR_JOIN,

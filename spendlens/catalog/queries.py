@@ -9,13 +9,15 @@ type.
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import local_datetime, platform_label
-from ..operators.enrich import chain, left_join
+from ..operators.enrich import chain, left_join, stitch_facts
 from ..operators.facts import constant_sum, product_sum, rollup
 from ..operators.filters import account_allow_list, allow_list_predicate, regex_filters
 from ..operators.history import current_only, latest_by
@@ -110,16 +112,18 @@ def _order_fact(spark, sf_dir):
                                        "qty": F.sum(F.col("l_quantity").cast("bigint"))})
 
 
-def _string_dims(spark, sf_dir, rich_customers=True):
-    """orders -> customer -> nation -> region with string ids (dimension side)."""
+def _string_dims(spark, sf_dir):
+    """orders -> customer -> nation -> region with string ids (dimension side).
+
+    Whole tables; NULL links (every fifth order's, poor customers') make the join misses.
+    """
     orders = _t(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("id"),
-        F.col("o_custkey").cast("string").alias("customer_id"), "o_orderpriority")
-    customer = _t(spark, sf_dir, "customer")
-    if rich_customers:
-        customer = customer.where(F.col("c_acctbal") > 5000)
-    customer = customer.select(F.col("c_custkey").cast("string").alias("id"), "c_name",
-                               F.col("c_nationkey").cast("string").alias("nation_id"))
+        F.when(F.col("o_orderkey") % 5 != 0, F.col("o_custkey")).cast("string").alias("customer_id"),
+        "o_orderpriority")
+    customer = _t(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("id"), "c_name",
+        F.when(F.col("c_acctbal") > 0, F.col("c_nationkey")).cast("string").alias("nation_id"))
     nation = _t(spark, sf_dir, "nation").select(
         F.col("n_nationkey").cast("string").alias("id"), "n_name",
         F.col("n_regionkey").cast("string").alias("region_id"))
@@ -167,10 +171,10 @@ def account_allow_list_cast(spark, sf_dir):
 def snowflake_branch(spark, sf_dir):
     fact = _order_fact(spark, sf_dir)
     orders = _t(spark, sf_dir, "orders")
-    customer = _t(spark, sf_dir, "customer").where(F.col("c_acctbal") > 5000)
+    customer = _t(spark, sf_dir, "customer")
     newest = latest_by(orders, ["o_orderpriority"], "o_orderdate", ["o_orderkey"])
     base = orders.select(F.col("o_orderkey").alias("__order_key"),
-                         F.col("o_custkey").alias("__cust_link"),
+                         F.when(F.col("o_orderkey") % 5 != 0, F.col("o_custkey")).alias("__cust_link"),
                          F.col("o_orderpriority").alias("__prio_link"))
     dims = chain(base, [
         (customer, [("__cust_link", "c_custkey")], {"c_name": "c_name"}, "left"),
@@ -187,13 +191,14 @@ def star_join(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem")
     fact = rollup(li, ["l_orderkey", "l_partkey", "l_suppkey"],
                   {"cost": F.sum(_money("l_extendedprice"))})
-    orders = _t(spark, sf_dir, "orders").where(F.col("o_orderstatus") != "P")
-    part = _t(spark, sf_dir, "part").where(F.col("p_size") > 10)
-    supplier = _t(spark, sf_dir, "supplier").where(F.col("s_acctbal") > 0)
-    out = left_join(fact, orders, [("l_orderkey", "o_orderkey")],
+    # whole dimensions; NULL links make the join misses
+    for k, n in (("order", 5), ("part", 7), ("supp", 3)):
+        fact = fact.withColumn(f"__{k}_link", F.when(F.col(f"l_{k}key") % n != 0, F.col(f"l_{k}key")))
+    orders, part, supplier = (_t(spark, sf_dir, t) for t in ("orders", "part", "supplier"))
+    out = left_join(fact, orders, [("__order_link", "o_orderkey")],
                     {"o_orderpriority": "o_orderpriority"})
-    out = left_join(out, part, [("l_partkey", "p_partkey")], {"p_name": "p_name"})
-    out = left_join(out, supplier, [("l_suppkey", "s_suppkey")], {"s_name": "s_name"})
+    out = left_join(out, part, [("__part_link", "p_partkey")], {"p_name": "p_name"})
+    out = left_join(out, supplier, [("__supp_link", "s_suppkey")], {"s_name": "s_name"})
     return out.select("l_orderkey", "l_partkey", "l_suppkey",
                       F.col("cost").cast("double").alias("cost"),
                       "o_orderpriority", "p_name", "s_name")
@@ -344,6 +349,29 @@ def multi_fact_chained(spark, sf_dir):
     return _stitch(spark, sf_dir, "chained")
 
 
+def _week_stitch(spark, sf_dir, mode):
+    """Two facts whose ``_gn_id`` stands for a user's week, so a group spans days."""
+    ev = _t(spark, sf_dir, "events").select(
+        F.to_date("ts").alias("date"), F.col("user_id").alias("ad_id"), "event_type", "value",
+        F.concat(F.col("user_id").cast("string"), F.lit("-"),
+                 F.to_date(F.date_trunc("week", "ts")).cast("string")).alias("_gn_id"))
+    keys = ["date", "ad_id", "_gn_id"]
+    spine = rollup(ev, keys, {"cost": F.sum(_money("value")), "events": F.count(F.lit(1))})
+    sales = rollup(ev.where(F.col("event_type").isin("purchase", "signup")), keys,
+                   {"purchases": F.sum(_ind("purchase")), "sale_value": F.sum(_money("value"))})
+    out = stitch_facts(spine, None, [(sales, ["purchases", "sale_value"])], mode=mode)
+    return out.withColumn("cost", F.col("cost").cast("double")) \
+              .withColumn("sale_value", F.col("sale_value").cast("double"))
+
+
+def multi_fact_week(spark, sf_dir):
+    return _week_stitch(spark, sf_dir, "as_written")
+
+
+def multi_fact_week_chained(spark, sf_dir):
+    return _week_stitch(spark, sf_dir, "chained")
+
+
 def history_fan_out(spark, sf_dir, latest: bool = False):
     ev = _events_by_user_day(spark, sf_dir)
     spine = rollup(ev, ["date", "user_id"], {"n_events": F.count(F.lit(1))})
@@ -392,10 +420,14 @@ PUBLISH_SPEC = ReportSpec(
 
 
 def publish_round_trip(spark, sf_dir):
-    """Write the star join as a typed, commented table, republish it, read the copy."""
+    """Write the star join as a typed, commented table, republish it, read the copy.
+
+    Each run has table names of its own, so runs that share a warehouse do not meet.
+    """
+    spec = replace(PUBLISH_SPEC, target=f"{PUBLISH_SPEC.target}_{uuid.uuid4().hex[:12]}")
     ensure_schema(spark, "spendlens_home", "report outputs")
-    replace_table(star_join(spark, sf_dir), PUBLISH_SPEC.target, PUBLISH_SPEC)
-    dst = republish(spark, PUBLISH_SPEC)
+    replace_table(star_join(spark, sf_dir), spec.target, spec)
+    dst = republish(spark, spec)
     return spark.table(dst)
 
 
@@ -431,6 +463,8 @@ QUERIES: dict[str, Query] = {
     "multi_fact_stitch": multi_fact_stitch,
     "multi_fact_grain_safe": multi_fact_grain_safe,
     "multi_fact_chained": multi_fact_chained,
+    "multi_fact_week": multi_fact_week,
+    "multi_fact_week_chained": multi_fact_week_chained,
     "history_fan_out": history_fan_out,
     "history_latest": history_latest,
     "publish_round_trip": publish_round_trip,

@@ -41,6 +41,9 @@ def _ind(event: str) -> str:
 
 GN_ID = "concat(CAST(user_id AS STRING), '-', CAST(CAST(ts AS DATE) AS STRING))"
 _FACT_KEYS = f"ts AS stat_time_day, user_id AS ad_id, {GN_ID} AS _gn_id"
+# the page fact has group ids of its own for every third ad: the source joins it by ad and day
+_PAGE_KEYS = (f"ts AS stat_time_day, user_id AS ad_id, CASE WHEN user_id % 3 = 0 "
+              f"THEN concat('page-', {GN_ID}) ELSE {GN_ID} END AS _gn_id")
 
 
 def _measures(cols, given: Mapping[str, str]) -> str:
@@ -190,7 +193,7 @@ MULTI_FACT_SOURCES = {
             'video_views_p100': BIG1, 'video_views_p25': BIG1, 'video_play_actions': BIG1})}
         FROM {{events}} WHERE event_type = 'view'""",
     PAGE_EVENT[0]: f"""
-        SELECT {_FACT_KEYS},
+        SELECT {_PAGE_KEYS},
                CASE WHEN event_type = 'purchase' THEN {BIG1} END AS complete_payment,
                {MONEY_EV} AS value_per_complete_payment,
                {_measures(PAGE_EVENT[1], {'on_web_order': _ind('purchase'),
@@ -229,32 +232,18 @@ def _used_tables(text: str) -> list[str]:
     return [t for t in BASE_TABLES if "{" + t + "}" in text]
 
 
-_READS: dict[tuple, DataFrame] = {}
-
-
 def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """``spark.read.parquet`` of one test table; the (lazy) reader is reused per session
-    so its file listing and footer read happen once, not once per query."""
-    key = (id(spark), sf_dir.rstrip("/"), name)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return _READS[key]
-
-
-_SOURCES: dict[tuple, dict[str, DataFrame]] = {}
+    """``spark.read.parquet`` of one test table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def spark_sources(spark: SparkSession, sf_dir: str, kind: str) -> dict[str, DataFrame]:
-    """Stand-in source tables of one report kind as lazy Spark DataFrames (defined once
-    per session, like the source tables they stand in for)."""
-    key = (id(spark), sf_dir.rstrip("/"), kind)
-    if key not in _SOURCES:
-        out = {}
-        for name, text in SOURCES[kind].items():
-            tables = {t: base_table(spark, sf_dir, t) for t in _used_tables(text)}
-            out[name] = spark.sql(text.replace("{ts_ntz}", "TIMESTAMP_NTZ"), **tables)
-        _SOURCES[key] = out
-    return dict(_SOURCES[key])
+    """Stand-in source tables of one report kind as lazy Spark DataFrames."""
+    used = {t for text in SOURCES[kind].values() for t in _used_tables(text)}
+    tables = {t: base_table(spark, sf_dir, t) for t in sorted(used)}
+    return {name: spark.sql(text.replace("{ts_ntz}", "TIMESTAMP_NTZ"),
+                            **{t: tables[t] for t in _used_tables(text)})
+            for name, text in SOURCES[kind].items()}
 
 
 def duckdb_ctes(kind: str, prefix: str = "") -> str:

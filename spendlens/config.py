@@ -1,18 +1,20 @@
 """Build a ``ReportSpec`` from a nested ``vars`` mapping (the source reports' configuration).
 
 Users of the source reports keep their settings in one nested variables mapping, usually
-loaded from YAML or JSON. ``spec_from_vars`` reads the same keys, so an existing
-configuration can drive these reports unchanged:
+loaded from YAML or JSON. ``spec_from_vars`` reads the same keys. Field expressions are run
+as Spark SQL, so those written in another dialect must be rewritten; nothing translates them:
 
     vars[<service>]: account_ids, active, source_dataset_id, conversions,
                      regexp_filters, actions, action_values, pivots,
-                     models[<model>]: dimensions, metrics, active, table_id
+                     models[<model>]: dimensions, metrics, active, table_id,
+                                      stitch, history_order, history_tiebreak
     vars: output_dataset_id, timezone,
           external_project: active, project_id,
                             schema_settings: location, description, friendly_name
 
 Truthiness follows the template language the settings were written for: only a missing
-value (None) and ``False`` are false.
+value (None) and ``False`` are false. Fields are picked where ``default`` or ``active``
+*equals* true, as the templates filter them.
 """
 
 from __future__ import annotations
@@ -52,7 +54,7 @@ def _fields(items) -> tuple[FieldSpec, ...]:
     for d in items or ():
         try:
             out.append(FieldSpec(name=d["name"], type=d["type"], expression=d["expression"],
-                                 default=truthy(d.get("default")), active=truthy(d.get("active"))))
+                                 default=d.get("default") is True, active=d.get("active") is True))
         except KeyError as e:
             raise SpecError(f"field {d!r} lacks {e}") from e
     return tuple(out)
@@ -101,5 +103,9 @@ def spec_from_vars(vars_: Mapping, service: str, model: str, kind: str,
         run_ts=run_ts,
         external=external,
     )
+    for name in ("stitch", "history_order", "history_tiebreak"):
+        if mdl.get(name) is not None:
+            value = mdl[name]
+            fields[name] = (value,) if name == "history_tiebreak" and isinstance(value, str) else value
     fields.update(overrides)
     return ReportSpec(**fields)

@@ -6,7 +6,7 @@ from .filters import account_allow_list, allow_list_predicate, regex_filters, re
 from .history import assert_unique, current_only, duplicate_keys, latest_by
 from .pivot import pivot_metrics, pivot_name
 from .shape import build_report, empty_report
-from .sync import attach_sync, no_sync, run_time_literal, sync_info
+from .sync import attach_sync, run_time_literal, sync_info
 
 __all__ = [
     "chain", "key_pair", "left_join", "stitch_facts",
@@ -15,5 +15,5 @@ __all__ = [
     "assert_unique", "current_only", "duplicate_keys", "latest_by",
     "pivot_metrics", "pivot_name",
     "build_report", "empty_report",
-    "attach_sync", "no_sync", "run_time_literal", "sync_info",
+    "attach_sync", "run_time_literal", "sync_info",
 ]

@@ -12,6 +12,7 @@ unknown.
 from __future__ import annotations
 
 import itertools
+from collections.abc import Collection
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -51,9 +52,12 @@ def key_pair(left: DataFrame, lname: str, right: DataFrame, rname: str,
 
 
 def left_join(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]],
-              take: Mapping[str, str], how: str = "left", normalise: bool = False) -> DataFrame:
+              take: Mapping[str, str], how: str = "left",
+              normalise: bool | Collection[str] = False) -> DataFrame:
     """``df LEFT JOIN dim ON df.l = dim.r AND ...``, bringing ``take`` columns along.
 
+    ``normalise`` compares all keys as strings, or only the left keys it names.
+
     ``take`` maps output name -> dimension column (a join key may be taken too: it is
     NULL where nothing matched). ``how="inner"`` is used by the allow-list trim. Plain
     equi-joins are joined USING the key names, which puts the join keys first in the
@@ -64,8 +68,9 @@ def left_join(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]],
         if out in left_cols:
             raise ValueError(f"column {out!r} already exists on the left side")
     values = [F.col(src).alias(out) for out, src in take.items()]
-    if not normalise or all(_type_of(df, l) == _type_of(dim, r) and
-                            not isinstance(_type_of(df, l), _FRACTIONAL) for l, r in on):
+    as_text = {l for l, _ in on if (normalise if isinstance(normalise, bool) else l in normalise)}
+    if all(l not in as_text or (_type_of(df, l) == _type_of(dim, r) and
+                                not isinstance(_type_of(df, l), _FRACTIONAL)) for l, r in on):
         # plain equi-join: name the right keys like the left ones and join USING them,
         # which keeps the left keys and drops the right ones in the same step
         right = dim.select(*[F.col(r).alias(l) for l, r in on], *values)
@@ -75,7 +80,7 @@ def left_join(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]],
     right = dim.select(*[F.col(r).alias(k) for (_, r), k in zip(on, rkeys)], *values)
     cond = None
     for (lname, _), rk in zip(on, rkeys):
-        lc, rc = key_pair(df, lname, right, rk, normalise)
+        lc, rc = key_pair(df, lname, right, rk, lname in as_text)
         cond = (lc == rc) if cond is None else (cond & (lc == rc))
     return df.join(right, cond, how).drop(*rkeys)
 
@@ -83,19 +88,46 @@ def left_join(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]],
 def chain(base: DataFrame, links: Sequence[tuple[DataFrame, Sequence[tuple[str, str]],
                                                   Mapping[str, str], str]],
           normalise: bool = False) -> DataFrame:
-    """Snowflake chain built dimension-to-dimension: ``((base ⟕ d1) ⟕ d2) ...``.
-
-    Each link is ``(dim, on, take, how)`` where ``on`` names columns already present
-    on the accumulated side. Building the chain among the (small) dimensions first and
-    joining the fact to it once is equal to joining the fact through every level,
-    because a left join whose condition only reads the previous level associates:
-    ``(F ⟕ A) ⟕ B = F ⟕ (A ⟕ B)`` for a null-rejecting ``A``-``B`` condition. The fact
-    is then shuffled (or streamed past a broadcast) once instead of once per level.
+    """Snowflake chain built dimension to dimension, the far end first:
+    ``base ⟕ (d1 ⟕ (d2 ⟕ d3))``.
+
+    Each link is ``(dim, on, take, how)`` where ``on`` names columns of ``base`` or of an
+    earlier link's ``take``. A link hangs below the link whose columns it is joined on, so
+    the biggest dimension (``base``) is shuffled once per branch and the low-cardinality
+    keys further up only shuffle the small dimensions that hold them. It equals joining
+    level by level: ``(F ⟕ A) ⟕ B = F ⟕ (A ⟕ B)`` for an ``A``-``B`` condition that NULL
+    never meets, and likewise if all joins of a branch are inner. An inner link below a
+    left one is not moved (it would no longer drop rows of ``base``).
     """
-    out = base
-    for dim, on, take, how in links:
-        out = left_join(out, dim, on, take, how=how, normalise=normalise)
-    return out
+    owner: dict[str, int] = {}
+    below: dict[int, list[int]] = {}
+    for i, (_, on, take, how) in enumerate(links):
+        owners = {owner.get(l, -1) for l, _ in on}
+        up = owners.pop() if len(owners) == 1 else -1
+        if up >= 0 and how == "inner" and links[up][3] != "inner":
+            up = -1
+        below.setdefault(up, []).append(i)
+        owner.update({out: i for out in take})
+
+    def take_of(i: int) -> dict[str, str]:
+        out = {o: o for o in links[i][2]}
+        for child in below.get(i, ()):
+            out.update(take_of(child))
+        return out
+
+    def frame(i: int) -> DataFrame:
+        dim, on, take, _ = links[i]
+        out = dim.select(*[F.col(r).alias(f"__c{i}_{k}") for k, (_, r) in enumerate(on)],
+                         *[F.col(src).alias(o) for o, src in take.items()])
+        return _attach(out, i)
+
+    def _attach(df: DataFrame, node: int) -> DataFrame:
+        for i in below.get(node, ()):
+            on = [(l, f"__c{i}_{k}") for k, (l, _) in enumerate(links[i][1])]
+            df = left_join(df, frame(i), on, take_of(i), how=links[i][3], normalise=normalise)
+        return df
+
+    return _attach(base, -1)
 
 
 def _nest(chain_facts, keys):
@@ -112,19 +144,19 @@ def _nest(chain_facts, keys):
 def stitch_facts(spine: DataFrame, page: tuple[DataFrame, Sequence[str]] | None,
                  chain_facts: Sequence[tuple[DataFrame, Sequence[str]]],
                  date: str = "date", ad: str = "ad_id", gn: str = "_gn_id",
-                 mode: str = "chained") -> DataFrame:
+                 mode: str = "as_written") -> DataFrame:
     """Stitch several fact roll-ups that share the grain ``(date, ad, gn)``.
 
-    ``chained`` (default) keeps the source's chain: the first chain fact joins the spine,
-    every later one joins the *previous chain fact*, so a missing link blanks everything
-    after it. Every join is on the whole grain, so no row is ever multiplied, and all
-    roll-ups being hash-partitioned on that grain, the joins add no shuffle. It equals
-    ``as_written`` whenever a ``gn`` id stands for one ad-day.
+    ``as_written`` (default) is the source's join conditions to the letter: ``page`` joins
+    on (ad, date) only and the chain on (ad, gn) without the date, so a ``gn`` id seen on
+    *k* days pairs every row of its group with every other (up to k⁴ rows per spine row).
+    The first chain fact joins the spine, every later one the *previous chain fact*, so a
+    missing link blanks everything after it.
 
-    ``as_written`` is the source's join conditions to the letter: ``page`` joins on
-    (ad, date) only and the chain on (ad, gn) without the date, so a ``gn`` id seen on
-    *k* days pairs every row of its group with every other (up to k⁴ rows per spine
-    row). Opt-in, for exact parity on such data.
+    ``chained`` (by name only) joins the same chain on the whole grain, so its joins never
+    multiply rows and, all roll-ups being hash-partitioned on that grain, add no shuffle.
+    It equals ``as_written`` if no ``(ad, gn)`` spans days, which ``one_day_per_group``
+    checks.
 
     ``grain_safe`` joins every fact straight from the spine on all three keys (no chain:
     a missing attribution row does not blank the others).
@@ -140,7 +172,7 @@ def _stitch(spine, page, chain_facts, date, ad, gn, mode):
     if mode == "chained":
         if page:
             df, measures = page
-            out = left_join(out, df, [(k, k) for k in grain], {m: m for m in measures})
+            out = left_join(out, df, [(ad, ad), (date, date)], {m: m for m in measures})
         if not chain_facts:
             return out
         nested, cols = _nest(chain_facts, grain)
@@ -164,3 +196,16 @@ def _stitch(spine, page, chain_facts, date, ad, gn, mode):
     # (ad, gn) columns, so they stay co-partitioned, and the wide spine is shuffled once.
     nested, cols = _nest(chain_facts, (ad, gn))
     return left_join(out, nested, [(ad, ad), (gn, gn)], {m: m for m in cols})
+
+
+def one_day_per_group(facts: Sequence[DataFrame], date: str = "date", ad: str = "ad_id",
+                      gn: str = "_gn_id") -> None:
+    """Opt-in data check before ``mode="chained"``: raise if some ``(ad, gn)`` spans days.
+
+    One aggregate per roll-up, of which at most one offending group is brought back.
+    """
+    for df in facts:
+        bad = (df.groupBy(ad, gn).agg(F.min(date).alias("first"), F.max(date).alias("last"))
+                 .where(F.col("first") < F.col("last")).take(1))
+        if bad:
+            raise ValueError(f"chained stitching differs from the source here: {bad[0].asDict()}")

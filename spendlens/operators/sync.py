@@ -35,14 +35,9 @@ def attach_sync(api: DataFrame, sync: DataFrame) -> DataFrame:
     ``sync`` holds exactly one row (see :func:`sync_info`), so joining it on true equals
     reading its two values as scalar subqueries. Spark runs the (merged) subquery once
     as its own small job and inlines the values: no join, no shuffle of ``api``, and
-    ``api`` keeps its partitioning for the regroup that follows.
+    ``api`` keeps its partitioning for the regroup that follows. A report that reads
+    neither column costs nothing: Catalyst drops the unread subquery with its scan.
     """
     return api.select("*",
                       sync.select("max_synced_at").scalar().alias("last_synced_at"),
                       sync.select("max_data_date").scalar().alias("last_data_date"))
-
-
-def no_sync(api: DataFrame, synced_type: str = "timestamp_ntz") -> DataFrame:
-    """Typed NULL freshness columns, for reports whose fields never read them."""
-    return (api.withColumn("last_synced_at", F.lit(None).cast(synced_type))
-               .withColumn("last_data_date", F.lit(None).cast("date")))

@@ -13,8 +13,8 @@ Plan shape shared by all reports, chosen for large inputs:
 * dimension chains are joined among themselves and then to the fact once;
 * with an account allow-list, joins the filtered column depends on become inner joins
   and the list is applied to the dimension before it meets the fact;
-* the freshness row is computed only if a field reads it, and read as one merged scalar
-  subquery (no join).
+* the freshness row is read as one merged scalar subquery (no join), which Catalyst drops
+  where no field reads it.
 """
 
 from __future__ import annotations
@@ -29,12 +29,10 @@ from ..operators.filters import account_allow_list, allow_list_predicate, regex_
 from ..operators.history import current_only, latest_by
 from ..operators.pivot import pivot_metrics, pivot_name
 from ..operators.shape import build_report
-from ..operators.sync import attach_sync, no_sync, run_time_literal, sync_info
+from ..operators.sync import attach_sync, run_time_literal, sync_info
 from ..sources.tables import Loader
 from ..spec import ReportSpec
 
-SYNC_COLUMNS = ("last_synced_at", "last_data_date")
-
 # --- fixed values: source column holding the load time stamp of each row ---
 LOAD_STAMP = "_fivetran_synced"
 
@@ -43,11 +41,9 @@ def _trim(spec: ReportSpec) -> bool:
     return bool(spec.account_ids) and spec.inner_join_trim
 
 
-def _with_sync(api: DataFrame, spec: ReportSpec, source: DataFrame, synced_at: Column,
-               data_date: Column, synced_type: str) -> DataFrame:
-    if spec.references(*SYNC_COLUMNS):
-        return attach_sync(api, sync_info(source, synced_at, data_date))
-    return no_sync(api, synced_type)
+def _with_sync(api: DataFrame, source: DataFrame, synced_at: Column,
+               data_date: Column) -> DataFrame:
+    return attach_sync(api, sync_info(source, synced_at, data_date))
 
 
 def finish(api: DataFrame, spec: ReportSpec, account_col: str,
@@ -88,7 +84,7 @@ def platform_api(spec: ReportSpec, load: Loader, fact_name: str = PLATFORM_FACT)
                              {alias: F.col("value")}, prune_unlisted=True)
         names = [pivot_name(alias, c.output_name) for c in spec.conversions]
         report = left_join(report, wide, [(k, k) for k in keys], {n: n for n in names},
-                           normalise=True)
+                           normalise=("ad_id",))
         pivot_cols += names
 
     # snowflake ad -> ad set -> campaign -> account, current versions only
@@ -123,8 +119,7 @@ def platform_api(spec: ReportSpec, load: Loader, fact_name: str = PLATFORM_FACT)
         F.lit(bool(spec.actions)).alias("has_actions"),
         F.lit(bool(spec.action_values)).alias("has_action_values"),
         "ad_id", *dim_cols, *pivot_cols)
-    return _with_sync(api, spec, fact, run_time_literal(spec.run_time()), F.col("date"),
-                      "timestamp_ntz")
+    return _with_sync(api, fact, run_time_literal(spec.run_time()), F.col("date"))
 
 
 def platform_report(spec: ReportSpec, load: Loader) -> DataFrame:
@@ -155,12 +150,13 @@ def campaign_api(spec: ReportSpec, load: Loader, fact_name: str = CAMPAIGN_FACT)
     trim = _trim(spec)
     how = "inner" if trim else "left"
     tb = spec.history_tiebreak
-    groups = latest_by(load("campaign_group_history", ["id", "name", "last_modified_time"]),
+    more = tb or ()
+    groups = latest_by(load("campaign_group_history", ["id", "name", "last_modified_time", *more]),
                        ["id"], "last_modified_time", tb)
     campaigns = latest_by(load("campaign_history", ["id", "name", "campaign_group_id",
-                                                    "account_id", "last_modified_time"]),
+                                                    "account_id", "last_modified_time", *more]),
                           ["id"], "last_modified_time", tb)
-    accounts = latest_by(load("account_history", ["id", "name", "last_modified_time"]),
+    accounts = latest_by(load("account_history", ["id", "name", "last_modified_time", *more]),
                          ["id"], "last_modified_time", tb)
     if trim:
         accounts = account_allow_list(accounts, "id", spec.account_ids)
@@ -184,9 +180,7 @@ def campaign_api(spec: ReportSpec, load: Loader, fact_name: str = CAMPAIGN_FACT)
         F.lit(None).cast("timestamp").alias("run_schedule_start"),
         F.lit(None).cast("timestamp").alias("campaign_group_run_schedule_start"))
     synced_type = fact.schema[LOAD_STAMP].dataType
-    return _with_sync(api, spec, fact,
-                      local_datetime(LOAD_STAMP, spec.timezone, synced_type),
-                      day, "timestamp_ntz")
+    return _with_sync(api, fact, local_datetime(LOAD_STAMP, spec.timezone, synced_type), day)
 
 
 def campaign_report(spec: ReportSpec, load: Loader) -> DataFrame:
@@ -249,8 +243,7 @@ def _star_api(spec: ReportSpec, load: Loader, keyword: bool, fact_name: str) ->
         "clicks", "cost", "impressions", "conversions", "revenue", *pivot_cols)
     run = spec.run_time()
     synced = run_time_literal(run, "datetime" if keyword else "date")
-    return _with_sync(api, spec, fact, synced, F.col("date"),
-                      "timestamp_ntz" if keyword else "date")
+    return _with_sync(api, fact, synced, F.col("date"))
 
 
 def ad_group_api(spec: ReportSpec, load: Loader, fact_name: str = AD_GROUP_FACT) -> DataFrame:
@@ -324,7 +317,7 @@ def multi_fact_api(spec: ReportSpec, load: Loader, fact_name: str = MULTI_FACT)
     stitched = stitch_facts(metrics, page, chain_facts, mode=spec.stitch)
 
     trim = _trim(spec)
-    order = [spec.history_order] if spec.history_order else []
+    order = [spec.history_order, *(spec.history_tiebreak or ())] if spec.history_order else []
     ad = load("ad_history", ["ad_id", "ad_name", "adgroup_id", "adgroup_name", "advertiser_id",
                              "campaign_id", *order])
     campaign = load("campaign_history", ["campaign_id", "campaign_name", "objective_type",
@@ -360,10 +353,8 @@ def multi_fact_api(spec: ReportSpec, load: Loader, fact_name: str = MULTI_FACT)
                       F.lit("").alias("dpa_target_audience_type"),
                       F.lit("").alias("promotion_type"))
     synced_type = basic.schema[LOAD_STAMP].dataType
-    return _with_sync(api, spec, basic,
-                      local_datetime(LOAD_STAMP, spec.timezone, synced_type),
-                      utc_date("stat_time_day", basic.schema["stat_time_day"].dataType),
-                      "timestamp_ntz")
+    return _with_sync(api, basic, local_datetime(LOAD_STAMP, spec.timezone, synced_type),
+                      utc_date("stat_time_day", basic.schema["stat_time_day"].dataType))
 
 
 def multi_fact_report(spec: ReportSpec, load: Loader) -> DataFrame:

@@ -15,12 +15,27 @@ class MissingColumns(ValueError):
 
 
 def require_columns(df: DataFrame, required: Sequence[str], what: str) -> DataFrame:
-    """Fail early, by name, if ``df`` lacks a column the report reads."""
-    have = set(df.columns)
-    missing = [c for c in required if c not in have]
+    """``df`` cut to the columns the report reads, under the names it reads them by.
+
+    Names are matched as the catalog does, in any letter case (an exact match wins); a
+    column that is missing fails early, by name. Cutting here keeps whatever works on
+    "all other columns" (such as a tie-break) from reading a wide table whole.
+    """
+    have: dict[str, str] = {}
+    for c in df.columns:
+        have.setdefault(c.lower(), c)
+    exact = set(df.columns)
+    missing = [c for c in required if c.lower() not in have]
     if missing:
-        raise MissingColumns(f"{what} lacks columns {missing}; has {sorted(have)}")
-    return df
+        raise MissingColumns(f"{what} lacks columns {missing}; has {sorted(exact)}")
+    if not required:
+        return df
+    return df.select(*[df[quoted(c if c in exact else have[c.lower()])].alias(c)
+                       for c in dict.fromkeys(required)])
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def read_table(spark: SparkSession, namespace: str, name: str,

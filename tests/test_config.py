@@ -184,3 +184,15 @@ def test_vars_load_from_yaml_like_json(tmp_path):
     path = tmp_path / "vars.yaml"
     path.write_text(yaml.safe_dump(data))
     assert load_vars(str(path)) == data == load_vars(src)
+
+
+def test_fields_are_picked_where_the_flag_equals_true():
+    v = {"svc": {"active": True, "models": {"m": {
+        "active": True, "stitch": "chained", "history_order": "updated_at", "history_tiebreak": "v",
+        "dimensions": [{"name": "a", "type": "STRING", "expression": "a", "default": True},
+                       {"name": "b", "type": "STRING", "expression": "b", "active": "false"},
+                       {"name": "c", "type": "STRING", "expression": "c", "active": 1}]}}}}
+    s = spec_from_vars(v, "svc", "m", "multi_fact")
+    assert [f.name for f in s.selected_dimensions] == ["a"]
+    assert (s.stitch, s.history_order, s.history_tiebreak) == ("chained", "updated_at", ("v",))
+    assert spec_from_vars(v, "svc", "m", "multi_fact", stitch="grain_safe").stitch == "grain_safe"

@@ -7,6 +7,7 @@ from conftest import rows
 from spendlens.operators import (account_allow_list, assert_unique, attach_sync, build_report,
                                  current_only, latest_by, left_join, pivot_metrics, regex_filters,
                                  rollup, stitch_facts, sync_info)
+from spendlens.operators.enrich import chain, one_day_per_group
 from spendlens.operators.facts import constant_sum, product_sum
 from spendlens.spec import ConversionSpec, FieldSpec, RegexFilter, ReportSpec, SpecError
 
@@ -156,11 +157,14 @@ def test_stitch_as_written_fans_out_and_blanks_after_a_missing_link(spark):
         (D1, 1, 5, 1, 10), (D1, 2, None, None, 20), (D2, 1, None, 2, None)]
     assert aw.columns == gs.columns
     ch = stitch_facts(spine, (page, ["p"]), [(attr, ["x"]), (eng, ["y"])], mode="chained")
-    # chained: the source's chain (no attribution -> engagement blank) on the whole grain,
-    # so nothing is multiplied
+    # chained: the page as the source joins it, and the source's chain (no attribution ->
+    # engagement blank) on the whole grain, so the chain multiplies nothing
     assert rows(ch, "date", "ad_id", "p", "x", "y") == [
-        (D1, 1, 5, 1, 10), (D1, 2, None, None, None), (D2, 1, None, 2, None)]
-    assert ch.count() == spine.count()
+        (D1, 1, 5, 1, 10), (D1, 1, 7, 1, 10), (D1, 2, None, None, None), (D2, 1, None, 2, None)]
+    assert rows(stitch_facts(spine, (page, ["p"]), [(attr, ["x"]), (eng, ["y"])])) == rows(aw)
+    with pytest.raises(ValueError, match="chained"):
+        one_day_per_group([eng, attr])
+    one_day_per_group([eng])
 
 
 def test_latest_by_default_tiebreak_is_total(spark):
@@ -171,3 +175,46 @@ def test_latest_by_default_tiebreak_is_total(spark):
     # tied on t: every other column breaks the tie (name ascending first)
     picks = {latest_by(df.repartition(3), ["id"], "t").first().name for _ in range(3)}
     assert picks == {"a"}
+
+
+def test_regex_filters_take_java_syntax(spark):
+    df = spark.createDataFrame([("Ab",), ("ab",), ("fooBAR",), ("a.b",), ("axb",), ("x",)], "d string")
+
+    def kept(pattern):
+        spec = ReportSpec(target="t", dimensions=(FieldSpec("d", "STRING", "d"),),
+                          regex_filters=(RegexFilter("d", pattern),))
+        return [r.d for r in regex_filters(df, spec.regex_filters).orderBy("d").collect()]
+
+    assert kept(r"^\p{Lu}") == ["Ab"]
+    assert kept(r"foo(?i)bar") == ["fooBAR"]
+    assert kept(r"\Qa.b\E") == ["a.b"]
+    assert kept(r"^x\z") == ["x"]
+
+
+def test_required_columns_match_in_any_letter_case(spark):
+    from spendlens.sources.tables import require_columns
+    df = spark.createDataFrame([(1, 2, 3)], "Spend int, other int, `DAY` int")
+    out = require_columns(df, ["spend", "day", "spend"], "fact")
+    assert out.columns == ["spend", "day"] and rows(out) == [(1, 3)]
+    assert require_columns(df, [], "fact").columns == ["Spend", "other", "DAY"]
+
+
+def test_chain_nests_and_equals_level_by_level_joins(spark):
+    base = spark.createDataFrame([(1, 10), (2, 11), (3, None), (4, 99)], "k int, a int")
+    a = spark.createDataFrame([(10, 20, "a10"), (11, None, "a11"), (12, 21, "a12")], "id int, b int, n string")
+    b = spark.createDataFrame([(20, 30, "b20"), (21, 31, "b21")], "id int, c int, n string")
+    c = spark.createDataFrame([(30, "c30"), (30, "c30b")], "id int, n string")
+    for how in ("left", "inner"):
+        links = [(a, [("a", "id")], {"a_name": "n", "__b": "b"}, how),
+                 (b, [("__b", "id")], {"b_id": "id", "b_name": "n", "__c": "c"}, how),
+                 (c, [("__c", "id")], {"c_name": "n"}, how),
+                 (b, [("k", "id")], {"other": "n"}, "left")]
+        level = base
+        for dim, on, take, kind in links:
+            level = left_join(level, dim, on, take, how=kind)
+        cols = ("k", "a_name", "b_id", "b_name", "c_name", "other")
+        assert rows(chain(base, links), *cols) == rows(level, *cols)
+    # an inner link below a left one drops rows of the base, nested or not
+    mixed = [(a, [("a", "id")], {"a_name": "n", "__b": "b"}, "left"),
+             (b, [("__b", "id")], {"b_name": "n"}, "inner")]
+    assert rows(chain(base, mixed), "k", "a_name", "b_name") == [(1, "a10", "b20")]

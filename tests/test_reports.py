@@ -294,3 +294,31 @@ def test_every_report_over_empty_facts_is_empty_with_its_schema(spark, kind):
     assert out.count() == 0
     assert [(f.name, f.dataType) for f in out.schema.fields] == \
         [(f.name, f.dataType) for f in spec.schema().fields]
+
+
+def test_multi_fact_default_joins_as_the_source(spark):
+    t = _multi_tables(spark)
+    # the page fact's own group id: the source joins it by ad and day
+    t[PAGE_EVENT[0]] = t[PAGE_EVENT[0]].withColumn("_gn_id", F.lit("other"))
+    load = _load(spark, t)
+    for mode, revenue in ((MULTI.stitch, 6.0), ("as_written", 6.0), ("chained", 6.0), ("grain_safe", None)):
+        out = multi_fact_report(ReportSpec(**{**MULTI.__dict__, "stitch": mode}), load)
+        assert [r.revenue for r in out.where("ad_id = 1").collect()] == [revenue]
+    # a group id on two days: the source pairs the days of a group
+    spine = t["ads_basic_data_metrics_by_day_report"]
+    shift = F.col("stat_time_day") + F.expr("INTERVAL 5 DAYS")
+    for name in (spine_name := "ads_basic_data_metrics_by_day_report", ATTRIBUTION[0]):
+        t[name] = t[name].union(t[name].where("ad_id = 1").withColumn("stat_time_day", shift))
+    assert spine_name in t
+    both = {m: {r.date: r.cost for r in multi_fact_report(
+        ReportSpec(**{**MULTI.__dict__, "stitch": m}), _load(spark, t)).where("ad_id = 1").collect()}
+        for m in ("as_written", "chained")}
+    assert set(both["chained"].values()) == {2.0}
+    assert set(both["as_written"].values()) == {4.0}
+
+
+def test_freshness_is_found_in_any_letter_case(spark):
+    spec = ReportSpec(**{**MULTI.__dict__, "metrics": (
+        FieldSpec("synced", "DATETIME", "max(LAST_SYNCED_AT)"), FieldSpec("day", "DATE", "max(Last_Data_Date)"))})
+    out = multi_fact_report(spec, _load(spark, _multi_tables(spark))).collect()
+    assert out and all(r.synced is not None and r.day is not None for r in out)
