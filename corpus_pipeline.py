@@ -35,7 +35,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     clean = op6_line_dedup(docs)
     length = F.length("text").cast(docs.schema["n_chars"].dataType)
-    return clean.withColumn("n_chars", F.when(F.col("n_dropped") > 0, length).otherwise(F.col("n_chars"))).select(docs.columns)
+    dropped = F.col(clean.columns[-1])
+    return clean.withColumn("n_chars", F.when(dropped > 0, length).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,8 +16,9 @@ number; a key's rows stream past in the order of texts, so a template of any num
 documents needs no more memory than one text's lines.
 
 Defined results: a null text stays null; lines of fewer than ``LEAST_TOKENS`` tokens are
-never dropped; repeated rows are cleaned alike; other columns, whatever their names, come
-back as they are; an empty table gives no rows.
+never dropped; repeated rows are cleaned alike; all columns, whatever their names, come back
+as they are but for the text (a count whose name is taken gets ``_`` appended); an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text_arrays as ta
-from .shared import map_arrow, stage, text_parts
+from .shared import free_name, map_arrow, quoted, stage, text_parts
 
 LEADING, QUARTERS, LEAST_TOKENS, LEAST_OPEN = 2, 4, 3, 6
 #: A document with a larger share of its words in recurring lines stays whole.
@@ -131,7 +132,7 @@ def _recurring(batches):
         if not many:
             # equal texts give equal rows: one text's lines are enough
             own = np.unique(np.stack([c[tail] for c in rest]), axis=1)
-            if waiting:
+            if waiting and goes_on and group[-1] == 0:
                 own = np.unique(np.hstack([np.stack(waiting[0]), own]), axis=1)
             waiting = [[own[0].astype(np.int64), *(own[c].astype(np.int32) for c in range(1, 4))]]
 
@@ -149,13 +150,14 @@ def recurring_lines(docs: DataFrame, most_share: float = MOST_SHARE) -> DataFram
 
 def op6_line_dedup(docs: DataFrame, most_share: float = MOST_SHARE) -> DataFrame:
     """``docs`` with recurring lines dropped from ``text``, and ``n_lines``, ``n_dropped``."""
-    drop = stage(recurring_lines(docs, most_share), "lines").select(F.col("text_hash").alias("_llm_hash"), F.col("lines").alias("_llm_lines"))
-    columns = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
-    parts = F.split("text", "\n", -1)
-    keep = F.filter(parts, lambda x, i: ~F.array_contains("_llm_lines", i))
+    drop = stage(recurring_lines(docs, most_share), "lines")
     # the lists grow with the corpus: a merge join at every size, never a broadcast
-    out = docs.withColumn("_llm_hash", F.xxhash64("text")).join(drop.hint("merge"), "_llm_hash", "left")
-    return out.select(
-        *columns, F.when(F.col("_llm_lines").isNull(), F.col("text")).otherwise(F.array_join(keep, "\n")).alias("text"),
-        F.when(F.col("text").isNotNull(), F.size(parts)).otherwise(0).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_llm_lines"), F.lit(0)).cast("long").alias("n_dropped"))
+    rows = docs.select(F.struct(*[docs[quoted(c)] for c in docs.columns]).alias("doc"), F.xxhash64("text").alias("text_hash"))
+    out = rows.join(drop.hint("merge"), "text_hash", "left")
+    text = F.col("doc.text")
+    parts = F.split(text, "\n", -1)
+    keep = F.filter(parts, lambda x, i: ~F.array_contains("lines", i))
+    clean = F.when(F.col("lines").isNull(), text).otherwise(F.array_join(keep, "\n"))
+    counts = {"n_lines": F.when(text.isNotNull(), F.size(parts)).otherwise(0), "n_dropped": F.coalesce(F.size("lines"), F.lit(0))}
+    return out.select(*[clean.alias(c) if c == "text" else F.col(f"doc.{quoted(c)}").alias(c) for c in docs.columns],
+                      *[c.cast("long").alias(free_name(docs, n)) for n, c in counts.items()])

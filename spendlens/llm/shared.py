@@ -102,7 +102,19 @@ def arrow_rows(schema: pa.Schema, **columns) -> pa.RecordBatch:
         [pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with ``_`` appended until no column of ``df`` has it (in any letter case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def rows_of(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id and text (by hash) stand in ``verdicts``; nulls match."""
     v = verdicts.select(F.col("doc_id").alias("_v_id"), F.col("text_hash").alias("_v_hash"))
-    return docs.join(v, F.col("doc_id").cast("long").eqNullSafe(F.col("_v_id")) & (F.xxhash64("text") == F.col("_v_hash")), "left_semi")
+    return docs.join(v, docs["doc_id"].cast("long").eqNullSafe(v["_v_id"]) & (F.xxhash64(docs["text"]) == v["_v_hash"]), "left_semi")

@@ -58,7 +58,9 @@ def features(x: np.ndarray, segments: int) -> np.ndarray:
     size = np.diff(cuts)
     sums = np.add.reduceat(x, cuts[:-1], axis=1)
     squares = np.add.reduceat(x * x, cuts[:-1], axis=1)
-    return np.hstack([sums / np.sqrt(size), np.sqrt(np.maximum(squares - sums * sums / size, 0))])
+    # the deviations are raised by what rounding may have taken, so the bound stays one
+    spread = np.maximum(squares - sums * sums / size, 0) + 1e-12 * squares
+    return np.hstack([sums / np.sqrt(size), np.sqrt(spread)])
 
 
 class QueryBlock:
@@ -145,6 +147,7 @@ def _search(k: int):
                 if (qb[i], salt[i]) != part:
                     yield from (b.rows() for b in blocks.values())
                     part, blocks = (qb[i], salt[i]), {}
+                    waiting.clear()  # a part without candidates
                 j = i
                 while j < len(ids) and (qb[j], salt[j]) == part and query[j] == query[i] and j - i < _CANDIDATES:
                     j += 1

@@ -1,0 +1,72 @@
+import zlib
+
+import numpy as np
+
+from docs import EDGE, frame, prose
+from spendlens.llm import langid
+
+LANGS = {"xx": ["ka", "lo", "mi", "tu"], "yy": ["ße", "ün", "chr", "ei"], "zz": ["ción", "que", "ñ", "os"]}
+
+
+def corpus(n):
+    return [(k, prose(k, 30, LANGS[lang]) + ".", lang) for k, lang in zip(range(n), list(LANGS) * n)]
+
+
+def test_held_out_accuracy_and_edge_documents(spark):
+    rows = corpus(240) + [(1000 + k, t, None) for k, (_, t, *_) in enumerate(EDGE)] + [(None, "ka lo mi", "xx")]
+    got = langid.language_of(frame(spark, rows)).collect()
+    assert len(got) == len(rows)
+    truth = {i: lang for i, _, lang in corpus(240)}
+    held = [r for r in got if r.doc_id in truth and r.held_out]
+    assert len(held) > 40 and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in got if r.doc_id is not None)
+    assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.95 * len(held)
+    assert not any(r.rejected for r in got if r.doc_id in truth)
+    by = {r.doc_id: r for r in got}
+    for k, (_, text, *_) in enumerate(EDGE):
+        r = by[1000 + k]
+        unknown = not any(map(str.isalpha, text or ""))
+        assert (r.lang_pred == "und") == unknown and 0 <= r.score <= 1
+        assert r.lang_pred in (*LANGS, "und") and (r.rejected or not unknown)
+
+
+def test_training_ignores_held_out_rows(spark):
+    rows = corpus(120)
+    lied = [(i, t, "qq" if zlib.crc32(str(i).encode()) % 3 == 1 else lang) for i, t, lang in rows]
+    assert {r.lang_pred for r in langid.language_of(frame(spark, lied)).collect()} <= set(LANGS)
+
+
+def test_only_the_text_decides(spark):
+    rows = corpus(60)
+    model = langid.train(frame(spark, rows))
+    a = langid.op5_language(frame(spark, rows), model).collect()
+    b = langid.op5_language(frame(spark, [(5000 - i, t, "other") for i, t, _ in rows]), model).collect()
+    assert sorted((r.lang_pred, r.score) for r in a) == sorted((r.lang_pred, r.score) for r in b)
+
+
+def test_no_labels_and_empty_table(spark):
+    got = langid.language_of(frame(spark, [(1, "ka lo", None), (2, None, None)])).collect()
+    assert [(r.lang_pred, r.score, r.rejected) for r in got] == [("und", 0.0, True)] * 2
+    assert langid.language_of(frame(spark, [])).collect() == []
+
+
+def test_known_language_keeps_whole_rows(spark):
+    rows = corpus(60) + [(900, "12 !", "xx"), (901, None, "xx")]
+    docs = frame(spark, rows)
+    kept = langid.known_language(docs, langid.train(docs))
+    assert kept.columns == docs.columns and kept.schema == docs.schema
+    assert {r.doc_id for r in kept.collect()} == set(range(60))
+    assert all(r.kept == "x" for r in kept.collect())
+
+
+def test_subwords_stay_in_their_text():
+    def bags(items):
+        raw = [t.encode() for t in items]
+        data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+        out = [[] for _ in items]
+        for at, bucket in langid.grams(data, offsets):
+            for a, b in zip(np.searchsorted(offsets, at, side="right") - 1, bucket):
+                out[a].append(int(b))
+        return [sorted(x) for x in out]
+
+    items = ["abc def", "", "é1x yz", "a", "qrs"]
+    assert bags(items) == [bags([t])[0] for t in items]

@@ -1,0 +1,102 @@
+import collections
+import random
+import re
+
+import pyarrow as pa
+
+from docs import EDGE, frame, prose
+from spendlens.llm import linedup
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def templates(line):
+    t = ["<*>" if re.search("[0-9@]", w) else w for w in WORD.findall(line)]
+    n = len(t)
+    if n < 3:
+        return []
+    out = [(n, tuple(t))]
+    if n >= 6:
+        cuts = [2 + (n - 2) * k // 4 for k in range(5)]
+        out += [(n, k, tuple(t[:cuts[k]]), tuple(t[cuts[k + 1]:])) for k in range(4)]
+    return out
+
+
+def brute(rows):
+    seen = collections.defaultdict(set)
+    for text in {t for _, t, *_ in rows if t is not None}:
+        for line in text.split("\n"):
+            for k in templates(line):
+                seen[k].add(text)
+    out = []
+    for i, text, *_ in rows:
+        if text is None:
+            out.append((i, None, 0, 0))
+            continue
+        lines = text.split("\n")
+        hit = [any(len(seen[k]) > 1 for k in templates(x)) for x in lines]
+        words = [len(WORD.findall(x)) for x in lines]
+        if sum(w for w, h in zip(words, hit) if h) > 0.5 * sum(words):
+            hit = [False] * len(lines)
+        out.append((i, "\n".join(x for x, h in zip(lines, hit) if not h), len(lines), sum(hit)))
+    return out
+
+
+def check(spark, rows):
+    docs = frame(spark, rows)
+    out = linedup.op6_line_dedup(docs)
+    assert out.columns == [*docs.columns, "n_lines_", "n_dropped"]  # the table has an n_lines of its own
+    key = lambda t: str(t)
+    got = sorted(((r.doc_id, r.text, r.n_lines_, r.n_dropped) for r in out.collect()), key=key)
+    assert got == sorted(brute(rows), key=key)
+    return got
+
+
+def test_boilerplate_goes_and_own_text_stays(spark):
+    notice = "Copyright 2021 by the owners of site 55"
+    rows = [(k, f"{prose(k, 40)}\nCopyright {2000 + k} by the owners of site {k}\n{prose(99, 20)}\n{prose(500 + k, 30)}") for k in range(8)]
+    got = check(spark, [*rows, (50, prose(50, 12) + "\n" + notice)])
+    assert all(dropped == 2 for i, _, _, dropped in got if i < 8)
+    assert all("Copyright" not in text and prose(99, 20) not in text for i, text, _, _ in got)
+
+
+def test_one_open_quarter_is_a_variable_field(spark):
+    rows = [(k, f"user {name} logged in from the main office today\n{prose(k, 30)}")
+            for k, name in enumerate(["anna", "bert", "carl", "dora"])]
+    rows += [(9, "user anna logged out of one other office today\n" + prose(9, 30))]
+    got = check(spark, rows)
+    assert {i: d for i, _, _, d in got}[9] == 0 and sum(d for *_, d in got) == 0  # leading tokens never vary
+    rows = [(k, f"the user {name} logged in from the main office today at noon\n{prose(k, 30)}")
+            for k, name in enumerate(["anna", "bert", "carl", "dora"])]
+    assert all(d == 1 for *_, d in check(spark, rows))
+
+
+def test_copies_stay_whole_and_edge_documents(spark):
+    copy = "\n".join(prose(k, 12) for k in range(6))
+    rows = EDGE + [(30, copy), (31, copy), (32, copy), (33, copy + "\n" + prose(77, 10))]
+    got = {i: (t, d) for i, t, _, d in check(spark, rows) if i is not None}
+    assert got[30] == (copy, 0) and got[33][1] == 0
+
+
+def test_random_corpora_match_brute_force(spark):
+    r = random.Random(4)
+    pool = [prose(k, r.choice([2, 3, 5, 6, 9, 14])) for k in range(30)] + ["", "a b", "x 1 y", "x 2 y"]
+    rows = [(k, "\n".join(r.choice(pool) if r.random() < 0.4 else prose(1000 * k + j, 9) for j in range(r.randint(1, 7))))
+            for k in range(80)]
+    check(spark, rows + rows[:5])
+
+
+def test_runs_of_a_key_over_batches():
+    rows = [(1, 10, 0, 3, 9), (1, 10, 4, 3, 9), (1, 10, 0, 3, 9), (1, 20, 1, 3, 8), (1, 30, 2, 3, 7), (2, 10, 5, 4, 9),
+            (2, 10, 5, 4, 9), (3, 11, 0, 3, 3), (3, 12, 0, 3, 3), (4, 12, 1, 3, 3)]
+    want = {(10, 0), (10, 4), (20, 1), (30, 2), (11, 0), (12, 0)}
+    schema = pa.schema([("key", pa.int64()), ("text_hash", pa.int64()), ("line", pa.int32()), ("tokens", pa.int32()), ("total", pa.int32())])
+    for a in range(len(rows) + 1):
+        for b in range(a, len(rows) + 1):
+            batches = [pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in part], schema) for part in (rows[:a], rows[a:b], rows[b:])]
+            got = {(r["text_hash"], r["line"]) for x in linedup._recurring(batches) for r in x.to_pylist()}
+            assert got == want, (a, b)
+
+
+def test_empty_table(spark):
+    assert linedup.op6_line_dedup(frame(spark, [])).collect() == []
