@@ -141,7 +141,7 @@ def count_edited(docs: DataFrame, tokenizer: str) -> DataFrame:
                 for k in range(j - i):
                     own = data[offsets[k]:offsets[k + 1]]
                     raw, ends = own.tobytes(), segment_ends(own).tolist()
-                    tree = SegmentTree([raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], e)
+                    tree = SegmentTree([raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], e)
                     before, segments = tree.total, len(tree.parts)
                     use = []
                     if edits[k]:
