@@ -1,0 +1,82 @@
+import re
+
+import numpy as np
+
+from docs import EDGE, frame, prose
+from spendlens.llm import rules
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(text):
+    text = text or ""
+    words, seen, dup = WORD.findall(text), set(), 0
+    at = {}
+    for i in range(len(words) - 7):
+        at.setdefault(tuple(words[i:i + 8]), []).append(i)
+    covered = {j for v in at.values() if len(v) > 1 for i in v for j in range(i, i + 8)}
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(covered)
+
+
+def labelled(spark, rows):
+    return spark.createDataFrame([(*r, "x", "x") for r in rows], "doc_id long, quality int, toxic int, h string, n_words string")
+
+
+def corpus():
+    good = [(k, prose(k, 60) + ".\n" + prose(k + 500, 30)) for k in range(150)]
+    bad = [(1000 + k, " ".join(w + "###" for w in prose(k, 60).split())) for k in range(60)]
+    return good, bad
+
+
+def test_counts_equal_brute_force(spark):
+    rows = EDGE + [(100 + k, ("same line\n" * k + prose(k, 30) + " #*|") * (1 + k % 3)) for k in range(12)]
+    got = rules.statistics(frame(spark, rows)).collect()
+    key = lambda t: str(t)
+    assert sorted(((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got), key=key) == \
+        sorted(((i, *brute(t)) for i, t, *_ in rows), key=key)
+
+
+def test_learned_list_keeps_the_clean_and_drops_the_rest(spark):
+    good, bad = corpus()
+    labels = labelled(spark, [(i, 1, 0) for i, _ in good[:100]] + [(i, 0, 0) for i, _ in bad[:40]] +
+                      [(None, 0, 0), (3, None, 0), (good[0][0], 1, 0), (5, 7, 0)])
+    got = {r.doc_id: r for r in rules.op10_rules(frame(spark, good + bad + EDGE[:3]), labels).collect() if r.doc_id is not None}
+    assert all(got[i].kept for i, _ in good if i not in (1, 2, 3))
+    assert not any(got[i].kept for i, _ in bad) and all(got[i].rule > 0 for i, _ in bad)
+    assert not got[2].kept or got[2].n_words >= 20
+
+
+def test_base_rules_and_no_labels(spark):
+    docs = frame(spark, [(1, "few words"), (2, prose(2, 20)), (3, prose(3, 10) + " " + "a b c d e f g h " * 3), (4, None)])
+    got = {r.doc_id: (r.base_failed, r.kept) for r in rules.op10_rules(docs, labelled(spark, [])).collect()}
+    assert got == {1: (True, False), 2: (False, True), 3: (True, False), 4: (True, False)}
+    assert rules.op10_rules(frame(spark, []), labelled(spark, [(1, 0, 0)])).collect() == []
+
+
+def test_the_spark_expression_decides_as_the_rules_do(spark):
+    good, bad = corpus()
+    docs = frame(spark, good + bad)
+    learned = rules.learn(docs, labelled(spark, [(i, 1, 0) for i, _ in good] + [(i, 0, 0) for i, _ in bad]))
+    assert learned.rules
+    pdf = rules.judge(rules.statistics(docs), learned).toPandas()
+    x = {n: pdf[a].to_numpy(float) / np.maximum(pdf[b], 1) for n, (a, b) in rules.FEATURES.items()}
+    hit = np.zeros(len(pdf), bool)
+    for rule in learned.rules:
+        hit |= np.logical_and.reduce([c.holds(x) for c in rule])
+    assert (pdf.kept == (~hit & ~pdf.base_failed)).all()
+
+
+def test_covering_grows_conjunctions_and_prunes():
+    r = np.random.default_rng(1)
+    a, b = r.random(3000), r.random(3000)
+    bad = (a > 0.7) & (b <= 0.4)
+    out = rules.learn_from({"mean_word_chars": a, "symbols_per_word": b}, bad, r.integers(0, 1 << 15, 3000))
+    hit = np.zeros(3000, bool)
+    for rule in out.rules:
+        hit |= np.logical_and.reduce([c.holds({"mean_word_chars": a, "symbols_per_word": b}) for c in rule])
+    assert (hit & bad).sum() >= 0.9 * bad.sum() and (hit & ~bad).sum() <= 0.05 * hit.sum()
+    assert not rules.learn_from({"mean_word_chars": a}, r.random(3000) < 0.2, r.integers(0, 1 << 15, 3000)).rules  # noise
