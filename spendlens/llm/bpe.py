@@ -201,10 +201,8 @@ def shared_chunks(docs: DataFrame, tokenizer: str, most: int = MOST_SHARED) -> d
     return {bytes(r[0]): (bytes(r[1]), None if r[2] is None else bytes(r[2]), bytes(r[3])) for r in rows}
 
 
-def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """``doc_id, ids`` (array of int) of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(shared_chunks(docs, tokenizer))
-
+def _encoding(tokenizer: str, shared):
+    """Batches (doc_id, text) to batches (doc_id, ids), a slice at a time."""
     def run(batches):
         e = encoder(tokenizer, shared.value)
         for batch in batches:
@@ -215,22 +213,35 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)], names=["doc_id", "ids"])
 
-    return map_arrow(_texts(docs), run, "doc_id long, ids array<int>")
+    return run
 
 
-def decode(rows: DataFrame, tokenizer: str) -> DataFrame:
-    """``doc_id, ids, text``: the text of every row's ids (null ids: empty)."""
+def _decoding(tokenizer: str):
+    """Batches (doc_id, ids) to batches (doc_id, ids, text), some rows at a time."""
     def run(batches):
         table = _token_bytes(tokenizer)
-        for batch in batches:
-            column = batch.column(1)
-            flat = column.flatten().to_numpy()
-            ends = np.cumsum([0, *column.value_lengths().fill_null(0).to_pylist()]).tolist()
-            texts = [b"".join(map(table.__getitem__, flat[a:b].tolist())).decode("utf-8", "replace")
-                     for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
+        for whole in batches:
+            for i in range(0, whole.num_rows, 512):
+                batch = whole.slice(i, 512)
+                column = batch.column(1)
+                flat = column.flatten().to_numpy()
+                ends = np.cumsum([0, *column.value_lengths().fill_null(0).to_pylist()]).tolist()
+                texts = [b"".join(map(table.__getitem__, flat[a:b].tolist())).decode("utf-8", "replace")
+                         for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
+
+    return run
+
 
-    return map_arrow(rows.select("doc_id", "ids"), run, "doc_id long, ids array<int>, text string")
+def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """``doc_id, ids`` (array of int) of every document."""
+    shared = docs.sparkSession.sparkContext.broadcast(shared_chunks(docs, tokenizer))
+    return map_arrow(_texts(docs), _encoding(tokenizer, shared), "doc_id long, ids array<int>")
+
+
+def decode(rows: DataFrame, tokenizer: str) -> DataFrame:
+    """``doc_id, ids, text``: the text of every row's ids (null ids: empty)."""
+    return map_arrow(rows.select("doc_id", "ids"), _decoding(tokenizer), "doc_id long, ids array<int>, text string")
 
 
 _BYTES: dict[str, list[bytes]] = {}
@@ -238,7 +249,7 @@ _BYTES: dict[str, list[bytes]] = {}
 
 def _token_bytes(path: str) -> list[bytes]:
     if path not in _BYTES:
-        library, letters = Tokenizer.from_file(path), _byte_letters()
+        library, letters = encoder(path).library, _byte_letters()
         special = {t.content for t in library.get_added_tokens_decoder().values()}
         table = [b""] * (max(library.get_vocab().values()) + 1)
         for token, k in library.get_vocab().items():
@@ -255,4 +266,10 @@ def digests(rows: DataFrame) -> DataFrame:
 
 
 def op1_encode_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
-    return digests(decode(encode(docs, tokenizer), tokenizer))
+    """Digests of every document's ids and of the text they decode to.
+
+    Both steps run in one Python worker, a slice of about 2 MB at a time.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(shared_chunks(docs, tokenizer))
+    encoding, decoding = _encoding(tokenizer, shared), _decoding(tokenizer)
+    return digests(map_arrow(_texts(docs), lambda batches: decoding(encoding(batches)), "doc_id long, ids array<int>, text string"))
