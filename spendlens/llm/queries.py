@@ -82,6 +82,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_line_dedup": r"""
+WITH texts AS (SELECT DISTINCT text, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
+lines AS (SELECT text, unnest(parts) AS line, generate_subscripts(parts, 1) AS i FROM texts),
+tokens AS (
+  SELECT text, i, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'),
+                                 lambda w: CASE WHEN regexp_matches(w, '[0-9@]') THEN '<*>' ELSE w END) AS t
+  FROM lines),
+sized AS (SELECT text, i, t, len(t) AS n FROM tokens),
+templates AS (
+  SELECT text, i, n, concat(n, ' ', array_to_string(t, ' ')) AS key FROM sized WHERE n >= 3
+  UNION ALL
+  SELECT text, i, n, concat(n, ' open ', k, ' ', array_to_string(t[1:2 + (n - 2) * k // 4], ' '), ' <open> ',
+                            array_to_string(t[3 + (n - 2) * (k + 1) // 4:], ' ')) AS key
+  FROM sized, range(4) AS q(k) WHERE n >= 6),
+recurring AS (SELECT key FROM templates GROUP BY key HAVING count(DISTINCT text) > 1),
+hit AS (SELECT DISTINCT text, i, n FROM templates JOIN recurring USING (key)),
+total AS (SELECT text, sum(n) AS words FROM sized GROUP BY text),
+dropped AS (SELECT text, list(i) AS gone FROM hit JOIN total USING (text) GROUP BY text HAVING sum(n) <= 0.5 * max(words))
+SELECT d.doc_id,
+       CASE WHEN gone IS NULL THEN d.text
+            ELSE array_to_string(list_filter(string_split(d.text, chr(10)), lambda x, j: NOT list_contains(gone, j)), chr(10)) END AS text,
+       CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(len(gone), 0) AS BIGINT) AS n_dropped
+FROM documents d LEFT JOIN dropped ON d.text = dropped.text
+""",
     "op3_chat": r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
