@@ -82,6 +82,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_minhash": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE CAST([] AS VARCHAR[]) END AS s
+  FROM words),
+shingles AS (SELECT doc_id, unnest(s) AS shingle FROM sets),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * shared.n >= 85 * (p.n + q.n - shared.n)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM sizes
+  UNION
+  SELECT reach.doc_id, edges.y FROM reach JOIN edges ON edges.x = reach.other)
+SELECT doc_id, CAST(any_value(n) AS BIGINT) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reach JOIN sizes USING (doc_id) GROUP BY doc_id
+""",
     "op6_line_dedup": r"""
 WITH texts AS (SELECT DISTINCT text, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
 lines AS (SELECT text, unnest(parts) AS line, generate_subscripts(parts, 1) AS i FROM texts),

@@ -58,7 +58,7 @@ def test_few_rows_and_empty_table(spark):
 
 
 @pytest.mark.parametrize("name, tables", [("op2_topk", ["embeddings"]), ("op3_chat", ["conversations"]),
-                                          ("op6_line_dedup", ["documents"])])
+                                          ("op4_minhash", ["documents"]), ("op6_line_dedup", ["documents"])])
 def test_registered_queries_equal_their_sql(spark, name, tables):
     con = duckdb.connect()
     for t in tables:
