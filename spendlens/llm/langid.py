@@ -153,7 +153,7 @@ def train(docs: DataFrame, per_language: int = 1_000, most_rows: int = 20_000, d
               .select(h.alias("h"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")))
     rows = map_arrow(sample, _bags, "h long, lang string, buckets binary, counts binary").collect()
     rows = sorted((r["h"], r["lang"], bytes(r["buckets"]), bytes(r["counts"])) for r in rows)[:most_rows]
-    bags = [(np.frombuffer(b, "<u2").astype(np.int64), np.frombuffer(c, "<u4").astype(float), lang) for _, lang, b, c in rows if b]
+    bags = [(np.frombuffer(b, "<u2"), np.frombuffer(c, "<u4"), lang) for _, lang, b, c in rows if b]
     return fit(bags, dimension, epochs, rate, error, seed) if bags else None
 
 
