@@ -120,20 +120,19 @@ def _recurring(batches):
         goes_on = key is not None and k[0] == key
         if goes_on:
             two[0] |= many or text != high[0]
-        if waiting and (not goes_on or two[0]):
-            if goes_on and two[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*waiting, strict=True)], names=names)
-            waiting = []
+        if waiting and goes_on and two[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*waiting, strict=True)], names=names)
         out = two[group]
         if out.any():
             yield pa.RecordBatch.from_arrays([pa.array(c[out]) for c in rest], names=names)
         tail = group == group[-1]
-        key, text, many = k[-1], t[-1], bool(two[-1])
+        before = waiting if goes_on and group[-1] == 0 else []  # rows of the batch's last key
+        key, text, many, waiting = k[-1], t[-1], bool(two[-1]), []
         if not many:
             # equal texts give equal rows: one text's lines are enough
             own = np.unique(np.stack([c[tail] for c in rest]), axis=1)
-            if waiting and goes_on and group[-1] == 0:
-                own = np.unique(np.hstack([np.stack(waiting[0]), own]), axis=1)
+            if before:
+                own = np.unique(np.hstack([np.stack(before[0]), own]), axis=1)
             waiting = [[own[0].astype(np.int64), *(own[c].astype(np.int32) for c in range(1, 4))]]
 
 

@@ -98,5 +98,12 @@ def test_runs_of_a_key_over_batches():
             assert got == want, (a, b)
 
 
+def test_waiting_rows_of_another_key_stay():
+    schema = pa.schema([("key", pa.int64()), ("text_hash", pa.int64()), ("line", pa.int32()), ("tokens", pa.int32()), ("total", pa.int32())])
+    parts = [[(2, 10)], [(2, 10), (3, 11), (3, 12)], [(3, 13)]]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(schema.names, (*r, 0, 3, 9))) for r in part], schema) for part in parts]
+    assert {r["text_hash"] for x in linedup._recurring(batches) for r in x.to_pylist()} == {11, 12, 13}
+
+
 def test_empty_table(spark):
     assert linedup.op6_line_dedup(frame(spark, [])).collect() == []
