@@ -6,6 +6,7 @@ with the columns of ``documents``; the last one returns the pieces of the packed
 * quality: documents whose perplexity the Kneser-Ney classifier rejects go;
 * language: documents whose language is unknown or rejected go;
 * lines: lines of templates that recur across documents go (``n_chars`` follows the text);
+  near copies count as one document, and one carrier keeps a line that is most of a document;
 * near_duplicates: the document of smallest id stays of each group of near copies;
 * packing: token ids of all documents in sequences of 4096.
 """
@@ -33,7 +34,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    clean = op6_line_dedup(docs)
+    classes = op4_near_duplicates(docs).select("text_hash", F.col("component_id").alias("group"))
+    clean = op6_line_dedup(docs, groups=classes)
     length = F.length("text").cast(docs.schema["n_chars"].dataType)
     dropped = F.col(clean.columns[-1])
     return clean.withColumn("n_chars", F.when(dropped > 0, length).otherwise(F.col("n_chars"))).select(docs.columns)

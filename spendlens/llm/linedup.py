@@ -11,9 +11,15 @@ A document more than half of whose words stand in such lines is a copy of anothe
 rather than a carrier of boilerplate; it stays whole, for near-dedup to decide. Texts that
 are equal count as one, so exact copies do not make their own lines recurring.
 
+With groups of texts (the pipeline's near-duplicate classes) each group counts as one, and no
+document stays whole for its share: a line of such a document goes unless its group is the
+first (by number) of those documents that carry its templates. So every recurring line goes
+from all documents, or from all but one group where it is most of a document, and copies
+below the near-duplicate threshold do not delete each other.
+
 Templates are 64-bit keys. They are shuffled once, with the text's hash and the line's
 number; a key's rows stream past in the order of texts, so a template of any number of
-documents needs no more memory than one text's lines.
+documents needs no more memory than one text's lines (with groups, one group's rows of it).
 
 Defined results: a null text stays null; lines of fewer than ``LEAST_TOKENS`` tokens are
 never dropped; repeated rows are cleaned alike; all columns, whatever their names, come back
@@ -102,13 +108,15 @@ def _template_rows(batches):
 
 
 def _recurring(batches):
-    """Rows of keys that occur in two texts; rows come in the order of key and text."""
-    names = ["text_hash", "line", "tokens", "total"]
+    """Rows of keys that occur in two texts; rows come in the order of key and text.
+
+    With a column ``group`` after the key it is two groups, in the order of key and group.
+    """
     key = text = None  # of the last row
     many, waiting = False, []  # whether its key has two texts; else its rows so far
     for batch in batches:
         k, t = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        rest = [batch.column(c).to_numpy() for c in range(1, 5)]
+        names, rest = batch.schema.names, [c.to_numpy() for c in batch.columns]
         if not len(k):
             continue
         head = np.ones(len(k), bool)
@@ -120,8 +128,9 @@ def _recurring(batches):
         goes_on = key is not None and k[0] == key
         if goes_on:
             two[0] |= many or text != high[0]
-        if waiting and goes_on and two[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*waiting, strict=True)], names=names)
+            if two[0]:
+                for own in waiting:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(own, batch.schema, strict=True)], names=names)
         out = two[group]
         if out.any():
             yield pa.RecordBatch.from_arrays([pa.array(c[out]) for c in rest], names=names)
@@ -130,26 +139,48 @@ def _recurring(batches):
         key, text, many, waiting = k[-1], t[-1], bool(two[-1]), []
         if not many:
             # equal texts give equal rows: one text's lines are enough
-            own = np.unique(np.stack([c[tail] for c in rest]), axis=1)
-            if before:
-                own = np.unique(np.hstack([np.stack(before[0]), own]), axis=1)
-            waiting = [[own[0].astype(np.int64), *(own[c].astype(np.int32) for c in range(1, 4))]]
+            waiting = [*before, np.unique(np.stack([c[tail] for c in rest]), axis=1)]
+            if sum(own.shape[1] for own in waiting[1:]) >= waiting[0].shape[1]:
+                waiting = [np.unique(np.hstack(waiting), axis=1)]
 
 
-def recurring_lines(docs: DataFrame, most_share: float = MOST_SHARE) -> DataFrame:
-    """``text_hash, lines``: the line numbers to drop from each text."""
+def _hits(docs: DataFrame) -> DataFrame:
+    """``key, text_hash, line, tokens, total`` of the templates that occur in two texts."""
     rows = map_arrow(docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("text_hash"), F.col("text").cast("string").alias("text")),
                      _template_rows, _ROWS)
-    hits = map_arrow(rows.repartition("key").sortWithinPartitions("key", "text_hash"), _recurring,
-                     "text_hash long, line int, tokens int, total int")
-    return (hits.groupBy("text_hash").agg(F.collect_set(F.struct("line", "tokens")).alias("hit"), F.max("total").alias("total"))
+    return map_arrow(rows.repartition("key").sortWithinPartitions("key", "text_hash"), _recurring, _ROWS)
+
+
+def recurring_lines(docs: DataFrame, most_share: float = MOST_SHARE) -> DataFrame:
+    """``text_hash, lines``: the line numbers to drop from each text."""
+    return (_hits(docs).groupBy("text_hash").agg(F.collect_set(F.struct("line", "tokens")).alias("hit"), F.max("total").alias("total"))
             .where(F.aggregate("hit", F.lit(0), lambda a, x: a + x["tokens"]) <= most_share * F.col("total"))
             .select("text_hash", F.col("hit.line").alias("lines")))
 
 
-def op6_line_dedup(docs: DataFrame, most_share: float = MOST_SHARE) -> DataFrame:
+def recurring_lines_of_groups(docs: DataFrame, groups: DataFrame, most_share: float = MOST_SHARE) -> DataFrame:
+    """As ``recurring_lines``, for templates that occur in two groups (``text_hash, group``).
+
+    Texts with a larger share keep the lines of which their group is the first such carrier.
+    """
+    one = groups.groupBy("text_hash").agg(F.min("group").alias("group"))
+    # only what recurs in texts can recur in groups
+    rows = (_hits(docs).distinct().join(one.hint("merge"), "text_hash", "left")
+            .select("key", F.coalesce("group", "text_hash").alias("group"), "text_hash", "line", "tokens", "total"))
+    hits = stage(map_arrow(rows.repartition("key").sortWithinPartitions("key", "group"), _recurring,
+                           "key long, group long, " + _ROWS.partition(", ")[2]), "hits")
+    over = (hits.select("text_hash", "line", "tokens", "total").distinct().groupBy("text_hash")
+            .agg((F.sum("tokens") > most_share * F.max("total")).alias("over")))
+    known = hits.join(over.hint("merge"), "text_hash")
+    first = known.where("over").groupBy("key").agg(F.min("group").alias("first"))
+    later = known.where("over").join(first.hint("merge"), "key").where("group > first")
+    return (known.where("NOT over").select("text_hash", "line").union(later.select("text_hash", "line"))
+            .groupBy("text_hash").agg(F.collect_set("line").alias("lines")))
+
+
+def op6_line_dedup(docs: DataFrame, most_share: float = MOST_SHARE, groups: DataFrame | None = None) -> DataFrame:
     """``docs`` with recurring lines dropped from ``text``, and ``n_lines``, ``n_dropped``."""
-    drop = stage(recurring_lines(docs, most_share), "lines")
+    drop = stage(recurring_lines(docs, most_share) if groups is None else recurring_lines_of_groups(docs, groups, most_share), "lines")
     # the lists grow with the corpus: a merge join at every size, never a broadcast
     rows = docs.select(F.struct(*[docs[quoted(c)] for c in docs.columns]).alias("doc"), F.xxhash64("text").alias("text_hash"))
     out = rows.join(drop.hint("merge"), "text_hash", "left")

@@ -105,5 +105,16 @@ def test_waiting_rows_of_another_key_stay():
     assert {r["text_hash"] for x in linedup._recurring(batches) for r in x.to_pylist()} == {11, 12, 13}
 
 
+def test_texts_of_a_group_count_as_one_over_batches():
+    names = ["key", "group", "text_hash", "line", "tokens", "total"]
+    schema = pa.schema([(n, pa.int64() if k < 3 else pa.int32()) for k, n in enumerate(names)])
+    rows = [(1, 5, t, 0, 3, 9) for t in (10, 11, 12)] + [(2, 5, 10, 1, 3, 9), (2, 5, 11, 1, 3, 9), (2, 6, 20, 1, 3, 9)]
+    for a in range(len(rows) + 1):
+        for b in range(a, len(rows) + 1):
+            batches = [pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in part], schema) for part in (rows[:a], rows[a:b], rows[b:])]
+            got = {(r["text_hash"], r["line"]) for x in linedup._recurring(batches) for r in x.to_pylist()}
+            assert got == {(10, 1), (11, 1), (20, 1)}, (a, b)
+
+
 def test_empty_table(spark):
     assert linedup.op6_line_dedup(frame(spark, [])).collect() == []

@@ -54,6 +54,18 @@ def test_stages_in_turn(spark, folder):
     assert clean <= set(kept["near_duplicates"]) and not {*range(200, 206), 300} & set(kept["near_duplicates"])
 
 
+def test_recurring_lines_go_from_short_documents(spark):
+    passage = [prose(70, 25), prose(71, 30)]
+    rows = [(k, "\n".join([prose(k, 20), *passage])) for k in range(3)]  # 73 % of the words
+    copy = [prose(600 + k, 20) for k in range(12)]
+    rows += [(10, "\n".join(copy)), (11, "\n".join([*copy, prose(700, 5)])), (12, "\n".join([passage[0], *copy]))]
+    docs = spark.createDataFrame([(i, t, "en", "src", len(t)) for i, t in rows], SCHEMA)
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.lines(spark, docs, "").collect()}
+    # one of the documents that consist mostly of the passage keeps it
+    own = {0: rows[0][1], 1: prose(1, 20), 2: prose(2, 20), 10: rows[3][1], 11: rows[4][1], 12: "\n".join(copy)}
+    assert got == {i: (t, len(t)) for i, t in own.items()}
+
+
 def test_run_packs_what_the_stages_keep(spark, folder):
     got = corpus_pipeline.run(spark, folder).collect()
     assert set(range(90)) <= {r.doc_id for r in got}
