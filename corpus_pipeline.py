@@ -24,6 +24,9 @@ from spendlens.llm.packing import op7_pack
 from spendlens.llm.quality_lm import op9_quality
 from spendlens.llm.shared import rows_of, stage, table
 
+#: Documents of a resemblance of so many hundredths are near copies (the query op4_ has its own).
+NEAR = 80
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows_of(docs, op9_quality(docs, table(spark, sf_dir, "labels")).where("kept"))
@@ -34,7 +37,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    classes = op4_near_duplicates(docs).select("text_hash", F.col("component_id").alias("group"))
+    classes = op4_near_duplicates(docs, NEAR).select("text_hash", F.col("component_id").alias("group"))
     clean = op6_line_dedup(docs, groups=classes)
     length = F.length("text").cast(docs.schema["n_chars"].dataType)
     dropped = F.col(clean.columns[-1])
@@ -42,7 +45,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return rows_of(docs, op4_near_duplicates(docs).where("kept"))
+    return rows_of(docs, op4_near_duplicates(docs, NEAR).where("kept"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

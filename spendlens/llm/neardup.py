@@ -6,6 +6,7 @@ average; all pairs that differ in at most 22 (``DISTANCE``) are found: 12 chunks
 these 22 errors, so some chunk has one error at most, and leaving out each symbol of each
 chunk in turn enumerates it. A pair at 0.85 exactly differs in more than 22 symbols with a
 chance of 3e-5, and is then mostly found too, since few pairs spread errors that evenly.
+For another link threshold ``layout`` derives the three numbers with the same chance.
 
 * Equal sets are one class before anything is joined, so exact copies cost nothing more.
 * In a bucket only edges to its smallest member are kept, first within each batch, then
@@ -23,6 +24,9 @@ are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+from functools import partial
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,16 +37,34 @@ from .graph import components
 from .shared import arrow_rows, map_arrow, stage, text_parts
 
 SHINGLE = 5
-SYMBOLS, DISTANCE, CHUNKS = 64, 22, 12
 BLOCK, BLOCK_SHINGLES = 256, 400_000
 #: Two sets are linked if 100 * intersection >= LINK * union.
 LINK = 85
+#: The most chance that a pair at the link threshold differs in more symbols than are covered.
+MISS = 3e-5
+#: Chunks of fewer symbols on average would be shared by too many pairs far below the threshold.
+LEAST_CHUNK = 5
+
+
+def layout(link: int) -> tuple[int, int, int]:
+    """``(symbols, distance, chunks)`` of the shortest signatures for a link threshold."""
+    miss = (100 - link) / 100
+    for symbols in range(32, 1024, 32):
+        chance, distance = 1.0, -1
+        while chance > MISS:
+            distance += 1
+            chance -= comb(symbols, distance) * miss ** distance * (1 - miss) ** (symbols - distance)
+        chunks = distance // 2 + 1  # some chunk has one error at most
+        if symbols >= LEAST_CHUNK * chunks:
+            return symbols, distance, chunks
+    raise ValueError(f"no signature finds pairs at a link threshold of {link}")
+
+
+SYMBOLS, DISTANCE, CHUNKS = layout(LINK)
 
 _U = np.uint64
-_SEEDS = ta.mix(np.arange(1, SYMBOLS + 1, dtype=_U) * _U(0xA0761D6478BD642F))
+_SEEDS = ta.mix(np.arange(1, 1024, dtype=_U) * _U(0xA0761D6478BD642F))
 _FACTORS = ta.mix(_SEEDS) | _U(1)
-_BOUNDS = np.linspace(0, SYMBOLS, CHUNKS + 1).astype(int)
-assert DISTANCE < 2 * CHUNKS  # some chunk has one error at most
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -69,12 +91,12 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """(sets, SYMBOLS) 16-bit symbols of non-empty sets."""
+def signatures(sets: list[np.ndarray], symbols: int = SYMBOLS) -> np.ndarray:
+    """(sets, symbols) 16-bit symbols of non-empty sets."""
     flat = np.concatenate(sets)
     starts = np.cumsum([0, *map(len, sets[:-1])])
-    out = np.empty((len(sets), SYMBOLS), np.uint16)
-    for k in range(SYMBOLS):
+    out = np.empty((len(sets), symbols), np.uint16)
+    for k in range(symbols):
         low = np.minimum.reduceat((flat ^ _SEEDS[k]) * _FACTORS[k], starts)
         out[:, k] = ta.mix(low) & _U(0xFFFF)
     return out
@@ -83,14 +105,14 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 _SIGNED = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("signature", pa.binary())])
 
 
-def sign(docs: DataFrame) -> DataFrame:
+def sign(docs: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     """``doc_id, text_hash, n_shingles``, a 128-bit set hash ``h1, h2`` and the signature of every row."""
     def run(batches):
         for batch in batches:
             for i, j, data, offsets in text_parts(batch, "text"):
                 sets = shingle_sets(data, offsets)
                 full = [s for s in sets if len(s)]
-                sig = iter(signatures(full)) if full else iter(())
+                sig = iter(signatures(full, symbols)) if full else iter(())
                 yield arrow_rows(
                     _SIGNED, doc_id=batch.column(0).slice(i, j - i), text_hash=batch.column(1).slice(i, j - i), n_shingles=[len(s) for s in sets],
                     h1=np.array([ta.mix(s).sum(dtype=_U) for s in sets], _U).view(np.int64),
@@ -105,11 +127,12 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def chunk_keys(symbols: np.ndarray) -> np.ndarray:
-    """(rows, SYMBOLS) bucket keys: a chunk without each of its symbols in turn."""
+def chunk_keys(symbols: np.ndarray, chunks: int = CHUNKS) -> np.ndarray:
+    """(rows, symbols) bucket keys: a chunk without each of its symbols in turn."""
     out = np.empty(symbols.shape, _U)
     wide = symbols.astype(_U)
-    for a, b in zip(_BOUNDS[:-1], _BOUNDS[1:], strict=True):
+    bounds = np.linspace(0, symbols.shape[1], chunks + 1).astype(int)
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
         for j in range(a, b):
             h = np.full(len(symbols), j + 1, _U)
             for k in range(a, b):
@@ -122,14 +145,14 @@ def chunk_keys(symbols: np.ndarray) -> np.ndarray:
 _KEYED = pa.schema([("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
 
-def _keys(batches):
+def _keys(batches, symbols: int = SYMBOLS, chunks: int = CHUNKS):
     """Bucket rows (key, class), and edges (class, smaller class) between rows of one batch."""
     for batch in batches:
         ids = batch.column(0).to_numpy()
-        sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u2").reshape(-1, SYMBOLS)
+        sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u2").reshape(-1, symbols)
         for i in range(0, len(ids), 4096):
-            keys = chunk_keys(sig[i:i + 4096]).ravel()
-            own = np.repeat(ids[i:i + 4096], SYMBOLS)
+            keys = chunk_keys(sig[i:i + 4096], chunks).ravel()
+            own = np.repeat(ids[i:i + 4096], symbols)
             order = np.lexsort((own, keys))
             keys, own = keys[order], own[order]
             head = np.ones(len(keys), bool)
@@ -165,9 +188,9 @@ def _bucket_edges(batches):
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
 
-def candidate_edges(classes: DataFrame) -> DataFrame:
+def candidate_edges(classes: DataFrame, symbols: int = SYMBOLS, chunks: int = CHUNKS) -> DataFrame:
     """Edges (a, b) whose components hold all pairs of classes that share a bucket."""
-    keyed = map_arrow(classes.select("class_id", "signature"), _keys, "key long, a long, b long")
+    keyed = map_arrow(classes.select("class_id", "signature"), partial(_keys, symbols=symbols, chunks=chunks), "key long, a long, b long")
     return map_arrow(keyed.repartition("key").sortWithinPartitions("key", "a"), _bucket_edges, "a long, b long").distinct()
 
 
@@ -207,12 +230,12 @@ def confirm(ids: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray], link: i
     return [(int(ids[i]), int(ids[k])) for i, k in enumerate(label) if i != k]
 
 
-def _confirm_groups(batches):
+def _confirm_groups(batches, link: int = LINK):
     """Links of each (blob, i, k) group; its rows come one after the other."""
     key, ids, blocks, sets = None, [], [], []
 
     def flush():
-        links = confirm(np.array(ids), np.array(blocks), sets) if len(ids) > 1 else []
+        links = confirm(np.array(ids), np.array(blocks), sets, link) if len(ids) > 1 else []
         return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     for batch in batches:
@@ -228,7 +251,7 @@ def _confirm_groups(batches):
         yield flush()
 
 
-def confirmed_links(docs: DataFrame, classes: DataFrame, blobs: DataFrame) -> DataFrame:
+def confirmed_links(docs: DataFrame, classes: DataFrame, blobs: DataFrame, link: int = LINK) -> DataFrame:
     """Edges whose components are those of all confirmed links inside blobs."""
     members = classes.select("class_id", "n_shingles").join(blobs.select(F.col("node").alias("class_id"), F.col("component").alias("blob")), "class_id")
     sizes = members.groupBy("blob").agg(F.greatest(
@@ -248,17 +271,18 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, blobs: DataFrame) -> Da
                      "class_id long, blob long, nb int, block int, shingles binary")
     paired = (rows.withColumn("other", F.explode(F.expr("sequence(0, nb - 1)")))
               .select("blob", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("k"), "block", "class_id", "shingles"))
-    return map_arrow(paired.repartition("blob", "i", "k").sortWithinPartitions("blob", "i", "k"), _confirm_groups, "a long, b long")
+    return map_arrow(paired.repartition("blob", "i", "k").sortWithinPartitions("blob", "i", "k"), partial(_confirm_groups, link=link), "a long, b long")
 
 
-def op4_near_duplicates(docs: DataFrame) -> DataFrame:
+def op4_near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept, text_hash`` of every document."""
-    signed = stage(sign(docs), "signed")
+    symbols, _, chunks = layout(link)
+    signed = stage(sign(docs, symbols), "signed")
     classes = stage(signed.where("n_shingles > 0").groupBy("n_shingles", "h1", "h2")
                     .agg(F.min("doc_id").alias("class_id"), F.first("signature").alias("signature"))
                     .where("class_id IS NOT NULL"), "classes")
-    blobs = components(candidate_edges(classes))
-    links = components(confirmed_links(docs, classes, blobs))
+    blobs = components(candidate_edges(classes, symbols, chunks))
+    links = components(confirmed_links(docs, classes, blobs, link))
     # rows of one doc_id with different texts are one document
     own = (signed.join(classes.drop("signature"), ["n_shingles", "h1", "h2"], "left")
            .join(links.select(F.col("node").alias("class_id"), "component"), "class_id", "left")

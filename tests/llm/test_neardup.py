@@ -102,6 +102,18 @@ def test_signature_distance_is_covered_by_the_chunks():
     assert (neardup.chunk_keys(a) == neardup.chunk_keys(b)).any(axis=1).all()
 
 
+def test_layout_of_other_thresholds():
+    assert neardup.layout(85) == (neardup.SYMBOLS, neardup.DISTANCE, neardup.CHUNKS) == (64, 22, 12)
+    symbols, distance, chunks = neardup.layout(80)
+    r = np.random.default_rng(1)
+    assert (r.binomial(symbols, 0.2, 100_000) > distance).sum() < 20  # 3 are expected at most
+    a = r.integers(0, 1 << 16, (200, symbols)).astype(np.uint16)
+    b = a.copy()
+    for row in b:
+        row[r.choice(symbols, distance, replace=False)] ^= 1
+    assert (neardup.chunk_keys(a, chunks) == neardup.chunk_keys(b, chunks)).any(axis=1).all()
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (10, 9), (9, 8), (8, 7), (7, 6), (5, 5), (None, 4), (3, 2)] + [(100, k) for k in range(101, 140)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

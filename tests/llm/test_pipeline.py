@@ -66,6 +66,16 @@ def test_recurring_lines_go_from_short_documents(spark):
     assert got == {i: (t, len(t)) for i, t in own.items()}
 
 
+def test_near_copies_between_80_and_85_go(spark):
+    rows = []
+    for k in range(10):
+        words = prose(800 + k, 204, [f"{k}v{j}" for j in range(400)]).split()
+        edit = [f"e{j}" if j in (40, 80, 120, 160) else w for j, w in enumerate(words)]  # 180 of 220 shingles
+        rows += [(k, " ".join(words)), (100 + k, " ".join(edit))]
+    docs = spark.createDataFrame([(i, t, "en", "src", len(t)) for i, t in rows], SCHEMA)
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == set(range(10))
+
+
 def test_run_packs_what_the_stages_keep(spark, folder):
     got = corpus_pipeline.run(spark, folder).collect()
     assert set(range(90)) <= {r.doc_id for r in got}
