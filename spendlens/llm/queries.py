@@ -18,6 +18,7 @@ from .packing import op7_pack as _pack
 from .quality_lm import op9_quality
 from .rules import op10_rules as _rules
 from .shared import table
+from .simhash import op11_near_duplicates
 from .topk import op2_top_k
 
 
@@ -68,6 +69,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_topk": op2_topk,
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_lm": op9_quality_lm,
     "op10_quality_rules": op10_quality_rules,
+    "op11_simhash": op11_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
