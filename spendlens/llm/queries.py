@@ -13,6 +13,7 @@ from .chat import op3_chat as _chat
 from .counts import op8_counts
 from .langid import language_of
 from .linedup import op6_line_dedup as _lines
+from .merkle import op12_manifest
 from .neardup import op4_near_duplicates
 from .packing import op7_pack as _pack
 from .quality_lm import op9_quality
@@ -73,6 +74,10 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_topk": op2_topk,
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_lm": op9_quality_lm,
     "op10_quality_rules": op10_quality_rules,
     "op11_simhash": op11_simhash,
+    "op12_merkle": op12_merkle,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -171,5 +177,61 @@ ranked AS (
          vec_id, score
   FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+    "op12_merkle": r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i] || list_transform(range(8), lambda k: CAST(0 AS BIGINT)),
+                        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+plain AS (
+  SELECT row_number() OVER () AS row_id, doc_id, lang, text, CAST(doc_id AS VARCHAR) AS id,
+         concat(CASE WHEN doc_id IS NULL THEN '-' ELSE concat(strlen(CAST(doc_id AS VARCHAR)), ':', doc_id) END,
+                CASE WHEN source IS NULL THEN '-' ELSE concat(strlen(source), ':', source) END,
+                CASE WHEN lang IS NULL THEN '-' ELSE concat(strlen(lang), ':', lang) END,
+                CASE WHEN n_chars IS NULL THEN '-' ELSE concat(strlen(CAST(n_chars AS VARCHAR)), ':', n_chars) END) AS head
+  FROM documents),
+leaves AS (
+  SELECT row_id, doc_id, lang, sha256(head || CASE WHEN text IS NULL THEN '-' ELSE concat(strlen(text), ':', text) END) AS leaf,
+         CASE WHEN xor(4294967295, list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(string_split(id, ''), lambda x: CAST(ord(x) AS BIGINT)),
+                       lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]))) % 3 = 0
+              THEN sha256(head || CASE WHEN text IS NULL THEN '-'
+                                       ELSE concat(strlen(text), ':', translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) END)
+         END AS changed
+  FROM plain, crc_table),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+-- one row per language: all nodes of its current level
+level AS (
+  SELECT lang, 0 AS depth, list(leaf ORDER BY pos) AS nodes FROM placed GROUP BY lang
+  UNION ALL
+  SELECT lang, depth + 1, list_transform(range(0, len(nodes), 8), lambda i: sha256(array_to_string(nodes[i + 1:i + 8], '')))
+  FROM level WHERE len(nodes) > 1),
+subroots AS (
+  SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY CASE WHEN lang IS NULL THEN 0 ELSE 1 END, encode(coalesce(lang, ''))) - 1 AS pos
+  FROM level WHERE len(nodes) = 1),
+top AS (
+  SELECT 0 AS depth, list(subroot ORDER BY pos) AS nodes FROM subroots
+  UNION ALL
+  SELECT depth + 1, list_transform(range(0, len(nodes), 8), lambda i: sha256(array_to_string(nodes[i + 1:i + 8], '')))
+  FROM top WHERE len(nodes) > 1),
+height AS (SELECT lang, max(depth) AS h FROM level GROUP BY lang),
+steps AS (
+  -- every level at which a leaf's ancestor has a run, up to the root
+  SELECT p.row_id, l.depth, l.nodes, p.pos // CAST(pow(8, l.depth) AS BIGINT) AS place FROM placed p
+  JOIN level l ON l.lang IS NOT DISTINCT FROM p.lang AND len(l.nodes) > 1
+  UNION ALL
+  SELECT p.row_id, h.h + t.depth, t.nodes, s.pos // CAST(pow(8, t.depth) AS BIGINT) FROM placed p
+  JOIN height h ON h.lang IS NOT DISTINCT FROM p.lang JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang
+  JOIN top t ON len(t.nodes) > 1),
+sides AS (
+  SELECT row_id, list({'l': array_to_string(nodes[place // 8 * 8 + 1:place], ''), 'r': array_to_string(nodes[place + 2:place // 8 * 8 + 8], '')} ORDER BY depth) AS sides
+  FROM steps GROUP BY row_id),
+proved AS (
+  SELECT p.row_id, doc_id, lang, leaf, coalesce(sides, []) AS sides, coalesce(changed, leaf) AS start
+  FROM placed p LEFT JOIN sides USING (row_id))
+SELECT doc_id, leaf, subroot, top.nodes[1] AS root, sha256(array_to_string(list_transform(sides, lambda s: s.l || s.r), '')) AS proof_sha256,
+       list_reduce([start] || list_transform(sides, lambda s: s.l || ' ' || s.r),
+                   lambda d, s: sha256(string_split(s, ' ')[1] || d || string_split(s, ' ')[2])) AS folded_root,
+       folded_root = top.nodes[1] AS verified
+FROM proved JOIN subroots ON proved.lang IS NOT DISTINCT FROM subroots.lang JOIN top ON len(top.nodes) = 1
 """,
 }
