@@ -21,6 +21,7 @@ from .rules import op10_rules as _rules
 from .shared import table
 from .simhash import op11_near_duplicates
 from .topk import op2_top_k
+from .trie import op13_prefix_trie
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +79,10 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12_manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_topk": op2_topk,
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
     "op11_simhash": op11_simhash,
     "op12_merkle": op12_merkle,
+    "op13_trie": op13_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -233,5 +239,44 @@ SELECT doc_id, leaf, subroot, top.nodes[1] AS root, sha256(array_to_string(list_
                    lambda d, s: sha256(string_split(s, ' ')[1] || d || string_split(s, ' ')[2])) AS folded_root,
        folded_root = top.nodes[1] AS verified
 FROM proved JOIN subroots ON proved.lang IS NOT DISTINCT FROM subroots.lang JOIN top ON len(top.nodes) = 1
+""",
+    "op13_trie": """
+WITH crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i] || list_transform(range(8), lambda k: CAST(0 AS BIGINT)),
+                        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+turns AS (
+  SELECT conv_id, concat(length(coalesce(role, '')), ':', role, length(coalesce(text, '')), ':', text) AS said, length(coalesce(text, '')) AS chars,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+         xor(4294967295, list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT)),
+             lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]))) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns), crc_table),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS part, i, said, chars FROM convs c JOIN turns t ON t.conv_id = c.base AND t.i <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, i, said, chars FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.i > c.h),
+listed AS (
+  SELECT c.conv_id, coalesce(list(said ORDER BY part, i) FILTER (said IS NOT NULL), []) AS said,
+         coalesce(list(chars ORDER BY part, i) FILTER (said IS NOT NULL), []) AS chars
+  FROM convs c LEFT JOIN rebuilt r ON r.conv_id = c.conv_id GROUP BY c.conv_id),
+prefixes AS (
+  SELECT conv_id, d AS depth, sha256(array_to_string(said[1:d], '')) AS key, CASE WHEN d > 0 THEN sha256(array_to_string(said[1:d - 1], '')) END AS up,
+         CASE WHEN d > 0 THEN chars[d] ELSE 0 END AS chars, d = len(said) AS whole
+  FROM (SELECT conv_id, said, chars, unnest(range(len(said) + 1)) AS d FROM listed)),
+nodes AS (
+  SELECT depth, key, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (whole), '')) AS ends_sha256
+  FROM prefixes GROUP BY depth, key),
+kids AS (SELECT depth - 1 AS depth, up AS key, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+counted AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids ON kids.depth = nodes.depth AND kids.key = nodes.key),
+-- a node lies in the subtrees of all prefixes of its smallest member that are not longer
+subtrees AS (
+  SELECT p.depth, p.key, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+  FROM counted c JOIN prefixes p ON p.conv_id = c.conv_id AND p.depth <= c.depth GROUP BY p.depth, p.key)
+SELECT c.conv_id, c.depth, u.conv_id AS parent_conv_id, c.n_convs, CAST(c.n_children AS BIGINT) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, c.ends_sha256
+FROM counted c JOIN subtrees s ON s.depth = c.depth AND s.key = c.key LEFT JOIN nodes u ON u.depth = c.depth - 1 AND u.key = c.up
 """,
 }
