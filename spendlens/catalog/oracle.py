@@ -218,11 +218,11 @@ def _fact_cte(name: str, table: str, measures: dict[str, str]) -> str:
             f"FROM {table} GROUP BY 1, 2, 3)")
 
 
-def _multi_fact_api(mode: str = "as_written") -> str:
+def _multi_fact_api(mode: str = "as_written", sources: str = "multi_fact") -> str:
     page_measures = {"revenue": "complete_payment * value_per_complete_payment"}
     page_measures.update({c: c for c in PAGE_EVENT[1]})
     ctes = [
-        duckdb_ctes("multi_fact"),
+        duckdb_ctes(sources),
         "sync_info AS (SELECT max(" + local_sql("_fivetran_synced") + ") AS max_synced_at, "
         "max(CAST(stat_time_day AS DATE)) AS max_data_date "
         "FROM ads_basic_data_metrics_by_day_report)",
@@ -325,6 +325,18 @@ GROUP BY 1, 2, 3"""
 REPORT_MULTI_FACT = report_multi_fact_sql("as_written",
                                           "WHERE CAST(advertiser_id AS BIGINT) IN (0, 1, 2)")
 
+REPORT_MULTI_FACT_WEEK = _multi_fact_api("as_written", "multi_fact_week") + """
+SELECT CAST(date AS DATE) AS date, CAST(campaign_name AS VARCHAR) AS campaign_name,
+       CAST(currency AS VARCHAR) AS currency, CAST(count(*) AS BIGINT) AS joined_rows,
+       CAST(sum(cost) AS DOUBLE) AS cost, CAST(sum(clicks) AS BIGINT) AS clicks,
+       CAST(sum(revenue) AS DOUBLE) AS revenue, CAST(sum(button_click) AS BIGINT) AS button_clicks,
+       CAST(sum(cta_purchase) AS BIGINT) AS cta_purchase,
+       CAST(sum(vta_purchase) AS DOUBLE) AS vta_purchase, CAST(sum(likes) AS BIGINT) AS likes,
+       CAST(sum(purchase) AS BIGINT) AS purchases, CAST(sum(checkout) AS DOUBLE) AS checkout,
+       CAST(sum(video_views_p100) AS BIGINT) AS video_views,
+       CAST(max(last_data_date) AS DATE) AS last_data_date
+FROM api GROUP BY 1, 2, 3"""
+
 HISTORY_FAN_OUT = """
 WITH spine AS (SELECT CAST(ts AS DATE) AS date, user_id, count(*) AS n_events
                FROM events GROUP BY 1, 2),
@@ -583,4 +595,5 @@ ORACLE_SQL: dict[str, str] = {
     "report_ad_group": _star_report(keyword=False),
     "report_keyword": _star_report(keyword=True),
     "report_multi_fact": REPORT_MULTI_FACT,
+    "report_multi_fact_week": REPORT_MULTI_FACT_WEEK,
 }

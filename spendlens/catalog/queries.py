@@ -435,7 +435,7 @@ def publish_round_trip(spark, sf_dir):
 def _report(kind: str) -> Query:
     def run(spark, sf_dir):
         spec = REPORT_SPECS[kind]
-        return BUILDERS[kind](spec, loader(spark, "", spark_sources(spark, sf_dir, kind)))
+        return BUILDERS[kind.removesuffix("_week")](spec, loader(spark, "", spark_sources(spark, sf_dir, kind)))
     run.__name__ = f"report_{kind}"
     return run
 
@@ -473,4 +473,5 @@ QUERIES: dict[str, Query] = {
     "report_ad_group": _report("ad_group"),
     "report_keyword": _report("keyword"),
     "report_multi_fact": _report("multi_fact"),
+    "report_multi_fact_week": _report("multi_fact_week"),
 }

@@ -85,6 +85,8 @@ KEYWORD_SPEC = ReportSpec(
              FieldSpec("last_synced_at", "DATETIME", "max(last_synced_at)")),
     conversions=(ConversionSpec("Purchase", "purchase"), ConversionSpec("Lead", "lead")),
     pivots=True, run_ts=RUN_TS,
+    # neither is read: their joins are left out, after a check that they repeat no row
+    unique_ids=("campaign_history", "ad_group_history"),
 )
 
 MULTI_FACT_SPEC = ReportSpec(
@@ -108,10 +110,26 @@ MULTI_FACT_SPEC = ReportSpec(
     account_ids=(0, 1, 2), timezone=TZ,
 )
 
+MULTI_FACT_WEEK_SPEC = ReportSpec(
+    target="spendlens_home.multi_fact_week_report",
+    dimensions=(FieldSpec("date", "DATE", "date"), FieldSpec("campaign_name", "STRING", "campaign_name"),
+                FieldSpec("currency", "STRING", "currency")),
+    metrics=(FieldSpec("joined_rows", "INT64", "count(*)"), FieldSpec("cost", "FLOAT64", "sum(cost)"),
+             FieldSpec("clicks", "INT64", "sum(clicks)"), FieldSpec("revenue", "FLOAT64", "sum(revenue)"),
+             FieldSpec("button_clicks", "INT64", "sum(button_click)"),
+             FieldSpec("cta_purchase", "INT64", "sum(cta_purchase)"),
+             FieldSpec("vta_purchase", "FLOAT64", "sum(vta_purchase)"),
+             FieldSpec("likes", "INT64", "sum(likes)"), FieldSpec("purchases", "INT64", "sum(purchase)"),
+             FieldSpec("checkout", "FLOAT64", "sum(checkout)"),
+             FieldSpec("video_views", "INT64", "sum(video_views_p100)"),
+             FieldSpec("last_data_date", "DATE", "max(last_data_date)")), timezone=TZ,
+)
+
 REPORT_SPECS = {
     "platform": PLATFORM_SPEC,
     "campaign": CAMPAIGN_SPEC,
     "ad_group": AD_GROUP_SPEC,
     "keyword": KEYWORD_SPEC,
     "multi_fact": MULTI_FACT_SPEC,
+    "multi_fact_week": MULTI_FACT_WEEK_SPEC,
 }

@@ -219,12 +219,33 @@ MULTI_FACT_SOURCES = {
         FROM {events} GROUP BY user_id % 3""",
 }
 
+# the same facts with a group id that stands for a user's week, so that a group spans days
+# and the source's joins pair them; and ads with several versions
+_WEEK_GN_ID = ("concat(CAST(user_id AS STRING), '-', "
+               "CAST(CAST(date_trunc('week', ts) AS DATE) AS STRING))")
+MULTI_FACT_WEEK_SOURCES = {
+    **{name: text.replace(GN_ID, _WEEK_GN_ID) for name, text in MULTI_FACT_SOURCES.items()},
+    "ad_history": """
+        SELECT user_id AS ad_id, concat('ad ', CAST(user_id AS STRING), ' ', event_type) AS ad_name,
+               user_id % 10 AS adgroup_id,
+               concat('group ', CAST(user_id % 10 AS STRING)) AS adgroup_name,
+               CAST(user_id % 4 AS STRING) AS advertiser_id,
+               CASE WHEN event_type <> 'error' THEN user_id % 7 END AS campaign_id
+        FROM {events} GROUP BY user_id, event_type""",
+    "ad_accounts_history": """
+        SELECT CAST(user_id % 3 AS STRING) AS advertiser_id,
+               concat('advertiser ', CAST(user_id % 3 AS STRING)) AS name,
+               CASE WHEN user_id % 2 = 0 THEN 'USD' ELSE 'EUR' END AS currency
+        FROM {events} GROUP BY user_id % 3, user_id % 2""",
+}
+
 SOURCES = {
     "platform": PLATFORM_SOURCES,
     "campaign": CAMPAIGN_SOURCES,
     "ad_group": STAR_SOURCES,
     "keyword": STAR_SOURCES,
     "multi_fact": MULTI_FACT_SOURCES,
+    "multi_fact_week": MULTI_FACT_WEEK_SOURCES,
 }
 
 

@@ -103,9 +103,11 @@ def spec_from_vars(vars_: Mapping, service: str, model: str, kind: str,
         run_ts=run_ts,
         external=external,
     )
-    for name in ("stitch", "history_order", "history_tiebreak"):
+    for name in ("stitch", "history_order", "history_tiebreak", "factorise", "unique_ids"):
         if mdl.get(name) is not None:
             value = mdl[name]
-            fields[name] = (value,) if name == "history_tiebreak" and isinstance(value, str) else value
+            if name == "factorise":
+                value = _bool_text(value)
+            fields[name] = (value,) if name in ("history_tiebreak", "unique_ids") and isinstance(value, str) else value
     fields.update(overrides)
     return ReportSpec(**fields)

@@ -30,8 +30,11 @@ from ..operators.history import current_only, latest_by
 from ..operators.pivot import pivot_metrics, pivot_name
 from ..operators.shape import build_report
 from ..operators.sync import attach_sync, run_time_literal, sync_info
+from ..operators.weighted import ROWS, stitch_sums, versions, weighed
 from ..sources.tables import Loader
-from ..spec import ReportSpec
+from ..spec import STITCH_AS_WRITTEN, ReportSpec
+from .lineage import columns_read, is_read, linear
+from .links import Link, needed_links
 
 # --- fixed values: source column holding the load time stamp of each row ---
 LOAD_STAMP = "_fivetran_synced"
@@ -46,6 +49,20 @@ def _with_sync(api: DataFrame, source: DataFrame, synced_at: Column,
     return attach_sync(api, sync_info(source, synced_at, data_date))
 
 
+def _declared(spec: ReportSpec, table: str) -> str:
+    return table if table in spec.unique_ids else ""
+
+
+def _with_dims(report: DataFrame, dims: DataFrame, on: list[tuple[str, str]], columns: list[str], how: str,
+               declared: str, read: frozenset[str] | None, unique: bool = False,
+               normalise: bool = False) -> tuple[DataFrame, list[str]]:
+    """Join the dimension chain to the roll-up, unless it can go; and the columns it brought."""
+    link = Link(dims, on, {c: c for c in columns}, how, unique=unique, declared=declared)
+    if not needed_links([link], read):
+        return report, []
+    return left_join(report, dims, on, link.take, how=how, normalise=normalise), columns
+
+
 def finish(api: DataFrame, spec: ReportSpec, account_col: str,
            account_cast: str | None = None) -> DataFrame:
     """Allow-list, regex filters (AND-combined), then the typed regroup."""
@@ -61,7 +78,8 @@ def finish(api: DataFrame, spec: ReportSpec, account_col: str,
 PLATFORM_FACT = "platform_report"
 
 
-def platform_api(spec: ReportSpec, load: Loader, fact_name: str = PLATFORM_FACT) -> DataFrame:
+def platform_api(spec: ReportSpec, load: Loader, fact_name: str = PLATFORM_FACT,
+                 read: frozenset[str] | None = None) -> DataFrame:
     fact = load(fact_name, ["date", "ad_id", "publisher_platform", "spend", "clicks",
                             "impressions"])
     keys = ["date", "ad_id", "publisher_platform"]
@@ -99,18 +117,22 @@ def platform_api(spec: ReportSpec, load: Loader, fact_name: str = PLATFORM_FACT)
         accounts = account_allow_list(accounts, "account_id", spec.account_ids)
     base = ads.select(F.col("id").alias("__ad_key"), F.col("name").alias("ad_name"),
                       F.col("ad_set_id").alias("__ad_set_link"))
-    dims = chain(base, [
-        (ad_sets, [("__ad_set_link", "id")],
-         {"ad_set_id": "id", "ad_set_name": "name", "__campaign_link": "campaign_id"}, how),
-        (campaigns, [("__campaign_link", "id")],
-         {"campaign_id": "id", "campaign_name": "name", "__account_link": "account_id"}, how),
-        (accounts, [("__account_link", "account_id")],
-         {"account_id": "account_id", "account_name": "name"}, how),
-    ], normalise=True)
-    dim_cols = ["ad_name", "ad_set_id", "ad_set_name", "campaign_id", "campaign_name",
-                "account_id", "account_name"]
-    wide = left_join(report, dims, [("ad_id", "__ad_key")], {c: c for c in dim_cols},
-                     how=how, normalise=True)
+    links = needed_links([
+        Link(ad_sets, [("__ad_set_link", "id")],
+             {"ad_set_id": "id", "ad_set_name": "name", "__campaign_link": "campaign_id"}, how,
+             declared=_declared(spec, "ad_set_history")),
+        Link(campaigns, [("__campaign_link", "id")],
+             {"campaign_id": "id", "campaign_name": "name", "__account_link": "account_id"}, how,
+             declared=_declared(spec, "campaign_history")),
+        Link(accounts, [("__account_link", "account_id")],
+             {"account_id": "account_id", "account_name": "name"}, how,
+             declared=_declared(spec, "account_history")),
+    ], read)
+    dims = chain(base, [link.joined() for link in links], normalise=True)
+    dim_cols = [c for c in ("ad_name", "ad_set_id", "ad_set_name", "campaign_id", "campaign_name",
+                            "account_id", "account_name") if c in dims.columns]
+    wide, dim_cols = _with_dims(report, dims, [("ad_id", "__ad_key")], dim_cols, how,
+                                "" if links else _declared(spec, "ad_history"), read, normalise=True)
 
     api = wide.select(
         "date", "cost", "clicks", "impressions", "frequency", "reach", "conversions",
@@ -123,7 +145,7 @@ def platform_api(spec: ReportSpec, load: Loader, fact_name: str = PLATFORM_FACT)
 
 
 def platform_report(spec: ReportSpec, load: Loader) -> DataFrame:
-    return finish(platform_api(spec, load), spec, "account_id")
+    return finish(platform_api(spec, load, read=columns_read(spec, "account_id")), spec, "account_id")
 
 
 # ----------------------------------------------------------------------------------
@@ -135,7 +157,8 @@ CAMPAIGN_MEASURES = ("clicks", "impressions", "comments", "follows", "shares",
                      "landing_page_clicks")
 
 
-def campaign_api(spec: ReportSpec, load: Loader, fact_name: str = CAMPAIGN_FACT) -> DataFrame:
+def campaign_api(spec: ReportSpec, load: Loader, fact_name: str = CAMPAIGN_FACT,
+                 read: frozenset[str] | None = None) -> DataFrame:
     fact = load(fact_name, ["day", "campaign_id", "cost_in_usd",
                             "external_website_conversions", LOAD_STAMP,
                             *CAMPAIGN_MEASURES])
@@ -164,16 +187,18 @@ def campaign_api(spec: ReportSpec, load: Loader, fact_name: str = CAMPAIGN_FACT)
                             F.col("name").alias("campaign_name"),
                             F.col("campaign_group_id").alias("__group_link"),
                             F.col("account_id").alias("__account_link"))
-    dims = chain(base, [
-        (groups, [("__group_link", "id")],
-         {"campaign_group_name": "name", "campaign_group_id": "id"}, "left"),
-        (accounts, [("__account_link", "id")], {"account_id": "id", "account_name": "name"},
-         how),
-    ])
-    dim_cols = ["campaign_name", "campaign_group_name", "campaign_group_id", "account_id",
-                "account_name"]
-    wide = left_join(report, dims, [("campaign_id", "__campaign_key")],
-                     {c: c for c in dim_cols}, how=how)
+    # newest versions are unique by construction
+    links = needed_links([
+        Link(groups, [("__group_link", "id")],
+             {"campaign_group_name": "name", "campaign_group_id": "id"}, unique=True),
+        Link(accounts, [("__account_link", "id")], {"account_id": "id", "account_name": "name"},
+             how, unique=True),
+    ], read)
+    dims = chain(base, [link.joined() for link in links])
+    dim_cols = [c for c in ("campaign_name", "campaign_group_name", "campaign_group_id",
+                            "account_id", "account_name") if c in dims.columns]
+    wide, dim_cols = _with_dims(report, dims, [("campaign_id", "__campaign_key")], dim_cols, how, "",
+                                read, unique=True)
     api = wide.select(
         "date", "campaign_id", *dim_cols, "clicks", "cost", "impressions", "conversions",
         "revenue", "comments", "follows", "shares", "landing_page_clicks",
@@ -184,7 +209,7 @@ def campaign_api(spec: ReportSpec, load: Loader, fact_name: str = CAMPAIGN_FACT)
 
 
 def campaign_report(spec: ReportSpec, load: Loader) -> DataFrame:
-    return finish(campaign_api(spec, load), spec, "account_id")
+    return finish(campaign_api(spec, load, read=columns_read(spec, "account_id")), spec, "account_id")
 
 
 # ----------------------------------------------------------------------------------
@@ -197,7 +222,8 @@ GOALS = "goals_and_funnels_report"
 GOAL_MEASURES = ("all_conversions", "all_revenue", "view_through_conversions")
 
 
-def _star_api(spec: ReportSpec, load: Loader, keyword: bool, fact_name: str) -> DataFrame:
+def _star_api(spec: ReportSpec, load: Loader, keyword: bool, fact_name: str,
+              read: frozenset[str] | None) -> DataFrame:
     keys = ["date", "campaign_id", "ad_group_id", "account_id"] + (["keyword_id"] if keyword
                                                                     else [])
     fact = load(fact_name, keys + ["spend", "clicks", "impressions", "conversions",
@@ -225,41 +251,56 @@ def _star_api(spec: ReportSpec, load: Loader, keyword: bool, fact_name: str) ->
         accounts = account_allow_list(accounts, "id", spec.account_ids)
     # the account join goes first: under an allow-list it is an inner join that drops rows
     # before the other joins (and its IN filter is inferred onto the fact's account key)
-    wide = left_join(report, accounts, [("account_id", "id")],
-                     {"__account_id": "id", "account_name": "name"},
-                     how="inner" if trim else "left")
-    wide = left_join(wide, campaigns, [("campaign_id", "id")], {"campaign_name": "name"})
-    wide = left_join(wide, ad_groups, [("ad_group_id", "id")], {"ad_group_name": "name"})
-    kw_cols: list = []
+    links = [
+        Link(accounts, [("account_id", "id")], {"__account_id": "id", "account_name": "name"},
+             "inner" if trim else "left", declared=_declared(spec, "account_history")),
+        Link(campaigns, [("campaign_id", "id")], {"campaign_name": "name"},
+             declared=_declared(spec, "campaign_history")),
+        Link(ad_groups, [("ad_group_id", "id")], {"ad_group_name": "name"},
+             declared=_declared(spec, "ad_group_history"))]
     if keyword:
         keywords = current_only(load("keyword_history", ["id", "text", "match_type",
                                                          "_gn_active"]), "_gn_active")
-        wide = left_join(wide, keywords, [("keyword_id", "id")],
-                         {"keyword_text": "text", "keyword_match_type": "match_type"})
-        kw_cols = ["keyword_text", "keyword_match_type"]
+        links.append(Link(keywords, [("keyword_id", "id")],
+                          {"keyword_text": "text", "keyword_match_type": "match_type"},
+                          declared=_declared(spec, "keyword_history")))
+    # the report's account_id is the account's own id
+    own = read | {"__account_id"} if read is not None and "account_id" in read else read
+    wide, brought = report, set()
+    for link in needed_links(links, own):
+        wide = left_join(wide, *link.joined())
+        brought |= set(link.take)
+    account = [F.col("__account_id").alias("account_id")] if "__account_id" in brought else []
     api = wide.select(
-        "date", "campaign_id", "campaign_name", "ad_group_id", "ad_group_name", *kw_cols,
-        F.col("__account_id").alias("account_id"), "account_name",
+        "date", "campaign_id", *_of(brought, "campaign_name"), "ad_group_id",
+        *_of(brought, "ad_group_name", "keyword_text", "keyword_match_type"),
+        *account, *_of(brought, "account_name"),
         "clicks", "cost", "impressions", "conversions", "revenue", *pivot_cols)
     run = spec.run_time()
     synced = run_time_literal(run, "datetime" if keyword else "date")
     return _with_sync(api, fact, synced, F.col("date"))
 
 
-def ad_group_api(spec: ReportSpec, load: Loader, fact_name: str = AD_GROUP_FACT) -> DataFrame:
-    return _star_api(spec, load, keyword=False, fact_name=fact_name)
+def _of(brought: set[str], *names: str) -> list[str]:
+    return [n for n in names if n in brought]
+
 
+def ad_group_api(spec: ReportSpec, load: Loader, fact_name: str = AD_GROUP_FACT,
+                 read: frozenset[str] | None = None) -> DataFrame:
+    return _star_api(spec, load, keyword=False, fact_name=fact_name, read=read)
 
-def keyword_api(spec: ReportSpec, load: Loader, fact_name: str = KEYWORD_FACT) -> DataFrame:
-    return _star_api(spec, load, keyword=True, fact_name=fact_name)
+
+def keyword_api(spec: ReportSpec, load: Loader, fact_name: str = KEYWORD_FACT,
+                read: frozenset[str] | None = None) -> DataFrame:
+    return _star_api(spec, load, keyword=True, fact_name=fact_name, read=read)
 
 
 def ad_group_report(spec: ReportSpec, load: Loader) -> DataFrame:
-    return finish(ad_group_api(spec, load), spec, "account_id")
+    return finish(ad_group_api(spec, load, read=columns_read(spec, "account_id")), spec, "account_id")
 
 
 def keyword_report(spec: ReportSpec, load: Loader) -> DataFrame:
-    return finish(keyword_api(spec, load), spec, "account_id")
+    return finish(keyword_api(spec, load, read=columns_read(spec, "account_id")), spec, "account_id")
 
 
 # ----------------------------------------------------------------------------------
@@ -293,6 +334,11 @@ BASIC_MEASURES = {"cost": "spend", "clicks": "clicks",
                   "conversions": "conversion", "result": "result",
                   "real_time_result": "real_time_result"}
 FACT_KEYS = ("stat_time_day", "ad_id", "_gn_id")
+CHAIN_FACTS = (ATTRIBUTION, ENGAGEMENT, IN_APP_EVENT, VIDEO_PLAY)
+SPINE_MEASURES = ("cost", "clicks", "impressions", "conversions", "result", "real_time_result",
+                  "real_time_conversion")
+MULTI_DIMS = ("ad_name", "adgroup_id", "adgroup_name", "advertiser_id", "campaign_id",
+              "campaign_name", "objective_type", "advertiser_name", "currency")
 
 
 def _fact_rollup(df: DataFrame, measures: dict) -> DataFrame:
@@ -300,7 +346,8 @@ def _fact_rollup(df: DataFrame, measures: dict) -> DataFrame:
     return rollup(df, {"date": day, "ad_id": "ad_id", "_gn_id": "_gn_id"}, measures)
 
 
-def multi_fact_api(spec: ReportSpec, load: Loader, fact_name: str = MULTI_FACT) -> DataFrame:
+def _multi_facts(load: Loader, fact_name: str):
+    """The spine's source and roll-up, and the (roll-up, measures) of the page and chain facts."""
     basic = load(fact_name, [*FACT_KEYS, *BASIC_MEASURES.values(), LOAD_STAMP])
     metrics = _fact_rollup(basic, {out: F.sum(src) for out, src in BASIC_MEASURES.items()})
 
@@ -313,17 +360,25 @@ def multi_fact_api(spec: ReportSpec, load: Loader, fact_name: str = MULTI_FACT)
     page_measures = {"revenue": product_sum("complete_payment", "value_per_complete_payment")}
     page_measures.update(sum_of(*PAGE_EVENT[1]))
     page = (_fact_rollup(page_src, page_measures), ["revenue", *PAGE_EVENT[1]])
-    chain_facts = [fact(ATTRIBUTION), fact(ENGAGEMENT), fact(IN_APP_EVENT), fact(VIDEO_PLAY)]
-    stitched = stitch_facts(metrics, page, chain_facts, mode=spec.stitch)
+    return basic, metrics, page, [fact(f) for f in CHAIN_FACTS]
 
-    trim = _trim(spec)
-    order = [spec.history_order, *(spec.history_tiebreak or ())] if spec.history_order else []
+
+def _multi_dims(spec: ReportSpec, load: Loader, read: frozenset[str] | None = None,
+                weighted: bool = False) -> tuple[DataFrame | None, list[str], list[str]]:
+    """The ads with their campaigns and accounts, the dimension columns, and the weights.
+
+    ``weighted`` cuts every history to the columns read and its distinct rows, each with
+    the number of versions it stands for. Newest versions (``history_order``) are unique
+    by construction: links of which nothing is read are left out.
+    """
+    newest = bool(spec.history_order)
+    order = [spec.history_order, *(spec.history_tiebreak or ())] if newest else []
     ad = load("ad_history", ["ad_id", "ad_name", "adgroup_id", "adgroup_name", "advertiser_id",
                              "campaign_id", *order])
     campaign = load("campaign_history", ["campaign_id", "campaign_name", "objective_type",
                                          "advertiser_id", *order])
     account = load("ad_accounts_history", ["advertiser_id", "name", "currency", *order])
-    if spec.history_order:
+    if newest:
         # opt-in: the newest version per id instead of every version (the source keeps all,
         # which repeats each report row once per version)
         ad = latest_by(ad, ["ad_id"], spec.history_order, spec.history_tiebreak)
@@ -331,34 +386,91 @@ def multi_fact_api(spec: ReportSpec, load: Loader, fact_name: str = MULTI_FACT)
                              spec.history_tiebreak)
         account = latest_by(account, ["advertiser_id"], spec.history_order,
                             spec.history_tiebreak)
-    if trim:
+    if _trim(spec):
         ad = ad.where(allow_list_predicate(ad, "advertiser_id", spec.account_ids, "INT64"))
-    base = ad.select(F.col("ad_id").alias("__ad_key"), "ad_name", "adgroup_id",
-                     "adgroup_name", "advertiser_id", F.col("campaign_id").alias("__camp_link"))
-    dims = chain(base, [
-        (campaign, [("__camp_link", "campaign_id")],
-         {"campaign_id": "campaign_id", "campaign_name": "campaign_name",
-          "objective_type": "objective_type", "__adv_link": "advertiser_id"}, "left"),
-        (account, [("__adv_link", "advertiser_id")],
-         {"advertiser_name": "name", "currency": "currency"}, "left"),
-    ])
-    dim_cols = ["ad_name", "adgroup_id", "adgroup_name", "advertiser_id", "campaign_id",
-                "campaign_name", "objective_type", "advertiser_name", "currency"]
-    wide = left_join(stitched, dims, [("ad_id", "__ad_key")], {c: c for c in dim_cols},
-                     how="inner" if trim else "left")
-    fact_cols = [c for _, cols in chain_facts for c in cols] + page[1]
-    api = wide.select("date", "ad_id", "_gn_id", "cost", "clicks", "impressions",
-                      "conversions", "result", "real_time_result", "real_time_conversion",
-                      *dim_cols, *fact_cols,
-                      F.lit("").alias("dpa_target_audience_type"),
-                      F.lit("").alias("promotion_type"))
+
+    def cut(*names: str) -> dict[str, str]:
+        return {n: n for n in names if is_read(n, read)}
+
+    ad_cols = {"__ad_key": "ad_id", **cut("ad_name", "adgroup_id", "adgroup_name", "advertiser_id"),
+               "__camp_link": "campaign_id"}
+    camp_cols = {"campaign_id": "campaign_id", **cut("campaign_name", "objective_type"),
+                 "__adv_link": "advertiser_id"}
+    acc_cols = {"__adv_key": "advertiser_id"}
+    acc_cols.update({o: src for o, src in {"advertiser_name": "name", "currency": "currency"}.items()
+                     if is_read(o, read)})
+    weights: list[str] = []
+
+    def side(df: DataFrame, columns: dict[str, str], weight: str) -> DataFrame:
+        if not weighted or newest:
+            return df.select(*[F.col(src).alias(out) for out, src in columns.items()])
+        weights.append(weight)
+        return versions(df, columns, weight)
+
+    ads, campaigns, accounts = side(ad, ad_cols, "__w_ad"), side(campaign, camp_cols, "__w_camp"), \
+        side(account, acc_cols, "__w_acc")
+
+    def take(df: DataFrame, *without: str) -> dict[str, str]:
+        return {c: c for c in df.columns if c not in without}
+
+    links = [Link(campaigns, [("__camp_link", "campaign_id")], take(campaigns), unique=newest),
+             Link(accounts, [("__adv_link", "__adv_key")], take(accounts, "__adv_key"), unique=newest)]
+    links = needed_links(links, read)
+    dims = chain(ads, [link.joined() for link in links])
+    names = [c for c in MULTI_DIMS if c in dims.columns and is_read(c, read)]
+    if newest and not links and not names and not _trim(spec):
+        return None, [], []
+    return dims, names, [w for w in weights if w in dims.columns]
+
+
+def _multi_joined(spec: ReportSpec, stitched: DataFrame, dims: DataFrame | None, names: list[str],
+                  weights: list[str]) -> DataFrame:
+    if dims is None:
+        return stitched
+    return left_join(stitched, dims, [("ad_id", "__ad_key")], {c: c for c in [*names, *weights]},
+                     how="inner" if _trim(spec) else "left")
+
+
+def _multi_select(spec: ReportSpec, basic: DataFrame, wide: DataFrame, names: list[str], measures: list[str],
+                  *more: str) -> DataFrame:
+    api = wide.select("date", "ad_id", "_gn_id", *SPINE_MEASURES, *names, *measures, *more,
+                      F.lit("").alias("dpa_target_audience_type"), F.lit("").alias("promotion_type"))
     synced_type = basic.schema[LOAD_STAMP].dataType
     return _with_sync(api, basic, local_datetime(LOAD_STAMP, spec.timezone, synced_type),
                       utc_date("stat_time_day", basic.schema["stat_time_day"].dataType))
 
 
+def multi_fact_api(spec: ReportSpec, load: Loader, fact_name: str = MULTI_FACT,
+                   read: frozenset[str] | None = None) -> DataFrame:
+    basic, metrics, page, chain_facts = _multi_facts(load, fact_name)
+    stitched = stitch_facts(metrics, page, chain_facts, mode=spec.stitch)
+    dims, names, _ = _multi_dims(spec, load, read)
+    wide = _multi_joined(spec, stitched, dims, names, [])
+    return _multi_select(spec, basic, wide, names, [c for _, cols in chain_facts for c in cols] + page[1])
+
+
+def multi_fact_sums_api(spec: ReportSpec, load: Loader, fact_name: str = MULTI_FACT,
+                        read: frozenset[str] | None = None) -> DataFrame:
+    """``multi_fact_api`` for linear metrics: one row for each spine row and distinct dimension
+    version that is read, with measures multiplied by the rows it stands for (``ROWS``)."""
+    basic, metrics, page, chain_facts = _multi_facts(load, fact_name)
+    measures = [c for _, cols in chain_facts for c in cols] + page[1]
+    stitched = stitch_sums(metrics, page, chain_facts, SPINE_MEASURES)
+    dims, names, weights = _multi_dims(spec, load, read, weighted=True)
+    wide = weighed(_multi_joined(spec, stitched, dims, names, weights), [*SPINE_MEASURES, *measures], weights)
+    return _multi_select(spec, basic, wide, names, measures, ROWS)
+
+
 def multi_fact_report(spec: ReportSpec, load: Loader) -> DataFrame:
-    return finish(multi_fact_api(spec, load), spec, "advertiser_id", "INT64")
+    """The report; where its metrics are linear, by products of counts instead of the rows
+    that the source's joins pair up (``factorise=False`` makes these rows)."""
+    read = columns_read(spec, "advertiser_id")
+    if spec.factorise and spec.stitch == STITCH_AS_WRITTEN and read is not None:
+        measures = [*SPINE_MEASURES, "revenue", *PAGE_EVENT[1], *(c for _, cols in CHAIN_FACTS for c in cols)]
+        over_sums = linear(spec, measures)
+        if over_sums is not None:
+            return finish(multi_fact_sums_api(spec, load, read=read), over_sums, "advertiser_id", "INT64")
+    return finish(multi_fact_api(spec, load, read=read), spec, "advertiser_id", "INT64")
 
 
 BUILDERS = {

@@ -185,9 +185,13 @@ class ReportSpec:
     history_tiebreak: tuple[str, ...] | None = None
     history_order: str | None = None
     inner_join_trim: bool = True
+    #: multi-fact: sum through the stitching by products of counts where all metrics are linear
+    factorise: bool = True
+    #: dimension tables whose joined rows are unique by id; checked where a join is left out for it
+    unique_ids: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
-        for attr in ("dimensions", "metrics", "account_ids", "conversions", "regex_filters"):
+        for attr in ("dimensions", "metrics", "account_ids", "conversions", "regex_filters", "unique_ids"):
             value = getattr(self, attr)
             if value is None:
                 value = ()

@@ -1,0 +1,179 @@
+"""Sums through multiplying joins equal sums over the literally joined rows."""
+
+import datetime as dt
+from dataclasses import replace
+from decimal import Decimal
+
+import pytest
+from conftest import plan_text, rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from spendlens.operators.enrich import stitch_facts
+from spendlens.operators.weighted import ROWS, scaled, stitch_sums, versions, weighed
+from spendlens.plans.lineage import columns_read, linear, names_read
+from spendlens.plans.reports import (ATTRIBUTION, ENGAGEMENT, IN_APP_EVENT, MULTI_FACT, PAGE_EVENT, VIDEO_PLAY,
+                                     multi_fact_api, multi_fact_report, multi_fact_sums_api)
+from spendlens.sources import loader
+from spendlens.spec import FieldSpec, ReportSpec
+
+SETTINGS = dict(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+DAYS = [dt.date(2024, 1, d) for d in range(1, 8)]
+MEASURES = {"spine": ("s1 decimal(18,2)", "s2 bigint"), "page": ("p1 double",), "a": ("a1 bigint",), "e": ("e1 int",),
+            "v": ("v1 bigint", "v2 decimal(38,9)"), "w": ("w1 bigint",)}
+
+grain = st.tuples(st.sampled_from([*DAYS, None]), st.sampled_from([1, 2, None]), st.sampled_from(["g", "h", None]))
+
+
+def facts(draw, name):
+    keys = draw(st.lists(grain, unique=True, max_size=16))
+    whole = lambda: draw(st.one_of(st.none(), st.integers(-5, 9)))
+
+    def value(kind):
+        x = whole()
+        return x if x is None or kind in ("bigint", "int") else float(x) if kind == "double" else Decimal(x) / 4
+
+    return [(*k, *(value(m.split()[1].split("(")[0]) for m in MEASURES[name])) for k in keys]
+
+
+@st.composite
+def tables(draw):
+    return {name: facts(draw, name) for name in MEASURES}
+
+
+def frames(spark, data):
+    return {n: spark.createDataFrame(r, "date date, ad_id bigint, _gn_id string, " + ", ".join(MEASURES[n])) for n, r in data.items()}
+
+
+def cols(name):
+    return [m.split()[0] for m in MEASURES[name]]
+
+
+@settings(**SETTINGS)
+@given(tables())
+def test_stitched_sums_equal_the_sums_over_joined_rows(spark, data):
+    f = frames(spark, data)
+    page, chain = (f["page"], cols("page")), [(f[n], cols(n)) for n in "aevw"]
+    literal = stitch_facts(f["spine"], page, chain)
+    every = [c for n in MEASURES for c in cols(n)]
+    grain_cols = ["date", "ad_id", "_gn_id"]
+    want = literal.groupBy(*grain_cols).agg(*(F.sum(c).cast("double").alias(c) for c in every), F.count(F.lit(1)).alias(ROWS))
+    got = stitch_sums(f["spine"], page, chain, cols("spine"))
+    assert got.count() == f["spine"].count()
+    assert rows(got.select(*grain_cols, *(F.col(c).cast("double") for c in every), ROWS)) == rows(want)
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.sampled_from([1, 2, None]), st.sampled_from(["x", "y"]), st.sampled_from(["p", "q"])), max_size=12))
+def test_versions_stand_for_the_rows_they_were_cut_from(spark, history):
+    df = spark.createDataFrame(history, "id bigint, read string, unread string")
+    facts_ = spark.createDataFrame([(1, 5), (2, 7), (3, 11), (None, 13)], "ad_id bigint, m bigint").withColumn(ROWS, F.lit(2).cast("bigint"))
+    cut = versions(df, {"id": "id", "read": "read"}, "w")
+    joined = facts_.join(cut, facts_.ad_id == cut.id, "left")
+    got = weighed(joined.drop("id"), ["m"], ["w"]).groupBy("read").agg(F.sum("m"), F.sum(ROWS))
+    want = facts_.join(df, facts_.ad_id == df.id, "left").groupBy("read").agg(F.sum("m"), F.count(F.lit(1)) * 2)
+    assert rows(got) == rows(want)
+    assert joined.count() <= cut.count() + 4
+
+
+def test_scaled_keeps_whole_decimals_and_raises_where_it_cannot(spark):
+    df = spark.createDataFrame([(Decimal("123456789012345678.123456789"), 12345)], "d decimal(38,9), n bigint")
+    got = df.select(scaled(F.col("d"), df.schema["d"].dataType, F.col("n")).alias("x")).first().x
+    assert str(got) == f"{123456789012345678123456789 * 12345 // 10 ** 9}.{123456789012345678123456789 * 12345 % 10 ** 9:09d}"
+    big = spark.createDataFrame([(Decimal(10) ** 28, 2)], "d decimal(38,9), n bigint")
+    with pytest.raises(Exception, match="too large|NUMERIC_VALUE_OUT_OF_RANGE|cannot be represented"):
+        big.select(scaled(F.col("d"), big.schema["d"].dataType, F.col("n"))).collect()
+
+
+def spec(*metrics, dims=(("date", "DATE", "date"),), **more):
+    return ReportSpec(target="db.t", dimensions=tuple(FieldSpec(*d) for d in dims),
+                      metrics=tuple(FieldSpec(f"m{i}", "FLOAT64", m) for i, m in enumerate(metrics)), **more)
+
+
+@pytest.mark.parametrize("text", ["sum(cost)", "SUM( `Cost` )", "sum(cost) / nullif(sum(clicks), 0)", "count(*)", "sum(cost) / COUNT(1)",
+                                  "max(last_synced_at)", "count(DISTINCT ad_name)", "try_divide(sum(cost), sum(clicks)) * 100", "1"])
+def test_linear_metrics(text):
+    out = linear(spec(text), ["cost", "clicks"])
+    assert out is not None and "count(*)" not in out.metrics[0].expression.lower()
+
+
+@pytest.mark.parametrize("text", ["max(cost)", "avg(cost)", "sum(DISTINCT cost)", "sum(cost * 2)", "sum(cost) FILTER (WHERE ad_id = 1)",
+                                  "sum(1)", "count(ad_id)", "count(cost)", "sum(CASE WHEN ad_name = 'x' THEN cost END)", "max(concat('sum(cost)', ad_name))",
+                                  "stddev(clicks)", "sum(cost) OVER ()", "collect_list(ad_name)", "count(DISTINCT cost)", "max(struct(*))"])
+def test_other_metrics_take_the_literal_join(text):
+    assert linear(spec(text), ["cost", "clicks"]) is None
+
+
+def test_dimensions_and_filters_over_measures_take_the_literal_join():
+    assert linear(spec("sum(cost)", dims=(("band", "INT64", "cost / 10"),)), ["cost"]) is None
+    assert linear(spec("sum(cost)"), ["cost"]) is not None
+
+
+def test_names_read():
+    assert names_read(["sum(a.`B c`) + count(*)", "x * y"]) >= {"b c", "a", "x", "y"}
+    assert names_read(["hash(*)"]) is None and names_read(["hash(a, *)"]) is None and names_read(["a * 2", "count( * )"]) is not None
+    assert columns_read(spec("sum(cost)", account_ids=(1,)), "advertiser_id") == {"sum", "cost", "date", "advertiser_id"}
+
+
+KEYS = "stat_time_day timestamp_ntz, ad_id bigint, _gn_id string"
+
+
+@st.composite
+def reports(draw):
+    """Source tables whose groups span up to seven days, histories with several versions and NULL links."""
+    key = st.tuples(st.sampled_from([dt.datetime(2024, 1, d, 5) for d in range(1, 8)]), st.sampled_from([1, 2]), st.sampled_from(["g", "h", None]))
+
+    def fact(names):
+        keys = draw(st.lists(key, max_size=9))
+        return [(*k, *(draw(st.integers(0, 5)) for _ in names)) for k in keys]
+
+    text = st.sampled_from(["7", "8", None])
+    return {MULTI_FACT: fact(range(7)), **{t[0]: fact(t[1]) for t in (ATTRIBUTION, ENGAGEMENT, IN_APP_EVENT, VIDEO_PLAY)},
+            PAGE_EVENT[0]: fact(range(2 + len(PAGE_EVENT[1]))),
+            "ad_history": draw(st.lists(st.tuples(st.sampled_from([1, 2, None]), st.sampled_from(["a", "b"]), st.just(5), st.just("G"), text,
+                                                  st.sampled_from([50, 51, None])), max_size=6)),
+            "campaign_history": draw(st.lists(st.tuples(st.sampled_from([50, 51, None]), st.sampled_from(["c", "d"]), st.just("T"), text), max_size=5)),
+            "ad_accounts_history": draw(st.lists(st.tuples(text, st.sampled_from(["n", "m"]), st.sampled_from(["USD", "EUR"])), max_size=5))}
+
+
+def sources(spark, data):
+    names = {MULTI_FACT: ("spend", "clicks", "real_time_conversion", "impressions", "conversion", "result", "real_time_result"),
+             PAGE_EVENT[0]: ("complete_payment", "value_per_complete_payment", *PAGE_EVENT[1]),
+             **{t[0]: t[1] for t in (ATTRIBUTION, ENGAGEMENT, IN_APP_EVENT, VIDEO_PLAY)}}
+    out = {n: spark.createDataFrame(data[n], KEYS + "".join(f", {c} bigint" for c in cols)) for n, cols in names.items()}
+    out[MULTI_FACT] = out[MULTI_FACT].withColumn("_fivetran_synced", F.col("stat_time_day"))
+    for n, schema in (("ad_history", "ad_id bigint, ad_name string, adgroup_id bigint, adgroup_name string, advertiser_id string, campaign_id bigint"),
+                      ("campaign_history", "campaign_id bigint, campaign_name string, objective_type string, advertiser_id string"),
+                      ("ad_accounts_history", "advertiser_id string, name string, currency string")):
+        out[n] = spark.createDataFrame(data[n], schema)
+    return out
+
+
+WHOLE = ReportSpec(target="db.t", dimensions=(FieldSpec("date", "DATE", "date"), FieldSpec("campaign_name", "STRING", "campaign_name"),
+                                              FieldSpec("currency", "STRING", "currency")),
+                   metrics=tuple(FieldSpec(f"m{i}", "FLOAT64", e) for i, e in enumerate(
+                       ("sum(cost)", "sum(revenue)", "sum(add_billing)", "sum(cta_purchase)", "sum(likes)", "sum(purchase)", "sum(video_views_p25)",
+                        "count(*)", "try_divide(sum(cost), sum(clicks))"))) + (FieldSpec("day", "DATE", "max(last_data_date)"),))
+
+
+@settings(**SETTINGS)
+@given(reports(), st.sampled_from([(), (7,), (7, 8)]))
+def test_the_report_equals_the_one_over_joined_rows(spark, data, ids):
+    load = loader(spark, "", sources(spark, data))
+    own = replace(WHOLE, account_ids=ids)
+    assert rows(multi_fact_report(own, load)) == rows(multi_fact_report(replace(own, factorise=False), load))
+
+
+def test_no_more_rows_than_spine_rows_and_versions_that_are_read(spark):
+    days = [dt.datetime(2024, 1, d, 5) for d in range(1, 8)]
+    facts_ = {t[0]: [(d, 1, "g", *([1] * len(t[1]))) for d in days] for t in (ATTRIBUTION, ENGAGEMENT, IN_APP_EVENT, VIDEO_PLAY)}
+    data = {MULTI_FACT: [(d, 1, "g", *range(7)) for d in days], **facts_, PAGE_EVENT[0]: [(d, 1, "g", *([1] * (2 + len(PAGE_EVENT[1])))) for d in days],
+            "ad_history": [(1, f"name {k}", 5, "G", "7", 50) for k in range(20)], "campaign_history": [(50, "c", "T", "7")] * 3,
+            "ad_accounts_history": [("7", "n", "USD")]}
+    load = loader(spark, "", sources(spark, data))
+    read = columns_read(WHOLE, "advertiser_id")
+    assert multi_fact_sums_api(WHOLE, load, read=read).count() == 7  # one version of what is read
+    assert multi_fact_api(WHOLE, load).count() == 7 * 7 ** 4 * 20 * 3
+    assert rows(multi_fact_report(WHOLE, load), "m7") == [(float(7 ** 4 * 60),)] * 7
+    assert "__n_page" in plan_text(multi_fact_report(WHOLE, load), "extended")
+    assert "__n_page" not in plan_text(multi_fact_report(replace(WHOLE, metrics=(FieldSpec("m", "FLOAT64", "max(cost)"),)), load), "extended")
