@@ -211,6 +211,23 @@ SELECT CAST(o_orderstatus AS VARCHAR) AS status, CAST(o_orderpriority AS VARCHAR
 FROM orders GROUP BY 1, 2, 3"""
 
 
+# ---- what the catalog shows of a published report ----------------------------------------
+PUBLISHED_SCHEMA = """
+WITH n AS (SELECT count(*) AS published_rows FROM (SELECT DISTINCT l_orderkey, l_partkey, l_suppkey FROM lineitem)),
+shown AS (
+  SELECT * FROM (VALUES
+    ('column', 'l_orderkey', 'bigint [db_field_name = l_orderkey]'),
+    ('column', 'l_partkey', 'bigint [db_field_name = l_partkey]'),
+    ('column', 'l_suppkey', 'bigint [db_field_name = l_suppkey]'),
+    ('column', 'o_orderpriority', 'string [db_field_name = o_orderpriority]'),
+    ('column', 'p_name', 'string [db_field_name = p_name]'),
+    ('column', 's_name', 'string [db_field_name = s_name]'),
+    ('column', 'cost', 'double [db_field_name = cost]'),
+    ('schema', 'comment', 'republished reports'),
+    ('schema', 'data_location', 'EU'),
+    ('schema', 'friendly_name', 'Reports')) AS t(kind, name, value))
+SELECT kind, name, value, CAST(published_rows AS BIGINT) AS published_rows FROM shown, n"""
+
 # ---- multi-fact report ------------------------------------------------------------------
 def _fact_cte(name: str, table: str, measures: dict[str, str]) -> str:
     cols = ", ".join(f"sum({src}) AS {out}" for out, src in measures.items())
@@ -594,6 +611,8 @@ ORACLE_SQL: dict[str, str] = {
     "report_campaign": REPORT_CAMPAIGN,
     "report_ad_group": _star_report(keyword=False),
     "report_keyword": _star_report(keyword=True),
+    "published_schema": PUBLISHED_SCHEMA,
+    "report_campaign_catalog": REPORT_CAMPAIGN,
     "report_multi_fact": REPORT_MULTI_FACT,
     "report_multi_fact_week": REPORT_MULTI_FACT_WEEK,
 }

@@ -25,12 +25,13 @@ from ..operators.pivot import pivot_metrics
 from ..operators.shape import build_report
 from ..operators.sync import attach_sync, run_time_literal, sync_info
 from ..plans.reports import BUILDERS, multi_fact_api
+from ..plans.runner import build
 from ..sinks.tables import ensure_schema, replace_table, republish
 from ..sources.tables import loader
 from ..spec import (SELECT_DEFAULT_THEN_ACTIVE, ConversionSpec, ExternalTarget, FieldSpec,
                     RegexFilter, ReportSpec)
 from .specs import REPORT_SPECS, RUN_TS, TZ
-from .standins import base_table, spark_sources
+from .standins import base_table, catalog_sources, spark_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -431,6 +432,35 @@ def publish_round_trip(spark, sf_dir):
     return spark.table(dst)
 
 
+def published_schema(spark, sf_dir):
+    """What the catalog shows of the published copy: its columns with types and comments, and
+    its schema's comment and properties, each with the number of rows published."""
+    run = uuid.uuid4().hex[:12]
+    spec = replace(PUBLISH_SPEC, target=f"{PUBLISH_SPEC.target}_{run}",
+                   external=replace(PUBLISH_SPEC.external, database=f"spendlens_external_{run}"))
+    ensure_schema(spark, "spendlens_home", "report outputs")
+    replace_table(star_join(spark, sf_dir), spec.target, spec)
+    dst = republish(spark, spec)
+    columns = spark.sql(f"DESCRIBE TABLE {dst}").select(
+        F.lit("column").alias("kind"), F.col("col_name").alias("name"), F.concat_ws(" ", "data_type", "comment").alias("value"))
+    schema = spark.sql(f"DESCRIBE DATABASE EXTENDED {spec.external.database}").select("info_name", "info_value")
+    props = schema.where("info_name = 'Properties'").select(
+        F.explode(F.expr("regexp_extract_all(info_value, '[(]([^(),]+,[^()]*)[)]', 1)")).alias("p"))
+    schema = schema.where("info_name = 'Comment'").select(F.lit("schema").alias("kind"), F.lit("comment").alias("name"), F.col("info_value").alias("value")).union(
+        props.select(F.lit("schema"), F.substring_index("p", ",", 1), F.expr("substring(p, instr(p, ',') + 1)")))
+    return columns.union(schema).withColumn("published_rows", spark.table(dst).agg(F.count(F.lit(1))).scalar())
+
+
+# ---- sources through the catalog (C8) ---------------------------------------------------
+def report_campaign_catalog(spark, sf_dir):
+    """The campaign report whose sources are tables of a catalog schema (here views over the files)."""
+    schema = f"spendlens_sources_{uuid.uuid4().hex[:12]}"
+    ensure_schema(spark, schema, "source tables of the campaign report")
+    catalog_sources(spark, sf_dir, "campaign", schema)
+    spec = replace(REPORT_SPECS["campaign"], source=schema)
+    return build(spark, "campaign", spec)
+
+
 # ---- whole reports (R1-R5) -----------------------------------------------------------
 def _report(kind: str) -> Query:
     def run(spark, sf_dir):
@@ -468,6 +498,8 @@ QUERIES: dict[str, Query] = {
     "history_fan_out": history_fan_out,
     "history_latest": history_latest,
     "publish_round_trip": publish_round_trip,
+    "published_schema": published_schema,
+    "report_campaign_catalog": report_campaign_catalog,
     "report_platform": _report("platform"),
     "report_campaign": _report("campaign"),
     "report_ad_group": _report("ad_group"),

@@ -267,6 +267,15 @@ def spark_sources(spark: SparkSession, sf_dir: str, kind: str) -> dict[str, Data
             for name, text in SOURCES[kind].items()}
 
 
+def catalog_sources(spark: SparkSession, sf_dir: str, kind: str, database: str) -> None:
+    """The same stand-ins as persistent views over the files in a catalog schema."""
+    for name, text in SOURCES[kind].items():
+        sql = text.replace("{ts_ntz}", "TIMESTAMP_NTZ")
+        for t in _used_tables(text):
+            sql = sql.replace("{" + t + "}", f"parquet.`{sf_dir.rstrip('/')}/{t}.parquet`")
+        spark.sql(f"CREATE VIEW {database}.{name} AS {sql}")
+
+
 def duckdb_ctes(kind: str, prefix: str = "") -> str:
     """The same stand-ins as DuckDB CTE definitions (``name AS (...)``, comma-joined)."""
     parts = []

@@ -29,6 +29,30 @@ def sync_info(df: DataFrame, synced_at: Column, data_date: Column) -> DataFrame:
                   F.max(data_date).alias("max_data_date"))
 
 
+def whole(df: DataFrame) -> DataFrame:
+    """``df`` with a condition that every row meets and that reads every column.
+
+    Two branches of a plan that use different columns of ``df`` then still compute the same
+    ``df``, so Spark computes it once and reuses its exchange; without this each branch is
+    pruned to its own columns and they differ. Conditions on single columns pass through.
+    """
+    return df.where(F.xxhash64(*[F.col(c) for c in df.columns]) % 2 < 2)
+
+
+def rollup_with_sync(report: DataFrame, synced_at: Column | str, data_date: str = "date"
+                     ) -> tuple[DataFrame, DataFrame]:
+    """A roll-up and the :func:`sync_info` of the rows it was made from, out of one scan.
+
+    A maximum over rows is the maximum of the groups' maxima: ``data_date`` is a grouping
+    column, ``synced_at`` the name of a hidden measure (left out of the roll-up returned)
+    or a constant. The global maxima read the roll-up's own exchange again.
+    """
+    kept = whole(report)
+    hidden = [synced_at] if isinstance(synced_at, str) else []
+    stamp = F.col(synced_at) if isinstance(synced_at, str) else synced_at
+    return kept.drop(*hidden), sync_info(kept, stamp, F.col(data_date))
+
+
 def attach_sync(api: DataFrame, sync: DataFrame) -> DataFrame:
     """``api LEFT JOIN sync ON true`` with the two freshness columns renamed.
 

@@ -29,7 +29,7 @@ from ..operators.filters import account_allow_list, allow_list_predicate, regex_
 from ..operators.history import current_only, latest_by
 from ..operators.pivot import pivot_metrics, pivot_name
 from ..operators.shape import build_report
-from ..operators.sync import attach_sync, run_time_literal, sync_info
+from ..operators.sync import attach_sync, rollup_with_sync, run_time_literal, sync_info
 from ..operators.weighted import ROWS, stitch_sums, versions, weighed
 from ..sources.tables import Loader
 from ..spec import STITCH_AS_WRITTEN, ReportSpec
@@ -44,9 +44,38 @@ def _trim(spec: ReportSpec) -> bool:
     return bool(spec.account_ids) and spec.inner_join_trim
 
 
-def _with_sync(api: DataFrame, source: DataFrame, synced_at: Column,
-               data_date: Column) -> DataFrame:
-    return attach_sync(api, sync_info(source, synced_at, data_date))
+SYNC_COLUMNS = ("last_synced_at", "last_data_date")
+#: The latest load stamp of a group's rows, kept beside its measures for the freshness row.
+_SYNCED = "__synced"
+
+
+def _synced_rollup(spec: ReportSpec, fact: DataFrame, keys: dict, measures: dict, synced_at: Column,
+                   read: frozenset[str] | None, stamped: bool, constants: dict | None = None
+                   ) -> tuple[DataFrame, DataFrame]:
+    """The daily roll-up, cut to the measures that are read, and the freshness row.
+
+    Without filters the freshness row comes from the roll-up (one scan of the fact, its
+    exchange reused). An allow-list or a regex filter reaches the fact's scan, which then
+    lacks rows that freshness counts: there it reads its two columns apart.
+    ``stamped``: ``synced_at`` is an expression over the fact's rows, not a constant.
+    """
+    measures = {n: c for n, c in measures.items() if is_read(n, read)}
+    constants = {n: c for n, c in (constants or {}).items() if is_read(n, read)}
+    if spec.account_ids or spec.regex_filters or not any(is_read(c, read) for c in SYNC_COLUMNS):
+        return rollup(fact, keys, measures, constants), sync_info(fact, synced_at, keys["date"])
+    if stamped:
+        report = rollup(fact, keys, {**measures, _SYNCED: F.max(synced_at)})
+        report, sync = rollup_with_sync(report, _SYNCED)
+    else:
+        report, sync = rollup_with_sync(rollup(fact, keys, measures), synced_at)
+    for name, c in constants.items():
+        report = report.withColumn(name, c)
+    return report, sync
+
+
+def _have(df: DataFrame, *names: str) -> list[str]:
+    """Those of the names that ``df`` has (unread measures and dimensions are not made)."""
+    return [n for n in names if n in df.columns]
 
 
 def _declared(spec: ReportSpec, table: str) -> str:
@@ -83,11 +112,12 @@ def platform_api(spec: ReportSpec, load: Loader, fact_name: str = PLATFORM_FACT,
     fact = load(fact_name, ["date", "ad_id", "publisher_platform", "spend", "clicks",
                             "impressions"])
     keys = ["date", "ad_id", "publisher_platform"]
-    report = rollup(fact, keys,
-                    {"cost": F.sum("spend"), "clicks": F.sum("clicks"),
-                     "impressions": F.sum("impressions"),
-                     "frequency": constant_sum(0), "reach": constant_sum(0)},
-                    constants={"conversions": F.lit(0).cast("bigint")})
+    report, sync = _synced_rollup(
+        spec, fact, {k: F.col(k) for k in keys},
+        {"cost": F.sum("spend"), "clicks": F.sum("clicks"), "impressions": F.sum("impressions"),
+         "frequency": constant_sum(0), "reach": constant_sum(0)},
+        run_time_literal(spec.run_time()), read, stamped=False,
+        constants={"conversions": F.lit(0).cast("bigint")})
 
     # optional single-metric pivots, joined on the roll-up's own grain
     pivot_cols: list[str] = []
@@ -135,13 +165,13 @@ def platform_api(spec: ReportSpec, load: Loader, fact_name: str = PLATFORM_FACT,
                                 "" if links else _declared(spec, "ad_history"), read, normalise=True)
 
     api = wide.select(
-        "date", "cost", "clicks", "impressions", "frequency", "reach", "conversions",
+        "date", *_have(wide, "cost", "clicks", "impressions", "frequency", "reach", "conversions"),
         platform_label("publisher_platform").alias("platform"),
         "publisher_platform",
         F.lit(bool(spec.actions)).alias("has_actions"),
         F.lit(bool(spec.action_values)).alias("has_action_values"),
         "ad_id", *dim_cols, *pivot_cols)
-    return _with_sync(api, fact, run_time_literal(spec.run_time()), F.col("date"))
+    return attach_sync(api, sync)
 
 
 def platform_report(spec: ReportSpec, load: Loader) -> DataFrame:
@@ -168,7 +198,9 @@ def campaign_api(spec: ReportSpec, load: Loader, fact_name: str = CAMPAIGN_FACT,
                 "revenue": constant_sum(0)}
     measures.update(sum_of("comments", "follows", "shares", "landing_page_clicks"))
     day = utc_date("day", fact.schema["day"].dataType)
-    report = rollup(fact, {"date": day, "campaign_id": "campaign_id"}, measures)
+    synced = local_datetime(LOAD_STAMP, spec.timezone, fact.schema[LOAD_STAMP].dataType)
+    report, sync = _synced_rollup(spec, fact, {"date": day, "campaign_id": F.col("campaign_id")},
+                                  measures, synced, read, stamped=True)
 
     trim = _trim(spec)
     how = "inner" if trim else "left"
@@ -200,12 +232,12 @@ def campaign_api(spec: ReportSpec, load: Loader, fact_name: str = CAMPAIGN_FACT,
     wide, dim_cols = _with_dims(report, dims, [("campaign_id", "__campaign_key")], dim_cols, how, "",
                                 read, unique=True)
     api = wide.select(
-        "date", "campaign_id", *dim_cols, "clicks", "cost", "impressions", "conversions",
-        "revenue", "comments", "follows", "shares", "landing_page_clicks",
+        "date", "campaign_id", *dim_cols,
+        *_have(wide, "clicks", "cost", "impressions", "conversions", "revenue", "comments", "follows",
+               "shares", "landing_page_clicks"),
         F.lit(None).cast("timestamp").alias("run_schedule_start"),
         F.lit(None).cast("timestamp").alias("campaign_group_run_schedule_start"))
-    synced_type = fact.schema[LOAD_STAMP].dataType
-    return _with_sync(api, fact, local_datetime(LOAD_STAMP, spec.timezone, synced_type), day)
+    return attach_sync(api, sync)
 
 
 def campaign_report(spec: ReportSpec, load: Loader) -> DataFrame:
@@ -228,10 +260,12 @@ def _star_api(spec: ReportSpec, load: Loader, keyword: bool, fact_name: str,
                                                                     else [])
     fact = load(fact_name, keys + ["spend", "clicks", "impressions", "conversions",
                                    "revenue"])
-    report = rollup(fact, keys, {"cost": F.sum("spend"), "clicks": F.sum("clicks"),
-                                 "impressions": F.sum("impressions"),
-                                 "conversions": F.sum("conversions"),
-                                 "revenue": F.sum("revenue")})
+    synced = run_time_literal(spec.run_time(), "datetime" if keyword else "date")
+    report, sync = _synced_rollup(
+        spec, fact, {k: F.col(k) for k in keys},
+        {"cost": F.sum("spend"), "clicks": F.sum("clicks"), "impressions": F.sum("impressions"),
+         "conversions": F.sum("conversions"), "revenue": F.sum("revenue")},
+        synced, read, stamped=False)
     pivot_cols: list[str] = []
     if spec.pivots:
         # grouped in the roll-up's key order so the join reuses its hash partitioning
@@ -275,10 +309,8 @@ def _star_api(spec: ReportSpec, load: Loader, keyword: bool, fact_name: str,
         "date", "campaign_id", *_of(brought, "campaign_name"), "ad_group_id",
         *_of(brought, "ad_group_name", "keyword_text", "keyword_match_type"),
         *account, *_of(brought, "account_name"),
-        "clicks", "cost", "impressions", "conversions", "revenue", *pivot_cols)
-    run = spec.run_time()
-    synced = run_time_literal(run, "datetime" if keyword else "date")
-    return _with_sync(api, fact, synced, F.col("date"))
+        *_have(wide, "clicks", "cost", "impressions", "conversions", "revenue"), *pivot_cols)
+    return attach_sync(api, sync)
 
 
 def _of(brought: set[str], *names: str) -> list[str]:
@@ -346,10 +378,14 @@ def _fact_rollup(df: DataFrame, measures: dict) -> DataFrame:
     return rollup(df, {"date": day, "ad_id": "ad_id", "_gn_id": "_gn_id"}, measures)
 
 
-def _multi_facts(load: Loader, fact_name: str):
-    """The spine's source and roll-up, and the (roll-up, measures) of the page and chain facts."""
+def _multi_facts(spec: ReportSpec, load: Loader, fact_name: str, read: frozenset[str] | None):
+    """The spine's roll-up with its freshness row, and the (roll-up, measures) of the page and chain facts."""
     basic = load(fact_name, [*FACT_KEYS, *BASIC_MEASURES.values(), LOAD_STAMP])
-    metrics = _fact_rollup(basic, {out: F.sum(src) for out, src in BASIC_MEASURES.items()})
+    synced = local_datetime(LOAD_STAMP, spec.timezone, basic.schema[LOAD_STAMP].dataType)
+    day = utc_date("stat_time_day", basic.schema["stat_time_day"].dataType)
+    metrics, sync = _synced_rollup(
+        spec, basic, {"date": day, "ad_id": F.col("ad_id"), "_gn_id": F.col("_gn_id")},
+        {out: F.sum(src) for out, src in BASIC_MEASURES.items()}, synced, read, stamped=True)
 
     def fact(spec_pair):
         name, cols = spec_pair
@@ -360,7 +396,7 @@ def _multi_facts(load: Loader, fact_name: str):
     page_measures = {"revenue": product_sum("complete_payment", "value_per_complete_payment")}
     page_measures.update(sum_of(*PAGE_EVENT[1]))
     page = (_fact_rollup(page_src, page_measures), ["revenue", *PAGE_EVENT[1]])
-    return basic, metrics, page, [fact(f) for f in CHAIN_FACTS]
+    return metrics, sync, page, [fact(f) for f in CHAIN_FACTS]
 
 
 def _multi_dims(spec: ReportSpec, load: Loader, read: frozenset[str] | None = None,
@@ -431,34 +467,32 @@ def _multi_joined(spec: ReportSpec, stitched: DataFrame, dims: DataFrame | None,
                      how="inner" if _trim(spec) else "left")
 
 
-def _multi_select(spec: ReportSpec, basic: DataFrame, wide: DataFrame, names: list[str], measures: list[str],
-                  *more: str) -> DataFrame:
-    api = wide.select("date", "ad_id", "_gn_id", *SPINE_MEASURES, *names, *measures, *more,
+def _multi_select(wide: DataFrame, sync: DataFrame, names: list[str], measures: list[str], *more: str) -> DataFrame:
+    api = wide.select("date", "ad_id", "_gn_id", *_have(wide, *SPINE_MEASURES), *names, *measures, *more,
                       F.lit("").alias("dpa_target_audience_type"), F.lit("").alias("promotion_type"))
-    synced_type = basic.schema[LOAD_STAMP].dataType
-    return _with_sync(api, basic, local_datetime(LOAD_STAMP, spec.timezone, synced_type),
-                      utc_date("stat_time_day", basic.schema["stat_time_day"].dataType))
+    return attach_sync(api, sync)
 
 
 def multi_fact_api(spec: ReportSpec, load: Loader, fact_name: str = MULTI_FACT,
                    read: frozenset[str] | None = None) -> DataFrame:
-    basic, metrics, page, chain_facts = _multi_facts(load, fact_name)
+    metrics, sync, page, chain_facts = _multi_facts(spec, load, fact_name, read)
     stitched = stitch_facts(metrics, page, chain_facts, mode=spec.stitch)
     dims, names, _ = _multi_dims(spec, load, read)
     wide = _multi_joined(spec, stitched, dims, names, [])
-    return _multi_select(spec, basic, wide, names, [c for _, cols in chain_facts for c in cols] + page[1])
+    return _multi_select(wide, sync, names, [c for _, cols in chain_facts for c in cols] + page[1])
 
 
 def multi_fact_sums_api(spec: ReportSpec, load: Loader, fact_name: str = MULTI_FACT,
                         read: frozenset[str] | None = None) -> DataFrame:
     """``multi_fact_api`` for linear metrics: one row for each spine row and distinct dimension
     version that is read, with measures multiplied by the rows it stands for (``ROWS``)."""
-    basic, metrics, page, chain_facts = _multi_facts(load, fact_name)
+    metrics, sync, page, chain_facts = _multi_facts(spec, load, fact_name, read)
+    own = _have(metrics, *SPINE_MEASURES)
     measures = [c for _, cols in chain_facts for c in cols] + page[1]
-    stitched = stitch_sums(metrics, page, chain_facts, SPINE_MEASURES)
+    stitched = stitch_sums(metrics, page, chain_facts, own)
     dims, names, weights = _multi_dims(spec, load, read, weighted=True)
-    wide = weighed(_multi_joined(spec, stitched, dims, names, weights), [*SPINE_MEASURES, *measures], weights)
-    return _multi_select(spec, basic, wide, names, measures, ROWS)
+    wide = weighed(_multi_joined(spec, stitched, dims, names, weights), [*own, *measures], weights)
+    return _multi_select(wide, sync, names, measures, ROWS)
 
 
 def multi_fact_report(spec: ReportSpec, load: Loader) -> DataFrame:

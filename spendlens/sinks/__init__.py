@@ -1,5 +1,5 @@
 """Report sinks (catalog tables)."""
 
-from .tables import conform, ensure_schema, quote_ident, replace_table, republish
+from .tables import conform, ensure_schema, quote_ident, replace_table, republish, versions_of
 
-__all__ = ["conform", "ensure_schema", "quote_ident", "replace_table", "republish"]
+__all__ = ["conform", "ensure_schema", "quote_ident", "replace_table", "republish", "versions_of"]

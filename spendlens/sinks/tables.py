@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,20 +30,30 @@ def conform(df: DataFrame, spec: ReportSpec) -> DataFrame:
     return df.select(*cols)
 
 
+#: How long a replaced version stays readable for queries that have already begun.
+KEEP_SECONDS = 24 * 3600
+_VERSION = re.compile(r"__v(\d{13})_[0-9a-f]{8}$")
+
+
 def replace_table(df: DataFrame, name: str, spec: ReportSpec | None = None,
-                  fmt: str | None = None, via_staging: bool = False) -> None:
+                  fmt: str | None = None, via_staging: bool = False,
+                  keep_seconds: float = KEEP_SECONDS) -> None:
     """``CREATE OR REPLACE TABLE name (...declared columns...) AS <df>``.
 
     The write is the Spark action that runs the whole report plan, once. On a catalog with
     v2 tables (e.g. Delta or Iceberg) it is an atomic ``createOrReplace``, as the source's
     statement is. Spark's session catalog does not support that for its file tables; there
-    the result is written to a new table of a unique name, which then takes the target's
-    place by renaming, and the old table is dropped last. A report that fails leaves the
-    old table as it was, and ``df`` may read the table it replaces. ``fmt`` picks the table
-    provider (default: the catalog's); ``via_staging`` forces the renaming route.
+    the result is written to a version table of its own, never changed afterwards, and
+    ``name`` is a view that ``CREATE OR REPLACE VIEW`` switches to it in one catalog
+    operation: a reader finds the old rows or the new ones, at every moment. A report that
+    fails leaves the view as it was, and ``df`` may read what it replaces. Versions that
+    were replaced ``keep_seconds`` ago are dropped by a later run. A plain table of that
+    name becomes the first version (by renaming, the one moment without a ``name``).
+    ``fmt`` picks the table provider (default: the catalog's); ``via_staging`` forces the
+    versioned route.
     """
     out = conform(df, spec) if spec is not None else df
-    if not via_staging:
+    if not via_staging and not _is_view(df.sparkSession, name):
         writer = out.writeTo(name)
         if fmt:
             writer = writer.using(fmt)
@@ -51,58 +63,57 @@ def replace_table(df: DataFrame, name: str, spec: ReportSpec | None = None,
         except Exception as e:  # noqa: BLE001 - only "not supported here" falls through
             if _condition(e) not in ("UNSUPPORTED_FEATURE.TABLE_OPERATION", "UNSUPPORTED_OVERWRITE.TABLE"):
                 raise
-    _write_and_swap(out, name, fmt)
+    _publish_version(out, name, fmt, keep_seconds)
 
 
 def _condition(e: Exception) -> str | None:
     return getattr(e, "getCondition", getattr(e, "getErrorClass", lambda: None))()
 
 
-def _write_and_swap(df: DataFrame, name: str, fmt: str | None) -> None:
-    spark = df.sparkSession
-    run = uuid.uuid4().hex[:12]
-    fresh, old = f"{name}__new_{run}", f"{name}__old_{run}"
-    writer = df.write.mode("errorifexists")
-    if fmt:
-        writer = writer.format(fmt)
-    try:
-        writer.saveAsTable(fresh)
-    except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {quote_ident(fresh)}")
-        raise
-    replaced = spark.catalog.tableExists(name)
-    if replaced:
-        _rename(spark, name, old)
-    try:
-        _rename(spark, fresh, name)
-    except Exception as e:  # noqa: BLE001 - only one error condition is handled
-        if replaced:
-            _rename(spark, old, name)
-        if _condition(e) == "LOCATION_ALREADY_EXISTS":
-            # files at the managed location that renaming does not move: those of an earlier
-            # session that this (in-memory) catalog does not know about, or of a table that
-            # was registered on them. Replacing means replacing those files too; the result
-            # stays in the new table until its copy is complete
-            rest = spark.table(fresh).write.mode("overwrite").option("path", _managed_location(df, name))
-            (rest.format(fmt) if fmt else rest).saveAsTable(name)
-            spark.sql(f"DROP TABLE IF EXISTS {quote_ident(fresh)}")
-            return
-        spark.sql(f"DROP TABLE IF EXISTS {quote_ident(fresh)}")
-        raise
-    if replaced:
-        spark.sql(f"DROP TABLE IF EXISTS {quote_ident(old)}")
+def _is_view(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "VIEW"
 
 
-def _rename(spark: SparkSession, name: str, to: str) -> None:
-    spark.sql(f"ALTER TABLE {quote_ident(name)} RENAME TO {quote_ident(to)}")
+def _version_name(name: str, millis: int) -> str:
+    return f"{name}__v{millis:013d}_{uuid.uuid4().hex[:8]}"
 
 
-def _managed_location(df: DataFrame, name: str) -> str:
+def _publish_version(df: DataFrame, name: str, fmt: str | None, keep_seconds: float) -> None:
     spark = df.sparkSession
-    parts = name.split(".")
-    db = ".".join(parts[:-1]) or spark.catalog.currentDatabase()
-    info = {r[0]: r[1] for r in spark.sql(f"DESCRIBE DATABASE {quote_ident(db)}").collect()}
-    return info["Location"].rstrip("/") + "/" + parts[-1].lower()
+    now = time.time_ns() // 1_000_000
+    version = _version_name(name, now)
+    writer = df.write.mode("errorifexists")
+    try:
+        (writer.format(fmt) if fmt else writer).saveAsTable(version)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {quote_ident(version)}")
+        raise
+    if spark.catalog.tableExists(name) and not _is_view(spark, name):
+        spark.sql(f"ALTER TABLE {quote_ident(name)} RENAME TO {quote_ident(_version_name(name, now - 1))}")
+    columns = []
+    for f in df.schema.fields:
+        comment = (f.metadata or {}).get("comment")
+        columns.append("`" + f.name.replace("`", "``") + "`" + (f" COMMENT {quote_str(comment)}" if comment else ""))
+    spark.sql(f"CREATE OR REPLACE VIEW {quote_ident(name)} ({', '.join(columns)}) AS SELECT * FROM {quote_ident(version)}")
+    _drop_versions(spark, name, version, keep_seconds)
+
+
+def versions_of(spark: SparkSession, name: str) -> list[str]:
+    """The version tables behind a published view, oldest first."""
+    database, _, table = name.rpartition(".")
+    where = f" IN {quote_ident(database)}" if database else ""
+    found = [r["tableName"] for r in spark.sql(f"SHOW TABLES{where} LIKE {quote_str(table + '__v*')}").collect()]
+    own = [t for t in found if (m := _VERSION.search(t)) and t[:m.start()].lower() == table.lower()]
+    return [f"{database}.{t}" if database else t for t in sorted(own, key=lambda t: t[-23:])]
+
+
+def _drop_versions(spark: SparkSession, name: str, current: str, keep_seconds: float) -> None:
+    """Drop the versions that were replaced at least ``keep_seconds`` ago."""
+    every = versions_of(spark, name)
+    for old, new in zip(every, every[1:]):
+        replaced = int(_VERSION.search(new)[1]) / 1000
+        if old.lower() != current.lower() and replaced + keep_seconds <= time.time():
+            spark.sql(f"DROP TABLE IF EXISTS {quote_ident(old)}")
 
 
 def ensure_schema(spark: SparkSession, database: str, description: str = "",

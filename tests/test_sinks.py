@@ -1,3 +1,4 @@
+import threading
 import uuid
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from fixtures import platform_tables
 from spendlens.plans import run_report
-from spendlens.sinks import ensure_schema, replace_table, republish
+from spendlens.sinks import ensure_schema, replace_table, republish, versions_of
 from spendlens.spec import ExternalTarget, FieldSpec, ReportSpec
 from test_reports import PLATFORM
 
@@ -43,7 +44,8 @@ def test_overwrite_a_table_read_by_its_own_query_via_staging(spark):
     # without the flag the refused overwrite is detected and routed through staging too
     replace_table(spark.table(f"{db}.src").selectExpr("x * 10 AS x"), f"{db}.src")
     assert rows(spark.table(f"{db}.src")) == [(20,)]
-    assert not spark.catalog.tableExists(f"{db}.src__staging")
+    # the plain table became the first version
+    assert [rows(spark.table(v)) for v in versions_of(spark, f"{db}.src")] == [[(1,)], [(2,)], [(20,)]]
 
 
 def test_run_report_then_republish_copies_the_stored_table(spark):
@@ -83,7 +85,51 @@ def test_a_failing_report_leaves_the_old_table(spark):
     with pytest.raises(Exception, match="report failed"):
         replace_table(bad, f"{db}.t")
     assert rows(spark.table(f"{db}.t")) == [(1,)]
-    # no table of a failed or finished run is left over
-    replace_table(spark.table(f"{db}.t").selectExpr("x + 1 AS x"), f"{db}.t")
+    assert len(versions_of(spark, f"{db}.t")) == 1  # none of the failed run
+    replace_table(spark.table(f"{db}.t").selectExpr("x + 1 AS x"), f"{db}.t", keep_seconds=0)
     assert rows(spark.table(f"{db}.t")) == [(2,)]
-    assert [t.name for t in spark.catalog.listTables(db)] == ["t"]
+    assert sorted(t.tableType for t in spark.catalog.listTables(db)) == ["MANAGED", "VIEW"]
+
+
+def test_a_reader_never_misses_the_table_while_it_is_replaced(spark):
+    db = _db()
+    ensure_schema(spark, db)
+    name, seen, wrong, done = f"{db}.t", set(), [], threading.Event()
+    replace_table(spark.range(5).selectExpr("id", "0L AS run"), name)
+
+    def read():
+        while not done.is_set():
+            try:
+                got = spark.table(name).groupBy("run").count().collect()
+                assert len(got) == 1 and got[0]["count"] == 5  # one version, whole
+                seen.add(got[0].run)
+            except Exception as e:  # noqa: BLE001 - every failure of the reader is one
+                wrong.append(e)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for run in range(1, 9):
+            replace_table(spark.range(5).selectExpr("id", f"{run}L AS run"), name)
+            if run == 4:
+                with pytest.raises(Exception, match="report failed"):
+                    replace_table(spark.range(3).select(F.raise_error(F.lit("report failed")).cast("bigint").alias("run")), name)
+    finally:
+        done.set()
+        reader.join()
+    assert not wrong and len(seen) > 1
+    assert len(versions_of(spark, name)) == 9
+    replace_table(spark.range(5).selectExpr("id", "9L AS run"), name, keep_seconds=0)
+    assert versions_of(spark, name) == versions_of(spark, name)[-1:]
+    assert {r.run for r in spark.table(name).collect()} == {9}
+
+
+def test_versions_of_tables_with_like_names_are_kept_apart(spark):
+    db = _db()
+    ensure_schema(spark, db)
+    for name in ("t", "t__v", "tt"):
+        for x in (1, 2):
+            replace_table(spark.createDataFrame([(x,)], "x bigint"), f"{db}.{name}", keep_seconds=0)
+    for name in ("t", "t__v", "tt"):
+        assert rows(spark.table(f"{db}.{name}")) == [(2,)]
+        assert len(versions_of(spark, f"{db}.{name}")) == 1
