@@ -126,23 +126,37 @@ SELECT doc_id, CAST(any_value(n) AS BIGINT) AS n_shingles, min(other) AS compone
 FROM reach JOIN sizes USING (doc_id) GROUP BY doc_id
 """,
     "op6_line_dedup": r"""
-WITH texts AS (SELECT DISTINCT text, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
-lines AS (SELECT text, unnest(parts) AS line, generate_subscripts(parts, 1) AS i FROM texts),
+WITH texts AS (
+  SELECT text, min(doc_id) AS carrier, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL GROUP BY text),
+lines AS (SELECT text, carrier, unnest(parts) AS line, generate_subscripts(parts, 1) AS i FROM texts),
 tokens AS (
-  SELECT text, i, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'),
-                                 lambda w: CASE WHEN regexp_matches(w, '[0-9@]') THEN '<*>' ELSE w END) AS t
-  FROM lines),
-sized AS (SELECT text, i, t, len(t) AS n FROM tokens),
+  SELECT text, carrier, i, regexp_extract_all(line, concat(single, '|[^\x20\x09-\x0D', single[2:])  || '+') AS r
+  FROM lines, (SELECT '[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]' AS single)),
+sized AS (
+  -- a variable field is a space, which no token holds
+  SELECT text, carrier, i, len(r) AS n, r, list_transform(r, lambda w: CASE WHEN regexp_matches(w, '[0-9@]') THEN ' ' ELSE w END) AS t FROM tokens),
 templates AS (
-  SELECT text, i, n, concat(n, ' ', array_to_string(t, ' ')) AS key FROM sized WHERE n >= 3
+  SELECT text, carrier, i, n,
+         CASE WHEN len(list_filter(t, lambda w: w <> ' ')) >= 2 THEN concat(n, ' ', array_to_string(t, chr(10)))
+              ELSE concat('words ', array_to_string(r, chr(10))) END AS key
+  FROM sized WHERE n >= 3
   UNION ALL
-  SELECT text, i, n, concat(n, ' open ', k, ' ', array_to_string(t[1:2 + (n - 2) * k // 4], ' '), ' <open> ',
-                            array_to_string(t[3 + (n - 2) * (k + 1) // 4:], ' ')) AS key
-  FROM sized, range(4) AS q(k) WHERE n >= 6),
+  SELECT text, carrier, i, n, concat(n, ' open ', k, ' ', array_to_string(head, chr(10)), ' <open> ', array_to_string(tail, chr(10))) AS key
+  FROM (SELECT text, carrier, i, n, k, t[1:2 + (n - 2) * k // 4] AS head, t[3 + (n - 2) * (k + 1) // 4:] AS tail
+        FROM sized, range(4) AS q(k) WHERE n >= 6)
+  WHERE len(list_filter(head || tail, lambda w: w <> ' ')) >= 2),
 recurring AS (SELECT key FROM templates GROUP BY key HAVING count(DISTINCT text) > 1),
-hit AS (SELECT DISTINCT text, i, n FROM templates JOIN recurring USING (key)),
+hit AS (SELECT templates.* FROM templates JOIN recurring USING (key)),
 total AS (SELECT text, sum(n) AS words FROM sized GROUP BY text),
-dropped AS (SELECT text, list(i) AS gone FROM hit JOIN total USING (text) GROUP BY text HAVING sum(n) <= 0.5 * max(words))
+share AS (
+  SELECT text, sum(n) > 0.5 * max(words) AS mostly
+  FROM (SELECT DISTINCT text, i, n FROM hit) JOIN total USING (text) GROUP BY text),
+first AS (SELECT key, min(carrier) AS carrier FROM hit JOIN share USING (text) WHERE mostly GROUP BY key),
+gone AS (
+  SELECT text, i FROM hit JOIN share USING (text) WHERE NOT mostly
+  UNION
+  SELECT hit.text, hit.i FROM hit JOIN share USING (text) JOIN first USING (key) WHERE mostly AND hit.carrier > first.carrier),
+dropped AS (SELECT text, list(i) AS gone FROM gone GROUP BY text)
 SELECT d.doc_id,
        CASE WHEN gone IS NULL THEN d.text
             ELSE array_to_string(list_filter(string_split(d.text, chr(10)), lambda x, j: NOT list_contains(gone, j)), chr(10)) END AS text,

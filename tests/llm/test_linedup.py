@@ -1,44 +1,61 @@
 import collections
 import random
-import re
 
-import pyarrow as pa
+import regex
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
+import numpy as np
 from docs import EDGE, frame, prose
 from spendlens.llm import linedup
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SINGLE = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in linedup.SINGLE)
+WORD = regex.compile(rf"[{SINGLE}]|[^\x20\x09-\x0D{SINGLE}]+")
 
 
 def templates(line):
-    t = ["<*>" if re.search("[0-9@]", w) else w for w in WORD.findall(line)]
+    words = WORD.findall(line)
+    t = [None if regex.search("[0-9@]", w) else w for w in words]
     n = len(t)
     if n < 3:
         return []
-    out = [(n, tuple(t))]
+    constant = lambda x: sum(w is not None for w in x)
+    out = [(n, tuple(t))] if constant(t) >= 2 else [("words", tuple(words))]
     if n >= 6:
         cuts = [2 + (n - 2) * k // 4 for k in range(5)]
-        out += [(n, k, tuple(t[:cuts[k]]), tuple(t[cuts[k + 1]:])) for k in range(4)]
+        out += [(n, k, tuple(t[:cuts[k]]), tuple(t[cuts[k + 1]:])) for k in range(4) if constant(t[:cuts[k]] + t[cuts[k + 1]:]) >= 2]
     return out
 
 
-def brute(rows):
+def brute(rows, group_of=None):
+    """(doc_id, text, lines, dropped) of every row; ``group_of``: text -> group."""
+    texts = {t for _, t, *_ in rows if t is not None}
+    group_of = group_of or {t: t for t in texts}
+    carrier = {}
+    for i, t, *_ in rows:
+        if t is not None and i is not None:
+            carrier[group_of[t]] = min(i, carrier.get(group_of[t], i))
     seen = collections.defaultdict(set)
-    for text in {t for _, t, *_ in rows if t is not None}:
+    for text in texts:
         for line in text.split("\n"):
             for k in templates(line):
-                seen[k].add(text)
+                seen[k].add(group_of[text])
+    hits = {t: {j: [k for k in templates(x) if len(seen[k]) > 1] for j, x in enumerate(t.split("\n"))} for t in texts}
+    words = {t: [len(WORD.findall(x)) for x in t.split("\n")] for t in texts}
+    mostly = {t for t in texts if sum(w for j, w in enumerate(words[t]) if hits[t][j]) > 0.5 * sum(words[t])}
+    first = {}
+    for t in mostly:
+        for keys in hits[t].values():
+            for k in keys:
+                first[k] = min(carrier[group_of[t]], first.get(k, carrier[group_of[t]]))
     out = []
     for i, text, *_ in rows:
         if text is None:
             out.append((i, None, 0, 0))
             continue
+        gone = {j for j, keys in hits[text].items() if any(text not in mostly or carrier[group_of[text]] > first[k] for k in keys)}
         lines = text.split("\n")
-        hit = [any(len(seen[k]) > 1 for k in templates(x)) for x in lines]
-        words = [len(WORD.findall(x)) for x in lines]
-        if sum(w for w, h in zip(words, hit) if h) > 0.5 * sum(words):
-            hit = [False] * len(lines)
-        out.append((i, "\n".join(x for x, h in zip(lines, hit) if not h), len(lines), sum(hit)))
+        out.append((i, "\n".join(x for j, x in enumerate(lines) if j not in gone), len(lines), len(gone)))
     return out
 
 
@@ -71,11 +88,56 @@ def test_one_open_quarter_is_a_variable_field(spark):
     assert all(d == 1 for *_, d in check(spark, rows))
 
 
-def test_copies_stay_whole_and_edge_documents(spark):
+def test_of_copies_the_first_carrier_stays_whole(spark):
     copy = "\n".join(prose(k, 12) for k in range(6))
     rows = EDGE + [(30, copy), (31, copy), (32, copy), (33, copy + "\n" + prose(77, 10))]
     got = {i: (t, d) for i, t, _, d in check(spark, rows) if i is not None}
-    assert got[30] == (copy, 0) and got[33][1] == 0
+    assert got[30] == got[32] == (copy, 0) and got[33] == (prose(77, 10), 6)
+
+
+def test_a_notice_goes_from_short_documents_but_one(spark):
+    notice = "this site uses cookies of its own and of others to count all visits"
+    rows = [(k, f"{notice}\n{prose(k, 4)}") for k in range(5)]
+    got = {i: d for i, _, _, d in check(spark, rows)}
+    assert got == {0: 0, 1: 1, 2: 1, 3: 1, 4: 1}
+    long = [(k, f"{notice}\n{prose(k, 60)}") for k in range(10, 14)]
+    assert [d for _, _, _, d in check(spark, long)] == [1, 1, 1, 1]
+
+
+def test_rows_of_numbers_recur_word_for_word_only(spark):
+    rows = [(1, "12.5 13 9\n" + prose(1, 30)), (2, "7 8 2021\n" + prose(2, 30)), (3, "4 5 6\n" + prose(3, 30)), (4, "4  5 6\n" + prose(4, 30)),
+            (5, "total 5 6 7 8 9 10 11\n" + prose(5, 30)), (6, "total 1 2 3 4 5 6 7\n" + prose(6, 30))]
+    assert [d for _, _, _, d in sorted(check(spark, rows))] == [0, 0, 1, 1, 0, 0]
+
+
+def test_scripts_without_spaces(spark):
+    notice = "版权所有未经许可不得转载"
+    rows = [(k, f"{notice}\n" + "".join(chr(0x4E00 + random.Random(k).randrange(9000) + j) for j in range(40))) for k in range(5)]
+    rows += [(9, "ประกาศ ลิขสิทธิ์\n" + prose(9, 30)), (10, "ประกาศ ลิขสิทธิ์\n" + prose(10, 30)), (11, "𠀀𠀁𠀂 x\n" + prose(11, 30)), (12, "𠀀𠀁𠀂 x\n" + prose(12, 30))]
+    assert all(d == 1 for _, _, _, d in check(spark, rows))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="a1 \n@é中の𠀀ไ😀\u2003", max_size=14), min_size=1, max_size=4))
+def test_tokens_equal_the_pattern(texts):
+    raw = [t.encode() for t in texts]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    starts, ends, text = linedup.token_spans(data, offsets)
+    got = [[bytes(data[a:b]).decode() for a, b, k in zip(starts, ends, text, strict=True) if k == i] for i in range(len(texts))]
+    assert got == [WORD.findall(t) for t in texts]
+
+
+def test_texts_of_a_group_count_as_one(spark):
+    from pyspark.sql import functions as F
+    body = "\n".join(prose(k, 12) for k in range(6))
+    rows = [(1, body), (2, body + " end"), (3, prose(0, 12) + "\n" + prose(50, 60)), (4, prose(51, 40)), (5, body + "\nmore of it")]
+    group_of = {t: {1: 1, 2: 1, 5: 1}.get(i, i) for i, t in rows}
+    docs = frame(spark, rows)
+    groups = docs.select(F.xxhash64("text").alias("text_hash"), F.when(F.col("doc_id").isin(2, 5), 1).otherwise(F.col("doc_id")).cast("long").alias("group"))
+    got = sorted((r.doc_id, r.text, r.n_lines_, r.n_dropped) for r in linedup.op6_line_dedup(docs, groups=groups).collect())
+    assert got == sorted(brute(rows, group_of))
+    assert [d for *_, d in got] == [1, 1, 1, 0, 1]
 
 
 def test_random_corpora_match_brute_force(spark):
@@ -86,35 +148,5 @@ def test_random_corpora_match_brute_force(spark):
     check(spark, rows + rows[:5])
 
 
-def test_runs_of_a_key_over_batches():
-    rows = [(1, 10, 0, 3, 9), (1, 10, 4, 3, 9), (1, 10, 0, 3, 9), (1, 20, 1, 3, 8), (1, 30, 2, 3, 7), (2, 10, 5, 4, 9),
-            (2, 10, 5, 4, 9), (3, 11, 0, 3, 3), (3, 12, 0, 3, 3), (4, 12, 1, 3, 3)]
-    want = {(10, 0), (10, 4), (20, 1), (30, 2), (11, 0), (12, 0)}
-    schema = pa.schema([("key", pa.int64()), ("text_hash", pa.int64()), ("line", pa.int32()), ("tokens", pa.int32()), ("total", pa.int32())])
-    for a in range(len(rows) + 1):
-        for b in range(a, len(rows) + 1):
-            batches = [pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in part], schema) for part in (rows[:a], rows[a:b], rows[b:])]
-            got = {(r["text_hash"], r["line"]) for x in linedup._recurring(batches) for r in x.to_pylist()}
-            assert got == want, (a, b)
-
-
-def test_waiting_rows_of_another_key_stay():
-    schema = pa.schema([("key", pa.int64()), ("text_hash", pa.int64()), ("line", pa.int32()), ("tokens", pa.int32()), ("total", pa.int32())])
-    parts = [[(2, 10)], [(2, 10), (3, 11), (3, 12)], [(3, 13)]]
-    batches = [pa.RecordBatch.from_pylist([dict(zip(schema.names, (*r, 0, 3, 9))) for r in part], schema) for part in parts]
-    assert {r["text_hash"] for x in linedup._recurring(batches) for r in x.to_pylist()} == {11, 12, 13}
-
-
-def test_texts_of_a_group_count_as_one_over_batches():
-    names = ["key", "group", "text_hash", "line", "tokens", "total"]
-    schema = pa.schema([(n, pa.int64() if k < 3 else pa.int32()) for k, n in enumerate(names)])
-    rows = [(1, 5, t, 0, 3, 9) for t in (10, 11, 12)] + [(2, 5, 10, 1, 3, 9), (2, 5, 11, 1, 3, 9), (2, 6, 20, 1, 3, 9)]
-    for a in range(len(rows) + 1):
-        for b in range(a, len(rows) + 1):
-            batches = [pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in part], schema) for part in (rows[:a], rows[a:b], rows[b:])]
-            got = {(r["text_hash"], r["line"]) for x in linedup._recurring(batches) for r in x.to_pylist()}
-            assert got == {(10, 1), (11, 1), (20, 1)}, (a, b)
-
-
 def test_empty_table(spark):
     assert linedup.op6_line_dedup(frame(spark, [])).collect() == []

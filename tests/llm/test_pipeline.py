@@ -90,7 +90,7 @@ def test_run_packs_what_the_stages_keep(spark, folder):
 
 def test_every_operator_has_a_query():
     from spendlens.llm.queries import QUERIES
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
     assert public_tokenizers.path("word_bpe_49k.json")
 
 
