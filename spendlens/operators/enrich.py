@@ -51,9 +51,22 @@ def key_pair(left: DataFrame, lname: str, right: DataFrame, rname: str,
     return string_key(lc), string_key(rc)
 
 
+#: Over how many hash values the rows with a NULL link are spread.
+NULL_SPREAD = 4096
+
+
+def _spread(df: DataFrame, links: Sequence[str]) -> Column:
+    """0, or for rows with a NULL link a number from 1 that is a function of the row."""
+    missing = F.col(links[0]).isNull()
+    for name in links[1:]:
+        missing = missing | F.col(name).isNull()
+    hashed = [F.col(c) for c in df.columns if "map<" not in _type_of(df, c).simpleString()]
+    return F.when(missing, 1 + F.pmod(F.xxhash64(*hashed), F.lit(NULL_SPREAD))).otherwise(0)
+
+
 def left_join(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]],
               take: Mapping[str, str], how: str = "left",
-              normalise: bool | Collection[str] = False) -> DataFrame:
+              normalise: bool | Collection[str] = False, spread_nulls: bool = False) -> DataFrame:
     """``df LEFT JOIN dim ON df.l = dim.r AND ...``, bringing ``take`` columns along.
 
     ``normalise`` compares all keys as strings, or only the left keys it names.
@@ -62,7 +75,20 @@ def left_join(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]],
     NULL where nothing matched). ``how="inner"`` is used by the allow-list trim. Plain
     equi-joins are joined USING the key names, which puts the join keys first in the
     output; select by name downstream.
+
+    ``spread_nulls``: a NULL link joins nothing, yet all rows that have one hash to one
+    partition. A second key, 0 on the right and on rows with a link, deals them out over
+    all partitions. For sides whose links are often NULL and that are shuffled for this
+    join anyway (an existing partitioning by the link alone would not be reused).
     """
+    if spread_nulls and how == "left":
+        n = next(_ids)
+        key = f"__null_{n}"
+        df = df.withColumn(key, _spread(df, [l for l, _ in on]))
+        # always 0, in a form that is not folded into the left side's condition
+        zero = F.pmod(F.xxhash64(*[F.col(r) for _, r in on]), F.lit(1))
+        return left_join(df, dim.withColumn(key, zero), [*on, (key, key)], take, how,
+                         [l for l, _ in on] if normalise is True else normalise).drop(key)
     left_cols = set(df.columns)
     for out in take:
         if out in left_cols:
@@ -124,7 +150,8 @@ def chain(base: DataFrame, links: Sequence[tuple[DataFrame, Sequence[tuple[str,
     def _attach(df: DataFrame, node: int) -> DataFrame:
         for i in below.get(node, ()):
             on = [(l, f"__c{i}_{k}") for k, (l, _) in enumerate(links[i][1])]
-            df = left_join(df, frame(i), on, take_of(i), how=links[i][3], normalise=normalise)
+            df = left_join(df, frame(i), on, take_of(i), how=links[i][3], normalise=normalise,
+                           spread_nulls=True)
         return df
 
     return _attach(base, -1)

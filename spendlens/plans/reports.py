@@ -19,6 +19,8 @@ Plan shape shared by all reports, chosen for large inputs:
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,14 +125,15 @@ def platform_api(spec: ReportSpec, load: Loader, fact_name: str = PLATFORM_FACT,
     pivot_cols: list[str] = []
     for enabled, suffix, alias in ((spec.actions, "_actions", "actions"),
                                    (spec.action_values, "_action_values", "action_values")):
-        if not enabled:
+        conversions = _read_conversions(spec, [alias], read)
+        if not enabled or not conversions:
             continue
         long = load(fact_name + suffix, ["ad_id", "publisher_platform", "date",
                                          "action_type", "value"])
         # grouped in the roll-up's key order so the join reuses its hash partitioning
-        wide = pivot_metrics(long, keys, "action_type", spec.conversions,
+        wide = pivot_metrics(long, keys, "action_type", conversions,
                              {alias: F.col("value")}, prune_unlisted=True)
-        names = [pivot_name(alias, c.output_name) for c in spec.conversions]
+        names = [pivot_name(alias, c.output_name) for c in conversions]
         report = left_join(report, wide, [(k, k) for k in keys], {n: n for n in names},
                            normalise=("ad_id",))
         pivot_cols += names
@@ -267,13 +270,14 @@ def _star_api(spec: ReportSpec, load: Loader, keyword: bool, fact_name: str,
          "conversions": F.sum("conversions"), "revenue": F.sum("revenue")},
         synced, read, stamped=False)
     pivot_cols: list[str] = []
-    if spec.pivots:
+    conversions = _read_conversions(spec, GOAL_MEASURES, read)
+    if spec.pivots and conversions:
         # grouped in the roll-up's key order so the join reuses its hash partitioning
         goals = load(GOALS, keys + list(GOAL_MEASURES) + ["goal"])
-        wide = pivot_metrics(goals, keys, "goal", spec.conversions,
+        wide = pivot_metrics(goals, keys, "goal", conversions,
                              {m: F.col(m).try_cast("double") for m in GOAL_MEASURES},
                              prune_unlisted=True)
-        for c in spec.conversions:
+        for c in conversions:
             pivot_cols += [pivot_name(m, c.output_name) for m in GOAL_MEASURES]
         report = left_join(report, wide, [(k, k) for k in keys], {n: n for n in pivot_cols})
 
@@ -313,6 +317,11 @@ def _star_api(spec: ReportSpec, load: Loader, keyword: bool, fact_name: str,
     return attach_sync(api, sync)
 
 
+def _read_conversions(spec: ReportSpec, measures: Iterable[str], read: frozenset[str] | None) -> list:
+    """The conversions of which some pivot column is read."""
+    return [c for c in spec.conversions if any(is_read(pivot_name(m, c.output_name), read) for m in measures)]
+
+
 def _of(brought: set[str], *names: str) -> list[str]:
     return [n for n in names if n in brought]
 

@@ -1,0 +1,105 @@
+"""Pivots of hundreds of cells, and joins over links that are mostly NULL."""
+
+import random
+from dataclasses import replace
+
+import pytest
+from conftest import plan_text, rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from spendlens.operators import pivot_metrics, pivot
+from spendlens.operators.enrich import chain, left_join
+
+SETTINGS = dict(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.sampled_from(["k", "l", None]), st.sampled_from(["a", "b", "x", "unlisted", None]),
+                          st.one_of(st.none(), st.integers(-9, 9))), max_size=25), st.booleans())
+def test_a_sparse_pivot_equals_the_conditional_sums(spark, data, prune):
+    df = spark.createDataFrame(data, "k string, e string, v bigint")
+    args = (["k"], "e", [("a", "a"), ("b", "bee"), ("x", "x"), ("never", "never")], {"s": F.col("v"), "t": F.col("v").cast("decimal(18,2)") / 4})
+    dense = pivot_metrics(df, *args, prune_unlisted=prune)
+    src = df.where(F.col("e").isin("a", "b", "x", "never")) if prune else df
+    sparse = pivot._sparse_pivot(src, *args, F.sum)
+    assert sparse.columns == dense.columns and sparse.dtypes == dense.dtypes
+    assert rows(sparse) == rows(dense)
+    assert rows(pivot._sparse_pivot(src, *args, F.max)) == rows(pivot_metrics(df, *args, agg=F.max, prune_unlisted=prune))
+
+
+def test_five_hundred_conversions(spark):
+    r = random.Random(1)
+    data = [(r.randrange(40), f"event {r.randrange(520)}", r.randrange(100)) for _ in range(4000)]
+    df = spark.createDataFrame(data, "k long, e string, v long")
+    events = [(f"event {i}", f"c{i}") for i in range(500)]
+    measures = {"m1": F.col("v"), "m2": F.col("v") * 2, "m3": F.col("v").cast("double")}
+    out = pivot_metrics(df, ["k"], "e", events, measures)
+    assert len(out.columns) == 1 + 1500
+    want = {}
+    for k, e, v in data:
+        if int(e.split()[1]) < 500:
+            want[k, "c" + e.split()[1]] = want.get((k, "c" + e.split()[1]), 0) + v
+    got = {(row.k, f"c{i}"): (row[f"m1_c{i}"], row[f"m2_c{i}"], row[f"m3_c{i}"]) for row in out.collect() for i in range(500) if row[f"m1_c{i}"] is not None}
+    assert got == {key: (v, 2 * v, float(v)) for key, v in want.items()}
+    plan = plan_text(out)
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("Exchange") == 2
+    # the sums are few and compiled, however many cells there are
+    assert all("*(" in line for line in final.splitlines() if " HashAggregate" in line or "HashAggregate(" in line and "Object" not in line)
+    assert "sum(CASE" not in final and final.count("sum(") < 20
+
+
+def test_conversions_that_nobody_reads_are_not_pivoted(spark):
+    from spendlens.catalog.specs import REPORT_SPECS
+    from spendlens.catalog.standins import spark_sources
+    from spendlens.plans import BUILDERS
+    from spendlens.sources import loader
+    from spendlens.spec import ConversionSpec
+    spec = REPORT_SPECS["ad_group"]
+    load = loader(spark, "", spark_sources(spark, "/root/testdata/sf0.001", "ad_group"))
+    many = replace(spec, conversions=(*spec.conversions, *(ConversionSpec(f"e{i}", f"e{i}") for i in range(300))))
+    assert rows(BUILDERS["ad_group"](many, load)) == rows(BUILDERS["ad_group"](spec, load))
+    assert "e17" not in plan_text(BUILDERS["ad_group"](many, load), "extended")
+    none = replace(many, metrics=tuple(m for m in spec.metrics if not any(m.expression.endswith(f"_{c.output_name})") for c in spec.conversions)))
+    assert "goals" not in plan_text(BUILDERS["ad_group"](none, load), "extended") and rows(BUILDERS["ad_group"](none, load), "cost") == rows(
+        BUILDERS["ad_group"](spec, load), "cost")
+
+
+STATIC = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+
+
+@pytest.fixture()
+def static(spark):
+    old = {k: spark.conf.get(k, None) for k in STATIC}
+    for k, v in STATIC.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _largest(df):
+    """Rows of the largest partition, and of one on average."""
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(sizes), sum(sizes) / 16
+
+
+@pytest.mark.parametrize("text", [False, True])
+def test_links_that_are_mostly_null_are_dealt_out(spark, static, text):
+    ads = spark.range(20_000).selectExpr("id AS ad", "CASE WHEN id % 5 = 0 THEN id % 700 END AS link", "CAST(id AS STRING) AS name")
+    sets = spark.range(500).selectExpr("CAST(id AS STRING) AS id" if text else "id", "concat('set ', id) AS set_name", "id % 50 AS up")
+    ups = spark.range(40).selectExpr("id", "concat('up ', id) AS up_name")
+    plain = left_join(ads, sets, [("link", "id")], {"set_name": "set_name"}, normalise=text)
+    spread = left_join(ads, sets, [("link", "id")], {"set_name": "set_name"}, normalise=text, spread_nulls=True)
+    assert spread.columns == plain.columns and rows(spread) == rows(plain)
+    worst, mean = _largest(plain)
+    assert worst > 10 * mean
+    worst, mean = _largest(spread)
+    assert worst < 1.5 * mean
+    dims = chain(ads, [(sets, [("link", "id")], {"set_name": "set_name", "up": "up"}, "left"), (ups, [("up", "id")], {"up_name": "up_name"}, "left")], normalise=text)
+    by_level = left_join(left_join(ads, sets, [("link", "id")], {"set_name": "set_name", "up": "up"}, normalise=text),
+                         ups, [("up", "id")], {"up_name": "up_name"}, normalise=text)
+    assert rows(dims.select(by_level.columns)) == rows(by_level)
+    worst, mean = _largest(dims)
+    assert worst < 1.5 * mean
