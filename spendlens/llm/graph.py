@@ -3,7 +3,8 @@
 Every round is two joins on a node's smallest neighbour; both sides shuffle on the node
 and are skew-split by adaptive execution, and the smallest neighbour is pre-aggregated, so
 a node with very many edges does not gather in one task. Rounds are written to the shared
-folder; their number grows with the logarithm of the longest path.
+folder, the last one in place of the one before; their number grows with the logarithm of
+the longest path.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stage
+from .shared import stage, unstage
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -40,7 +41,8 @@ def components(edges: DataFrame) -> DataFrame:
         if state == before or state[0] == 0:
             break
         before = state
-        star = _large_star(now).distinct()
+        last, star = now, _large_star(now).distinct()
         now = stage(_small_star(star).distinct(), "edges")
+        unstage(last)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         now.select(F.col("b"), F.col("b"))).distinct()

@@ -11,15 +11,20 @@ For another link threshold ``layout`` derives the three numbers with the same ch
 * Equal sets are one class before anything is joined, so exact copies cost nothing more.
 * In a bucket only edges to its smallest member are kept, first within each batch, then
   across: a bucket of any size gives as many edges as members. Their components hold every
-  pair that shares a bucket.
-* Each component's full sets are compared in blocks of at most ``BLOCK`` members and
+  pair that shares a bucket, and with many documents of one template also many that are
+  far apart.
+* So the signatures of each component are compared, in tiles of ``TILE`` members, and only
+  pairs that differ in at most the covered number of symbols are links; a tile pair returns
+  a spanning forest of them. Components of these links are what is confirmed.
+* Their full sets are compared in blocks of at most ``BLOCK`` members and
   ``BLOCK_SHINGLES`` shingles, every block with every other one; a block pair returns a
   spanning forest of its confirmed links, never the pairs themselves.
 
 Defined results: a text that is null or without words has the empty set and is linked with
 nothing; rows that share a doc_id are one document, linked by any of its texts; a null
-doc_id takes its class's component (null if it has none, and is kept then). Extra columns
-are ignored; an empty table gives no rows.
+doc_id takes its component's smallest id (null if the component has none, and is kept
+then). Ids lie below 2**62: classes without an id of their own are numbered from there.
+Extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,6 +43,10 @@ from .shared import arrow_rows, map_arrow, stage, text_parts
 
 SHINGLE = 5
 BLOCK, BLOCK_SHINGLES = 256, 400_000
+#: Members of a tile of signatures; rows of it that are compared at once.
+TILE, TILE_ROWS = 2048, 64
+#: Classes without an id of their own (no row has one, or a smaller text has it) are numbered from here.
+NO_ID = 1 << 62
 #: Two sets are linked if 100 * intersection >= LINK * union.
 LINK = 85
 #: The most chance that a pair at the link threshold differs in more symbols than are covered.
@@ -194,6 +203,71 @@ def candidate_edges(classes: DataFrame, symbols: int = SYMBOLS, chunks: int = CH
     return map_arrow(keyed.repartition("key").sortWithinPartitions("key", "a"), _bucket_edges, "a long, b long").distinct()
 
 
+def near(a: np.ndarray, b: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions ``i, j`` of all rows of ``a`` and ``b`` (signatures) that differ in at most ``distance`` symbols."""
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for k in range(0, len(a), TILE_ROWS):
+        apart = np.zeros((min(TILE_ROWS, len(a) - k), len(b)), np.uint16)
+        for symbol in range(a.shape[1]):
+            apart += a[k:k + TILE_ROWS, symbol, None] != b[None, :, symbol]
+        i, j = np.nonzero(apart <= distance)
+        found.append((i + k, j))
+    return np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])
+
+
+def joined(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest position that each of ``n`` positions is connected to by the links ``i, j``."""
+    label = np.arange(n)
+    while len(i):
+        x, y = label[i], label[j]
+        open_ = x != y
+        i, j, x, y = i[open_], j[open_], x[open_], y[open_]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while True:
+            short = label[label]
+            if (short == label).all():
+                break
+            label = short
+    return label
+
+
+def _near_tiles(batches, symbols: int, distance: int):
+    """Edges of tile pairs (ids, signatures, other ids, other signatures); without others, of one tile."""
+    def side(ids, signatures):
+        own = ids.values.to_numpy(zero_copy_only=False)
+        return own, np.frombuffer(b"".join(signatures.as_py()), "<u2").reshape(len(own), symbols)
+
+    for batch in batches:
+        for row in zip(*batch.columns, strict=True):
+            ids, a = side(row[0], row[1])
+            if row[2].is_valid:
+                others, b = side(row[2], row[3])
+                i, j = near(a, b, distance)
+                ids, j = np.concatenate([ids, others]), j + len(a)
+            else:
+                i, j = near(a, a, distance)
+            label = joined(len(ids), i, j)
+            on = np.flatnonzero(label != np.arange(len(ids)))
+            if len(on):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[on]), pa.array(ids[label[on]])], names=["a", "b"])
+
+
+def near_edges(classes: DataFrame, blobs: DataFrame, symbols: int = SYMBOLS, distance: int = DISTANCE, tile: int = TILE) -> DataFrame:
+    """Edges whose components are those of all pairs within ``distance`` inside blobs (``node, component``)."""
+    members = classes.select("class_id", "signature").join(
+        blobs.select(F.col("node").alias("class_id"), F.col("component").alias("blob")), "class_id")
+    sizes = members.groupBy("blob").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("nb"))
+    tiles = stage(members.join(sizes, "blob").groupBy("blob", F.expr("CAST(pmod(xxhash64(class_id), nb) AS INT)").alias("tile"))
+                  .agg(F.collect_list(F.struct("class_id", "signature")).alias("m"))
+                  .select("blob", "tile", F.col("m.class_id").alias("ids"), F.col("m.signature").alias("signatures")), "tiles")
+    pairs = tiles.select("blob", "tile").join(tiles.select("blob", F.col("tile").alias("tile2")), "blob").where("tile <= tile2")
+    other = tiles.select("blob", F.col("tile").alias("tile2"), F.col("ids").alias("ids2"), F.col("signatures").alias("signatures2"))
+    apart = F.expr("tile <> tile2")
+    rows = pairs.join(tiles, ["blob", "tile"]).join(other, ["blob", "tile2"]).select(
+        "ids", "signatures", F.when(apart, F.col("ids2")).alias("ids2"), F.when(apart, F.col("signatures2")).alias("signatures2"))
+    return map_arrow(rows, partial(_near_tiles, symbols=symbols, distance=distance), "a long, b long")
+
+
 def confirm(ids: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray], link: int = LINK) -> list[tuple[int, int]]:
     """A spanning forest of the links between two blocks' members (or inside one block)."""
     n = len(ids)
@@ -244,6 +318,8 @@ def _confirm_groups(batches, link: int = LINK):
                 if len(ids) > 1:
                     yield flush()
                 key, ids, blocks, sets = (blob, i, k), [], [], []
+            if ids and ids[-1] == own:  # a repeated row
+                continue
             ids.append(own)
             blocks.append(block)
             sets.append(np.frombuffer(raw, "<u8"))
@@ -253,11 +329,13 @@ def _confirm_groups(batches, link: int = LINK):
 
 def confirmed_links(docs: DataFrame, classes: DataFrame, blobs: DataFrame, link: int = LINK) -> DataFrame:
     """Edges whose components are those of all confirmed links inside blobs."""
-    members = classes.select("class_id", "n_shingles").join(blobs.select(F.col("node").alias("class_id"), F.col("component").alias("blob")), "class_id")
+    members = classes.select("class_id", "n_shingles", "rep").join(blobs.select(F.col("node").alias("class_id"), F.col("component").alias("blob")), "class_id")
     sizes = members.groupBy("blob").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("nb"))
+    # one row of each class: of its least doc_id, the text of least hash
     placed = members.join(sizes, "blob").select(
-        F.col("class_id").alias("doc_id"), "blob", "nb", F.expr("CAST(pmod(xxhash64(class_id), nb) AS INT)").alias("block"))
+        F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_hash").alias("text_hash"), "class_id", "blob", "nb",
+        F.expr("CAST(pmod(xxhash64(class_id), nb) AS INT)").alias("block"))
 
     def sets(batches):
         for batch in batches:
@@ -267,25 +345,41 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, blobs: DataFrame, link:
                      pa.array([s.astype("<u8").tobytes() for s in shingle_sets(data, offsets)], pa.binary())],
                     names=["class_id", "blob", "nb", "block", "shingles"])
 
-    rows = map_arrow(_texts(docs).join(placed, "doc_id").select("doc_id", "blob", "nb", "block", "text"), sets,
+    texts = _texts(docs).join(placed, F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.xxhash64("text") == F.col("text_hash")))
+    rows = map_arrow(texts.select("class_id", "blob", "nb", "block", "text"), sets,
                      "class_id long, blob long, nb int, block int, shingles binary")
     paired = (rows.withColumn("other", F.explode(F.expr("sequence(0, nb - 1)")))
               .select("blob", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("k"), "block", "class_id", "shingles"))
-    return map_arrow(paired.repartition("blob", "i", "k").sortWithinPartitions("blob", "i", "k"), partial(_confirm_groups, link=link), "a long, b long")
+    return map_arrow(paired.repartition("blob", "i", "k").sortWithinPartitions("blob", "i", "k", "class_id"), partial(_confirm_groups, link=link), "a long, b long")
 
 
 def op4_near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept, text_hash`` of every document."""
-    symbols, _, chunks = layout(link)
+    """``doc_id, n_shingles, component_id, kept, text_hash, node`` of every document.
+
+    ``node`` is the component, numbered also where it has no id; null for the empty set.
+    """
+    symbols, distance, chunks = layout(link)
     signed = stage(sign(docs, symbols), "signed")
-    classes = stage(signed.where("n_shingles > 0").groupBy("n_shingles", "h1", "h2")
-                    .agg(F.min("doc_id").alias("class_id"), F.first("signature").alias("signature"))
-                    .where("class_id IS NOT NULL"), "classes")
-    blobs = components(candidate_edges(classes, symbols, chunks))
-    links = components(confirmed_links(docs, classes, blobs, link))
+    found = stage(signed.where("n_shingles > 0").groupBy("n_shingles", "h1", "h2")
+                  .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")).alias("rep"), F.first("signature").alias("signature")),
+                  "found")
+    shared = (found.groupBy(F.col("rep.doc_id").alias("shared_id")).agg(F.count(F.lit(1)).alias("n"), F.min("rep.text_hash").alias("least"))
+              .where("n > 1 AND shared_id IS NOT NULL").drop("n"))
+    own = F.when(F.col("least").isNull() | (F.col("least") == F.col("rep.text_hash")), F.col("rep.doc_id"))
+    number = F.coalesce(own, F.lit(NO_ID) + F.pmod(F.xxhash64("n_shingles", "h1", "h2"), F.lit(1 << 61)))
+    classes = stage(found.join(shared, F.col("rep.doc_id") == F.col("shared_id"), "left").withColumn("class_id", number).drop("shared_id", "least"), "classes")
+    blobs = stage(components(candidate_edges(classes, symbols, chunks)), "blobs")
+    close = components(near_edges(classes, blobs, symbols, distance))
     # rows of one doc_id with different texts are one document
-    own = (signed.join(classes.drop("signature"), ["n_shingles", "h1", "h2"], "left")
-           .join(links.select(F.col("node").alias("class_id"), "component"), "class_id", "left")
-           .select("doc_id", "n_shingles", F.coalesce("component", "class_id", "doc_id").alias("component_id"), "text_hash"))
-    return own.select("doc_id", "n_shingles", "component_id",
-                      F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"), "text_hash")
+    numbered = signed.join(classes.select("n_shingles", "h1", "h2", "class_id"), ["n_shingles", "h1", "h2"], "left")
+    of_class = stage(numbered.where("doc_id IS NOT NULL AND class_id IS NOT NULL").select("doc_id", "class_id").distinct(), "of_class")
+    least = of_class.groupBy("doc_id").agg(F.min("class_id").alias("b"), F.max("class_id").alias("last")).where("b <> last")
+    same = of_class.join(least, "doc_id").select(F.col("class_id").alias("a"), "b")
+    links = stage(components(confirmed_links(docs, classes, close, link).union(same)), "links").withColumnRenamed("node", "class_id")
+    with_words = numbered.where("n_shingles > 0").join(links, "class_id", "left").withColumn("node", F.coalesce("component", "class_id"))
+    by_doc = of_class.join(links, "class_id", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "class_id")).alias("node"))
+    columns = ["doc_id", "n_shingles", "text_hash", "node"]
+    out = with_words.select(columns).union(signed.where("n_shingles = 0").join(by_doc, "doc_id", "left").select(columns))
+    component = F.when(F.col("node").isNull(), F.col("doc_id")).when(F.col("node") < NO_ID, F.col("node"))
+    return out.withColumn("component_id", component).select(
+        "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"), "text_hash", "node")

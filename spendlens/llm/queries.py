@@ -56,7 +56,7 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op4_near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+    return op4_near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash", "node")
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,23 +15,42 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); a scratch one only if unset."""
+    """The cluster's shared folder (``spark.checkpoint.dir``); a scratch one on a local master only."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="spendlens-shared-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh Parquet table in the shared folder and read it back.
 
-    It cuts the lineage: a lost executor costs a re-read, not a recomputation.
+    It cuts the lineage: a lost executor costs a re-read, not a recomputation. The table is
+    deleted when the application ends (results are lazy and may read it until then), or by
+    ``unstage``.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    files, folder = _folder(spark, path)
+    files.deleteOnExit(folder)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete a staged table that no later plan reads (its successor is staged)."""
+    files, folder = _folder(df.sparkSession, df.staged_path)
+    files.delete(folder, True)
 
 
 _SHIPPED: set[str] = set()
@@ -118,3 +137,21 @@ def rows_of(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id and text (by hash) stand in ``verdicts``; nulls match."""
     v = verdicts.select(F.col("doc_id").alias("_v_id"), F.col("text_hash").alias("_v_hash"))
     return docs.join(v, docs["doc_id"].cast("long").eqNullSafe(v["_v_id"]) & (F.xxhash64(docs["text"]) == v["_v_hash"]), "left_semi")
+
+
+def one_of_each(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each component of ``verdicts`` (``doc_id, text_hash, node``): of the least doc_id.
+
+    Rows without a component (``node`` null) are one a doc_id; without either, one a text.
+    Of rows that repeat a doc_id and text the least stays; they are reduced in each task first.
+    """
+    alone = F.col("node").isNull()
+    counted = verdicts.groupBy("node", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    chosen = (counted.groupBy("node", F.when(alone, F.col("doc_id")).alias("own"), F.when(alone & F.col("doc_id").isNull(), F.col("text_hash")).alias("text"))
+              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash", "n")).alias("c")).select("c.*"))
+    chosen = stage(chosen, "chosen")
+    out, several = rows_of(docs, chosen.where("n = 1")), chosen.where("n > 1")
+    if several.isEmpty():
+        return out
+    rows = rows_of(docs, several).select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("_row"))
+    return out.union(rows.groupBy("_id", "_hash").agg(F.min("_row").alias("_row")).select("_row.*"))

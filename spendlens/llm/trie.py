@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import map_arrow, stage
+from .shared import map_arrow, stage, unstage
 
 CHUNK, BUCKETS, SHORT = 4096, 1024, 1 << 20
 #: Digits of a position: prefix sums are taken by the last 16 bits, then the 16 before, then the rest.
@@ -181,7 +181,8 @@ def ranked(arcs: DataFrame, short: int = SHORT) -> DataFrame:
         further = now.select(F.col("c").alias("nc"), F.col("a").alias("na"), F.col("nc").alias("nc2"), F.col("na").alias("na2"), F.col("w").alias("w2"))
         moved = now.where("nc IS NOT NULL").join(further, ["nc", "na"]).select(
             "c", "a", F.col("nc2").alias("nc"), F.col("na2").alias("na"), (F.col("w") + F.col("w2")).alias("w"))
-        now = stage(now.where("nc IS NULL").union(moved), "arcs")
+        last, now = now, stage(now.where("nc IS NULL").union(moved), "arcs")
+        unstage(last)
     dist = now.select("c", "a", F.col("w").alias("dist"))
     for gone in reversed(removed):
         back = gone.where("nc IS NOT NULL").join(dist.select(F.col("c").alias("nc"), F.col("a").alias("na"), "dist"), ["nc", "na"]).select(

@@ -121,5 +121,49 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_repeated_and_null_ids(spark):
+    a, b, c = (prose(k, 60) for k in (41, 42, 43))
+    rows = [(3, a), (5, a), (5, b), (7, b), (7, b), (9, c), (9, ""), (9, None), (12, c + " end"), (None, c), (None, prose(44, 50)), (None, prose(44, 50) + " more"),
+            (20, prose(45, 40)), (20, prose(46, 40)), (21, prose(46, 40)), (30, "one"), (30, "two"), (31, "two")]
+    check(spark, rows)
+    got = neardup.op4_near_duplicates(frame(spark, rows)).collect()
+    assert {r.component_id for r in got if r.doc_id in (3, 5, 7)} == {3}
+    assert {r.component_id for r in got if r.doc_id in (20, 21)} == {20} and {r.component_id for r in got if r.doc_id == 31} == {30}
+    nulls = sorted((r.n_shingles, r.component_id, r.kept) for r in got if r.doc_id is None)
+    assert nulls == [(46, None, True), (47, None, True), (56, 9, False)]
+    assert len({r.node for r in got if r.doc_id is None and r.component_id is None}) == 1
+
+
+def test_documents_of_one_template_are_no_links(spark):
+    template = prose(70, 100).split()
+    r = random.Random(7)
+    rows = []
+    for k in range(300):  # half of the words are the document's own, in runs
+        words = list(template)
+        for at in range(0, 100, 20):
+            words[at:at + 7] = [f"w{r.random()}" for _ in range(7)]
+        rows.append((k, " ".join(words)))
+    rows += [(1000 + k, rows[k][1] + " end") for k in range(0, 300, 60)]
+    docs = frame(spark, rows)
+    signed = neardup.sign(docs).collect()
+    sig = {s.doc_id: np.frombuffer(s.signature, "<u2") for s in signed}
+    classes = spark.createDataFrame([(s.doc_id, s.signature) for s in signed], "class_id long, signature binary")
+    blobs = components(neardup.candidate_edges(classes))
+    assert blobs.count() > 100  # buckets of the template's symbols hold documents that are far apart
+    for tile in (2048, 16):
+        edges = neardup.near_edges(classes, blobs, tile=tile)
+        got = {frozenset((e.a, e.b)) for e in edges.collect()}
+        assert got == {frozenset((k, 1000 + k)) for k in range(0, 300, 60)}
+        assert all((sig[x] != sig[y]).sum() <= neardup.DISTANCE for x, y in map(tuple, got))
+
+
+def test_tiles_give_all_near_pairs():
+    r = np.random.default_rng(3)
+    a = r.integers(0, 3, (150, 64)).astype(np.uint16)
+    b = np.concatenate([a[:70] ^ (r.random((70, 64)) < 0.3), r.integers(0, 9, (40, 64))]).astype(np.uint16)
+    i, j = neardup.near(a, b, 22)
+    assert set(zip(i.tolist(), j.tolist())) == {(x, y) for x in range(150) for y in range(110) if (a[x] != b[y]).sum() <= 22}
+
+
 def test_empty_table(spark):
     assert neardup.op4_near_duplicates(frame(spark, [])).collect() == []

@@ -1,4 +1,7 @@
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import public_tokenizers
 import pytest
@@ -8,6 +11,7 @@ from docs import prose
 from spendlens.llm.shared import stage
 from test_langid import LANGS
 
+ROOT = Path(__file__).resolve().parents[2]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -88,6 +92,44 @@ def test_run_packs_what_the_stages_keep(spark, folder):
     assert {r.doc_id for r in got} & {*range(200, 206), 300, 400, 401, 402, 500, 501, 502} == set()
 
 
+def test_one_row_of_each_group_stays(spark):
+    a, b, c = (prose(k, 60) for k in (31, 32, 33))
+    rows = [(1, a), (1, a), (2, a), (None, a), (None, a), (None, b), (None, b), (None, b), (5, c), (5, c + " end"), (6, c), (7, None), (7, None), (8, " "), (None, ""), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", f"s{k}", len(t or "")) for k, (i, t) in enumerate(rows)], SCHEMA)
+    got = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    ids = sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in got.collect())
+    kept_c = [t for _, i, t in ids if i == 5]
+    assert len(kept_c) == 1 and kept_c[0].startswith(c)
+    assert [(n, i) for n, i, _ in ids] == [(False, 1), (False, 5), (False, 7), (False, 8), (True, 0), (True, 0)]
+    assert [t for n, _, t in ids if n] == sorted(["", b])
+
+
+def test_documents_left_blank_go(spark):
+    note = prose(40, 30)
+    rows = [(1, note + "\n" + prose(50, 5)), (2, note), (3, " \n" + note + "\n "), (4, prose(41, 40)), (5, None), (6, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], SCHEMA)
+    got = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs, "").collect()}
+    assert got == {1: note + "\n" + prose(50, 5), 4: prose(41, 40), 5: None, 6: ""} or got[1].startswith(note)
+    assert 4 in got and got[5] is None and got[6] == "" and all(t is None or t.strip() or i == 6 for i, t in got.items())
+
+
+def test_staged_tables_go_with_the_application(tmp_path):
+    code = f"""
+import sys; sys.path.insert(0, {str(ROOT)!r})
+from spendlens.session import local_session
+from spendlens.llm.graph import components
+spark = local_session(2, 2, extra={{"spark.checkpoint.dir": {str(tmp_path)!r}}})
+out = components(spark.createDataFrame([(k, k + 1) for k in range(40)], "a long, b long"))
+assert {{r.component for r in out.collect()}} == {{0}}
+import os
+assert len([n for n in os.listdir({str(tmp_path)!r}) if n.startswith("llm-")]) == 1  # earlier rounds are gone already
+spark.stop()
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=300)
+    assert not list(tmp_path.glob("llm-*"))
+
+
 def test_every_operator_has_a_query():
     from spendlens.llm.queries import QUERIES
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
