@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -25,6 +26,11 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: Staged tables after which the driver collects garbage, and with it the shuffles before them.
+COLLECT_EVERY = 6
+_staged = 0
+
+
 def _folder(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
@@ -35,13 +41,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     It cuts the lineage: a lost executor costs a re-read, not a recomputation. The table is
     deleted when the application ends (results are lazy and may read it until then), or by
-    ``unstage``.
+    ``unstage``. Spark deletes the shuffle files behind it once the driver has collected
+    its garbage, which is asked for now and then.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
     files, folder = _folder(spark, path)
     files.deleteOnExit(folder)
-    df.write.parquet(path)
+    global _staged
+    _staged += 1
+    if _staged % COLLECT_EVERY == 0:
+        gc.collect()
+        spark._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
     return out
