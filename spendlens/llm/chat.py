@@ -12,7 +12,7 @@ a control string; ``read_back`` undoes it. Roles are URL-encoded. ``loss_spans``
 a model learns from: the assistant's texts, as code-point spans in their turn's piece of
 the output.
 
-Defined results: null texts and roles count as empty; a parent that does not exist makes a
+Defined results: null turns come first; null texts and roles count as empty; a parent that does not exist makes a
 root; messages in a cycle have no root and so no path; repeated ids of one tree keep the
 smallest row; rows of a null conversation id form one conversation; an empty table gives
 no rows. Extra columns are ignored.

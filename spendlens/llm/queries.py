@@ -173,8 +173,8 @@ WITH rows AS (
   SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
 said AS (
   SELECT conv_id, count(*) AS n_turns,
-         sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
-         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+         sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
          -- marker, role, separator, escaped text, end of turn
          sum(4 + length(role) + 2
              + length(replace(replace(replace(text, '\', '\\'), '##', '#\#'), '</turn>', '<\/turn>')) + 8) AS formatted_chars
