@@ -615,4 +615,5 @@ ORACLE_SQL: dict[str, str] = {
     "report_campaign_catalog": REPORT_CAMPAIGN,
     "report_multi_fact": REPORT_MULTI_FACT,
     "report_multi_fact_week": REPORT_MULTI_FACT_WEEK,
+    "report_multi_fact_bucketed": REPORT_MULTI_FACT_WEEK,
 }

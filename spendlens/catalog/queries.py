@@ -24,6 +24,7 @@ from ..operators.history import current_only, latest_by
 from ..operators.pivot import pivot_metrics
 from ..operators.shape import build_report
 from ..operators.sync import attach_sync, run_time_literal, sync_info
+from ..plans.compact import store_facts
 from ..plans.reports import BUILDERS, multi_fact_api
 from ..plans.runner import build
 from ..sinks.tables import ensure_schema, replace_table, republish
@@ -461,6 +462,16 @@ def report_campaign_catalog(spark, sf_dir):
     return build(spark, "campaign", spec)
 
 
+def report_multi_fact_bucketed(spark, sf_dir):
+    """The multi-fact report over its facts stored at their grain, bucketed by ad."""
+    schema = f"spendlens_facts_{uuid.uuid4().hex[:12]}"
+    ensure_schema(spark, schema, "daily facts of the multi-fact report")
+    sources = spark_sources(spark, sf_dir, "multi_fact_week")
+    names = store_facts(spark, loader(spark, "", sources), schema, 8, timezone=REPORT_SPECS["multi_fact_week"].timezone)
+    stored = {name.split(".")[-1].strip("`"): spark.table(name) for name in names}
+    return BUILDERS["multi_fact"](REPORT_SPECS["multi_fact_week"], loader(spark, "", {**sources, **stored}))
+
+
 # ---- whole reports (R1-R5) -----------------------------------------------------------
 def _report(kind: str) -> Query:
     def run(spark, sf_dir):
@@ -500,6 +511,7 @@ QUERIES: dict[str, Query] = {
     "publish_round_trip": publish_round_trip,
     "published_schema": published_schema,
     "report_campaign_catalog": report_campaign_catalog,
+    "report_multi_fact_bucketed": report_multi_fact_bucketed,
     "report_platform": _report("platform"),
     "report_campaign": _report("campaign"),
     "report_ad_group": _report("ad_group"),

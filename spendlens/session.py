@@ -19,6 +19,10 @@ DEFAULTS = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
 }
 
+# Facts bucketed by a part of their join keys (plans/compact.py) are joined without an exchange
+# only if Spark accepts a partitioning by some of the keys. Set it for runs over such tables.
+BUCKETED_FACTS = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "spendlens", warehouse: str | None = None,

@@ -1,0 +1,96 @@
+"""Facts stored at their grain and bucketed by ad: the same report, and no exchange before the stitched rows."""
+
+import datetime as dt
+import uuid
+from dataclasses import replace
+
+import pytest
+from conftest import plan_text, rows
+from pyspark.sql import functions as F
+from spendlens.catalog.specs import REPORT_SPECS
+from spendlens.catalog.standins import spark_sources
+from spendlens.operators.weighted import stitch_sums
+from spendlens.plans import bucket_count, compact_facts, multi_fact_report, store_facts
+from spendlens.plans.reports import CHAIN_FACTS, FACT_KEYS, MULTI_FACT, PAGE_EVENT, SPINE_MEASURES, _multi_facts
+from spendlens.session import BUCKETED_FACTS
+from spendlens.sinks import ensure_schema
+from spendlens.sources import loader
+
+SF = "/root/testdata/sf0.001"
+SPEC = REPORT_SPECS["multi_fact_week"]
+
+
+@pytest.fixture(scope="module")
+def stored(spark):
+    """The stand-in facts, stored: their schema, and a loader of them beside the histories."""
+    schema = f"facts_{uuid.uuid4().hex[:8]}"
+    ensure_schema(spark, schema, "facts")
+    sources = spark_sources(spark, SF, "multi_fact_week")
+    names = store_facts(spark, loader(spark, "", sources), schema, 8, timezone=SPEC.timezone)
+    own = {n.split(".")[-1].strip("`"): spark.table(n) for n in names}
+    assert set(own) == {MULTI_FACT, PAGE_EVENT[0], *(n for n, _ in CHAIN_FACTS)}
+    return schema, sources, loader(spark, "", {**sources, **own})
+
+
+def test_reports_over_stored_facts_equal_those_over_the_sources(spark, stored):
+    _, sources, load = stored
+    for spec in (SPEC, replace(SPEC, factorise=False)):
+        assert rows(multi_fact_report(spec, load)) == rows(multi_fact_report(spec, loader(spark, "", sources)))
+
+
+def test_no_exchange_between_the_scans_and_the_stitched_rows(spark, stored):
+    _, sources, load = stored
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", **BUCKETED_FACTS}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+
+    def stitched(load):
+        metrics, _, page, chain = _multi_facts(SPEC, load, MULTI_FACT, frozenset({"cost"}))
+        return plan_text(stitch_sums(metrics, page, chain, [m for m in SPINE_MEASURES if m in metrics.columns]))
+
+    def exchanges(load):  # of the literal joins, dimensions and regroup included
+        return plan_text(multi_fact_report(replace(SPEC, factorise=False), load)).count("Exchange hashpartitioning")
+
+    try:
+        raw = loader(spark, "", sources)
+        bucketed = stitched(load)
+        assert "Exchange" not in bucketed and bucketed.count("Bucketed: true") == 6
+        assert stitched(raw).count("Exchange hashpartitioning") >= 6
+        assert exchanges(load) <= exchanges(raw) - 10
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_later_loads_are_added_and_buckets_hold_one_file_each(spark, stored):
+    schema, sources, _ = stored
+    load = loader(spark, "", sources)
+    store_facts(spark, load, schema, 8, timezone=SPEC.timezone, append=True)
+    twice = loader(spark, "", {n: sources[n].union(sources[n]) for n in sources if "history" not in n} | {n: sources[n] for n in sources if "history" in n})
+    own = {n: spark.table(f"{schema}.{n}") for n in (MULTI_FACT, PAGE_EVENT[0], *(n for n, _ in CHAIN_FACTS))}
+    assert rows(multi_fact_report(SPEC, loader(spark, "", {**sources, **own}))) == rows(multi_fact_report(SPEC, twice))
+    assert own[MULTI_FACT].select(F.input_file_name()).distinct().count() <= 16
+    with pytest.raises(Exception, match="already exists"):
+        store_facts(spark, load, schema, 8)
+
+
+def test_a_hot_ad_is_one_row_a_day_and_group_and_products_keep_their_factor(spark):
+    day = dt.datetime(2024, 1, 1, 5)
+    page = [(day, 1, "g", k % 7, [2, 3, None][k % 3], *([1] * len(PAGE_EVENT[1]))) for k in range(3000)]
+    kind = "stat_time_day timestamp_ntz, ad_id bigint, _gn_id string"
+    sources = {PAGE_EVENT[0]: spark.createDataFrame(page, kind + ", complete_payment bigint, value_per_complete_payment bigint, "
+                                                    + ", ".join(f"{c} bigint" for c in PAGE_EVENT[1]))}
+    empty = spark.createDataFrame([], kind)
+    for name, measures in [(MULTI_FACT, ("spend", "clicks", "real_time_conversion", "impressions", "conversion", "result", "real_time_result")), *CHAIN_FACTS]:
+        sources[name] = empty.select("*", *(F.lit(1).cast("bigint").alias(m) for m in measures), F.col("stat_time_day").alias("_fivetran_synced"))
+    facts = compact_facts(loader(spark, "", sources))
+    got = facts[PAGE_EVENT[0]]
+    assert got.count() == 3 and set(FACT_KEYS) < set(got.columns)
+    worth = F.sum(F.col("complete_payment") * F.col("value_per_complete_payment"))
+    assert got.agg(worth).first() == sources[PAGE_EVENT[0]].agg(worth).first()
+    assert all(facts[n].count() == 0 for n in facts if n != PAGE_EVENT[0])
+
+
+def test_bucket_count():
+    assert [bucket_count(b) for b in (0, 1 << 30, 9 << 27, 10 << 40)] == [8, 8, 16, 1 << 17]
