@@ -1,6 +1,5 @@
 import random
 
-import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
@@ -25,14 +24,17 @@ def test_random_edits_equal_a_full_count():
                   "text": r.choice([None, "", "x", " ", "<email>", "\n\n  a", "中"])} for _ in range(r.randint(0, 8))]
         use = counts.usable_edits(edits, len(text))
         raw = text.encode()
-        ends = counts.segment_ends(np.frombuffer(raw, np.uint8)).tolist()
-        tree = counts.SegmentTree([raw[a:b] for a, b in zip([0, *ends[:-1]], ends)], e)
+        tree = counts.SegmentTree(raw, e)
         assert tree.total == len(library.encode(text, add_special_tokens=False).ids)
         for a, b, new in reversed(use):
             tree.replace(len(text[:a].encode()), len(text[:b].encode()), new.encode())
         new = apply(text, use)
         assert b"".join(tree.parts) == new.encode()
         assert tree.total == len(library.encode(new, add_special_tokens=False).ids)
+        kept = tree.leaves()
+        assert 0 not in kept[0] and sum(kept[0]) == len(new.encode()) and sum(kept[1]) == tree.total
+        again = counts.SegmentTree(new.encode(), e, kept)
+        assert again.total == tree.total and again.encoded == 0
 
 
 def test_only_regions_near_edits_are_encoded_anew(spark):
@@ -62,5 +64,37 @@ def test_edge_documents_and_edits(spark):
     assert sorted(((r.doc_id, r.tokens_before, r.n_edits, r.tokens_after) for r in got), key=key) == sorted(want, key=key)
 
 
+def test_kept_trees_take_edit_after_edit_and_only_touched_regions_are_encoded(spark, tmp_path):
+    library, r = Tokenizer.from_file(PATH), random.Random(9)
+    texts = {i: prose(i, 30_000) for i in range(4)} | {4: "", 5: "short 中文 text"}
+    counts.segment_trees(frame(spark, list(texts.items())), PATH).write.parquet(str(tmp_path / "0"))
+    for turn in range(3):
+        edits = {i: [(a := r.randint(0, len(t)), a + r.choice([0, 5, 60]), r.choice(["", " a new word", "中" * 9, prose(50 + turn, 3000)]))]
+                 for i, t in texts.items()}
+        rows = spark.createDataFrame(list(edits.items()), f"doc_id long, edits {counts.EDITS}")
+        trees = spark.read.parquet(str(tmp_path / str(turn))).select("doc_id", "text", "sizes", "counts")
+        counts.edit_trees(trees.join(rows, "doc_id"), PATH).write.parquet(str(tmp_path / str(turn + 1)))
+        for row in spark.read.parquet(str(tmp_path / str(turn + 1))).collect():
+            old, use = texts[row.doc_id], counts.usable_edits([{"start": a, "stop": b, "text": t} for a, b, t in edits[row.doc_id]], len(texts[row.doc_id]))
+            texts[row.doc_id] = apply(old, use)
+            assert row.text == texts[row.doc_id]
+            assert row.tokens_before == len(library.encode(old, add_special_tokens=False).ids)
+            assert row.tokens_after == sum(row.counts) == len(library.encode(row.text, add_special_tokens=False).ids)
+            assert row.bytes_encoded < 2 * sum(len(t.encode()) for _, _, t in use) + 4 * counts.SEGMENT
+
+
+def test_trees_that_do_not_fit_are_built_anew_and_other_columns_come_along(spark):
+    text = prose(3, 2000)
+    rows = spark.createDataFrame([(1, text, None, None, None), (2, text, [5], [1], None), (3, text, [len(text.encode()) + 1, -1], [1, 1], None),
+                                  (4, text, [len(text.encode())], None, None), (5, None, [], [], [(0, 0, "new")])],
+                                 f"doc_id long, text string, {counts.TREE}, edits {counts.EDITS}")
+    want = len(Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids)
+    got = {r.doc_id: r for r in counts.edit_trees(rows, PATH).collect()}
+    assert all(got[i].tokens_after == want and got[i].bytes_encoded == len(text.encode()) for i in (1, 2, 3, 4))
+    assert (got[5].text, got[5].tokens_before, got[5].tokens_after, got[5].bytes_encoded) == ("new", 0, 1, 3)
+    more = counts.segment_trees(frame(spark, [(1, "a b"), (None, None)]).selectExpr("*", "'x' AS `odd name`"), PATH, ("odd name",))
+    assert more.columns == ["doc_id", "text", "sizes", "counts", "odd name"] and {r["odd name"] for r in more.collect()} == {"x"}
+
+
 def test_empty_table(spark):
     assert counts.op8_counts(frame(spark, []), PATH).collect() == []
