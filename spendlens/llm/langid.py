@@ -11,11 +11,14 @@ so a text costs one table look-up per gram and language.
 Defined results: a null text, or one without a letter, is ``und`` with score 0 and
 rejected; a text whose letters give no gram gets the most frequent language's bias;
 without any labelled row every document is ``und``. Rows with a null label, text or
-doc_id are not learned from; repeated rows are judged each. Extra columns are ignored.
+doc_id are not learned from; of rows that repeat an id and label one is learned from, and
+each is judged. The pipeline's stage (``known_language``) judges alike, but without any
+labelled row it keeps every text with a letter. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -115,13 +118,13 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-_BAGS = pa.schema([("h", pa.int64()), ("lang", pa.string()), ("buckets", pa.binary()), ("counts", pa.binary())])
+_BAGS = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("lang", pa.string()), ("buckets", pa.binary()), ("counts", pa.binary())])
 
 
 def _bags(batches):
     """Gram counts of each training text, at most BUCKETS numbers a text."""
     for batch in batches:
-        h, lang = batch.column(0), batch.column(1)
+        ids, h, lang = batch.column(0), batch.column(1), batch.column(2)
         for i, j, data, offsets in text_parts(batch, "text"):
             keys, counts = [], []
             parts = grams(data, offsets)
@@ -130,12 +133,15 @@ def _bags(batches):
                 u, c = np.unique(both, return_counts=True)
                 keys.append(u.astype("<u2").tobytes())
                 counts.append(c.astype("<u4").tobytes())
-            yield arrow_rows(_BAGS, h=h.slice(i, j - i), lang=lang.slice(i, j - i), buckets=keys, counts=counts)
+            yield arrow_rows(_BAGS, doc_id=ids.slice(i, j - i), h=h.slice(i, j - i), lang=lang.slice(i, j - i), buckets=keys, counts=counts)
 
 
-def train(docs: DataFrame, per_language: int = 1_000, most_rows: int = 20_000, dimension: int = 16,
+def train(docs: DataFrame, per_language: int = 1_000, most_rows: int = 20_000, most_labels: int = 256, dimension: int = 16,
           epochs: int = 6, rate: float = 0.3, error: float = 0.01, seed: int = 7) -> Model | None:
-    """Fit on about ``per_language`` rows of each label (``most_rows`` in all).
+    """Fit on about ``per_language`` rows of each label (``most_rows`` in all), one of each doc_id and label.
+
+    Of the labels the ``most_labels`` with most rows in the sample are learned, which bounds
+    the model (``BUCKETS`` numbers a label) where dirty labels abound.
 
     A label's rows are dealt into 16 parts by hash and each part gives its smallest ones, so
     a label that most rows carry is not ranked in one task.
@@ -148,12 +154,17 @@ def train(docs: DataFrame, per_language: int = 1_000, most_rows: int = 20_000, d
               .select(h.alias("h"), "doc_id", F.col("lang").cast("string").alias("lang"))
               .withColumn("part", F.pmod(F.xxhash64("h"), F.lit(16)))
               .withColumn("r", F.row_number().over(ranks)).where(F.col("r") <= -(-per_language // 16))
-              .orderBy("r", "lang").limit(most_rows).select("doc_id").distinct())
-    sample = (docs.join(F.broadcast(chosen), "doc_id", "left_semi").where("lang IS NOT NULL AND text IS NOT NULL")
-              .select(h.alias("h"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")))
-    rows = map_arrow(sample, _bags, "h long, lang string, buckets binary, counts binary").collect()
+              .orderBy("r", "lang", "h", "doc_id").limit(most_rows).select("doc_id", "lang").distinct())
+    sample = (docs.where("lang IS NOT NULL AND text IS NOT NULL")
+              .select("doc_id", h.alias("h"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+              .join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select(F.col("doc_id").cast("long").alias("doc_id"), "h", "lang", "text"))
+    # of rows that repeat an id and label one bag leaves each task, and one stays
+    rows = (map_arrow(sample, _bags, "doc_id long, h long, lang string, buckets binary, counts binary")
+            .groupBy("doc_id", "h", "lang").agg(F.min(F.struct("buckets", "counts")).alias("bag")).select("h", "lang", "bag.*").collect())
     rows = sorted((r["h"], r["lang"], bytes(r["buckets"]), bytes(r["counts"])) for r in rows)[:most_rows]
-    bags = [(np.frombuffer(b, "<u2"), np.frombuffer(c, "<u4"), lang) for _, lang, b, c in rows if b]
+    often = Counter(r[1] for r in rows if r[2])
+    learned = set(sorted(often, key=lambda k: (-often[k], k))[:most_labels])
+    bags = [(np.frombuffer(b, "<u2"), np.frombuffer(c, "<u4"), lang) for _, lang, b, c in rows if b and lang in learned]
     return fit(bags, dimension, epochs, rate, error, seed) if bags else None
 
 

@@ -49,6 +49,49 @@ def test_no_labels_and_empty_table(spark):
     assert langid.language_of(frame(spark, [])).collect() == []
 
 
+def test_scores_equal_the_plain_sum_over_grams(spark):
+    rows = corpus(60)
+    model = langid.train(frame(spark, rows))
+    texts = [t for _, t, _ in rows[:12]] + [t for _, t, *_ in EDGE if t and len(t) < 5000] + ["Ün-Ка lo!", "ka1lo\nmi", "x"]
+    got = {r.doc_id: r for r in langid.op5_language(frame(spark, list(enumerate(texts))), model).collect()}
+    for i, text in enumerate(texts):
+        # words: runs of letters and bytes over 127, A-Z lower-cased; a gram is 3 or 4 bytes of " word "
+        b = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in text.encode())
+        total, n = [0.0] * len(model.languages), 0
+        for size in (3, 4):
+            for at in range(len(b) - size + 1):
+                g = b[at:at + size]
+                if 32 in g[1:-1] or (g[0] == 32 and g[-1] == 32):
+                    continue
+                key = size
+                for c in g:
+                    key = (key * 257 + c) % 2 ** 32
+                bucket = key * 2654435761 % 2 ** 32 >> 16
+                total = [t + model.table[k][bucket] for k, t in enumerate(total)]
+                n += 1
+        logits = np.array([t / max(n, 1) + model.bias[k] for k, t in enumerate(total)]) / model.temperature
+        p = np.exp(logits - logits.max())
+        p /= p.sum()
+        if any(map(str.isalpha, text)):
+            assert got[i].lang_pred == model.languages[p.argmax()] and abs(got[i].score - p.max()) < 1e-6
+            assert got[i].rejected == bool(p.max() < model.least) or abs(p.max() - model.least) < 1e-6
+        else:
+            assert (got[i].lang_pred, got[i].score, got[i].rejected) == ("und", 0.0, True)
+
+
+def test_the_sample_and_the_labels_are_bounded(spark, monkeypatch):
+    seen = []
+    real = langid.fit
+    monkeypatch.setattr(langid, "fit", lambda bags, *more: seen.append(bags) or real(bags, *more))
+    rows = corpus(60) + [(3, prose(k % 5, 9), "xx") for k in range(300)] + [(5000 + k, "ka lo", f"dirty {k}") for k in range(30)]
+    langid.train(frame(spark, rows))
+    assert len(seen[0]) <= 60 + 1 + 30  # id 3 occurs under two labels at most
+    model = langid.train(frame(spark, rows), most_labels=3)
+    assert model.languages == ["xx", "yy", "zz"] and len(seen[1]) <= 61
+    langid.train(frame(spark, rows), most_rows=10)
+    assert len(seen[2]) <= 10
+
+
 def test_known_language_keeps_whole_rows(spark):
     rows = corpus(60) + [(900, "12 !", "xx"), (901, None, "xx")]
     docs = frame(spark, rows)
