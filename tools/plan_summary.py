@@ -19,7 +19,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from spendlens.catalog.queries import QUERIES  # noqa: E402
-from spendlens.session import local_session  # noqa: E402
+from spendlens.session import BUCKETED_FACTS, local_session  # noqa: E402
 
 SETTINGS = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -47,7 +47,7 @@ def summarise(plan: str) -> dict:
         r"CartesianProduct)[^\n]*?(Inner|LeftOuter|LeftSemi|LeftAnti|FullOuter|Cross|RightOuter)",
         plan)]
     scans = []
-    for m in re.finditer(r"FileScan parquet \[([^\]]*)\][^\n]*?PushedFilters: (\[[^\]]*\])",
+    for m in re.finditer(r"FileScan parquet [\w.`]*\[([^\]]*)\][^\n]*?PushedFilters: (\[[^\]]*\])",
                          plan):
         cols = _strip_ids(m.group(1))
         scans.append((cols, _strip_ids(m.group(2))))
@@ -71,8 +71,13 @@ def main() -> None:
     for name, fn in QUERIES.items():
         if name == "publish_round_trip":
             continue  # its result is a table scan of what it wrote
+        own = BUCKETED_FACTS if name.endswith("_bucketed") else {}
+        for k, v in own.items():
+            spark.conf.set(k, v)
         df = fn(spark, sf_dir)
         s = summarise(plan_text(df))
+        for k in own:
+            spark.conf.unset(k)
         lines += [f"## {name}", "",
                   f"shuffles: {len(s['shuffles'])}, joins: {len(s['joins'])}, scans: "
                   f"{len(s['scans'])}, window limits: {s['window_limits']}, scalar subqueries: "
