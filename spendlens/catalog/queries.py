@@ -198,9 +198,9 @@ def star_join(spark, sf_dir):
         fact = fact.withColumn(f"__{k}_link", F.when(F.col(f"l_{k}key") % n != 0, F.col(f"l_{k}key")))
     orders, part, supplier = (_t(spark, sf_dir, t) for t in ("orders", "part", "supplier"))
     out = left_join(fact, orders, [("__order_link", "o_orderkey")],
-                    {"o_orderpriority": "o_orderpriority"})
-    out = left_join(out, part, [("__part_link", "p_partkey")], {"p_name": "p_name"})
-    out = left_join(out, supplier, [("__supp_link", "s_suppkey")], {"s_name": "s_name"})
+                    {"o_orderpriority": "o_orderpriority"}, spread_nulls=True)
+    out = left_join(out, part, [("__part_link", "p_partkey")], {"p_name": "p_name"}, spread_nulls=True)
+    out = left_join(out, supplier, [("__supp_link", "s_suppkey")], {"s_name": "s_name"}, spread_nulls=True)
     return out.select("l_orderkey", "l_partkey", "l_suppkey",
                       F.col("cost").cast("double").alias("cost"),
                       "o_orderpriority", "p_name", "s_name")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan_text
 from fixtures import platform_tables
+from spendlens.catalog.queries import star_join
 from spendlens.operators import latest_by, pivot_metrics
 from spendlens.plans import platform_report
 from spendlens.sources import loader
@@ -76,3 +77,27 @@ def test_latest_by_and_pivot_with_a_hot_key(spark, forced_skew):
     piv = pivot_metrics(hist, ["k"], "e", [("0", "zero"), ("1", "one")], {"s": F.col("v")})
     hot = piv.where("k = 0").first()
     assert hot.s_zero == sum(i for i in range(N) if i % 3 == 0 and i % 5 == 0)
+
+
+@pytest.mark.parametrize("big", ["orders", "part", "supplier"])
+def test_null_links_of_the_star_join_are_dealt_over_all_partitions(spark, tmp_path, big):
+    dims = {"orders": ("o_orderkey", "o_orderpriority", 5), "part": ("p_partkey", "p_name", 7), "supplier": ("s_suppkey", "s_name", 3)}
+    # every link is NULL (multiples of 5, 7 and 3); one dimension is too big to be broadcast
+    spark.range(4000).selectExpr("id * 105 AS l_orderkey", "id * 105 AS l_partkey", "id * 105 AS l_suppkey",
+                                 "1.5D AS l_extendedprice").write.parquet(f"{tmp_path}/lineitem.parquet")
+    for table, (key, name, _) in dims.items():
+        spark.range(20_000 if table == big else 1).selectExpr(f"id AS {key}", f"sha2(CAST(id AS STRING), 256) AS {name}").write.parquet(f"{tmp_path}/{table}.parquet")
+    forced = {"spark.sql.autoBroadcastJoinThreshold": "100k", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in forced}
+    try:
+        for k, v in forced.items():
+            spark.conf.set(k, v)
+        df = star_join(spark, str(tmp_path))
+        assert plan_text(df).count("SortMergeJoin") == 1
+        got = df.withColumn("at", F.spark_partition_id()).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sorted(r[:7] for r in got) == [(k * 105, k * 105, k * 105, 1.5, None, None, None) for k in range(4000)]
+    rows = [r.at for r in got]
+    assert len(set(rows)) > 1 and max(map(rows.count, set(rows))) < 2000
