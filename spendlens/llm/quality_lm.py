@@ -1,8 +1,8 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model.
 
 Symbols are the UTF-8 bytes of a text (white space as a space, digits as ``0``), n-grams
-have four of them. The model's counts come from trusted text, a bounded, documented sample
-of labelled rows; continuation counts and discounts of the lower orders follow from them.
+have four of them. The model's counts come from all trusted text (rows whose doc_id is
+labelled so); continuation counts and discounts of the lower orders follow from them.
 
 All documents' distinct n-grams are counted across the corpus and joined, sharded by key,
 with the count tables of every order; that gives each n-gram of the corpus its
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text_arrays as ta
-from .shared import labelled_bucket, map_arrow, stage, text_parts
+from .shared import map_arrow, stage, text_parts
 
 ORDER = 4
 HEAD_BITS = 20  # the head table has at most 2**HEAD_BITS n-grams
@@ -176,6 +176,18 @@ def log_probabilities(docs: DataFrame, model: KneserNey, bits: int = HEAD_BITS)
                     (F.col("lp") + F.coalesce(F.col("sent_lp") * F.col("tail") / F.col("sent"), F.lit(0.0))).alias("log_prob")))
 
 
+def _may_be_in(docs: DataFrame, ids: DataFrame, bits: int = 25) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is in ``ids``, and some others: a bitmap of ``2**bits``
+    hashes, a few MB at any size, keeps most other texts out of the shuffle of an exact join."""
+    h = 1 + F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << bits))
+    maps = (ids.select(h.alias("h")).groupBy(F.bitmap_bucket_number("h").alias("_bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("_bits")))
+    at = F.bitmap_bit_position(h).cast("int")
+    byte = F.conv(F.hex(F.substring("_bits", 1 + F.floor(at / 8).cast("int"), 1)), 16, 10).cast("int")
+    marked = byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) > 0
+    return docs.withColumn("_bucket", F.bitmap_bucket_number(h)).join(F.broadcast(maps), "_bucket").where(marked).select(docs.columns)
+
+
 def _quantiles(scores: DataFrame, quantile: float) -> DataFrame:
     """``lang, limit``: the quantile of ``x`` per language, from counts of 1/500 steps."""
     steps = scores.groupBy("lang", F.floor(F.col("x") * 500).alias("step")).agg(F.count(F.lit(1)).alias("n"))
@@ -185,19 +197,19 @@ def _quantiles(scores: DataFrame, quantile: float) -> DataFrame:
             .groupBy("lang").agg(((F.min("step") + 1) / 500).alias("limit")))
 
 
-def op9_quality(docs: DataFrame, labels: DataFrame, most_trusted: int = 20_000, quantile: float = 0.99,
-                margin: float = 0.1, prior: int = 200) -> DataFrame:
+def op9_quality(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, margin: float = 0.1, prior: int = 200) -> DataFrame:
     """``doc_id, n_symbols, perplexity, limit, drawn_perplexity, kept, text_hash`` of every
     document (perplexity per byte; drawn: towards the language's mean).
 
-    The model is fitted on the ``most_trusted`` trusted rows of smallest hash; quantiles are
-    taken over all trusted documents. ``margin`` is added to a limit's logarithm; ``prior``
-    symbols at the language's mean are added to every text before it is compared.
+    The model is fitted on, and quantiles are taken over, all trusted documents. ``margin``
+    is added to a limit's logarithm; ``prior`` symbols at the language's mean are added to
+    every text before it is compared.
     """
     trusted = (labels.where("doc_id IS NOT NULL AND quality = 1 AND coalesce(toxic, 0) = 0")
                .select(F.col("doc_id").cast("long").alias("doc_id")).distinct())
-    sample = trusted.orderBy(labelled_bucket(F.col("doc_id"), "trusted"), "doc_id").limit(most_trusted)
-    text = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left_semi")
+    trusted = stage(trusted, "kn-trusted")
+    # ids are distinct; a semi join would be pushed below the bitmap, and a broadcast has no bound
+    text = _may_be_in(docs.select("doc_id", "text"), trusted).join(trusted.hint("shuffle_hash"), "doc_id")
     scores = log_probabilities(docs, KneserNey(ngram_counts(text)))
     langs = docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("lang").alias("lang"))
     scores = scores.join(langs, "doc_id", "left").withColumn("lang", F.concat(F.lit("="), F.col("lang").cast("string")))

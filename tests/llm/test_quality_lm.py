@@ -123,3 +123,28 @@ def test_discounts():
     y = 100 / 180
     assert np.allclose(d, [1 - 2 * y * 0.4, 2 - 3 * y * 0.5, 3 - 4 * y * 0.5])
     assert lm.modified_discounts([0, 0, 0, 0]) == [0.5, 0.75, 0.75]
+
+
+def test_the_model_counts_every_trusted_text(spark, monkeypatch):
+    docs = spark.range(20_050).selectExpr("id AS doc_id", "'abcdefgh ' AS text", "'en' AS lang")
+    counted = []
+
+    class Model(lm.KneserNey):
+        def __init__(self, counts):
+            super().__init__(counts)
+            counted.extend(r.c for r in self.tables[lm.ORDER].collect())
+
+    monkeypatch.setattr(lm, "KneserNey", Model)
+    out = lm.op9_quality(docs, docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic"))
+    assert set(counted) == {20_050} and out.where("kept").count() == 20_050
+
+
+def test_ids_that_may_be_in_a_set_hold_all_that_are(spark):
+    docs = spark.range(-500, 1500).selectExpr("id AS doc_id", "'t' AS text").unionByName(spark.sql("SELECT NULL AS doc_id, 't' AS text"))
+    ids = spark.range(-400, 1500, 7).selectExpr("id AS doc_id")
+    want = {r.doc_id for r in ids.collect()}
+    for bits in (5, 12, 25):
+        got = [r.doc_id for r in lm._may_be_in(docs, ids, bits).collect()]
+        assert want <= set(got) and len(got) == len(set(got))
+    assert set(got) - {None} == want
+    assert lm._may_be_in(docs, ids.limit(0)).count() == 0
