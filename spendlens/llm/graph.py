@@ -1,32 +1,89 @@
 """Connected components of an edge table, by alternating large and small stars.
 
-Every round is two joins on a node's smallest neighbour; both sides shuffle on the node
-and are skew-split by adaptive execution, and the smallest neighbour is pre-aggregated, so
-a node with very many edges does not gather in one task. Rounds are written to the shared
-folder, the last one in place of the one before; their number grows with the logarithm of
-the longest path.
+A star is one join on a node's smallest neighbour, which is pre-aggregated; adaptive
+execution may split its shuffles. Before a star's edges are written, each task replaces its
+own by a spanning forest of them (to the smallest node it connects), so repeated edges go
+without a shuffle of their own and few rounds are left. They end as soon as no node has two
+neighbours of which one is smaller; an edge table that is written so takes none. Stars are
+written to the shared folder, the last one in place of the one before; the number of
+rounds grows with the logarithm of the longest path.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stage, unstage
+from .shared import map_arrow, stage, unstage
+
+#: Edges that a task holds at once.
+HELD = 1 << 20
+
+
+def joined(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest position that each of ``n`` positions is connected to by the links ``i, j``."""
+    label = np.arange(n)
+    while len(i):
+        x, y = label[i], label[j]
+        open_ = x != y
+        i, j, x, y = i[open_], j[open_], x[open_], y[open_]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while True:
+            short = label[label]
+            if (short == label).all():
+                break
+            label = short
+    return label
+
+
+def _forests(batches, held: int = HELD):
+    """Edges (node, smallest node) that connect what a task's edges connect."""
+    rows, n = [], 0
+
+    def forest():
+        a, b = (np.concatenate([r[k] for r in rows]) for k in range(2))
+        nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+        label = joined(len(nodes), at[:len(a)], at[len(a):])
+        on = np.flatnonzero(label != np.arange(len(nodes)))
+        return nodes[on], nodes[label[on]]
+
+    def out(edges):
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in edges], names=["a", "b"])
+
+    for batch in batches:
+        rows.append([batch.column(k).to_numpy() for k in range(2)])
+        n += batch.num_rows
+        if n >= held:
+            edges = forest()
+            rows, n = [edges], len(edges[0])
+            if 2 * n > held:
+                yield out(edges)
+                rows, n = [], 0
+    if n:
+        yield out(forest())
+
+
+def _both(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    both = _both(edges)
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     return both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    # the edge to the smallest neighbour comes from the aggregate, the others from the join
-    others = down.join(least, "u").where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    return others.union(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    # the edge to the smallest neighbour stays, the other neighbours get one to it
+    return edges.join(least, "a").select(F.when(F.expr("b <> m"), F.col("b")).otherwise(F.col("a")).alias("a"), F.col("m").alias("b"))
+
+
+def _tangled(edges: DataFrame) -> DataFrame:
+    """The nodes that are neither the smallest of a star nor linked with it alone."""
+    return _both(edges).groupBy("u").agg(F.min("v").alias("low"), F.max("v").alias("high")).where("low < u AND low <> high")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -34,15 +91,13 @@ def components(edges: DataFrame) -> DataFrame:
 
     Loops, repeated edges and nulls are ignored; an empty table gives no rows.
     """
-    now = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = None
-    while True:
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if state == before or state[0] == 0:
-            break
-        before = state
-        last, star = now, _large_star(now).distinct()
-        now = stage(_small_star(star).distinct(), "edges")
-        unstage(last)
+    def written(edges):  # a > b from here on
+        return stage(map_arrow(edges, _forests, "a long, b long"), "edges")
+
+    now = written(edges.where("a <> b").select(F.col("a").cast("long"), F.col("b").cast("long")))
+    while not _tangled(now).isEmpty():
+        for star in (_large_star, _small_star):
+            last, now = now, written(star(now))
+            unstage(last)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         now.select(F.col("b"), F.col("b"))).distinct()

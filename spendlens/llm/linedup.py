@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text_arrays as ta
-from .shared import free_name, map_arrow, quoted, stage, text_parts
+from .shared import free_name, map_arrow, quoted, stage, text_parts, unstage
 
 LEADING, QUARTERS, LEAST_TOKENS, LEAST_OPEN, LEAST_CONSTANT = 2, 4, 3, 6, 2
 #: Of documents with a larger share of their tokens in recurring lines, one carrier keeps a line.
@@ -171,7 +171,8 @@ def recurring_lines(docs: DataFrame, most_share: float = MOST_SHARE, groups: Dat
         carriers = known.drop("least").join(first, "group").select("text_hash", "group", "least")
     hits = stage(_hits(docs).distinct().join(carriers.select("text_hash", "group", rank.alias("rank")).hint("merge"), "text_hash"), "hits")
     if groups is not None:  # only what recurs in texts can recur in groups
-        hits = stage(hits.join(_recurring(hits, "group").hint("merge"), "key"), "hits")
+        every, hits = hits, stage(hits.join(_recurring(hits, "group").hint("merge"), "key"), "hits")
+        unstage(every)
     over = (hits.select("text_hash", "line", "tokens", "total").distinct().groupBy("text_hash")
             .agg((F.sum("tokens") > most_share * F.max("total")).alias("over")))
     known = hits.join(over.hint("merge"), "text_hash")

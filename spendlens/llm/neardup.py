@@ -38,8 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text_arrays as ta
-from .graph import components
-from .shared import arrow_rows, map_arrow, stage, text_parts
+from .graph import components, joined
+from .shared import arrow_rows, map_arrow, stage, text_parts, unstage
 
 SHINGLE = 5
 BLOCK, BLOCK_SHINGLES = 256, 400_000
@@ -215,22 +215,6 @@ def near(a: np.ndarray, b: np.ndarray, distance: int) -> tuple[np.ndarray, np.nd
     return np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])
 
 
-def joined(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The smallest position that each of ``n`` positions is connected to by the links ``i, j``."""
-    label = np.arange(n)
-    while len(i):
-        x, y = label[i], label[j]
-        open_ = x != y
-        i, j, x, y = i[open_], j[open_], x[open_], y[open_]
-        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
-        while True:
-            short = label[label]
-            if (short == label).all():
-                break
-            label = short
-    return label
-
-
 def _near_tiles(batches, symbols: int, distance: int):
     """Edges of tile pairs (ids, signatures, other ids, other signatures); without others, of one tile."""
     def side(ids, signatures):
@@ -368,8 +352,10 @@ def op4_near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
     own = F.when(F.col("least").isNull() | (F.col("least") == F.col("rep.text_hash")), F.col("rep.doc_id"))
     number = F.coalesce(own, F.lit(NO_ID) + F.pmod(F.xxhash64("n_shingles", "h1", "h2"), F.lit(1 << 61)))
     classes = stage(found.join(shared, F.col("rep.doc_id") == F.col("shared_id"), "left").withColumn("class_id", number).drop("shared_id", "least"), "classes")
+    unstage(found)
     blobs = stage(components(candidate_edges(classes, symbols, chunks)), "blobs")
     close = components(near_edges(classes, blobs, symbols, distance))
+    unstage(blobs)
     # rows of one doc_id with different texts are one document
     numbered = signed.join(classes.select("n_shingles", "h1", "h2", "class_id"), ["n_shingles", "h1", "h2"], "left")
     of_class = stage(numbered.where("doc_id IS NOT NULL AND class_id IS NOT NULL").select("doc_id", "class_id").distinct(), "of_class")
