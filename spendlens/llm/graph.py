@@ -2,8 +2,8 @@
 
 A star is one join on a node's smallest neighbour, which is pre-aggregated; adaptive
 execution may split its shuffles. Before a star's edges are written, each task replaces its
-own by a spanning forest of them (to the smallest node it connects), so repeated edges go
-without a shuffle of their own and few rounds are left. They end as soon as no node has two
+own by a spanning forest of them (to the smallest node it connects), so those that a star
+repeats go without a shuffle of their own and few rounds are left. They end as soon as no node has two
 neighbours of which one is smaller; an edge table that is written so takes none. Stars are
 written to the shared folder, the last one in place of the one before; the number of
 rounds grows with the logarithm of the longest path.
@@ -94,7 +94,8 @@ def components(edges: DataFrame) -> DataFrame:
     def written(edges):  # a > b from here on
         return stage(map_arrow(edges, _forests, "a long, b long"), "edges")
 
-    now = written(edges.where("a <> b").select(F.col("a").cast("long"), F.col("b").cast("long")))
+    # the shuffle also parts the tasks from those of Python that find edges: with both, a task holds two workers
+    now = written(edges.where("a <> b").select(F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b")).distinct())
     while not _tangled(now).isEmpty():
         for star in (_large_star, _small_star):
             last, now = now, written(star(now))

@@ -198,9 +198,9 @@ def _bucket_edges(batches):
 
 
 def candidate_edges(classes: DataFrame, symbols: int = SYMBOLS, chunks: int = CHUNKS) -> DataFrame:
-    """Edges (a, b) whose components hold all pairs of classes that share a bucket."""
+    """Edges (a, b), some repeated, whose components hold all pairs of classes that share a bucket."""
     keyed = map_arrow(classes.select("class_id", "signature"), partial(_keys, symbols=symbols, chunks=chunks), "key long, a long, b long")
-    return map_arrow(keyed.repartition("key").sortWithinPartitions("key", "a"), _bucket_edges, "a long, b long").distinct()
+    return map_arrow(keyed.repartition("key").sortWithinPartitions("key", "a"), _bucket_edges, "a long, b long")
 
 
 def near(a: np.ndarray, b: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:

@@ -86,3 +86,15 @@ def test_rounds_take_few_tasks(spark, monkeypatch):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_edges_from_python_have_tasks_of_their_own(spark, monkeypatch):
+    """Two Python steps in one task would keep two workers for each core."""
+    from conftest import plan_text
+    plans = []
+    monkeypatch.setattr(graph, "stage", lambda df, name, f=graph.stage: plans.append(plan_text(df)) or f(df, name))
+    edges = spark.range(20).selectExpr("id AS a", "id + 1 AS b").mapInArrow(lambda batches: batches, "a long, b long")
+    assert {r.component for r in components(edges).collect()} == {0}
+    first = plans[0].splitlines()
+    python = [k for k, line in enumerate(first) if "MapInArrow" in line]
+    assert len(python) == 2 and any("Exchange" in line for line in first[python[0]:python[1]])
